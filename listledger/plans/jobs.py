@@ -56,11 +56,45 @@ def offers_run(spark, sf_dir: str, rewrite_ledger: bool = False) -> RunResult:
     from ..sources import bindings
 
     offers = bindings.offers(spark, sf_dir)
-    known = drop_polish(offers.where(F.col("pos") % 11 == 0))
-    ledger = known.select(
-        F.col("group_title").alias("sheet"), "pos", "title", "company", "tags",
-        F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
+    ledger = offers_ledger(spark, sf_dir)
     feed = offers.where(F.col("pos") % 11 != 0)
     limit = F.when(F.col("group_title") == "en", F.lit(10)).otherwise(F.lit(5))
     return run_listings(feed, ledger, offers.select("group_title"), limit=limit, max_limit=10,
                         rewrite_ledger=rewrite_ledger)
+
+
+def offers_ledger(spark, sf_dir: str) -> DataFrame:
+    """The known part of B_offers as a canonical ledger (one table per group)."""
+    from ..sources import bindings
+
+    known = drop_polish(bindings.offers(spark, sf_dir).where(F.col("pos") % 11 == 0))
+    return known.select(
+        F.col("group_title").alias("sheet"), "pos", "title", "company", "tags",
+        F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
+
+
+def prepend_counts(ledger: DataFrame, new: DataFrame, summary: DataFrame) -> DataFrame:
+    """Per group table: rows added on top and old rows migrated; a
+    table without new rows is not rewritten, so nothing is migrated there."""
+    old = ledger.groupBy("sheet").agg(F.count(F.lit(1)).alias("_old"))
+    return (
+        summary.select(F.col("group_title").alias("sheet"), F.col("new_offers").alias("added"))
+        .join(old, "sheet", "left")
+        .select("sheet", "added",
+                F.when(F.col("added") > 0, F.coalesce("_old", F.lit(0))).otherwise(F.lit(0)).cast("long")
+                .alias("migrated"))
+    )
+
+
+def organize_only(ledger: DataFrame, watch: DataFrame) -> DataFrame:
+    """Discards to Trash (L2, L3), then re-bucket (L5) the watched tables,
+    the tables that lost rows, and Trash. No extraction."""
+    kept, moved = L.split_discards(ledger)
+    after = L.append_to_trash(kept, moved)
+    targets = (
+        watch.select(F.col("group_title").alias("sheet"))
+        .unionByName(moved.select("sheet"))
+        .unionByName(ledger.sparkSession.range(1).select(F.lit(L.TRASH).alias("sheet")))
+        .distinct()
+    )
+    return L.status_order(after, targets)

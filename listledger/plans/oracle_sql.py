@@ -195,3 +195,122 @@ union all
 select '*' as sheet, cast(count(distinct url) as bigint) as n_urls from u"""
 
 ORACLES["known_record_count"] = f"with {SHEETS} select cast(count(*) as bigint) as n_records from sheets"
+
+
+# --------------------------------------------------------------------------
+# Ledger
+
+def norm_status(x: str) -> str:
+    return f"upper({trim_ws(x)})"
+
+
+def bucket(x: str) -> str:
+    s = f"coalesce({norm_status(x)}, '')"
+    return (f"(case when contains({s}, 'CVSENT') then 0 when contains({s}, 'SAVE') then 1 "
+            f"when contains({s}, 'OUT') then 3 else 2 end)")
+
+
+DISCARDS = SHEETS + f""",
+flag as (select *, sheet <> 'Trash' and coalesce({norm_status('status')} in ('DISCARD', 'OUT'), false) as mv
+  from sheets),
+kept as (select * exclude (mv) from flag where not mv),
+moved as (select * exclude (mv) from flag where mv),
+after as (
+  select * from kept
+  union all
+  select 'Trash' as sheet,
+    (select coalesce(max(pos), 0) from kept where sheet = 'Trash') + row_number() over (order by sheet, pos) as pos,
+    title, company, tags, status, link
+  from moved),
+targets as (select sheet from moved union select 'Trash'),
+organized as (
+  select sheet, row_number() over (partition by sheet order by {bucket('status')}, pos) as pos,
+    title, company, tags, status, link
+  from after where sheet in (select sheet from targets)
+  union all
+  select * from after where sheet not in (select sheet from targets))"""
+
+ORACLES["ledger_scan"] = f"with {SHEETS} select * from sheets"
+
+ORACLES["ledger_by_header"] = f"with {RAW} {by_header('raw')}"
+
+ORACLES["discard_keep"] = f"with {DISCARDS} select sheet, pos, title, status from kept"
+
+ORACLES["discard_moved"] = f"with {DISCARDS} select sheet, pos, title, status from moved"
+
+ORACLES["trash_after"] = f"with {DISCARDS} select pos, title, status, link from after where sheet = 'Trash'"
+
+ORACLES["status_bucket"] = f"with {SHEETS} select sheet, pos, status, cast({bucket('status')} as int) as bucket from sheets"
+
+ORACLES["status_order"] = f"""with {SHEETS} select sheet,
+  row_number() over (partition by sheet order by {bucket('status')}, pos) as pos, title, status, link from sheets"""
+
+ORACLES["organize_only"] = f"with {DISCARDS} select sheet, pos, title, company, status, link from organized"
+
+ORACLES["bucket_ranges"] = f"""with {DISCARDS}, b as (select *, {bucket('status')} as bucket from organized)
+select sheet, cast(bucket as int) as bucket, cast(min(pos) + 1 as bigint) as first_row,
+  cast(max(pos) + 1 as bigint) as last_row, cast(count(*) as bigint) as n_rows,
+  (['green', 'yellow', 'white', 'red'])[bucket + 1] as label
+from b group by sheet, bucket"""
+
+ORACLES["ledger_counts"] = f"with {DISCARDS} select sheet, cast(count(*) as bigint) as n_moved from moved group by sheet"
+
+
+def _last(name: str) -> str:
+    # 1-based index of the last equal header, 0 when absent
+    return (f"coalesce(len(header) + 1 - list_position(list_reverse(header), '{name}'), 0)")
+
+
+def _get(name: str) -> str:
+    i = _last(name)
+    return f"(case when {i} > 0 then coalesce(cells[{i}], '') else '' end)"
+
+
+ORACLES["migrate_rows"] = f"""with {RAW},
+t as (select *, case when {_last('Title')} = 0 and len(cells) > 0 then cells[1] else {_get('Title')} end as title_raw
+  from raw),
+p as (select *, string_split(title_raw, '"') as pieces,
+  contains(title_raw, '=HYPERLINK') and len(string_split(title_raw, '"')) >= 4 as is_f from t),
+m as (select sheet, pos,
+  case when is_f then pieces[4] else title_raw end as title,
+  {_get('Company')} as company, {_get('Tags')} as tags, {_get('Status')} as status,
+  case when is_f then pieces[2] else {_get('Link')} end as link0,
+  {_get('Full URL')} as full_url from p)
+select sheet, pos, title, company, tags, status, case when link0 = '' then full_url else link0 end as link from m"""
+
+_RUN_KEPT = "with recursive " + RUN + ",\n" + ordered_fold("fresh", "group_title, url_idx, pos", "kept")
+
+ORACLES["to_ledger_row"] = _RUN_KEPT + """
+select group_title as sheet, title, coalesce(company, '') as company, coalesce(tags, '') as tags,
+  'NEW' as status, coalesce(full_url, '') as link from kept"""
+
+ORACLES["ledger_prepend"] = _RUN_KEPT + f""",
+both_ as (
+  select group_title as sheet, title, 'NEW' as status, full_url as link, 0 as is_old, url_idx, pos from kept
+  union all
+  select sheet, title, status, link, 1 as is_old, null as url_idx, pos from ledger)
+select sheet, row_number() over (partition by sheet order by {bucket('status')}, is_old, url_idx, pos) as pos,
+  title, status, link from both_"""
+
+ORACLES["ledger_append"] = _RUN_KEPT + """
+select sheet, pos, title, status, link from ledger
+union all
+select k.group_title as sheet,
+  coalesce((select max(l.pos) from ledger l where l.sheet = k.group_title), 0)
+    + row_number() over (partition by k.group_title order by k.url_idx, k.pos) as pos,
+  k.title, 'NEW' as status, k.full_url as link
+from kept k"""
+
+ORACLES["prepend_guard"] = _RUN_KEPT + """,
+grp as (select distinct group_title as sheet from offers)
+select g.sheet,
+  cast((select count(*) from kept k where k.group_title = g.sheet) as bigint) as added,
+  cast(case when (select count(*) from kept k where k.group_title = g.sheet) > 0
+    then (select count(*) from ledger l where l.sheet = g.sheet) else 0 end as bigint) as migrated
+from grp g"""
+
+ORACLES["ledger_sheets"] = f"""with {SHEETS},
+wanted as (select r_name as sheet from region union select 'Trash'),
+present as (select distinct sheet from sheets)
+select coalesce(w.sheet, p.sheet) as sheet, p.sheet is null as created
+from wanted w full join present p on w.sheet = p.sheet"""

@@ -125,3 +125,103 @@ def q_known_url_counts(spark, sf):
 @query("known_record_count")
 def q_known_record_count(spark, sf):
     return report.known_record_count(dedup.known_records(bindings.sheets(spark, sf)))
+
+
+# --------------------------------------------------------------------------
+# Ledger (S5, S6, S8-S11, L1-L10, T3, G6, J2)
+
+from ..sources import ledger as store  # noqa: E402
+
+
+@query("ledger_scan")
+def q_ledger_scan(spark, sf):
+    return store.scan(bindings.sheets(spark, sf))
+
+
+@query("ledger_by_header")
+def q_ledger_by_header(spark, sf):
+    return store.by_header(bindings.raw_sheets(spark, sf))
+
+
+@query("discard_keep")
+def q_discard_keep(spark, sf):
+    kept, _ = L.split_discards(bindings.sheets(spark, sf))
+    return kept.select("sheet", "pos", "title", "status")
+
+
+@query("discard_moved")
+def q_discard_moved(spark, sf):
+    _, moved = L.split_discards(bindings.sheets(spark, sf))
+    return moved.select("sheet", "pos", "title", "status")
+
+
+@query("trash_after")
+def q_trash_after(spark, sf):
+    after = L.process_discards(bindings.sheets(spark, sf))
+    return after.where(F.col("sheet") == L.TRASH).select("pos", "title", "status", "link")
+
+
+@query("status_bucket")
+def q_status_bucket(spark, sf):
+    s = bindings.sheets(spark, sf)
+    return s.select("sheet", "pos", "status", L.status_bucket("status").cast("int").alias("bucket"))
+
+
+@query("status_order")
+def q_status_order(spark, sf):
+    return L.status_order(bindings.sheets(spark, sf)).select("sheet", "pos", "title", "status", "link")
+
+
+def _organized(spark, sf):
+    return jobs.organize_only(bindings.sheets(spark, sf), bindings.watch_groups(spark, sf))
+
+
+@query("organize_only")
+def q_organize_only(spark, sf):
+    return _organized(spark, sf).select("sheet", "pos", "title", "company", "status", "link")
+
+
+@query("bucket_ranges")
+def q_bucket_ranges(spark, sf):
+    return L.bucket_ranges(_organized(spark, sf))
+
+
+@query("ledger_counts")
+def q_ledger_counts(spark, sf):
+    _, moved = L.split_discards(bindings.sheets(spark, sf))
+    return report.ledger_counts(moved, name="n_moved")
+
+
+@query("migrate_rows")
+def q_migrate_rows(spark, sf):
+    return L.migrate_rows(bindings.raw_sheets(spark, sf))
+
+
+@query("to_ledger_row")
+def q_to_ledger_row(spark, sf):
+    run = jobs.offers_run(spark, sf)
+    return L.to_ledger_rows(run.new, order=()).select("sheet", "title", "company", "tags", "status", "link")
+
+
+@query("ledger_prepend")
+def q_ledger_prepend(spark, sf):
+    return jobs.offers_run(spark, sf, rewrite_ledger=True).ledger.select("sheet", "pos", "title", "status", "link")
+
+
+@query("ledger_append")
+def q_ledger_append(spark, sf):
+    run = jobs.offers_run(spark, sf)
+    rows = L.to_ledger_rows(run.new, order=("url_idx", "pos"))
+    return store.append(jobs.offers_ledger(spark, sf), rows).select("sheet", "pos", "title", "status", "link")
+
+
+@query("prepend_guard")
+def q_prepend_guard(spark, sf):
+    run = jobs.offers_run(spark, sf)
+    return jobs.prepend_counts(jobs.offers_ledger(spark, sf), run.new, run.summary)
+
+
+@query("ledger_sheets")
+def q_ledger_sheets(spark, sf):
+    w = bindings.watch_groups(spark, sf)
+    return store.sheet_list(w, bindings.sheets(spark, sf))

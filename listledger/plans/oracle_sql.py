@@ -314,3 +314,90 @@ wanted as (select r_name as sheet from region union select 'Trash'),
 present as (select distinct sheet from sheets)
 select coalesce(w.sheet, p.sheet) as sheet, p.sheet is null as created
 from wanted w full join present p on w.sheet = p.sheet"""
+
+
+# --------------------------------------------------------------------------
+# URLs, watchlist
+
+URLS = """urls as (
+  select page_id, case page_id % 5
+    when 0 then concat('https://justjoin.it/job-offers/krakow?keyword=', lang, '+', num, '&sort=newest&orderBy=DESC')
+    when 1 then concat('https://www.justjoin.it/job-offers/all-locations/', lang,
+      '?experience-level=junior&keyword=&orderBy=DESC')
+    when 2 then concat('https://nofluffjobs.com/pl/', lang, '?lang=en&criteria=seniority%3D', num, '&sort=newest')
+    when 3 then concat('https://theprotocol.it/filtry/', lang, ';p/krakow;wp?kw=', num)
+    else url end as url
+  from (select page_id, url, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) as lang,
+    regexp_extract(url, '^https?://[^/]+/[^/?#]+/([^/?#.]*)', 1) as num from pages))"""
+
+WATCH = """watch as (
+  select dense_rank() over (order by lang) - 1 as group_idx, lang as group_title,
+    row_number() over (partition by lang order by page_id) - 1 as url_idx, url, page_id
+  from (select page_id, url, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) as lang from pages))"""
+
+
+def qv(url: str, key: str) -> str:
+    """parse_qs(urlparse(url).query).get(key, [''])[0]"""
+    q = f"regexp_extract({url}, '^[^?#]*\\?([^#]*)', 1)"
+    pairs = f"list_filter(string_split({q}, '&'), lambda p: contains(p, '='))"
+    hits = (f"list_filter({pairs}, lambda p: url_decode(replace(split_part(p, '=', 1), '+', ' ')) = '{key}' "
+            f"and regexp_replace(p, '^[^=]*=', '') <> '')")
+    return f"coalesce(url_decode(replace(regexp_replace(({hits})[1], '^[^=]*=', ''), '+', ' ')), '')"
+
+
+def derive_title_sql(url: str) -> str:
+    netloc = f"regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
+    path = f"regexp_replace(regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')"
+    segs = f"string_split({path}, '/')"
+    domain = f"split_part(replace({netloc}, 'www.', ''), '.', 1)"
+    kw_a, exp_a, crit, kw_c = qv(url, "keyword"), qv(url, "experience-level"), qv(url, "criteria"), qv(url, "kw")
+    empty = "[]::varchar[]"
+    part_a = (f"list_concat(list_concat(case when list_contains({segs}, 'krakow') then ['krakow'] "
+              f"when len({segs}) > 2 then [{segs}[-1]] else {empty} end, "
+              f"case when {kw_a} <> '' then ['kw-' || {kw_a}] else {empty} end), "
+              f"case when {exp_a} <> '' then ['exp-' || {exp_a}] else {empty} end)")
+    part_b = (f"list_concat(list_filter({segs}, lambda s: s <> '' and s not in ('pl', 'job')), "
+              f"case when {crit} = '' then {empty} when len(string_split({crit}, '=')) > 1 "
+              f"then [string_split({crit}, '=')[2]] else [{crit}] end)")
+    part_c = (f"list_concat(list_filter(list_transform(list_filter({segs}, lambda s: s not in ('', 'filtry')), "
+              f"lambda s: split_part(s, ';', 1)), lambda s: s <> ''), "
+              f"case when {kw_c} <> '' then ['kw-' || {kw_c}] else {empty} end)")
+    rest = (f"case when contains({url}, 'justjoin.it') then {part_a} "
+            f"when contains({url}, 'nofluffjobs.com') then {part_b} "
+            f"when contains({url}, 'theprotocol.it') then {part_c} "
+            f"else [replace({path}, '/', '-')] end")
+    parts = f"list_filter(list_transform(list_concat([{domain}], {rest}), lambda p: {trim_ws('lower(p)')}), lambda p: p <> '')"
+    return (f"substring(regexp_replace(array_to_string(list_filter({parts}, lambda x, i: list_position({parts}, x) = i), '-'), "
+            f"'[^{W}\\-]', '', 'g'), 1, 100)")
+
+
+ORACLES["route_source"] = f"""with {URLS} select page_id, url,
+  case when contains(url, 'nofluffjobs.com') then 'B' when contains(url, 'theprotocol.it') then 'C' else 'A' end as source,
+  case when contains(url, 'nofluffjobs.com') then 50 when contains(url, 'theprotocol.it') then 30 else 50 end as row_limit
+from urls"""
+
+ORACLES["derive_title"] = f"with {URLS} select page_id, url, {derive_title_sql('url')} as title from urls"
+
+ORACLES["url_param"] = f"""with {URLS} select page_id, {qv('url', 'keyword')} as keyword,
+  {qv('url', 'experience-level')} as experience_level, {qv('url', 'criteria')} as criteria, {qv('url', 'kw')} as kw,
+  {qv('url', 'page')} as page, {qv('url', 'ref')} as ref from urls"""
+
+ORACLES["group_title"] = f"""with {URLS}, {WATCH},
+g as (select w.group_idx, case when w.group_idx % 2 = 0 then null else w.group_title end as group_title,
+  w.page_id, u.url from watch w join urls u using (page_id)),
+f as (select group_idx, max(group_title) as t, arg_min(url, page_id) as first_url from g group by group_idx)
+select group_idx, coalesce(t, {derive_title_sql('first_url')}) as sheet_title from f"""
+
+ORACLES["watchlist_json"] = f"""with {WATCH} select cast(group_idx as int) as group_idx, group_title,
+  cast(url_idx as int) as url_idx, url from watch"""
+
+ORACLES["watchlist_sections"] = f"""with {WATCH} select cast(group_idx as int) as group_idx,
+  case when group_idx = 0 then null else group_title end as group_title, cast(url_idx as int) as url_idx, url
+from watch"""
+
+ORACLES["watchlist_fallback"] = ORACLES["watchlist_sections"]
+
+ORACLES["watch_pages"] = """select cast(page_id as bigint) as url_idx, page_id,
+  cast(length(html) as bigint) as html_chars,
+  cast(dense_rank() over (order by regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) - 1 as int) as group_idx
+from pages"""

@@ -225,3 +225,74 @@ def q_prepend_guard(spark, sf):
 def q_ledger_sheets(spark, sf):
     w = bindings.watch_groups(spark, sf)
     return store.sheet_list(w, bindings.sheets(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Watchlist, routing, naming
+
+from ..operators import routing  # noqa: E402
+from ..sources import watchlist  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+@query("route_source")
+def q_route_source(spark, sf):
+    return routing.route(bindings.watch_urls(spark, sf)).select("page_id", "url", "source", "row_limit")
+
+
+@query("derive_title")
+def q_derive_title(spark, sf):
+    return bindings.watch_urls(spark, sf).select("page_id", "url", routing.derive_title("url").alias("title"))
+
+
+@query("url_param")
+def q_url_param(spark, sf):
+    u = bindings.watch_urls(spark, sf)
+    return u.select("page_id", *[routing.url_param("url", k).alias(k.replace("-", "_"))
+                                 for k in ["keyword", "experience-level", "criteria", "kw", "page", "ref"]])
+
+
+def _watch_for_titles(spark, sf):
+    w = bindings.watch_groups(spark, sf)
+    u = bindings.watch_urls(spark, sf).withColumnRenamed("url", "site_url")
+    return w.join(u, w.url_idx == u.page_id).select(
+        "group_idx",
+        F.when(F.col("group_idx") % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("group_title"))
+        .alias("group_title"),
+        "url_idx", F.col("site_url").alias("url"))
+
+
+@query("group_title")
+def q_group_title(spark, sf):
+    return routing.group_titles(_watch_for_titles(spark, sf))
+
+
+@query("watchlist_json")
+def q_watchlist_json(spark, sf):
+    path = watchlist.render_json(bindings.watch_groups(spark, sf), scratch_path(spark, "watch-json"))
+    return watchlist.read_json(spark, path)
+
+
+def _sections_file(spark, sf):
+    w = bindings.watch_groups(spark, sf)
+    w = w.withColumn("group_title", F.when(F.col("group_idx") == 0, F.lit(None).cast("string"))
+                     .otherwise(F.col("group_title")))
+    return watchlist.render_sections(w, scratch_path(spark, "watch-sections"))
+
+
+@query("watchlist_sections")
+def q_watchlist_sections(spark, sf):
+    return watchlist.read_sections(spark, _sections_file(spark, sf))
+
+
+@query("watchlist_fallback")
+def q_watchlist_fallback(spark, sf):
+    legacy = _sections_file(spark, sf)
+    return watchlist.read_watchlist(spark, scratch_path(spark, "missing-json"), legacy)
+
+
+@query("watch_pages")
+def q_watch_pages(spark, sf):
+    w = bindings.watch_groups(spark, sf)
+    return watchlist.watch_pages(w, table(spark, sf, "pages")).select(
+        "group_idx", "url_idx", "page_id", F.length("html").cast("long").alias("html_chars"))

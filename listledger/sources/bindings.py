@@ -19,28 +19,45 @@ CARDS_PER_PAGE_KEYS = 256
 
 
 def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B_watch: one group per region, one URL per nation, in nation-key order.
+    """B_watch: the pages' URLs as a watchlist, one group per language segment
+    of the URL (groups in title order), URLs in page-id order.
 
-    ``group_idx INT, group_title STRING, url_idx INT, url STRING``
+    ``group_idx INT, group_title STRING, url_idx INT, url STRING``. The group
+    numbers come from a window over the distinct titles only (a few rows);
+    ``url_idx`` is the page id: an order key inside the group, not dense
+    (a window per group would put the largest group into one task).
     """
-    r = table(spark, sf_dir, "region")
-    n = table(spark, sf_dir, "nation")
-    w = Window.partitionBy("r_regionkey").orderBy("n_nationkey")
-    host = (
-        F.when(F.col("n_nationkey") % 4 == 0, "justjoin.it/job-offers/krakow?keyword=")
-        .when(F.col("n_nationkey") % 4 == 1, "nofluffjobs.com/pl/krakow?criteria=seniority%3D")
-        .when(F.col("n_nationkey") % 4 == 2, "theprotocol.it/filtry/junior;p/krakow;wp?kw=")
-        .otherwise("other.example.org/a/")
-    )
-    return (
-        r.join(n, n.n_regionkey == r.r_regionkey)
-        .select(
-            F.col("r_regionkey").cast("int").alias("group_idx"),
-            F.col("r_name").alias("group_title"),
-            (F.row_number().over(w) - 1).cast("int").alias("url_idx"),
-            F.concat(F.lit("https://"), host, F.lower("n_name")).alias("url"),
-        )
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    p = p.withColumn("group_title", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1))
+    titles = p.select("group_title").distinct().withColumn(
+        "group_idx", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("int"))
+    # the distinct titles are one row per language: a bounded broadcast
+    return p.join(F.broadcast(titles), "group_title").select(
+        "group_idx", "group_title", F.col("page_id").alias("url_idx"), "url")
+
+
+def watch_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B_urls: page URLs recast into the listing-site shapes the router and the
+    table namer know (page_id % 5): two search-page forms of source A, one of
+    B, one of C, and the page URL as it is.
+
+    ``page_id BIGINT, url STRING``
+    """
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    lang = F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1)
+    num = F.regexp_extract("url", r"^https?://[^/]+/[^/?#]+/([^/?#.]*)", 1)
+    k = F.col("page_id") % 5
+    url = (
+        F.when(k == 0, F.concat(F.lit("https://justjoin.it/job-offers/krakow?keyword="), lang, F.lit("+"), num,
+                                F.lit("&sort=newest&orderBy=DESC")))
+        .when(k == 1, F.concat(F.lit("https://www.justjoin.it/job-offers/all-locations/"), lang,
+                               F.lit("?experience-level=junior&keyword=&orderBy=DESC")))
+        .when(k == 2, F.concat(F.lit("https://nofluffjobs.com/pl/"), lang, F.lit("?lang=en&criteria=seniority%3D"),
+                               num, F.lit("&sort=newest")))
+        .when(k == 3, F.concat(F.lit("https://theprotocol.it/filtry/"), lang, F.lit(";p/krakow;wp?kw="), num))
+        .otherwise(F.col("url"))
     )
+    return p.select("page_id", url.alias("url"))
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:

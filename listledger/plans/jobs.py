@@ -98,3 +98,19 @@ def organize_only(ledger: DataFrame, watch: DataFrame) -> DataFrame:
         .distinct()
     )
     return L.status_order(after, targets)
+
+
+def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
+    """Per page: key from the URL (E13), cleaned HTML (E1) and its
+    Markdown (E2, E3). Written as parquet when ``out_path`` is given."""
+    from ..functions.text import page_key
+    from ..operators import extract as X
+
+    clean = X.strip_elements("html")
+    out = X.spread_pages(pages).select(
+        "page_id", "url", page_key("url").alias("page_key"), clean.alias("clean_html"),
+        F.length(clean).cast("long").alias("clean_chars"), F.md5(clean).alias("clean_md5"),
+        X.page_markdown("html").alias("markdown"))
+    if out_path:
+        out.write.mode("overwrite").parquet(out_path)
+    return out

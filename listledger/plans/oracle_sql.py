@@ -401,3 +401,105 @@ ORACLES["watch_pages"] = """select cast(page_id as bigint) as url_idx, page_id,
   cast(length(html) as bigint) as html_chars,
   cast(dense_rank() over (order by regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) - 1 as int) as group_idx
 from pages"""
+
+
+# --------------------------------------------------------------------------
+# Extraction: pages, and cards rendered from `part`
+
+def strip_sql(x: str) -> str:
+    for tag in ("script", "style", "noscript"):
+        x = f"regexp_replace({x}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+    return x
+
+
+def page_key_sql(url: str) -> str:
+    return (f"substring(regexp_replace(regexp_replace({url}, 'https?://', '', 'g'), '[^{W}\\-. ]', '_', 'g'), "
+            f"1, 100)")
+
+
+ORACLES["page_strip"] = f"""select page_id, cast(length({strip_sql('html')}) as bigint) as clean_chars,
+  md5({strip_sql('html')}) as clean_md5 from pages"""
+
+ORACLES["newline_squeeze"] = """select doc_id,
+  cast(length(regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g')) as bigint) as n_chars,
+  md5(regexp_replace(text, '\\n{3,}', chr(10) || chr(10), 'g')) as text_md5 from documents"""
+
+ORACLES["page_key"] = f"select page_id, {page_key_sql('url')} as page_key from pages"
+
+ORACLES["page_export"] = f"""select page_id, {page_key_sql('url')} as page_key,
+  cast(length({strip_sql('html')}) as bigint) as clean_chars, md5({strip_sql('html')}) as clean_md5 from pages"""
+
+
+def _unescape(x: str) -> str:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return x
+
+
+_H1 = f"regexp_extract({strip_sql('html')}, '(?is)<h1[^>]*>(.*?)</h1>', 1)"
+_H1_TEXT = _unescape(f"regexp_replace({_H1}, '<[^>]*>', '', 'g')")
+ORACLES["page_markdown"] = f"""select page_id,
+  replace(replace(trim(regexp_replace({_H1_TEXT}, '[\\t\\r\\n ]+', ' ', 'g')), '*', '\\*'), '_', '\\_') as h1,
+  cast(len(regexp_extract_all({strip_sql('html')}, '<a\\s[^>]*href="[^"]+"[^>]*>\\s*[^<\\s]')) as bigint) as n_links
+from pages"""
+
+_SLUG = "lower(replace(p_name, ' ', '-')) || '-' || cast(p_partkey as varchar)"
+_MD_TAGS = ("concat_ws(', ', 'Spark', case when p_partkey % 2 = 0 then 'Spark' end, "
+            "'t' || cast(p_partkey % 7 as varchar), 'u' || cast(p_partkey % 3 as varchar))")
+_MD_AGE = "case when p_partkey % 5 = 0 then 'New' else cast(p_partkey % 31 as varchar) || 'd left' end"
+
+
+def _html_tags(cap: str | None) -> str:
+    n = "1 + 3 * (p_partkey % 3)"
+    n = f"least({n}, {cap})" if cap else n
+    return f"array_to_string(list_transform(range({n}), lambda i: 'T' || cast((p_partkey + i) % 11 as varchar)), ', ')"
+
+
+_B_HREF = "'/pl/job/' || " + _SLUG
+_C_HREF = "'/szczegoly/praca/' || lower(replace(p_name, ' ', '-')) || ',oferta,' || cast(p_partkey as varchar)"
+
+ORACLES["md_cards"] = f"""select {_SLUG} as link_slug, p_name as title,
+  'https://justjoin.it/job-offer/' || {_SLUG} as full_url from part"""
+
+ORACLES["card_fields"] = f"""select {_SLUG} as link_slug, cast(p_size as varchar) || ' EUR/h' as salary,
+  p_brand as company, p_type as location from part"""
+
+ORACLES["card_lines"] = f"select {_SLUG} as link_slug, {_MD_AGE} as posted_age from part"
+
+ORACLES["card_tags"] = f"select {_SLUG} as link_slug, {_MD_TAGS} as tags from part"
+
+_B_ROWS = f"""select 'B' as source, {_SLUG} as link_slug, p_name || ' & co' as title,
+  case when p_partkey % 5 = 0 then 'Unknown' else p_brand end as company, {_html_tags('5')} as tags,
+  null::varchar as salary, null::varchar as location, null::varchar as posted_age,
+  'https://nofluffjobs.com' || {_B_HREF} as full_url
+from part where p_partkey % 7 <> 0"""
+
+_C_ROWS = f"""select 'C' as source, null::varchar as link_slug, p_name as title,
+  case when p_partkey % 5 = 0 then 'Unknown' else p_brand end as company, {_html_tags(None)} as tags,
+  null::varchar as salary, null::varchar as location, null::varchar as posted_age,
+  case when p_partkey % 7 = 0 then 'Unknown' else 'https://theprotocol.it' || {_C_HREF} end as full_url
+from part"""
+
+_A_ROWS = f"""select 'A' as source, {_SLUG} as link_slug, p_name as title, p_brand as company, {_MD_TAGS} as tags,
+  cast(p_size as varchar) || ' EUR/h' as salary, p_type as location, {_MD_AGE} as posted_age,
+  'https://justjoin.it/job-offer/' || {_SLUG} as full_url
+from part"""
+
+ORACLES["html_cards_class"] = f"select link_slug, title, company, tags, full_url from ({_B_ROWS})"
+
+ORACLES["html_cards_attr"] = f"select title, company, tags, full_url from ({_C_ROWS})"
+
+ORACLES["unify_listings"] = f"({_A_ROWS}) union all ({_B_ROWS}) union all ({_C_ROWS})"
+
+ORACLES["link_normalize"] = f"select source, link_slug, full_url from (({_A_ROWS}) union all ({_B_ROWS}) union all ({_C_ROWS}))"
+
+# upper() as in Python and Java: the sharp s becomes "SS"
+_UP = "upper(replace(substring(text, 1, 30), 'ß', 'ss'))"
+ORACLES["title_badge"] = f"""select doc_id, {_UP} as raw_title,
+  {trim_ws(f"replace({_UP}, 'NEW', '')")} as title from documents"""
+
+ORACLES["extract_rejects"] = """select page_id, url, 'page' as kind, 'ValueError: page has no content' as error
+from pages where page_id % 10 = 0"""
+
+ORACLES["page_rejects"] = """select page_id, url, 'ValueError: page has no content' as error
+from pages where page_id % 10 = 0"""

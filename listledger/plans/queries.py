@@ -296,3 +296,126 @@ def q_watch_pages(spark, sf):
     w = bindings.watch_groups(spark, sf)
     return watchlist.watch_pages(w, table(spark, sf, "pages")).select(
         "group_idx", "url_idx", "page_id", F.length("html").cast("long").alias("html_chars"))
+
+
+# --------------------------------------------------------------------------
+# Extraction
+
+from ..functions import cards as card_sources  # noqa: E402
+from ..functions.text import page_key as page_key_fn  # noqa: E402
+from ..operators import extract as X  # noqa: E402
+
+
+def _md_listings(spark, sf):
+    return X.extract_markdown_source(bindings.md_card_pages(spark, sf))
+
+
+def _b_listings(spark, sf):
+    return X.extract_html_source(bindings.html_card_pages_class(spark, sf), card_sources.SOURCE_B)
+
+
+def _c_listings(spark, sf):
+    return X.extract_html_source(bindings.html_card_pages_attr(spark, sf), card_sources.SOURCE_C)
+
+
+@query("page_strip")
+def q_page_strip(spark, sf):
+    clean = X.strip_elements("html")
+    return table(spark, sf, "pages").select(
+        "page_id", F.length(clean).cast("long").alias("clean_chars"), F.md5(clean).alias("clean_md5"))
+
+
+@query("newline_squeeze")
+def q_newline_squeeze(spark, sf):
+    sq = X.squeeze_newlines("text")
+    return table(spark, sf, "documents").select(
+        "doc_id", F.length(sq).cast("long").alias("n_chars"), F.md5(sq).alias("text_md5"))
+
+
+@query("page_key")
+def q_page_key(spark, sf):
+    return X.page_keys(table(spark, sf, "pages")).select("page_id", "page_key")
+
+
+@query("page_markdown")
+def q_page_markdown(spark, sf):
+    pages = X.spread_pages(table(spark, sf, "pages"))
+    md = pages.select("page_id", X.page_markdown("html").alias("md"))
+    return md.select(
+        "page_id",
+        F.regexp_extract("md", r"(?m)^# (.*)$", 1).alias("h1"),
+        (F.size(F.split("md", r"\]\(", -1)) - 1).cast("long").alias("n_links"))
+
+
+@query("page_export")
+def q_page_export(spark, sf):
+    return jobs.page_export(table(spark, sf, "pages")).select("page_id", "page_key", "clean_chars", "clean_md5")
+
+
+@query("md_cards")
+def q_md_cards(spark, sf):
+    return X.md_cards(bindings.md_card_pages(spark, sf)).select(
+        "link_slug", "title", F.concat(F.lit(X.SOURCE_A_BASE), "link_slug").alias("full_url"))
+
+
+@query("card_fields")
+def q_card_fields(spark, sf):
+    return _md_listings(spark, sf).select("link_slug", "salary", "company", "location")
+
+
+@query("card_lines")
+def q_card_lines(spark, sf):
+    return _md_listings(spark, sf).select("link_slug", "posted_age")
+
+
+@query("card_tags")
+def q_card_tags(spark, sf):
+    return _md_listings(spark, sf).select("link_slug", "tags")
+
+
+@query("html_cards_class")
+def q_html_cards_class(spark, sf):
+    return _b_listings(spark, sf).select("link_slug", "title", "company", "tags", "full_url")
+
+
+@query("html_cards_attr")
+def q_html_cards_attr(spark, sf):
+    return _c_listings(spark, sf).select("title", "company", "tags", "full_url")
+
+
+@query("link_normalize")
+def q_link_normalize(spark, sf):
+    return X.unify(_md_listings(spark, sf), _b_listings(spark, sf), _c_listings(spark, sf)).select(
+        "source", "link_slug", "full_url")
+
+
+@query("unify_listings")
+def q_unify_listings(spark, sf):
+    return X.unify(_md_listings(spark, sf), _b_listings(spark, sf), _c_listings(spark, sf)).select(
+        "source", "link_slug", "title", "company", "tags", "salary", "location", "posted_age", "full_url")
+
+
+@query("title_badge")
+def q_title_badge(spark, sf):
+    raw = F.upper(F.substring("text", 1, 30))
+    return table(spark, sf, "documents").select("doc_id", raw.alias("raw_title"),
+                                                X.clean_badge(raw).alias("title"))
+
+
+def _pages_some_failed(spark, sf):
+    """Pages as fetched, where every tenth fetch failed (no content)."""
+    p = table(spark, sf, "pages")
+    return p.select("page_id", "url", F.when(F.col("page_id") % 10 == 0, F.lit(None).cast("string"))
+                    .otherwise(F.col("html")).alias("html"))
+
+
+@query("extract_rejects")
+def q_extract_rejects(spark, sf):
+    rows = X.html_card_rows(_pages_some_failed(spark, sf), card_sources.SOURCE_C)
+    return X.extract_rejects(rows).select("page_id", "url", "kind", "error")
+
+
+@query("page_rejects")
+def q_page_rejects(spark, sf):
+    rows = X.html_card_rows(_pages_some_failed(spark, sf), card_sources.SOURCE_B)
+    return X.extract_rejects(rows).where(F.col("kind") == "page").select("page_id", "url", "error")

@@ -7,15 +7,19 @@ de-duplication inside the run, done as rounds of aggregations and anti joins.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from .filters import holds_url
 
+log = logging.getLogger(__name__)
+
 CANONICAL = ["title", "company", "tags", "status", "link"]
 CONTENT = ["title", "company", "tags"]
 
@@ -76,7 +80,7 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     both its URL and its content (such a row cannot have a kept predecessor),
     then drops the live rows sharing a URL or a content with them. Rounds
     repeat until nothing is live: exact, with no cap. Every round is cut
-    from the lineage by a reliable checkpoint. ``order`` must be a unique key.
+    from the lineage by a table written to the checkpoint folder. ``order`` must be a unique key.
 
     Skew: the per-key minima are partial aggregations, so a URL or a content
     shared by a third of all rows costs one row per map task; the keys chosen
@@ -92,21 +96,26 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
 
     # Twins (equal URL and content) keep only their first row: a later twin is
     # always dropped. Partial aggregation absorbs a hot twin group.
-    live = base.groupBy("_u", *cks).agg(F.min("_rk").alias("_rk")).checkpoint(eager=True)
+    t0 = time.time()
+    live = materialize(base.groupBy("_u", *cks).agg(F.min("_rk").alias("_rk")), "dedup-live")
+    n_live = live.count()
+    log.info("dedup_ordered: %d rows after twins collapsed, %.2fs", n_live, time.time() - t0)
     kept_parts = []
-    while True:
-        if live.isEmpty():
-            break
+    rounds = 0
+    while n_live > 0:
+        rounds += 1
+        t0 = time.time()
         mu = live.groupBy("_u").agg(F.min("_rk").alias("_rk"))
         mc = live.groupBy(*cks).agg(F.min("_rk").alias("_rk"))
-        sel = mu.join(mc, "_rk").checkpoint(eager=True)
-        n_sel = sel.count()
+        sel = mu.join(mc, "_rk")  # re-derived from this round's written table when used again
         kept_parts.append(sel.select("_rk"))
-        sel_u = sel.select("_u").distinct()
-        sel_c = sel.select(*cks).distinct()
-        if n_sel <= broadcast_rows:
+        sel_u = sel.select("_u")
+        sel_c = sel.select(*cks)
+        if n_live <= broadcast_rows:  # sel has at most n_live rows: a counted bound
             sel_u, sel_c = F.broadcast(sel_u), F.broadcast(sel_c)
-        live = live.join(sel_u, "_u", "left_anti").join(sel_c, cks, "left_anti").checkpoint(eager=True)
+        live = materialize(live.join(sel_u, "_u", "left_anti").join(sel_c, cks, "left_anti"), "dedup-live")
+        n_live = live.count()
+        log.info("dedup_ordered: round %d, %d rows still live, %.2fs", rounds, n_live, time.time() - t0)
 
     if not kept_parts:
         return cands.limit(0)

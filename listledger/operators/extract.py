@@ -60,12 +60,22 @@ def page_markdown(html) -> Column:
     return squeeze_newlines(_markdown_udf(strip_elements(html)))
 
 
+# Page tables the optimizer estimates below this size are spread over all
+# cores before the Python parsers (a small table read from one file would
+# otherwise parse in one task); larger ones already arrive in many splits and
+# are not shuffled.
+SPREAD_BELOW_BYTES = 1 << 30
+
+
 def spread_pages(pages: DataFrame) -> DataFrame:
-    """Give the Python parsers at least one partition per core (page tables
-    from few files otherwise parse in one task)."""
     spark = pages.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    return pages.repartition(want) if pages.rdd.getNumPartitions() < want else pages
+    try:
+        est = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no estimate: leave the partitioning alone
+        return pages
+    if est < SPREAD_BELOW_BYTES:
+        return pages.repartition(spark.sparkContext.defaultParallelism)
+    return pages
 
 
 # ---------------------------------------------------------------------------
@@ -144,29 +154,40 @@ CARD_SCHEMA = T.StructType([
     T.StructField("tag_list", T.ArrayType(T.StringType())),
     T.StructField("error", T.StringType()),
     T.StructField("kind", T.StringType()),   # 'card' or 'page' (a page that failed as a whole)
+    T.StructField("source", T.StringType()),
 ])
 
 
-def _card_rows(source: C.CardSource):
+def _card_rows(sources: dict):
     def run(batches):
         for pdf in batches:
             rows = []
-            for page_id, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
+            names = pdf["source"] if "source" in pdf else [None] * len(pdf)
+            for page_id, url, html, name in zip(pdf["page_id"], pdf["url"], pdf["html"], names):
                 try:
                     if html is None:
                         raise ValueError("page has no content")
-                    for pos, href, title, company, tags, err in C.extract_cards(html, source):
-                        rows.append((page_id, url, pos, href, title, company, tags, err, "card"))
+                    src = sources[name]
+                    for pos, href, title, company, tags, err in C.extract_cards(html, src):
+                        rows.append((page_id, url, pos, href, title, company, tags, err, "card", src.name))
                 except Exception as e:  # E16: a bad page gives no rows, the run goes on
-                    rows.append((page_id, url, None, None, None, None, None, f"{type(e).__name__}: {e}", "page"))
+                    rows.append((page_id, url, None, None, None, None, None, f"{type(e).__name__}: {e}", "page",
+                                 name))
             yield pd.DataFrame(rows, columns=[f.name for f in CARD_SCHEMA.fields])
     return run
 
 
-def html_card_rows(pages: DataFrame, source: C.CardSource) -> DataFrame:
-    """E8/E9 raw rows, rejects included (``error`` set)."""
-    p = spread_pages(pages.select(F.col("page_id").cast("long"), "url", "html"))
-    return p.mapInPandas(_card_rows(source), CARD_SCHEMA)
+def html_card_rows(pages: DataFrame, source: C.CardSource | dict) -> DataFrame:
+    """E8/E9 raw rows, rejects included (``error`` set). ``source`` is one
+    card source, or a dict name -> source picked per page by its ``source``
+    column (one pass over the pages for every HTML source)."""
+    if isinstance(source, C.CardSource):
+        sources = {None: source}
+        p = pages.select(F.col("page_id").cast("long"), "url", "html")
+    else:
+        sources = source
+        p = pages.select(F.col("page_id").cast("long"), "url", "html", "source")
+    return spread_pages(p).mapInPandas(_card_rows(sources), CARD_SCHEMA)
 
 
 def extract_rejects(rows: DataFrame) -> DataFrame:
@@ -179,29 +200,30 @@ def clean_badge(title) -> Column:
     return trim_ws(F.replace(col(title), F.lit(BADGE), F.lit("")))
 
 
-def html_card_listings(rows: DataFrame, source: C.CardSource) -> DataFrame:
+def html_card_listings(rows: DataFrame) -> DataFrame:
     """E10-E12 + F4 for sources B and C, on the good rows."""
     good = rows.where(F.col("error").isNull())
     href = F.col("href")
-    if source.name == "B":
-        # a card without a link is skipped; E11: every NEW removed, stripped
-        good = good.where(href.isNotNull() & (href != ""))
-        title = clean_badge("raw_title")
-        slug = F.substring_index(href, "/", -1)
-        full = F.concat(F.lit(SOURCE_B_BASE), href)
-    else:
-        title = F.col("raw_title")
-        slug = F.lit(None).cast("string")
-        full = F.when(href.isNull() | (href == ""), F.lit("Unknown")).otherwise(
-            F.concat(F.lit(SOURCE_C_BASE), F.substring_index(href, "?", 1)))
+    is_b = F.col("source") == "B"
+    no_href = href.isNull() | (href == "")
+    # a B card without a link is skipped; E11: B titles lose every NEW
+    good = good.where(~(is_b & no_href))
+    title = F.when(is_b, clean_badge("raw_title")).otherwise(F.col("raw_title"))
+    slug = F.when(is_b, F.substring_index(href, "/", -1))
+    full = F.when(is_b, F.concat(F.lit(SOURCE_B_BASE), href)).otherwise(
+        F.when(no_href, F.lit("Unknown")).otherwise(F.concat(F.lit(SOURCE_C_BASE), F.substring_index(href, "?", 1))))
     return good.select(
         "page_id", "url", "pos", title.alias("title"), "company", "tag_list",
-        F.array_join("tag_list", ", ").alias("tags"), slug.alias("link_slug"), full.alias("full_url"),
-        F.lit(source.name).alias("source"))
+        F.array_join("tag_list", ", ").alias("tags"), slug.alias("link_slug"), full.alias("full_url"), "source")
 
 
 def extract_html_source(pages: DataFrame, source: C.CardSource) -> DataFrame:
-    return html_card_listings(html_card_rows(pages, source), source)
+    return html_card_listings(html_card_rows(pages, source))
+
+
+def extract_html_sources(pages: DataFrame, sources: dict) -> DataFrame:
+    """Every HTML card source in one pass; ``pages`` carries ``source``."""
+    return html_card_listings(html_card_rows(pages, sources))
 
 
 def unify(*parts: DataFrame) -> DataFrame:

@@ -35,22 +35,20 @@ def dense_positions(df: DataFrame, by: Sequence[str], order: Sequence, out: str
     A window partitioned by ``by`` would put a table holding a third of all rows
     into one task. Here the rows are range-partitioned on ``by + order`` (a hot
     group spreads over many partitions), sorted inside each partition, frozen
-    with a reliable checkpoint, and each row's number is its index inside its
+    in a table written to the checkpoint folder, and each row's number is its index inside its
     partition plus the count of its group in earlier partitions (a table with
     one row per (partition, group), at most partitions + groups rows).
     """
-    from ..session import checkpoint_dir
+    from ..session import materialize
 
-    checkpoint_dir(df.sparkSession)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b) for b in by] + [_c(o) for o in order]
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "positions")
     stats = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))

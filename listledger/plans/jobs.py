@@ -11,6 +11,7 @@ from ..operators import dedup, ledger as L
 from ..operators.filters import drop_polish, keep_recent
 from ..operators.ordering import top_n_per_key
 from ..operators.report import run_summary
+from ..session import materialize
 
 RUN_ORDER = ("group_title", "url_idx", "pos")
 
@@ -35,7 +36,9 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
     if recent_days is not None:
         feed = keep_recent(feed, days_limit=recent_days)
     lim = max_limit if limit is None else limit
-    cands = top_n_per_key(feed, ["group_title", "url_idx"], ["pos"], lim, max_limit)
+    # the candidates feed the summary, the anti joins and D5's final semi join:
+    # extract once, then read the checkpoint (also cuts the lineage)
+    cands = materialize(top_n_per_key(feed, ["group_title", "url_idx"], ["pos"], lim, max_limit), "candidates")
 
     urls = dedup.known_urls(ledger)
     recs = dedup.known_records(ledger)
@@ -114,3 +117,41 @@ def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
     if out_path:
         out.write.mode("overwrite").parquet(out_path)
     return out
+
+
+def extract_listings(watch_pages: DataFrame) -> DataFrame:
+    """S4 output -> unified listings with rank columns: R1 routes each URL to
+    its extractor (one filtered branch per source, then a union), E* extract.
+
+    ``watch_pages``: ``group_idx, group_title, url_idx, url, page_id, html``."""
+    from ..functions import cards as C
+    from ..operators import extract as X
+    from ..operators.routing import limit_of, source_of
+
+    routed = watch_pages.withColumn("source", source_of("url"))
+    keys = routed.select("page_id", "group_idx", "group_title", "url_idx", "source")
+    pages = routed.select("page_id", "url", "html", "source")
+    a = X.extract_source_a(pages.where(F.col("source") == "A").drop("source"))
+    bc = X.extract_html_sources(pages.where(F.col("source") != "A"), {"B": C.SOURCE_B, "C": C.SOURCE_C})
+    listings = X.unify(a.drop("source"), bc.drop("source")).drop("source")
+    return (listings.join(keys, "page_id")
+            .withColumn("row_limit", limit_of("source")))
+
+
+def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledger: bool = True) -> RunResult:
+    """J1 end to end: discards (L2, L3), known URLs and records from every
+    table (D1, D2), then pages -> listings (S4, R1, E*) -> F1 -> T1 -> D3-D5
+    -> prepend (L7, L8) -> re-bucket (L5) -> summary (G1)."""
+    from ..operators.routing import group_titles
+    from ..sources.watchlist import watch_pages as scan_pages
+
+    # Known URLs and records come from every table, Trash included, so moving
+    # rows to Trash first does not change them: only the rewrite needs it.
+    after_discards = L.process_discards(ledger) if rewrite_ledger else ledger
+    titles = group_titles(watch)
+    w = watch.drop("group_title").join(titles.withColumnRenamed("sheet_title", "group_title"), "group_idx")
+    listings = extract_listings(scan_pages(w, pages))
+    from ..operators.routing import DEFAULT_LIMIT, SOURCE_C_LIMIT
+    res = run_listings(listings, after_discards, w.select("group_title"), limit=F.col("row_limit"),
+                       max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)
+    return res

@@ -503,3 +503,36 @@ from pages where page_id % 10 = 0"""
 
 ORACLES["page_rejects"] = """select page_id, url, 'ValueError: page has no content' as error
 from pages where page_id % 10 = 0"""
+
+_BRAND = "lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g'))"
+_PAGE_POS = "row_number() over (partition by p_brand, p_partkey // 256 order by p_partkey)"
+
+ORACLES["full_run_pages"] = "with recursive " + SHEETS + f""",
+all_rows as (
+  select {_BRAND} as group_title, 0 * 1000000 + p_partkey // 256 as url_idx, {_PAGE_POS} as pos, 50 as lim,
+    a.title, a.company, a.tags, a.full_url
+  from ({_A_ROWS.replace("select 'A' as source,", "select p_partkey, 'A' as source,")}) a join part using (p_partkey)
+  union all
+  select {_BRAND}, 1 * 1000000 + p_partkey // 256, {_PAGE_POS}, 50, b.title, b.company, b.tags, b.full_url
+  from ({_B_ROWS.replace("select 'B' as source,", "select p_partkey, 'B' as source,")}) b join part using (p_partkey)
+  union all
+  select {_BRAND}, 2 * 1000000 + p_partkey // 256, {_PAGE_POS}, 30, c.title, c.company, c.tags, c.full_url
+  from ({_C_ROWS.replace("select 'C' as source,", "select p_partkey, 'C' as source,")}) c join part using (p_partkey)),
+feed as (select * from all_rows where full_url is not null and not {is_polish('title')}),
+cands as (select * exclude (rn) from (
+  select *, row_number() over (partition by group_title, url_idx order by pos) as rn from feed) where rn <= lim),
+flag as (select *, sheet <> 'Trash' and coalesce({norm_status('status')} in ('DISCARD', 'OUT'), false) as mv
+  from sheets),
+lcells as (select sheet, unnest([title, company, tags, status, link]) as cell from sheets),
+kurls as ({known_urls_from('lcells')}),
+krecs as (select {trim_ws('title')} as title, {trim_ws('company')} as company, {trim_ws('tags')} as tags from sheets),
+fresh as (select * from cands c where not exists (select 1 from kurls k where k.url = c.full_url)
+  and not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)),
+""" + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + f""",
+grp as (select distinct {_BRAND} as group_title from part)
+select g.group_title,
+  cast((select count(*) from kept k where k.group_title = g.group_title) as bigint) as new_offers,
+  cast((select count(*) from cands c where c.group_title = g.group_title) as bigint) as total_candidates,
+  cast((select count(*) from cands c where c.group_title = g.group_title)
+    - (select count(*) from kept k where k.group_title = g.group_title) as bigint) as skipped
+from grp g"""

@@ -419,3 +419,9 @@ def q_extract_rejects(spark, sf):
 def q_page_rejects(spark, sf):
     rows = X.html_card_rows(_pages_some_failed(spark, sf), card_sources.SOURCE_B)
     return X.extract_rejects(rows).where(F.col("kind") == "page").select("page_id", "url", "error")
+
+
+@query("full_run_pages")
+def q_full_run_pages(spark, sf):
+    watch, pages = bindings.card_watch(spark, sf)
+    return jobs.full_run(watch, pages, bindings.sheets(spark, sf), rewrite_ledger=False).summary

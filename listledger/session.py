@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -63,3 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage of ``df``: write it once as parquet below the shared
+    checkpoint folder and read it back.
+
+    One computation (``Dataset.checkpoint`` computes a plan twice unless it is
+    cached first), columnar re-reads, and the files outlive a lost executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

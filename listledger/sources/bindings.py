@@ -203,6 +203,36 @@ def md_card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _card_pages(cards, "https://justjoin.it/job-offers/", "md")
 
 
+def html_card_pages_md(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B_md in HTML: source-A cards as a page would serve them, so that E1-E3
+    turn them into the Markdown blocks E4-E7 read (the whole card is a link)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+
+    def div(x):
+        return F.concat(F.lit("<div>"), x, F.lit("</div>"))
+
+    card = F.concat(
+        F.lit('<a class="offer-card" href="/job-offer/'), F.lower(F.regexp_replace("p_name", " ", "-")), F.lit("-"),
+        k.cast("string"), F.lit('"><h3>'), F.col("p_name"), F.lit("</h3>"),
+        div(F.concat(F.col("p_size").cast("string"), F.lit(" EUR/h"))), F.lit("<hr>"),
+        div(F.col("p_brand")), div(F.col("p_type")), div(F.concat((k % 31).cast("string"), F.lit("d left"))),
+        div(F.lit("1-click Apply")), div(F.lit("Spark")), div(F.col("p_type")), div(F.lit("EUR")),
+        F.when(k % 2 == 0, div(F.lit("Spark"))).otherwise(F.lit("")),
+        F.when(k % 5 == 0, div(F.lit("New"))).otherwise(F.lit("")),
+        div(F.lit("A line far too long to be taken for a tag")),
+        div(F.concat(F.lit("t"), (k % 7).cast("string"))), div(F.concat(F.lit("u"), (k % 3).cast("string"))),
+        F.lit("</a>\n"),
+    )
+    cards = p.select("p_brand", "p_partkey", card.alias("card"))
+    return _card_pages(
+        cards, "https://justjoin.it/job-offers/", "html",
+        wrap=lambda b: F.concat(F.lit('<html><head><title>Offers</title><script>var t="</p>";</script>'
+                                      '<style>p{margin:0}</style></head><body><div class="list">'), b,
+                                F.lit("</div></body></html>")),
+    )
+
+
 def _tag_list(n_expr):
     k = F.col("p_partkey")
     return F.transform(F.sequence(F.lit(0), n_expr - 1), lambda i: F.concat(F.lit("T"), ((k + i) % 11).cast("string")))
@@ -255,3 +285,30 @@ def html_card_pages_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
         wrap=lambda b: F.concat(F.lit('<html><body><p>top<div id="main-offers-listing">'), b,
                                 F.lit("</div></body></html>")),
     )
+
+
+def card_watch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Watchlist and pages for a full run over rendered cards: one group per
+    brand; its URLs are the brand's Markdown pages (A), then its class-card
+    pages (B), then its attribute-card pages (C), each in page order.
+
+    Returns ``(watch, pages)``."""
+    parts = []
+    for rank, (pages, col_name) in enumerate([
+            (html_card_pages_md(spark, sf_dir), "html"),
+            (html_card_pages_class(spark, sf_dir), "html"),
+            (html_card_pages_attr(spark, sf_dir), "html")]):
+        parts.append(pages.select(
+            (F.col("page_id") * 4 + rank).alias("page_id"), "url", F.col(col_name).alias("html"),
+            F.lit(rank).alias("_src")))
+    # stored once, as a fetched page table would be
+    from ..session import materialize
+
+    pages = materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]), "card-pages")
+    brand = F.regexp_extract("url", r"/([a-z0-9-]+)\?page=", 1)
+    page_no = F.regexp_extract("url", r"\?page=([0-9]+)", 1).cast("long")
+    titles = pages.select(brand.alias("group_title")).distinct().withColumn(
+        "group_idx", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("int"))
+    watch = pages.select(brand.alias("group_title"), (F.col("_src") * 1_000_000 + page_no).alias("url_idx"),
+                         "url").join(F.broadcast(titles), "group_title")
+    return watch.select("group_idx", "group_title", "url_idx", "url"), pages.drop("_src")

@@ -310,7 +310,7 @@ select g.sheet,
 from grp g"""
 
 ORACLES["ledger_sheets"] = f"""with {SHEETS},
-wanted as (select r_name as sheet from region union select 'Trash'),
+wanted as (select regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) as sheet from pages union select 'Trash'),
 present as (select distinct sheet from sheets)
 select coalesce(w.sheet, p.sheet) as sheet, p.sheet is null as created
 from wanted w full join present p on w.sheet = p.sheet"""

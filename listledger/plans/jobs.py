@@ -25,20 +25,23 @@ class RunResult:
 
 
 def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
-                 limit=None, max_limit: int = 50, recent_days: int | None = None,
+                 limit=None, max_limit: int | None = 50, recent_days: int | None = None,
                  rewrite_ledger: bool = True) -> RunResult:
     """J1 over extracted listings (unified schema, rank columns
     ``group_title, url_idx, pos``) and the ledger as it is after discards.
 
-    ``limit``: column or int of the per-URL limit (R2); ``recent_days``: turn on
-    the recency filter F2 (off in the reference's run)."""
+    ``limit``: column or int of the per-URL limit (R2), ``max_limit`` its
+    largest value (None: no limit); ``recent_days``: turn on the recency
+    filter F2 (off in the reference's run)."""
     feed = drop_polish(listings)
     if recent_days is not None:
         feed = keep_recent(feed, days_limit=recent_days)
-    lim = max_limit if limit is None else limit
+    if max_limit is not None:
+        lim = max_limit if limit is None else limit
+        feed = top_n_per_key(feed, ["group_title", "url_idx"], ["pos"], lim, max_limit)
     # the candidates feed the summary, the anti joins and D5's final semi join:
-    # extract once, then read the checkpoint (also cuts the lineage)
-    cands = materialize(top_n_per_key(feed, ["group_title", "url_idx"], ["pos"], lim, max_limit), "candidates")
+    # extract once, then read the written table (also cuts the lineage)
+    cands = materialize(feed, "candidates")
 
     urls = dedup.known_urls(ledger)
     recs = dedup.known_records(ledger)

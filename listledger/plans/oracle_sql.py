@@ -536,3 +536,18 @@ select g.group_title,
   cast((select count(*) from cands c where c.group_title = g.group_title)
     - (select count(*) from kept k where k.group_title = g.group_title) as bigint) as skipped
 from grp g"""
+
+ORACLES["incremental_run"] = "with recursive " + OFFERS.replace(
+    "else substring(text, 1, 60) end as title", "else substring(text, 1, 60) end as title0") + f""",
+o2 as (select * exclude (title0), {trim_ws('title0')} as title from offers),
+marked as (select *, {is_polish('title')} as is_polish from o2),
+ledger as (select group_title as sheet, pos, title, company, tags, 'NEW' as status, full_url as link
+  from marked where pos % 11 = 0 and not is_polish),
+cands as (select * from marked where pos % 11 <> 0 and not is_polish),
+lcells as (select sheet, unnest([title, company, tags, status, link]) as cell from ledger),
+kurls as ({known_urls_from('lcells')}),
+krecs as (select {trim_ws('title')} as title, {trim_ws('company')} as company, {trim_ws('tags')} as tags from ledger),
+fresh as (select * from cands c where not exists (select 1 from kurls k where k.url = c.full_url)
+  and not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)),
+""" + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + """
+select group_title, pos, full_url, title from kept"""

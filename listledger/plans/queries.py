@@ -425,3 +425,28 @@ def q_page_rejects(spark, sf):
 def q_full_run_pages(spark, sf):
     watch, pages = bindings.card_watch(spark, sf)
     return jobs.full_run(watch, pages, bindings.sheets(spark, sf), rewrite_ledger=False).summary
+
+
+# --------------------------------------------------------------------------
+# Repeated runs
+
+
+@query("incremental_run")
+def q_incremental_run(spark, sf):
+    """B_offers feed (after F1, titles stripped) arriving one group per batch
+    against the known part as ledger version 0; the new rows of all batches."""
+    from ..functions.text import trim_ws
+    from ..streaming.incremental import run_incremental, write_batches
+
+    root = scratch_path(spark, "incremental")
+    offers = bindings.offers(spark, sf).withColumn("title", trim_ws("title")).withColumn(
+        "url_idx", F.col("url_idx").cast("long"))
+    known = filters.drop_polish(offers.where(F.col("pos") % 11 == 0))
+    ledger0 = known.select(F.col("group_title").alias("sheet"), "pos", "title", "company", "tags",
+                           F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
+    ledger_store = store.LedgerStore(spark, f"{root}/ledger")
+    ledger_store.write(ledger0, version=0)
+    feed = filters.drop_polish(offers.where(F.col("pos") % 11 != 0)).withColumn("_batch", F.col("group_title"))
+    write_batches(feed, "_batch", f"{root}/in")
+    run_incremental(spark, f"{root}/in", ledger_store, f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("group_title", "pos", "full_url", "title")

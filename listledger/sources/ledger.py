@@ -95,6 +95,12 @@ class LedgerStore:
             return empty_ledger(self.spark)
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/v={v}").select(*LEDGER_COLUMNS)
 
+    def read(self, version: int) -> DataFrame:
+        """A committed version (the one a replayed batch must see again)."""
+        if not self.has_version(version):
+            raise ValueError(f"ledger version {version} is not committed under {self.root}")
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/v={version}").select(*LEDGER_COLUMNS)
+
     def has_version(self, version: int) -> bool:
         return version in self._versions()
 

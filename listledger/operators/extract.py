@@ -116,7 +116,8 @@ def md_card_fields(cards: DataFrame) -> DataFrame:
         "*", salary.alias("salary"), company.alias("company"), location.alias("location"),
         remaining.alias("_rest"))
     # Classify the remaining lines in order; the last age line wins
-    out = out.withColumn("posted_age", F.coalesce(F.element_at(F.filter("_rest", is_age), -1), F.lit(A_DEFAULT)))
+    out = out.withColumn("posted_age", F.coalesce(F.try_element_at(F.filter("_rest", is_age), F.lit(-1)),
+                                                  F.lit(A_DEFAULT)))
     out = out.withColumn("_tags", F.filter(
         "_rest", lambda x: ~is_age(x) & ~x.contains(A_SKIP_LINE) & (F.length(x) < A_MAX_TAG_CHARS)))
     # Drop tags equal to location, age, company and fixed words (equal

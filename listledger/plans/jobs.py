@@ -122,6 +122,14 @@ def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
     return out
 
 
+def extract_listings_with(registry, watch_pages: DataFrame) -> DataFrame:
+    """Same as ``extract_listings`` with any extractor registry."""
+    routed = watch_pages.withColumn("source", registry.source_of(F.col("url")))
+    keys = routed.select("page_id", "group_idx", "group_title", "url_idx", "source")
+    return (registry.extract(routed).join(keys, "page_id")
+            .withColumn("row_limit", registry.limit_of(F.col("source"))))
+
+
 def extract_listings(watch_pages: DataFrame) -> DataFrame:
     """S4 output -> unified listings with rank columns: R1 routes each URL to
     its extractor (one filtered branch per source, then a union), E* extract.

@@ -551,3 +551,7 @@ fresh as (select * from cands c where not exists (select 1 from kurls k where k.
   and not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)),
 """ + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + """
 select group_title, pos, full_url, title from kept"""
+
+ORACLES["ledger_rewrite"] = ORACLES["organize_only"]
+
+ORACLES["run_summary"] = ORACLES["full_run_summary"]

@@ -450,3 +450,18 @@ def q_incremental_run(spark, sf):
     write_batches(feed, "_batch", f"{root}/in")
     run_incremental(spark, f"{root}/in", ledger_store, f"{root}/out")
     return spark.read.parquet(f"{root}/out").select("group_title", "pos", "full_url", "title")
+
+
+@query("ledger_rewrite")
+def q_ledger_rewrite(spark, sf):
+    """The organized ledger written as a new version and read back."""
+    s = store.LedgerStore(spark, scratch_path(spark, "ledger-store"))
+    s.write(bindings.sheets(spark, sf), version=0)
+    s.write(_organized(spark, sf))
+    return s.current().select("sheet", "pos", "title", "company", "status", "link")
+
+
+@query("run_summary")
+def q_run_summary(spark, sf):
+    """G1 on its own: the per-group counts of a run over B_offers."""
+    return jobs.offers_run(spark, sf).summary

@@ -49,3 +49,29 @@ def test_rejects(spark):
     rej = X.extract_rejects(rows).collect()
     assert [(r.page_id, r.kind) for r in rej] == [(1, "page")]
     assert X.extract_html_source(df, C.SOURCE_C).count() == 0
+
+
+def test_registry_routes_like_the_reference(spark):
+    from pyspark.sql import functions as F
+
+    from listledger.plans.registry import default_registry
+
+    r = default_registry()
+    df = spark.createDataFrame([("https://nofluffjobs.com/pl/x",), ("https://theprotocol.it/filtry/a",),
+                                ("https://justjoin.it/x",), ("https://other.example/",)], "url string")
+    got = [(x.s, x.l) for x in df.select(r.source_of(F.col("url")).alias("s")).select(
+        "s", r.limit_of(F.col("s")).alias("l")).collect()]
+    assert got == [("B", 50), ("C", 30), ("A", 50), ("A", 50)]
+    assert r.max_limit() == 50
+
+
+def test_card_udtf_in_sql(spark):
+    from listledger.plans.registry import register_card_udtf
+
+    register_card_udtf(spark)
+    spark.createDataFrame([(1, '<div id="main-offers-listing"><a data-test="list-item-offer" href="/o/1">'
+                               '<h2 id="offer-title">T</h2></a></div>')], "page_id long, html string") \
+        .createOrReplaceTempView("udtf_pages")
+    got = spark.sql("SELECT p.page_id, c.title, c.href FROM udtf_pages p, "
+                    "LATERAL extract_cards(p.html, 'C') c").collect()
+    assert [tuple(x) for x in got] == [(1, "T", "/o/1")]

@@ -70,7 +70,8 @@ SPREAD_BELOW_BYTES = 1 << 30
 def spread_pages(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     try:
-        est = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        est = int(size if isinstance(size, int) else size.toString())
     except Exception:  # no estimate: leave the partitioning alone
         return pages
     if est < SPREAD_BELOW_BYTES:

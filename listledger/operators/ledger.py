@@ -199,3 +199,56 @@ def migrate_rows(raw: DataFrame) -> DataFrame:
         get("Status").alias("status"),
         F.when(clean_link == "", get("Full URL")).otherwise(clean_link).alias("link"),
     )
+
+
+def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: DataFrame | None = None) -> DataFrame:
+    """L2 + L3 + L8 + L5 fused into one range-partitioned numbering pass.
+
+    The steps compose into one sort key per table, because re-bucketing is a
+    stable sort on the status alone: rows moved to Trash follow Trash's own
+    rows in (source table, position) order; new rows go before the old rows
+    of their bucket (they are NEW, so "other"); old rows keep their order.
+    Tables that are watched, lost rows, got new rows, and Trash, are
+    renumbered 1..n in (bucket, new first, rank, old order); every other
+    table is left exactly as it was.
+
+    ``watched``: one column ``sheet``; ``new_rows``: from ``to_ledger_rows``
+    (rank columns ``_o*``)."""
+    spark = ledger.sparkSession
+    move = (F.col("sheet") != TRASH) & is_discarded("status")
+    old = ledger.select(
+        F.when(move, F.lit(TRASH)).otherwise(F.col("sheet")).alias("sheet"),
+        "title", "company", "tags", "status", "link",
+        F.lit(1).alias("_new"),
+        F.struct(move.cast("int").alias("moved"), F.when(move, F.col("sheet")).otherwise(F.lit("")).alias("src"),
+                 F.col("pos").alias("pos")).alias("_old"),
+        F.col("pos").alias("_pos0"),
+    )
+    ocols = sorted([c for c in new_rows.columns if c.startswith("_o")]) if new_rows is not None else []
+    keys = [f"_k{i}" for i in range(len(ocols))]
+
+    def key_type(i):
+        return "string" if i == 0 else "long"
+
+    old = old.select("*", *[F.lit(None).cast(key_type(i)).alias(k) for i, k in enumerate(keys)])
+    targets = [ledger.where(move).select("sheet"), spark.range(1).select(F.lit(TRASH).alias("sheet"))]
+    if watched is not None:
+        targets.append(watched.select("sheet"))
+    both = old
+    if new_rows is not None:
+        new = new_rows.select(
+            "sheet", "title", "company", "tags", "status", "link", F.lit(0).alias("_new"),
+            F.lit(None).cast("struct<moved:int,src:string,pos:bigint>").alias("_old"),
+            F.lit(None).cast("long").alias("_pos0"),
+            *[F.col(c).cast(key_type(i)).alias(keys[i]) for i, c in enumerate(ocols)])
+        both = old.unionByName(new)
+        targets.append(new_rows.select("sheet"))
+    target = targets[0]
+    for t in targets[1:]:
+        target = target.unionByName(t)
+    target = target.distinct()
+
+    inside = both.join(target, "sheet", "left_semi").withColumn("_bucket", status_bucket("status"))
+    outside = both.join(target, "sheet", "left_anti").withColumn("pos", F.col("_pos0"))
+    done = dense_positions(inside, by=["sheet"], order=["_bucket", "_new", *keys, "_old"], out="pos")
+    return done.select(*LEDGER_COLUMNS).unionByName(outside.select(*LEDGER_COLUMNS))

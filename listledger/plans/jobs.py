@@ -28,7 +28,8 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
                  limit=None, max_limit: int | None = 50, recent_days: int | None = None,
                  rewrite_ledger: bool = True) -> RunResult:
     """J1 over extracted listings (unified schema, rank columns
-    ``group_title, url_idx, pos``) and the ledger as it is after discards.
+    ``group_title, url_idx, pos``) and the ledger as it is before the run
+    (discards are applied in the rewrite).
 
     ``limit``: column or int of the per-URL limit (R2), ``max_limit`` its
     largest value (None: no limit); ``recent_days``: turn on the recency
@@ -51,8 +52,11 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
     summary = run_summary(groups, cands, new)
     out_ledger = ledger
     if rewrite_ledger:
+        # discards (L2, L3), new rows on top (L7, L8) and re-bucketing
+        # of every watched table, in one numbering pass
         rows = L.to_ledger_rows(new, sheet_col="group_title", order=RUN_ORDER)
-        out_ledger = L.status_order(L.prepend(ledger, rows))
+        watched = groups.select(F.col("group_title").alias("sheet"))
+        out_ledger = L.reorganize(ledger, watched, rows)
     return RunResult(cands, new, summary, out_ledger)
 
 
@@ -95,15 +99,7 @@ def prepend_counts(ledger: DataFrame, new: DataFrame, summary: DataFrame) -> Dat
 def organize_only(ledger: DataFrame, watch: DataFrame) -> DataFrame:
     """Discards to Trash (L2, L3), then re-bucket (L5) the watched tables,
     the tables that lost rows, and Trash. No extraction."""
-    kept, moved = L.split_discards(ledger)
-    after = L.append_to_trash(kept, moved)
-    targets = (
-        watch.select(F.col("group_title").alias("sheet"))
-        .unionByName(moved.select("sheet"))
-        .unionByName(ledger.sparkSession.range(1).select(F.lit(L.TRASH).alias("sheet")))
-        .distinct()
-    )
-    return L.status_order(after, targets)
+    return L.reorganize(ledger, watch.select(F.col("group_title").alias("sheet")))
 
 
 def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
@@ -157,12 +153,11 @@ def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledg
     from ..sources.watchlist import watch_pages as scan_pages
 
     # Known URLs and records come from every table, Trash included, so moving
-    # rows to Trash first does not change them: only the rewrite needs it.
-    after_discards = L.process_discards(ledger) if rewrite_ledger else ledger
+    # rows to Trash first does not change them; the rewrite does the moves.
     titles = group_titles(watch)
     w = watch.drop("group_title").join(titles.withColumnRenamed("sheet_title", "group_title"), "group_idx")
     listings = extract_listings(scan_pages(w, pages))
     from ..operators.routing import DEFAULT_LIMIT, SOURCE_C_LIMIT
-    res = run_listings(listings, after_discards, w.select("group_title"), limit=F.col("row_limit"),
+    res = run_listings(listings, ledger, w.select("group_title"), limit=F.col("row_limit"),
                        max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)
     return res

@@ -507,7 +507,7 @@ from pages where page_id % 10 = 0"""
 _BRAND = "lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g'))"
 _PAGE_POS = "row_number() over (partition by p_brand, p_partkey // 256 order by p_partkey)"
 
-ORACLES["full_run_pages"] = "with recursive " + SHEETS + f""",
+_PAGES_RUN = "with recursive " + SHEETS + f""",
 all_rows as (
   select {_BRAND} as group_title, 0 * 1000000 + p_partkey // 256 as url_idx, {_PAGE_POS} as pos, 50 as lim,
     a.title, a.company, a.tags, a.full_url
@@ -530,7 +530,8 @@ fresh as (select * from cands c where not exists (select 1 from kurls k where k.
   and not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)),
 """ + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + f""",
 grp as (select distinct {_BRAND} as group_title from part)
-select g.group_title,
+"""
+ORACLES["full_run_pages"] = _PAGES_RUN + """select g.group_title,
   cast((select count(*) from kept k where k.group_title = g.group_title) as bigint) as new_offers,
   cast((select count(*) from cands c where c.group_title = g.group_title) as bigint) as total_candidates,
   cast((select count(*) from cands c where c.group_title = g.group_title)
@@ -555,3 +556,21 @@ select group_title, pos, full_url, title from kept"""
 ORACLES["ledger_rewrite"] = ORACLES["organize_only"]
 
 ORACLES["run_summary"] = ORACLES["full_run_summary"]
+
+ORACLES["full_run_ledger"] = _PAGES_RUN + f""",
+old_rows as (
+  select case when mv then 'Trash' else sheet end as sheet, pos as pos0, title, company, tags, status, link,
+    1 as is_new_flag, null::varchar as g, null::bigint as u, null::bigint as p,
+    case when mv then 1 else 0 end as moved, case when mv then sheet else '' end as src
+  from flag),
+new_rows as (
+  select group_title as sheet, null::bigint as pos0, title, company, tags, 'NEW' as status, full_url as link,
+    0 as is_new_flag, group_title as g, url_idx as u, pos as p, null::int as moved, null::varchar as src
+  from kept),
+both_ as (select * from old_rows union all select * from new_rows),
+targets as (select group_title as sheet from grp union select sheet from flag where mv union select 'Trash')
+select sheet, row_number() over (partition by sheet order by {bucket('status')}, is_new_flag, g, u, p, moved, src, pos0)
+  as pos, title, company, status, link
+from both_ where sheet in (select sheet from targets)
+union all
+select sheet, pos0 as pos, title, company, status, link from both_ where sheet not in (select sheet from targets)"""

@@ -465,3 +465,12 @@ def q_ledger_rewrite(spark, sf):
 def q_run_summary(spark, sf):
     """G1 on its own: the per-group counts of a run over B_offers."""
     return jobs.offers_run(spark, sf).summary
+
+
+@query("full_run_ledger")
+def q_full_run_ledger(spark, sf):
+    """J1's ledger after the run: discards moved, new rows on top, every
+    watched table, the tables that lost rows and Trash re-bucketed."""
+    watch, pages = bindings.card_watch(spark, sf)
+    return jobs.full_run(watch, pages, bindings.sheets(spark, sf)).ledger.select(
+        "sheet", "pos", "title", "company", "status", "link")

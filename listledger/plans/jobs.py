@@ -156,7 +156,11 @@ def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledg
     # rows to Trash first does not change them; the rewrite does the moves.
     titles = group_titles(watch)
     w = watch.drop("group_title").join(titles.withColumnRenamed("sheet_title", "group_title"), "group_idx")
-    listings = extract_listings(scan_pages(w, pages))
+    from ..operators.extract import spread_pages
+
+    # decide the spreading on the page table itself: the optimizer's size
+    # estimate of a join is no guide
+    listings = extract_listings(scan_pages(w, spread_pages(pages.select("page_id", "url", "html"))))
     from ..operators.routing import DEFAULT_LIMIT, SOURCE_C_LIMIT
     res = run_listings(listings, ledger, w.select("group_title"), limit=F.col("row_limit"),
                        max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)

@@ -70,8 +70,35 @@ def drop_known_content(cands: DataFrame, records: DataFrame) -> DataFrame:
     return cands.join(keys, CONTENT, "left_anti")
 
 
+def _finish_in_order(live: DataFrame, cks: list[str]) -> DataFrame:
+    """The greedy rule, row after row, on a live set whose size was counted
+    and found small. No live row shares a key with a kept one, so the rule on
+    the live rows alone decides exactly what the rounds would."""
+    rk_type = live.schema["_rk"].dataType
+    names = [f.name for f in rk_type.fields]
+    flat = live.select(*[F.col("_rk")[n].alias(f"_r{i}") for i, n in enumerate(names)], "_u", *cks)
+    rcols = [f"_r{i}" for i in range(len(names))]
+    out_schema = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(rcols, rk_type.fields))
+
+    def run(pdf):
+        pdf = pdf.sort_values(rcols, na_position="first", kind="stable")
+        seen_u, seen_c, keep = set(), set(), []
+        for u, c in zip(pdf["_u"], zip(*[pdf[k] for k in cks])):
+            ok = u not in seen_u and c not in seen_c
+            keep.append(ok)
+            if ok:
+                seen_u.add(u)
+                seen_c.add(c)
+        return pdf.loc[keep, rcols]
+
+    kept = flat.groupBy(F.lit(0).alias("_all")).applyInPandas(run, out_schema)
+    return kept.select(F.struct(*[F.col(c).cast(f.dataType).alias(f.name)
+                                  for c, f in zip(rcols, rk_type.fields)]).alias("_rk"))
+
+
 def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_url",
-                  content: Sequence[str] = tuple(CONTENT), broadcast_rows: int = 1_000_000) -> DataFrame:
+                  content: Sequence[str] = tuple(CONTENT), broadcast_rows: int = 1_000_000,
+                  finish_rows: int = 50_000) -> DataFrame:
     """In ``order``, keep a row iff no earlier *kept* row has its URL or
     its content. Returns the kept rows of ``cands`` (all columns).
 
@@ -82,6 +109,12 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     repeat until nothing is live: exact, with no cap. Every round is cut
     from the lineage by a table written to the checkpoint folder. ``order`` must be a unique key.
 
+    Once the live rows are counted at or below ``finish_rows`` (a fixed bound,
+    like a broadcast threshold), the rest is decided in rank order in one
+    task: exact, since no live row shares a key with a kept one, and it ends
+    long chains (1~2 by URL, 2~3 by content, ...) that would need a round per
+    link. ``finish_rows=0`` runs rounds to the end.
+
     Skew: the per-key minima are partial aggregations, so a URL or a content
     shared by a third of all rows costs one row per map task; the keys chosen
     in a round are broadcast only when their counted size is below
@@ -103,6 +136,11 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     kept_parts = []
     rounds = 0
     while n_live > 0:
+        if n_live <= finish_rows:
+            # a counted, bounded tail: decide it in one task instead of more rounds
+            kept_parts.append(_finish_in_order(live, cks))
+            log.info("dedup_ordered: last %d rows decided in order", n_live)
+            break
         rounds += 1
         t0 = time.time()
         mu = live.groupBy("_u").agg(F.min("_rk").alias("_rk"))

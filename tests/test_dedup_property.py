@@ -31,8 +31,23 @@ def test_random_inputs(spark):
     df = spark.createDataFrame([(rk, f"{case}:{u}", f"{case}:{c}") for case, rk, u, c in all_rows],
                                "rk long, full_url string, title string")
     df = df.selectExpr("rk", "full_url", "title", "'' as company", "'' as tags")
-    got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"]).collect())
     want = sorted(rk for rows in cases for rk in sequential(rows))
-    assert got == want
+    # rounds to the end, rounds then an ordered tail, and the ordered tail alone
+    for finish in (0, 40, 10_000):
+        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"], finish_rows=finish).collect())
+        assert got == want, finish
     naive = sorted(r.rk for r in dedup.dedup_ordered_naive(df, ["rk"]).collect())
     assert naive != want
+
+
+def test_multi_column_rank_tail(spark):
+    rows = [("b", 1, 5, "u1", "c1"), ("a", 2, 1, "u1", "c2"), ("a", 1, 9, "u2", "c1"), (None, 3, 0, "u3", "c3"),
+            ("a", 1, 9 + 1, "u2", "c4")]
+    df = spark.createDataFrame(rows, "g string, i int, p long, full_url string, title string").selectExpr(
+        "*", "'' as company", "'' as tags")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2]))
+    want = sorted(sequential([(k, r[3], r[4]) for k, r in enumerate(order)]))
+    want_rows = sorted((order[k][0] or "", order[k][2]) for k in want)
+    for finish in (0, 100):
+        got = sorted((r.g or "", r.p) for r in dedup.dedup_ordered(df, ["g", "i", "p"], finish_rows=finish).collect())
+        assert got == want_rows

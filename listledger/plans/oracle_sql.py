@@ -331,9 +331,14 @@ URLS = """urls as (
     regexp_extract(url, '^https?://[^/]+/[^/?#]+/([^/?#.]*)', 1) as num from pages))"""
 
 WATCH = """watch as (
-  select dense_rank() over (order by lang) - 1 as group_idx, lang as group_title,
-    row_number() over (partition by lang order by page_id) - 1 as url_idx, url, page_id
-  from (select page_id, url, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) as lang from pages))"""
+  select (dense_rank() over (order by lang) - 1) * 1000000 + page_id // 100 as group_idx, lang as group_title,
+    page_id as url_idx, url, page_id
+  from (select page_id, url, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) as lang from pages)),
+readback as (
+  select (dense_rank() over (order by group_idx // 50) - 1) * 1000000
+      + dense_rank() over (partition by group_idx // 50 order by group_idx) - 1 as rb_group,
+    row_number() over (partition by group_idx order by page_id) - 1 as rb_url, *
+  from watch)"""
 
 
 def qv(url: str, key: str) -> str:
@@ -388,18 +393,19 @@ g as (select w.group_idx, case when w.group_idx % 2 = 0 then null else w.group_t
 f as (select group_idx, max(group_title) as t, arg_min(url, page_id) as first_url from g group by group_idx)
 select group_idx, coalesce(t, {derive_title_sql('first_url')}) as sheet_title from f"""
 
-ORACLES["watchlist_json"] = f"""with {WATCH} select cast(group_idx as int) as group_idx, group_title,
-  cast(url_idx as int) as url_idx, url from watch"""
+ORACLES["watchlist_json"] = f"""with {WATCH} select cast(rb_group as bigint) as group_idx, group_title,
+  cast(rb_url as bigint) as url_idx, url from readback"""
 
-ORACLES["watchlist_sections"] = f"""with {WATCH} select cast(group_idx as int) as group_idx,
-  case when group_idx = 0 then null else group_title end as group_title, cast(url_idx as int) as url_idx, url
-from watch"""
+ORACLES["watchlist_sections"] = f"""with {WATCH} select cast(rb_group as bigint) as group_idx,
+  case when group_idx % 50 = 0 then null else group_title end as group_title, cast(rb_url as bigint) as url_idx, url
+from readback"""
 
 ORACLES["watchlist_fallback"] = ORACLES["watchlist_sections"]
 
 ORACLES["watch_pages"] = """select cast(page_id as bigint) as url_idx, page_id,
   cast(length(html) as bigint) as html_chars,
-  cast(dense_rank() over (order by regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) - 1 as int) as group_idx
+  cast((dense_rank() over (order by regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) - 1) * 1000000
+    + page_id // 100 as bigint) as group_idx
 from pages"""
 
 

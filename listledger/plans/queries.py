@@ -274,8 +274,10 @@ def q_watchlist_json(spark, sf):
 
 
 def _sections_file(spark, sf):
+    # groups opening a file (block a multiple of 50) lose their title: written
+    # without a header, before any other group of the file
     w = bindings.watch_groups(spark, sf)
-    w = w.withColumn("group_title", F.when(F.col("group_idx") == 0, F.lit(None).cast("string"))
+    w = w.withColumn("group_title", F.when(F.col("group_idx") % 50 == 0, F.lit(None).cast("string"))
                      .otherwise(F.col("group_title")))
     return watchlist.render_sections(w, scratch_path(spark, "watch-sections"))
 

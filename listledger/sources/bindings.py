@@ -18,22 +18,31 @@ from ..session import table
 CARDS_PER_PAGE_KEYS = 256
 
 
-def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B_watch: the pages' URLs as a watchlist, one group per language segment
-    of the URL (groups in title order), URLs in page-id order.
+# A watch group holds the URLs of one language segment whose page ids share
+# a block of this size, so no group (one JSON object, one section) grows
+# with the table; equal titles stay separate groups, as the watchlist allows.
+WATCH_GROUP_SPAN = 100
+
 
-    ``group_idx INT, group_title STRING, url_idx INT, url STRING``. The group
-    numbers come from a window over the distinct titles only (a few rows);
-    ``url_idx`` is the page id: an order key inside the group, not dense
-    (a window per group would put the largest group into one task).
+def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B_watch: the pages' URLs as a watchlist: groups titled by the URL's
+    language segment, one per block of ``WATCH_GROUP_SPAN`` page ids, in
+    (title, block) order; URLs in page-id order.
+
+    ``group_idx BIGINT, group_title STRING, url_idx BIGINT, url STRING``:
+    ``group_idx = title rank * 1e6 + block`` and ``url_idx`` = page id are
+    order keys, not dense numbers (dense numbers would need a window over the
+    whole table). The title ranks come from a window over the distinct
+    titles only (a few rows).
     """
     p = table(spark, sf_dir, "pages").select("page_id", "url")
     p = p.withColumn("group_title", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1))
     titles = p.select("group_title").distinct().withColumn(
-        "group_idx", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("int"))
+        "_trank", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("long"))
     # the distinct titles are one row per language: a bounded broadcast
     return p.join(F.broadcast(titles), "group_title").select(
-        "group_idx", "group_title", F.col("page_id").alias("url_idx"), "url")
+        (F.col("_trank") * 1_000_000 + F.floor(F.col("page_id") / WATCH_GROUP_SPAN)).cast("long").alias("group_idx"),
+        "group_title", F.col("page_id").alias("url_idx"), "url")
 
 
 def watch_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 A watchlist is a control file of named groups of listing-page URLs. Both
 formats are read with Spark (text source, whole file per row, since a JSON
 array or a section file only means something whole) and flattened into
-``group_idx INT, group_title STRING, url_idx INT, url STRING`` with the
-positions taken from the file, never from partition ids.
+``group_idx BIGINT, group_title STRING, url_idx BIGINT, url STRING`` with
+the positions taken from the files, never from partition ids.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
 
-WATCH_SCHEMA = "group_idx int, group_title string, url_idx int, url string"
+WATCH_SCHEMA = "group_idx bigint, group_title string, url_idx bigint, url string"
 JSON_SCHEMA = "array<struct<title:string, urls:array<string>>>"
 
 
@@ -28,26 +28,46 @@ def empty_watch(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], WATCH_SCHEMA)
 
 
+# Groups of a watchlist read from a folder of files are numbered
+# file rank * FILE_GROUP_STRIDE + place in the file (one file: the place).
+FILE_GROUP_STRIDE = 1_000_000
+
+
+def _file_ranks(txt: DataFrame) -> DataFrame:
+    """Rank of each file by name: a window over the distinct file names only."""
+    files = txt.select("_file").distinct()
+    return files.withColumn("_frank", (F.dense_rank().over(Window.orderBy("_file")) - 1).cast("long"))
+
+
+def _read_whole(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file (``_file, value``): a watchlist file means something
+    only whole; a folder of them is read in parallel, one task per file."""
+    txt = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("_file"), "value")
+    return txt.join(F.broadcast(_file_ranks(txt)), "_file")
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of ``{title, urls}``; one row per (group, url), in
-    file order. A file that is not such an array gives no rows."""
-    txt = spark.read.text(path, wholetext=True)
-    groups = txt.select(F.posexplode(F.from_json("value", JSON_SCHEMA)).alias("group_idx", "g"))
+    """A JSON array of ``{title, urls}`` (or a folder of such files, taken
+    in name order); one row per (group, url), in file order. A file that is
+    not such an array gives no rows."""
+    txt = _read_whole(spark, path)
+    groups = txt.select("_frank", F.posexplode(F.from_json("value", JSON_SCHEMA)).alias("_gpos", "g"))
     return groups.select(
-        F.col("group_idx").cast("int"),
+        (F.col("_frank") * FILE_GROUP_STRIDE + F.col("_gpos")).cast("long").alias("group_idx"),
         F.col("g.title").alias("group_title"),
         F.posexplode(F.coalesce(F.col("g.urls"), F.array().cast("array<string>"))).alias("url_idx", "url"),
-    ).select("group_idx", "group_title", F.col("url_idx").cast("int"), "url")
+    ).select("group_idx", "group_title", F.col("url_idx").cast("long"), "url")
 
 
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
-    """Section text. ``[Title]`` opens a group; blank and ``#`` lines are
-    skipped (F3); lines before any header form a group without title; groups
-    without URLs vanish; equal titles stay separate groups."""
-    txt = spark.read.text(path, wholetext=True).withColumn("_file", F.input_file_name())
-    lines = txt.select("_file", F.posexplode(F.split("value", "\r\n|\r|\n", -1)).alias("line_no", "raw"))
+    """Section text (a file, or a folder of files in name order).
+    ``[Title]`` opens a group; blank and ``#`` lines are skipped (F3); lines
+    before any header form a group without title; groups without URLs vanish;
+    equal titles stay separate groups."""
+    txt = _read_whole(spark, path)
+    lines = txt.select("_file", "_frank", F.posexplode(F.split("value", "\r\n|\r|\n", -1)).alias("line_no", "raw"))
     line = trim_ws("raw")
-    lines = lines.select("_file", "line_no", line.alias("line")).where(
+    lines = lines.select("_file", "_frank", "line_no", line.alias("line")).where(
         (F.col("line") != "") & ~F.col("line").startswith("#"))
     is_header = F.col("line").startswith("[") & F.col("line").endswith("]")
     per_file = Window.partitionBy("_file").orderBy("line_no")
@@ -57,9 +77,10 @@ def read_sections(spark: SparkSession, path: str) -> DataFrame:
         "_file", "_grp", trim_ws(F.expr("substring(line, 2, length(line) - 2)")).alias("group_title"))
     urls = lines.where(~F.col("_hdr")).join(titles, ["_file", "_grp"], "left")
     return urls.select(
-        (F.dense_rank().over(Window.partitionBy("_file").orderBy("_grp")) - 1).cast("int").alias("group_idx"),
+        (F.col("_frank") * FILE_GROUP_STRIDE
+         + F.dense_rank().over(Window.partitionBy("_file").orderBy("_grp")) - 1).cast("long").alias("group_idx"),
         "group_title",
-        (F.row_number().over(Window.partitionBy("_file", "_grp").orderBy("line_no")) - 1).cast("int")
+        (F.row_number().over(Window.partitionBy("_file", "_grp").orderBy("line_no")) - 1).cast("long")
         .alias("url_idx"),
         F.col("line").alias("url"),
     )
@@ -87,30 +108,40 @@ def watch_pages(watch: DataFrame, pages: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # Rendering a watchlist to the two file formats (used by tests and queries
-# to read back what the bindings give).
+# to read back what the bindings give). Groups are written in blocks of
+# ``groups_per_file`` (by group order), one file per block, so neither a
+# group nor a file grows past a bound when the groups are bounded.
 
 
-def render_json(watch: DataFrame, path: str) -> str:
-    groups = watch.groupBy("group_idx", "group_title").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("url_idx", "url"))), lambda x: x["url"]).alias("urls"))
-    doc = groups.agg(F.array_sort(F.collect_list(F.struct("group_idx", F.struct(
-        F.col("group_title").alias("title"), "urls").alias("g")))).alias("gs")).select(
-        F.to_json(F.transform("gs", lambda x: x["g"])).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
-    return path
+def _group_blocks(watch: DataFrame, body) -> DataFrame:
+    return watch.groupBy("group_idx", "group_title").agg(
+        body(F.transform(F.array_sort(F.collect_list(F.struct("url_idx", "url"))), lambda x: x["url"])).alias("_b"))
 
 
-def render_sections(watch: DataFrame, path: str) -> str:
-    """Groups in order; the first group is written without a header when its
-    title is null; comments, blank lines and an empty group are added."""
-    groups = watch.groupBy("group_idx", "group_title").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("url_idx", "url"))), lambda x: x["url"]),
-                     "\n").alias("body"))
-    block = F.concat(
-        F.when(F.col("group_title").isNull(), F.lit("")).otherwise(
-            F.concat(F.lit("[ "), F.col("group_title"), F.lit(" ]\n"))),
-        F.lit("  # urls of this group\n"), F.col("body"), F.lit("\n\n[Empty group]\n\n"))
-    doc = groups.agg(F.array_sort(F.collect_list(F.struct("group_idx", block.alias("b")))).alias("bs")).select(
-        F.concat(F.lit("# watchlist\n\n"), F.array_join(F.transform("bs", lambda x: x["b"]), "")).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
+def _write_files(blocks: DataFrame, path: str, groups_per_file: int, join_docs) -> str:
+    per_file = blocks.withColumn("part", F.lpad(F.floor(F.col("group_idx") / groups_per_file).cast("string"), 12, "0"))
+    docs = per_file.groupBy("part").agg(
+        join_docs(F.transform(F.array_sort(F.collect_list(F.struct("group_idx", "_doc"))), lambda x: x["_doc"]))
+        .alias("value"))
+    docs.write.mode("overwrite").partitionBy("part").text(path)
     return path
+
+
+def render_json(watch: DataFrame, path: str, groups_per_file: int = 50) -> str:
+    blocks = _group_blocks(watch, lambda urls: urls).select(
+        "group_idx", F.to_json(F.struct(F.col("group_title").alias("title"), F.col("_b").alias("urls"))).alias("_doc"))
+    return _write_files(blocks, path, groups_per_file, lambda docs: F.concat(F.lit("["), F.array_join(docs, ","),
+                                                                             F.lit("]")))
+
+
+def render_sections(watch: DataFrame, path: str, groups_per_file: int = 50) -> str:
+    """A group with a null title is written without a header (it must open
+    its file); comments, blank lines and an empty group are added."""
+    blocks = _group_blocks(watch, lambda urls: F.array_join(urls, "\n")).select(
+        "group_idx",
+        F.concat(
+            F.when(F.col("group_title").isNull(), F.lit("")).otherwise(
+                F.concat(F.lit("[ "), F.col("group_title"), F.lit(" ]\n"))),
+            F.lit("  # urls of this group\n"), F.col("_b"), F.lit("\n\n[Empty group]\n\n")).alias("_doc"))
+    return _write_files(blocks, path, groups_per_file,
+                        lambda docs: F.concat(F.lit("# watchlist\n\n"), F.array_join(docs, "")))

@@ -139,3 +139,27 @@ def test_sections_watchlist(spark, tmp_path):
     good.write_text('[{"title": "Junior", "urls": ["a", "b"]}, {"title": null, "urls": ["c"]}]')
     got = sorted(tuple(r) for r in read_watchlist(spark, str(good)).collect())
     assert got == [(0, "Junior", 0, "a"), (0, "Junior", 1, "b"), (1, None, 0, "c")]
+
+
+def test_prepend_then_rebucket_equals_fused_rewrite(spark):
+    from listledger.plans import jobs
+    from listledger.sources import bindings
+
+    sf = "/root/testdata/sf0.001"
+    run = jobs.offers_run(spark, sf)
+    ledger = jobs.offers_ledger(spark, sf)
+    rows = L.to_ledger_rows(run.new, sheet_col="group_title", order=jobs.RUN_ORDER)
+    stepwise = L.status_order(L.prepend(ledger, rows))
+    fused = L.reorganize(ledger, bindings.offers(spark, sf).select(F.col("group_title").alias("sheet")), rows)
+    cols = ["sheet", "pos", "title", "status", "link"]
+    assert sorted(map(tuple, stepwise.select(cols).collect())) == sorted(map(tuple, fused.select(cols).collect()))
+
+
+def test_discards_then_rebucket_equals_fused_organize(spark):
+    from listledger.sources import bindings
+
+    sheets = bindings.sheets(spark, "/root/testdata/sf0.001")
+    stepwise = L.status_order(L.process_discards(sheets))
+    fused = L.reorganize(sheets)
+    cols = ["sheet", "pos", "title", "status", "link"]
+    assert sorted(map(tuple, stepwise.select(cols).collect())) == sorted(map(tuple, fused.select(cols).collect()))

@@ -75,3 +75,24 @@ def test_card_udtf_in_sql(spark):
     got = spark.sql("SELECT p.page_id, c.title, c.href FROM udtf_pages p, "
                     "LATERAL extract_cards(p.html, 'C') c").collect()
     assert [tuple(x) for x in got] == [(1, "T", "/o/1")]
+
+
+def test_fast_tokenizer_equals_html_parser(monkeypatch):
+    """The single-pass tokenizer gives the tree html.parser gives (checked on
+    the driver's pages and rendered cards; here on the awkward cases)."""
+    from listledger.functions import htmltree as H
+    from listledger.functions import markdown as M
+
+    docs = [
+        '<!DOCTYPE html><html><head><script>var t="</p>";</script><style>p{}</style></head>'
+        '<body><!-- c --><p><b>x &amp; y<br/>z<p>q</body></html>',
+        "<div a=1 b='2' c=\"3 > 4\" d>t<img src=x>u</DIV>tail < not a tag",
+        "<ul><li>a<li>b</ul></p></span>text",
+    ]
+    for d in docs:
+        assert M._children(H.parse(d), frozenset()) == M._children(H.parse_stdlib(d), frozenset())
+        for src in (C.SOURCE_B, C.SOURCE_C):
+            fast = list(C.extract_cards(d, src))
+            with monkeypatch.context() as m:
+                m.setattr(C, "parse", H.parse_stdlib)
+                assert list(C.extract_cards(d, src)) == fast

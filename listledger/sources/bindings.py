@@ -39,8 +39,8 @@ def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = p.withColumn("group_title", F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1))
     titles = p.select("group_title").distinct().withColumn(
         "_trank", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("long"))
-    # the distinct titles are one row per language: a bounded broadcast
-    return p.join(F.broadcast(titles), "group_title").select(
+    # one row per language: AQE broadcasts it when its measured size is small
+    return p.join(titles, "group_title").select(
         (F.col("_trank") * 1_000_000 + F.floor(F.col("page_id") / WATCH_GROUP_SPAN)).cast("long").alias("group_idx"),
         "group_title", F.col("page_id").alias("url_idx"), "url")
 
@@ -319,5 +319,5 @@ def card_watch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     titles = pages.select(brand.alias("group_title")).distinct().withColumn(
         "group_idx", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("int"))
     watch = pages.select(brand.alias("group_title"), (F.col("_src") * 1_000_000 + page_no).alias("url_idx"),
-                         "url").join(F.broadcast(titles), "group_title")
+                         "url").join(titles, "group_title")
     return watch.select("group_idx", "group_title", "url_idx", "url"), pages.drop("_src")

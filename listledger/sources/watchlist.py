@@ -43,7 +43,7 @@ def _read_whole(spark: SparkSession, path: str) -> DataFrame:
     """One row per file (``_file, value``): a watchlist file means something
     only whole; a folder of them is read in parallel, one task per file."""
     txt = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
-    return txt.join(F.broadcast(_file_ranks(txt)), "_file")
+    return txt.join(_file_ranks(txt), "_file")
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

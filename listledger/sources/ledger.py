@@ -112,8 +112,10 @@ class LedgerStore:
             version = 0 if cur is None else cur + 1
         if self.has_version(version):
             return version
-        # range-partitioned on (sheet, pos): a table holding a third of all rows
-        # is written by many tasks, each file sorted
-        (ledger.select(*LEDGER_COLUMNS).repartitionByRange("sheet", "pos").sortWithinPartitions("sheet", "pos")
+        # No shuffle here: a rewritten ledger comes range-partitioned on
+        # (sheet, order) from the numbering pass, so each task holds a
+        # contiguous slice and writes one sorted file per table it touches (a
+        # table holding a third of all rows is written by many tasks).
+        (ledger.select(*LEDGER_COLUMNS).sortWithinPartitions("sheet", "pos")
          .write.mode("overwrite").partitionBy("sheet").parquet(f"{self.root}/v={version}"))
         return version

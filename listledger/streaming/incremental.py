@@ -22,27 +22,38 @@ LISTING_SCHEMA = ("group_title string, url_idx long, pos long, full_url string,
                   "tags string")
 
 
-def write_batches(listings: DataFrame, batch_col: str, folder: str) -> list:
-    """Write one parquet file per distinct ``batch_col`` value, in value order,
-    with increasing modification times so the file source takes them in that
-    order. Returns the batch values (a short list: one per arrival)."""
+def write_batches(listings: DataFrame, batch_col: str, folder: str) -> int:
+    """Stage arrivals for a test or a replay: one parquet file per distinct
+    ``batch_col`` value, in value order, with increasing modification times
+    so the file source takes them in that order. One Spark write (partitioned
+    by the batch value), then a file move per batch. Returns the batch count."""
     spark = listings.sparkSession
-    values = [r[0] for r in listings.select(batch_col).distinct().orderBy(batch_col).collect()]
+    staging = f"{folder}/_staging"
+    staged = listings.withColumn("_arrival", F.col(batch_col).cast("string"))
+    if batch_col != "_arrival":
+        staged = staged.drop(batch_col)
+    staged.repartition("_arrival").write.mode("overwrite").partitionBy("_arrival").parquet(staging)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(staging).getFileSystem(conf)
+    # one folder per batch value; the names carry the value (escaped the same
+    # way for every value, so their order is the order of the values)
+    dirs = sorted((st.getPath() for st in fs.listStatus(Path(staging)) if st.isDirectory()),
+                  key=lambda p: _unescape_partition(p.getName().split("=", 1)[1]))
     base_ms = 1_000_000_000_000
-    for i, v in enumerate(values):
-        out = f"{folder}/_staging/b{i:06d}"
-        listings.where(F.col(batch_col) == F.lit(v)).drop(batch_col).coalesce(1).write.mode("overwrite").parquet(out)
-        fs = Path(out).getFileSystem(conf)
-        for st in fs.listStatus(Path(out)):
-            name = st.getPath().getName()
-            if name.endswith(".parquet"):
-                target = Path(f"{folder}/b{i:06d}.parquet")
-                fs.rename(st.getPath(), target)
-                fs.setTimes(target, base_ms + i * 60_000, -1)
-    return values
+    for i, d in enumerate(dirs):
+        for j, st in enumerate(x for x in fs.listStatus(d) if x.getPath().getName().endswith(".parquet")):
+            target = Path(f"{folder}/b{i:06d}-{j:04d}.parquet")
+            fs.rename(st.getPath(), target)
+            fs.setTimes(target, base_ms + i * 60_000, -1)
+    return len(dirs)
+
+
+def _unescape_partition(value: str) -> str:
+    from urllib.parse import unquote
+
+    return unquote(value)
 
 
 def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore, results_folder: str,
@@ -62,7 +73,8 @@ def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore,
         store.write(res.ledger, version=batch_id + 1)
 
     stream = (
-        spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source_folder)
+        spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1)
+        .option("pathGlobFilter", "*.parquet").parquet(source_folder)
         .writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint or scratch_path(spark, "incremental-stream"))
         .trigger(availableNow=True)

@@ -86,11 +86,12 @@ def spread_pages(pages: DataFrame) -> DataFrame:
 def md_cards(pages: DataFrame, md_col: str = "md") -> DataFrame:
     """Every ``### title`` ... ``](/job-offer/slug)`` block (lazy, dot
     matches newline). A card without a link swallows the next card's text.
-    Keeps ``page_id, url`` and adds ``pos, title, block, link_slug``."""
-    matches = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(md_col, F.lit(MD_CARD_PATTERN), 0))
+    Keeps the page's other columns and adds ``pos, title, block, link_slug``."""
+    keep = [c for c in pages.columns if c != md_col]
+    matches = pages.select(*keep, F.posexplode(F.regexp_extract_all(md_col, F.lit(MD_CARD_PATTERN), 0))
                            .alias("pos", "_m"))
     g = [F.regexp_extract("_m", MD_CARD_PATTERN, i) for i in (1, 2, 3)]
-    return matches.select("page_id", "url", F.col("pos").cast("int").alias("pos"),
+    return matches.select(*keep, F.col("pos").cast("int").alias("pos"),
                           trim_ws(g[0]).alias("title"), trim_ws(g[1]).alias("block"), trim_ws(g[2]).alias("link_slug"))
 
 
@@ -139,7 +140,7 @@ def extract_markdown_source(pages: DataFrame, md_col: str = "md") -> DataFrame:
 
 def extract_source_a(pages: DataFrame) -> DataFrame:
     """Source A from raw HTML pages: E1-E3 then E4-E7."""
-    md = spread_pages(pages).select("page_id", "url", page_markdown("html").alias("md"))
+    md = spread_pages(pages).select(*[c for c in pages.columns if c != "html"], page_markdown("html").alias("md"))
     return extract_markdown_source(md)
 
 
@@ -160,22 +161,25 @@ CARD_SCHEMA = T.StructType([
 ])
 
 
-def _card_rows(sources: dict):
+def _card_rows(sources: dict, carry: list[str]):
+    names_out = [f.name for f in CARD_SCHEMA.fields] + carry
+
     def run(batches):
         for pdf in batches:
             rows = []
             names = pdf["source"] if "source" in pdf else [None] * len(pdf)
-            for page_id, url, html, name in zip(pdf["page_id"], pdf["url"], pdf["html"], names):
+            extra = list(zip(*[pdf[c] for c in carry])) if carry else [()] * len(pdf)
+            for page_id, url, html, name, ex in zip(pdf["page_id"], pdf["url"], pdf["html"], names, extra):
                 try:
                     if html is None:
                         raise ValueError("page has no content")
                     src = sources[name]
                     for pos, href, title, company, tags, err in C.extract_cards(html, src):
-                        rows.append((page_id, url, pos, href, title, company, tags, err, "card", src.name))
+                        rows.append((page_id, url, pos, href, title, company, tags, err, "card", src.name, *ex))
                 except Exception as e:  # E16: a bad page gives no rows, the run goes on
                     rows.append((page_id, url, None, None, None, None, None, f"{type(e).__name__}: {e}", "page",
-                                 name))
-            yield pd.DataFrame(rows, columns=[f.name for f in CARD_SCHEMA.fields])
+                                 name, *ex))
+            yield pd.DataFrame(rows, columns=names_out)
     return run
 
 
@@ -183,13 +187,16 @@ def html_card_rows(pages: DataFrame, source: C.CardSource | dict) -> DataFrame:
     """E8/E9 raw rows, rejects included (``error`` set). ``source`` is one
     card source, or a dict name -> source picked per page by its ``source``
     column (one pass over the pages for every HTML source)."""
+    base = {"page_id", "url", "html", "source"}
+    carry = [c for c in pages.columns if c not in base]    # page columns passed through to each card
     if isinstance(source, C.CardSource):
         sources = {None: source}
-        p = pages.select(F.col("page_id").cast("long"), "url", "html")
+        p = pages.select(F.col("page_id").cast("long"), "url", "html", *carry)
     else:
         sources = source
-        p = pages.select(F.col("page_id").cast("long"), "url", "html", "source")
-    return spread_pages(p).mapInPandas(_card_rows(sources), CARD_SCHEMA)
+        p = pages.select(F.col("page_id").cast("long"), "url", "html", "source", *carry)
+    schema = T.StructType(CARD_SCHEMA.fields + [pages.schema[c] for c in carry])
+    return spread_pages(p).mapInPandas(_card_rows(sources, carry), schema)
 
 
 def extract_rejects(rows: DataFrame) -> DataFrame:
@@ -214,8 +221,9 @@ def html_card_listings(rows: DataFrame) -> DataFrame:
     slug = F.when(is_b, F.substring_index(href, "/", -1))
     full = F.when(is_b, F.concat(F.lit(SOURCE_B_BASE), href)).otherwise(
         F.when(no_href, F.lit("Unknown")).otherwise(F.concat(F.lit(SOURCE_C_BASE), F.substring_index(href, "?", 1))))
+    carry = [c for c in rows.columns if c not in {f.name for f in CARD_SCHEMA.fields}]
     return good.select(
-        "page_id", "url", "pos", title.alias("title"), "company", "tag_list",
+        "page_id", "url", *carry, "pos", title.alias("title"), "company", "tag_list",
         F.array_join("tag_list", ", ").alias("tags"), slug.alias("link_slug"), full.alias("full_url"), "source")
 
 

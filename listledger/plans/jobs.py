@@ -121,9 +121,8 @@ def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
 def extract_listings_with(registry, watch_pages: DataFrame) -> DataFrame:
     """Same as ``extract_listings`` with any extractor registry."""
     routed = watch_pages.withColumn("source", registry.source_of(F.col("url")))
-    keys = routed.select("page_id", "group_idx", "group_title", "url_idx", "source")
-    return (registry.extract(routed).join(keys, "page_id")
-            .withColumn("row_limit", registry.limit_of(F.col("source"))))
+    out = registry.extract(routed).withColumnRenamed("route", "source")
+    return out.withColumn("row_limit", registry.limit_of(F.col("source")))
 
 
 def extract_listings(watch_pages: DataFrame) -> DataFrame:
@@ -135,14 +134,16 @@ def extract_listings(watch_pages: DataFrame) -> DataFrame:
     from ..operators import extract as X
     from ..operators.routing import limit_of, source_of
 
-    routed = watch_pages.withColumn("source", source_of("url"))
-    keys = routed.select("page_id", "group_idx", "group_title", "url_idx", "source")
-    pages = routed.select("page_id", "url", "html", "source")
-    a = X.extract_source_a(pages.where(F.col("source") == "A").drop("source"))
-    bc = X.extract_html_sources(pages.where(F.col("source") != "A"), {"B": C.SOURCE_B, "C": C.SOURCE_C})
+    # the watch keys ride along with each page through the extractors (no
+    # join back on page_id: a URL watched by two groups yields its listings
+    # once per group, as fetching it once per group does)
+    routed = watch_pages.withColumn("source", source_of("url")).withColumn("route", F.col("source"))
+    keep = ["page_id", "url", "html", "group_idx", "group_title", "url_idx", "route"]
+    a = X.extract_source_a(routed.where(F.col("source") == "A").select(*keep))
+    bc = X.extract_html_sources(routed.where(F.col("source") != "A").select(*keep, "source"),
+                                {"B": C.SOURCE_B, "C": C.SOURCE_C})
     listings = X.unify(a.drop("source"), bc.drop("source")).drop("source")
-    return (listings.join(keys, "page_id")
-            .withColumn("row_limit", limit_of("source")))
+    return listings.withColumnRenamed("route", "source").withColumn("row_limit", limit_of("source"))
 
 
 def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledger: bool = True) -> RunResult:

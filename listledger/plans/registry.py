@@ -68,11 +68,14 @@ class Registry:
         return max(s.limit for s in self.sources())
 
     def extract(self, routed: DataFrame) -> DataFrame:
-        """``routed``: pages with a ``source`` column. One filtered branch per
-        source, then a union by name."""
+        """``routed``: pages with a ``source`` column (and any key columns,
+        passed through to every listing). One filtered branch per source, then
+        a union by name; the source name lands in ``route``."""
         from ..operators import extract as X
 
-        parts = [s.extract(routed.where(F.col("source") == s.name).select("page_id", "url", "html")).drop("source")
+        keys = [c for c in routed.columns if c not in ("page_id", "url", "html", "source")]
+        parts = [s.extract(routed.where(F.col("source") == s.name).select("page_id", "url", "html", *keys)
+                           .withColumn("route", F.lit(s.name))).drop("source")
                  for s in self.sources()]
         return X.unify(*parts).drop("source")
 

@@ -11,6 +11,9 @@ nothing that is already committed: idempotent by batch id.
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ from ..plans.jobs import run_listings
 from ..session import scratch_path
 from ..sources.ledger import LedgerStore
 
+log = logging.getLogger(__name__)
+
 LISTING_SCHEMA = ("group_title string, url_idx long, pos long, full_url string, title string, company string, "
                   "tags string")
 
@@ -65,12 +70,14 @@ def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore,
         raise ValueError("the ledger store needs an initial version (0)")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        t0 = time.time()
         ledger = store.read(batch_id)
         res = run_listings(batch, ledger, batch.select("group_title"), max_limit=None,
                            recent_days=recent_days, rewrite_ledger=True)
         res.new.select(*[c.split()[0] for c in LISTING_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
             f"{results_folder}/batch={batch_id}")
         store.write(res.ledger, version=batch_id + 1)
+        log.info("incremental: batch %d done in %.2fs", batch_id, time.time() - t0)
 
     stream = (
         spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1)

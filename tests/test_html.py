@@ -1,5 +1,7 @@
 """E2 (Markdown), E8/E9/E12 (cards), E15/E16 (rejects) on literal HTML."""
 
+from pyspark.sql import functions as F
+
 from listledger.functions import cards as C
 from listledger.functions.markdown import html_to_markdown
 
@@ -96,3 +98,22 @@ def test_fast_tokenizer_equals_html_parser(monkeypatch):
             with monkeypatch.context() as m:
                 m.setattr(C, "parse", H.parse_stdlib)
                 assert list(C.extract_cards(d, src)) == fast
+
+
+def test_registry_extraction_equals_builtin_routing(spark):
+    from listledger.plans import jobs
+    from listledger.plans.registry import default_registry
+    from listledger.sources import bindings
+    from listledger.sources.watchlist import watch_pages
+
+    watch, pages = bindings.card_watch(spark, "/root/testdata/sf0.001")
+    wp = watch_pages(watch, pages)
+    cols = ["group_idx", "url_idx", "pos", "source", "title", "company", "tags", "full_url", "row_limit"]
+    a = sorted(map(tuple, jobs.extract_listings(wp).select(cols).collect()))
+    b = sorted(map(tuple, jobs.extract_listings_with(default_registry(), wp).select(cols).collect()))
+    assert a == b and len(a) > 0
+    # a URL watched by two groups gives its listings to both groups
+    twice = watch.unionByName(watch.where("url_idx < 1000000").withColumn("group_idx", F.col("group_idx") + 100))
+    n1 = jobs.extract_listings(watch_pages(watch, pages)).count()
+    n2 = jobs.extract_listings(watch_pages(twice, pages)).count()
+    assert n2 > n1

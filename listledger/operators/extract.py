@@ -67,10 +67,13 @@ def page_markdown(html) -> Column:
 SPREAD_BELOW_BYTES = 1 << 30
 
 
-def spread_pages(pages: DataFrame) -> DataFrame:
+def spread_pages(pages: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+    """Repartition ``pages`` over all cores when ``basis`` (default: pages
+    itself; pass the page table when ``pages`` is a join result, whose size
+    estimate is no guide) is estimated small."""
     spark = pages.sparkSession
     try:
-        size = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = (basis if basis is not None else pages)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         est = int(size if isinstance(size, int) else size.toString())
     except Exception:  # no estimate: leave the partitioning alone
         return pages
@@ -138,9 +141,10 @@ def extract_markdown_source(pages: DataFrame, md_col: str = "md") -> DataFrame:
     return md_card_fields(md_cards(pages, md_col))
 
 
-def extract_source_a(pages: DataFrame) -> DataFrame:
+def extract_source_a(pages: DataFrame, spread: bool = True) -> DataFrame:
     """Source A from raw HTML pages: E1-E3 then E4-E7."""
-    md = spread_pages(pages).select(*[c for c in pages.columns if c != "html"], page_markdown("html").alias("md"))
+    pages = spread_pages(pages) if spread else pages
+    md = pages.select(*[c for c in pages.columns if c != "html"], page_markdown("html").alias("md"))
     return extract_markdown_source(md)
 
 
@@ -183,7 +187,7 @@ def _card_rows(sources: dict, carry: list[str]):
     return run
 
 
-def html_card_rows(pages: DataFrame, source: C.CardSource | dict) -> DataFrame:
+def html_card_rows(pages: DataFrame, source: C.CardSource | dict, spread: bool = True) -> DataFrame:
     """E8/E9 raw rows, rejects included (``error`` set). ``source`` is one
     card source, or a dict name -> source picked per page by its ``source``
     column (one pass over the pages for every HTML source)."""
@@ -196,7 +200,7 @@ def html_card_rows(pages: DataFrame, source: C.CardSource | dict) -> DataFrame:
         sources = source
         p = pages.select(F.col("page_id").cast("long"), "url", "html", "source", *carry)
     schema = T.StructType(CARD_SCHEMA.fields + [pages.schema[c] for c in carry])
-    return spread_pages(p).mapInPandas(_card_rows(sources, carry), schema)
+    return (spread_pages(p) if spread else p).mapInPandas(_card_rows(sources, carry), schema)
 
 
 def extract_rejects(rows: DataFrame) -> DataFrame:
@@ -231,9 +235,9 @@ def extract_html_source(pages: DataFrame, source: C.CardSource) -> DataFrame:
     return html_card_listings(html_card_rows(pages, source))
 
 
-def extract_html_sources(pages: DataFrame, sources: dict) -> DataFrame:
+def extract_html_sources(pages: DataFrame, sources: dict, spread: bool = True) -> DataFrame:
     """Every HTML card source in one pass; ``pages`` carries ``source``."""
-    return html_card_listings(html_card_rows(pages, sources))
+    return html_card_listings(html_card_rows(pages, sources, spread))
 
 
 def unify(*parts: DataFrame) -> DataFrame:

@@ -125,7 +125,7 @@ def extract_listings_with(registry, watch_pages: DataFrame) -> DataFrame:
     return out.withColumn("row_limit", registry.limit_of(F.col("source")))
 
 
-def extract_listings(watch_pages: DataFrame) -> DataFrame:
+def extract_listings(watch_pages: DataFrame, spread: bool = True) -> DataFrame:
     """S4 output -> unified listings with rank columns: R1 routes each URL to
     its extractor (one filtered branch per source, then a union), E* extract.
 
@@ -139,9 +139,9 @@ def extract_listings(watch_pages: DataFrame) -> DataFrame:
     # once per group, as fetching it once per group does)
     routed = watch_pages.withColumn("source", source_of("url")).withColumn("route", F.col("source"))
     keep = ["page_id", "url", "html", "group_idx", "group_title", "url_idx", "route"]
-    a = X.extract_source_a(routed.where(F.col("source") == "A").select(*keep))
+    a = X.extract_source_a(routed.where(F.col("source") == "A").select(*keep), spread)
     bc = X.extract_html_sources(routed.where(F.col("source") != "A").select(*keep, "source"),
-                                {"B": C.SOURCE_B, "C": C.SOURCE_C})
+                                {"B": C.SOURCE_B, "C": C.SOURCE_C}, spread)
     listings = X.unify(a.drop("source"), bc.drop("source")).drop("source")
     return listings.withColumnRenamed("route", "source").withColumn("row_limit", limit_of("source"))
 
@@ -159,9 +159,11 @@ def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledg
     w = watch.drop("group_title").join(titles.withColumnRenamed("sheet_title", "group_title"), "group_idx")
     from ..operators.extract import spread_pages
 
-    # decide the spreading on the page table itself: the optimizer's size
-    # estimate of a join is no guide
-    listings = extract_listings(scan_pages(w, spread_pages(pages.select("page_id", "url", "html"))))
+    # spread the joined pages (the planner may broadcast a small page table,
+    # so spreading before the join is lost), deciding on the page table's own
+    # size estimate: the estimate of a join is no guide
+    page_cols = pages.select("page_id", "url", "html")
+    listings = extract_listings(spread_pages(scan_pages(w, page_cols), basis=page_cols), spread=False)
     from ..operators.routing import DEFAULT_LIMIT, SOURCE_C_LIMIT
     res = run_listings(listings, ledger, w.select("group_title"), limit=F.col("row_limit"),
                        max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)

@@ -31,10 +31,6 @@ def lines_nonblank(c) -> Column:
     return F.filter(F.transform(F.split(col(c), "\n", -1), lambda x: trim_ws(x)), lambda x: x != "")
 
 
-def has_digit(c) -> Column:
-    return col(c).rlike("[0-9]")
-
-
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's (title language filter, F1).
 # Polish letters tested on the lower-cased title ("o with acute" is left out

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
+from ..operators.filters import skip_comment_lines
 
 WATCH_SCHEMA = "group_idx bigint, group_title string, url_idx bigint, url string"
 JSON_SCHEMA = "array<struct<title:string, urls:array<string>>>"
@@ -67,8 +68,7 @@ def read_sections(spark: SparkSession, path: str) -> DataFrame:
     txt = _read_whole(spark, path)
     lines = txt.select("_file", "_frank", F.posexplode(F.split("value", "\r\n|\r|\n", -1)).alias("line_no", "raw"))
     line = trim_ws("raw")
-    lines = lines.select("_file", "_frank", "line_no", line.alias("line")).where(
-        (F.col("line") != "") & ~F.col("line").startswith("#"))
+    lines = skip_comment_lines(lines.select("_file", "_frank", "line_no", line.alias("line")), "line")
     is_header = F.col("line").startswith("[") & F.col("line").endswith("]")
     per_file = Window.partitionBy("_file").orderBy("line_no")
     lines = lines.withColumn("_hdr", is_header).withColumn(

@@ -55,11 +55,7 @@ def _word_pattern(word: str) -> str:
     return f"{NOT_WORD_BEFORE}{word}{after}"
 
 
-POLISH_PATTERN = "|".join(
-    [f"[{POLISH_LETTERS}]"]
-    + [_word_pattern(w) for w in POLISH_WORDS if w[-1].isalnum()]
-    + [_word_pattern(w) for w in POLISH_WORDS if not w[-1].isalnum()]
-)
+POLISH_PATTERN = "|".join([f"[{POLISH_LETTERS}]"] + [_word_pattern(w) for w in POLISH_WORDS])
 
 
 def is_polish_title(title) -> Column:
@@ -70,6 +66,20 @@ def is_polish_title(title) -> Column:
 # ---------------------------------------------------------------------------
 # URLs (R4, R5, E13)
 
+# Fixed values that must equal the reference's (table names from URLs, R4):
+# site markers tested in this order on the whole URL; per site, the path
+# words and query keys that make up the name, and their prefixes.
+SITE_A, SITE_B, SITE_C = "justjoin.it", "nofluffjobs.com", "theprotocol.it"
+A_CITY = "krakow"
+A_KEYWORD, A_LEVEL = "keyword", "experience-level"
+B_SKIPPED_SEGMENTS = ["pl", "job"]
+B_CRITERIA = "criteria"
+C_SKIPPED_SEGMENTS = ["", "filtry"]
+C_KEYWORD = "kw"
+KEYWORD_PREFIX, LEVEL_PREFIX = "kw-", "exp-"
+DOMAIN_PREFIX_DROPPED = "www."
+NAME_MAX_CHARS = 100
+
 
 def url_query_value(url, key: str) -> Column:
     """``parse_qs(urlparse(url).query).get(key, [''])[0]``.
@@ -108,52 +118,51 @@ def url_netloc(url) -> Column:
 def derive_title(url) -> Column:
     """A table name from a listing-page URL."""
     u = col(url)
-    domain = F.substring_index(F.replace(url_netloc(u), F.lit("www."), F.lit("")), ".", 1)
+    none = F.array().cast("array<string>")
+    domain = F.substring_index(F.replace(url_netloc(u), F.lit(DOMAIN_PREFIX_DROPPED), F.lit("")), ".", 1)
     path = url_path(u)
     segs = F.split(path, "/", -1)
 
-    kw_a = url_query_value(u, "keyword")
-    exp_a = url_query_value(u, "experience-level")
+    def prefixed(prefix, value):
+        return F.when(value != "", F.array(F.concat(F.lit(prefix), value))).otherwise(none)
+
+    kw_a = url_query_value(u, A_KEYWORD)
+    level_a = url_query_value(u, A_LEVEL)
     loc_a = (
-        F.when(F.array_contains(segs, "krakow"), F.array(F.lit("krakow")))
+        F.when(F.array_contains(segs, A_CITY), F.array(F.lit(A_CITY)))
         .when(F.size(segs) > 2, F.array(F.element_at(segs, -1)))
-        .otherwise(F.array().cast("array<string>"))
-    )
-    part_a = F.concat(
-        loc_a,
-        F.when(kw_a != "", F.array(F.concat(F.lit("kw-"), kw_a))).otherwise(F.array().cast("array<string>")),
-        F.when(exp_a != "", F.array(F.concat(F.lit("exp-"), exp_a))).otherwise(F.array().cast("array<string>")),
+        .otherwise(none)
     )
+    part_a = F.concat(loc_a, prefixed(KEYWORD_PREFIX, kw_a), prefixed(LEVEL_PREFIX, level_a))
 
-    crit = url_query_value(u, "criteria")
+    crit = url_query_value(u, B_CRITERIA)
     crit_parts = F.split(crit, "=", -1)
     part_b = F.concat(
-        F.filter(segs, lambda s: (s != "") & ~s.isin("pl", "job")),
-        F.when(crit == "", F.array().cast("array<string>"))
+        F.filter(segs, lambda s: (s != "") & ~s.isin(*B_SKIPPED_SEGMENTS)),
+        F.when(crit == "", none)
         .when(F.size(crit_parts) > 1, F.array(F.element_at(crit_parts, 2)))
         .otherwise(F.array(crit)),
     )
 
-    kw_c = url_query_value(u, "kw")
     part_c = F.concat(
         F.filter(
-            F.transform(F.filter(segs, lambda s: ~s.isin("", "filtry")), lambda s: F.substring_index(s, ";", 1)),
+            F.transform(F.filter(segs, lambda s: ~s.isin(*C_SKIPPED_SEGMENTS)), lambda s: F.substring_index(s, ";", 1)),
             lambda s: s != "",
         ),
-        F.when(kw_c != "", F.array(F.concat(F.lit("kw-"), kw_c))).otherwise(F.array().cast("array<string>")),
+        prefixed(KEYWORD_PREFIX, url_query_value(u, C_KEYWORD)),
     )
     part_else = F.array(F.replace(path, F.lit("/"), F.lit("-")))
 
     rest = (
-        F.when(u.contains("justjoin.it"), part_a)
-        .when(u.contains("nofluffjobs.com"), part_b)
-        .when(u.contains("theprotocol.it"), part_c)
+        F.when(u.contains(SITE_A), part_a)
+        .when(u.contains(SITE_B), part_b)
+        .when(u.contains(SITE_C), part_c)
         .otherwise(part_else)
     )
     parts = F.concat(F.array(domain), rest)
     clean = F.array_distinct(F.filter(F.transform(parts, lambda p: trim_ws(F.lower(p))), lambda p: p != ""))
     title = F.regexp_replace(F.array_join(clean, "-"), rf"[^{WORD}\-]", "")
-    return F.substring(title, 1, 100)
+    return F.substring(title, 1, NAME_MAX_CHARS)
 
 
 def page_key(url) -> Column:

@@ -62,17 +62,21 @@ def _unescape_partition(value: str) -> str:
 
 
 def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore, results_folder: str,
-                    checkpoint: str | None = None, recent_days: int | None = None) -> None:
+                    checkpoint: str | None = None, recent_days: int | None = None,
+                    limit=None, max_limit: int | None = None) -> None:
     """Process every listing file in ``source_folder`` (one file per batch)
     against ``store``; new rows of batch ``b`` also go to
-    ``results_folder/batch=b``. Returns when all files are processed."""
+    ``results_folder/batch=b``. Returns when all files are processed.
+
+    Each batch is one run: ``limit``/``max_limit`` (T1 per URL) and
+    ``recent_days`` (F2) apply inside the batch, as for a single run."""
     if store.current_version() is None:
         raise ValueError("the ledger store needs an initial version (0)")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
         ledger = store.read(batch_id)
-        res = run_listings(batch, ledger, batch.select("group_title"), max_limit=None,
+        res = run_listings(batch, ledger, batch.select("group_title"), limit=limit, max_limit=max_limit,
                            recent_days=recent_days, rewrite_ledger=True)
         res.new.select(*[c.split()[0] for c in LISTING_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
             f"{results_folder}/batch={batch_id}")

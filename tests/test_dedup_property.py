@@ -51,3 +51,41 @@ def test_multi_column_rank_tail(spark):
     for finish in (0, 100):
         got = sorted((r.g or "", r.p) for r in dedup.dedup_ordered(df, ["g", "i", "p"], finish_rows=finish).collect())
         assert got == want_rows
+
+
+def test_hot_url_third_of_rows(spark):
+    """One URL (cards without a link all become 'Unknown') holds a third of
+    the rows; the result still equals the sequential rule."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        u = "Unknown" if i % 3 == 0 else f"u{rng.randint(0, 120)}"
+        rows.append((i, u, f"c{rng.randint(0, 150)}"))
+    df = spark.createDataFrame(rows, "rk long, full_url string, title string").selectExpr(
+        "rk", "full_url", "title", "'' as company", "'' as tags")
+    want = sorted(sequential(rows))
+    for finish in (0, 50_000):
+        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"], finish_rows=finish).collect())
+        assert got == want
+
+
+def test_dense_positions_with_a_hot_table(spark):
+    """A table holding most rows is numbered across several partitions; the
+    numbers equal a row_number per table."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from listledger.operators.ordering import dense_positions
+
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("t"), (F.col("id") % 3).cast("string")))
+        .alias("sheet"), ((F.col("id") * 7919) % 5003).alias("k"), F.col("id"))
+    got = dense_positions(df, by=["sheet"], order=["k", "id"], out="pos", num_partitions=6)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("sheet").orderBy("k", "id")).cast("long"))
+    assert sorted(map(tuple, got.select("sheet", "id", "pos").collect())) == \
+        sorted(map(tuple, want.select("sheet", "id", "pos").collect()))
+    # the range partitioning splits the hot table: several partitions hold its rows
+    from listledger.session import materialize
+
+    ranged = materialize(df.repartitionByRange(6, "sheet", "k", "id").withColumn("_pid", F.spark_partition_id()))
+    assert ranged.where("sheet = 'hot'").select("_pid").distinct().count() > 1

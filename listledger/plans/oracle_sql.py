@@ -33,11 +33,11 @@ def is_polish(x: str) -> str:
 OFFERS = """offers as (
   select lang as group_title, cast(substring(source, 4) as int) as url_idx, doc_id as pos,
     concat('https://x.example/o/', cast((doc_id * 7919) % 800 as varchar)) as full_url,
-    case doc_id % 10 when 0 then concat(substring(text, 1, 40), ' programista')
-      when 1 then concat('ds. ', substring(text, 1, 40))
-      when 2 then concat('Kraków ', substring(text, 1, 40))
-      when 3 then concat('inżynier ', substring(text, 1, 40))
-      else substring(text, 1, 60) end as title,
+    case doc_id % 10 when 0 then concat(text, ' programista')
+      when 1 then concat('ds. ', text)
+      when 2 then concat('Kraków ', text)
+      when 3 then concat('inżynier ', text)
+      else text end as title,
     lang as company, '' as tags
   from documents)"""
 
@@ -158,7 +158,7 @@ ORACLES["dedup_content"] = f"""with {RUN} select group_title, url_idx, pos, titl
 where not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)"""
 
 ORACLES["dedup_ordered"] = "with recursive d as (select doc_id, concat('https://x.example/o/', " \
-    "cast((doc_id * 7919) % 800 as varchar)) as full_url, substring(text, 1, 60) as title, " \
+    "cast((doc_id * 7919) % 800 as varchar)) as full_url, text as title, " \
     "lang as company, '' as tags from documents),\n" + ordered_fold("d", "doc_id", "kept") + \
     "\nselect doc_id, full_url from kept"
 
@@ -500,7 +500,7 @@ ORACLES["unify_listings"] = f"({_A_ROWS}) union all ({_B_ROWS}) union all ({_C_R
 ORACLES["link_normalize"] = f"select source, link_slug, full_url from (({_A_ROWS}) union all ({_B_ROWS}) union all ({_C_ROWS}))"
 
 # upper() as in Python and Java: the sharp s becomes "SS"
-_UP = "upper(replace(substring(text, 1, 30), 'ß', 'ss'))"
+_UP = "upper(replace(text, 'ß', 'ss'))"
 ORACLES["title_badge"] = f"""select doc_id, {_UP} as raw_title,
   {trim_ws(f"replace({_UP}, 'NEW', '')")} as title from documents"""
 
@@ -545,7 +545,7 @@ ORACLES["full_run_pages"] = _PAGES_RUN + """select g.group_title,
 from grp g"""
 
 ORACLES["incremental_run"] = "with recursive " + OFFERS.replace(
-    "else substring(text, 1, 60) end as title", "else substring(text, 1, 60) end as title0") + f""",
+    "else text end as title,", "else text end as title0,") + f""",
 o2 as (select * exclude (title0), {trim_ws('title0')} as title from offers),
 marked as (select *, {is_polish('title')} as is_polish from o2),
 ledger as (select group_title as sheet, pos, title, company, tags, 'NEW' as status, full_url as link

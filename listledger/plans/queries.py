@@ -82,7 +82,7 @@ def q_dedup_ordered(spark, sf):
     d = table(spark, sf, "documents").select(
         "doc_id",
         F.concat(F.lit("https://x.example/o/"), ((F.col("doc_id") * 7919) % 800).cast("string")).alias("full_url"),
-        F.substring("text", 1, 60).alias("title"), F.col("lang").alias("company"), F.lit("").alias("tags"))
+        F.col("text").alias("title"), F.col("lang").alias("company"), F.lit("").alias("tags"))
     return dedup.dedup_ordered(d, ["doc_id"]).select("doc_id", "full_url")
 
 
@@ -399,7 +399,7 @@ def q_unify_listings(spark, sf):
 
 @query("title_badge")
 def q_title_badge(spark, sf):
-    raw = F.upper(F.substring("text", 1, 30))
+    raw = F.upper("text")
     return table(spark, sf, "documents").select("doc_id", raw.alias("raw_title"),
                                                 X.clean_badge(raw).alias("title"))
 

@@ -70,7 +70,8 @@ def watch_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B_offers: one listing per document.
+    """B_offers: one listing per document; the title is the whole text (with
+    a Polish marker on some), so every filter and key sees whole texts.
 
     Rank (batch order) is ``(group_title, url_idx, pos)``; it is carried as
     columns, never as a global row number.
@@ -78,11 +79,11 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     txt = F.col("text")
     title = (
-        F.when(F.col("doc_id") % 10 == 0, F.concat(F.substring(txt, 1, 40), F.lit(" programista")))
-        .when(F.col("doc_id") % 10 == 1, F.concat(F.lit("ds. "), F.substring(txt, 1, 40)))
-        .when(F.col("doc_id") % 10 == 2, F.concat(F.lit("Kraków "), F.substring(txt, 1, 40)))
-        .when(F.col("doc_id") % 10 == 3, F.concat(F.lit("inżynier "), F.substring(txt, 1, 40)))
-        .otherwise(F.substring(txt, 1, 60))
+        F.when(F.col("doc_id") % 10 == 0, F.concat(txt, F.lit(" programista")))
+        .when(F.col("doc_id") % 10 == 1, F.concat(F.lit("ds. "), txt))
+        .when(F.col("doc_id") % 10 == 2, F.concat(F.lit("Kraków "), txt))
+        .when(F.col("doc_id") % 10 == 3, F.concat(F.lit("inżynier "), txt))
+        .otherwise(txt)
     )
     return d.select(
         F.col("lang").alias("group_title"),

@@ -46,16 +46,25 @@ POLISH_WORDS = [
 # ---------------------------------------------------------------------------
 
 
-def _word_pattern(word: str) -> str:
+def _words_pattern(words: list[str], after: str) -> str:
     # \bX\b in Python: a boundary is a change between word and non-word
-    # characters. When X ends in a non-word character (the "ds." entry) the
-    # closing boundary needs a word character right after it.
-    last_is_word = word[-1].isalnum() or word[-1] == "_"
-    after = NOT_WORD_AFTER if last_is_word else rf"(?=[{WORD}])"
-    return f"{NOT_WORD_BEFORE}{word}{after}"
+    # characters; one shared look-behind for the whole alternation (checked
+    # once per position, not once per word).
+    return f"{NOT_WORD_BEFORE}(?:{'|'.join(words)}){after}"
 
 
-POLISH_PATTERN = "|".join([f"[{POLISH_LETTERS}]"] + [_word_pattern(w) for w in POLISH_WORDS])
+def _ends_in_word_char(w: str) -> bool:
+    return w[-1].isalnum() or w[-1] == "_"
+
+
+# Words ending in a word character need a non-word character (or the end)
+# after them; the "ds." entry ends in a non-word character, so its closing
+# boundary needs a word character right after it.
+POLISH_PATTERN = "|".join([
+    f"[{POLISH_LETTERS}]",
+    _words_pattern([w for w in POLISH_WORDS if _ends_in_word_char(w)], NOT_WORD_AFTER),
+    _words_pattern([w for w in POLISH_WORDS if not _ends_in_word_char(w)], rf"(?=[{WORD}])"),
+])
 
 
 def is_polish_title(title) -> Column:

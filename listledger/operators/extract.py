@@ -60,26 +60,12 @@ def page_markdown(html) -> Column:
     return squeeze_newlines(_markdown_udf(strip_elements(html)))
 
 
-# Page tables the optimizer estimates below this size are spread over all
-# cores before the Python parsers (a small table read from one file would
-# otherwise parse in one task); larger ones already arrive in many splits and
-# are not shuffled.
-SPREAD_BELOW_BYTES = 1 << 30
-
-
 def spread_pages(pages: DataFrame, basis: DataFrame | None = None) -> DataFrame:
-    """Repartition ``pages`` over all cores when ``basis`` (default: pages
-    itself; pass the page table when ``pages`` is a join result, whose size
-    estimate is no guide) is estimated small."""
-    spark = pages.sparkSession
-    try:
-        size = (basis if basis is not None else pages)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        est = int(size if isinstance(size, int) else size.toString())
-    except Exception:  # no estimate: leave the partitioning alone
-        return pages
-    if est < SPREAD_BELOW_BYTES:
-        return pages.repartition(spark.sparkContext.defaultParallelism)
-    return pages
+    """Spread a small page table over all cores before the Python parsers
+    (see ``session.spread_small``)."""
+    from ..session import spread_small
+
+    return spread_small(pages, basis)
 
 
 # ---------------------------------------------------------------------------

@@ -78,3 +78,26 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+# Tables the optimizer estimates below this size are spread over all cores
+# before row-heavy work (a small table read from one file, one row group, is
+# otherwise processed by one task); larger ones arrive in many splits and are
+# not shuffled.
+SPREAD_BELOW_BYTES = 1 << 30
+
+
+def spread_small(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+    """Repartition ``df`` over all cores when ``basis`` (default ``df``; pass
+    the scanned table when ``df`` is a join, whose size estimate is no guide)
+    is estimated below ``SPREAD_BELOW_BYTES``. Decided at planning time, from
+    the optimizer's statistics: no job runs."""
+    spark = df.sparkSession
+    try:
+        size = (basis if basis is not None else df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        est = int(size if isinstance(size, int) else size.toString())
+    except Exception:  # no estimate: leave the partitioning alone
+        return df
+    if est < SPREAD_BELOW_BYTES:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df

@@ -76,7 +76,9 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rank (batch order) is ``(group_title, url_idx, pos)``; it is carried as
     columns, never as a global row number.
     """
-    d = table(spark, sf_dir, "documents")
+    from ..session import spread_small
+
+    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     txt = F.col("text")
     title = (
         F.when(F.col("doc_id") % 10 == 0, F.concat(txt, F.lit(" programista")))

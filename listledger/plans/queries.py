@@ -81,7 +81,7 @@ def q_dedup_content(spark, sf):
 def q_dedup_ordered(spark, sf):
     from ..session import spread_small
 
-    d = spread_small(table(spark, sf, "documents").select("doc_id", "text", "lang")).select(
+    d = spread_small(table(spark, sf, "documents").select("doc_id", "text", "lang"), write=True).select(
         "doc_id",
         F.concat(F.lit("https://x.example/o/"), ((F.col("doc_id") * 7919) % 800).cast("string")).alias("full_url"),
         F.col("text").alias("title"), F.col("lang").alias("company"), F.lit("").alias("tags"))

@@ -87,11 +87,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 SPREAD_BELOW_BYTES = 1 << 30
 
 
-def spread_small(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+def spread_small(df: DataFrame, basis: DataFrame | None = None, write: bool = False) -> DataFrame:
     """Repartition ``df`` over all cores when ``basis`` (default ``df``; pass
     the scanned table when ``df`` is a join, whose size estimate is no guide)
     is estimated below ``SPREAD_BELOW_BYTES``. Decided at planning time, from
-    the optimizer's statistics: no job runs."""
+    the optimizer's statistics.
+
+    ``write``: also write the spread rows as a table (see ``materialize``).
+    The optimizer pushes filters below a repartition, so an expensive filter
+    (a regex over whole texts) would still run in the one scan task; a
+    written table is read back in as many splits as it was written."""
     spark = df.sparkSession
     try:
         size = (basis if basis is not None else df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -99,5 +104,6 @@ def spread_small(df: DataFrame, basis: DataFrame | None = None) -> DataFrame:
     except Exception:  # no estimate: leave the partitioning alone
         return df
     if est < SPREAD_BELOW_BYTES:
-        return df.repartition(spark.sparkContext.defaultParallelism)
+        spread = df.repartition(spark.sparkContext.defaultParallelism)
+        return materialize(spread, "spread") if write else spread
     return df

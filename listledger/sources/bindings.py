@@ -78,7 +78,7 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ..session import spread_small
 
-    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), write=True)
     txt = F.col("text")
     title = (
         F.when(F.col("doc_id") % 10 == 0, F.concat(txt, F.lit(" programista")))

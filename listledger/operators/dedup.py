@@ -98,7 +98,7 @@ def _finish_in_order(live: DataFrame, cks: list[str]) -> DataFrame:
 
 def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_url",
                   content: Sequence[str] = tuple(CONTENT), broadcast_rows: int = 1_000_000,
-                  finish_rows: int = 50_000) -> DataFrame:
+                  finish_rows: int = 50_000, hash_content: bool = True) -> DataFrame:
     """In ``order``, keep a row iff no earlier *kept* row has its URL or
     its content. Returns the kept rows of ``cands`` (all columns).
 
@@ -115,6 +115,10 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     long chains (1~2 by URL, 2~3 by content, ...) that would need a round per
     link. ``finish_rows=0`` runs rounds to the end.
 
+    Contents (whole texts) are replaced by a 64-bit hash for the rounds
+    when a check finds no two distinct contents with one hash; otherwise the
+    full contents are the key (``hash_content=False`` always keeps them).
+
     Skew: the per-key minima are partial aggregations, so a URL or a content
     shared by a third of all rows costs one row per map task; the keys chosen
     in a round are broadcast only when their counted size is below
@@ -126,6 +130,18 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     ck = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_c{i}") for i, c in enumerate(content)]
     cks = [f"_c{i}" for i in range(len(content))]
     base = cands.select(rk, F.coalesce(F.col(url_col), F.lit("")).alias("_u"), *ck)
+    if hash_content:
+        # Contents are whole texts: key the rounds by a 64-bit hash instead,
+        # once one aggregation has shown that no two distinct contents share a
+        # hash (partial aggregation: each map task ships each (hash, content)
+        # once). On a collision the full contents stay the key: still exact.
+        hashed = base.withColumn("_h", F.xxhash64(*[F.col(c) for c in cks]))
+        collides = (hashed.groupBy("_h").agg(F.countDistinct(*cks).alias("_n"))
+                    .where(F.col("_n") > 1).limit(1).count() > 0)
+        if not collides:
+            base = hashed.select("_rk", "_u", F.col("_h").alias("_c0"))
+            cks = ["_c0"]
+        log.info("dedup_ordered: content keys %s", "full (hash collision)" if collides else "hashed")
 
     # Twins (equal URL and content) keep only their first row: a later twin is
     # always dropped. Partial aggregation absorbs a hot twin group.

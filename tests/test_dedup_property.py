@@ -33,9 +33,10 @@ def test_random_inputs(spark):
     df = df.selectExpr("rk", "full_url", "title", "'' as company", "'' as tags")
     want = sorted(rk for rows in cases for rk in sequential(rows))
     # rounds to the end, rounds then an ordered tail, and the ordered tail alone
-    for finish in (0, 40, 10_000):
-        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"], finish_rows=finish).collect())
-        assert got == want, finish
+    for finish, hashed in ((0, True), (40, True), (10_000, True), (0, False), (10_000, False)):
+        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"], finish_rows=finish,
+                                                        hash_content=hashed).collect())
+        assert got == want, (finish, hashed)
     naive = sorted(r.rk for r in dedup.dedup_ordered_naive(df, ["rk"]).collect())
     assert naive != want
 

@@ -61,18 +61,14 @@ def split_discards(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
 def append_to_trash(kept: DataFrame, moved: DataFrame) -> DataFrame:
     """L3: moved rows go to the end of Trash, in (sheet, pos) order; columns are
     aligned by name (the reference copies cells by position)."""
-    trash_max = (
-        kept.where(F.col("sheet") == TRASH).agg(F.coalesce(F.max("pos"), F.lit(0)).alias("_base"))
-        .withColumn("_t", F.lit(TRASH))
-    )
+    # one scalar (the last Trash position), read once: no join against it
+    base = kept.where(F.col("sheet") == TRASH).agg(F.max("pos")).first()[0] or 0
     numbered = dense_positions(
         moved.withColumn("_t", F.lit(TRASH)).withColumnRenamed("sheet", "_from"),
         by=["_t"], order=["_from", "pos"], out="_n")
-    appended = (
-        numbered.join(F.broadcast(trash_max), "_t")  # one-row side
-        .select(F.col("_t").alias("sheet"), (F.col("_base") + F.col("_n")).cast("long").alias("pos"),
-                "title", "company", "tags", "status", "link")
-    )
+    appended = numbered.select(
+        F.col("_t").alias("sheet"), (F.lit(base) + F.col("_n")).cast("long").alias("pos"),
+        "title", "company", "tags", "status", "link")
     return kept.select(*LEDGER_COLUMNS).unionByName(appended)
 
 

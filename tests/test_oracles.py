@@ -19,6 +19,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     r = check(spark, con, SF, name, E.queries()[name], E.oracle_sql().get(name))
     assert r["status"] in ("ok", "rows-only"), r
+    assert not r["pair_join"], r   # no nested-loop or cartesian join anywhere
 
 
 def test_entry(spark):

@@ -43,7 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or a folder already set on the
-    context). Only when neither is set -- local tests -- a scratch folder is made.
+    context). Only a session whose master is ``local`` (one machine, tests) may do
+    without: it gets a scratch folder. On a cluster a missing setting is an
+    error, since a machine-local folder would be seen by one executor only.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="listledger-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -61,7 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)  # gone with the application
+    return path
+
+
+def drop_written(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,12 +6,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listledger.llm import bpe, simhash
-from listledger.llm.common import documents
+from listledger.llm import bpe, simhash, toxicity
+from listledger.llm.common import documents, fold
+from listledger.session import table
 
 ORACLES: dict[str, str] = {}
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicModel:
+    """Learned from all texts of ``documents`` and the labels of the folds 1 to 4 of 5."""
+    return toxicity.train(documents(spark, sf_dir), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, sf_dir).select("doc_id", "text"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, error=2)
 
@@ -34,6 +45,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
 }

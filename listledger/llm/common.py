@@ -29,6 +29,14 @@ def fold(column: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % n, F.lit(0))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, made from ``name``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

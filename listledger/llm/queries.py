@@ -6,13 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listledger.llm import bpe, simhash, toxicity
+from listledger.llm import bpe, decontam, secrets, simhash, toxicity
 from listledger.llm.common import documents, fold
 from listledger.session import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    spans = F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_candidates", F.size("secrets").cast("bigint").alias("n_secrets"), spans.alias("spans"))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicModel:
     """Learned from all texts of ``documents`` and the labels of the folds 1 to 4 of 5."""
     return toxicity.train(documents(spark, sf_dir), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
@@ -44,8 +51,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_secrets": op2_secrets,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
+    "op8_decontaminate": op8_decontaminate,
 }

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listledger.llm.common import text_rows, words, write_through
+from listledger.llm.common import fresh, text_rows, words, write_through
 from listledger.llm.components import components
 
 SEED = 42
@@ -252,14 +252,15 @@ def keep_first(df: DataFrame, shingle: int = 3, error: int = 2, text: str = "tex
     rows without an id one stays where no other member has one)."""
     prints = write_through(fingerprints(df, shingle, text, id_col), "prints")
     linked = write_through(link_fingerprints(prints, error, id_col=id_col), "linked")
-    named = linked.where("component_id is not null").select(F.col("component_id").alias("_keep")).distinct()
-    kept = df.join(named, F.col(id_col) == F.col("_keep"), "left_semi").dropDuplicates([id_col])
+    named = linked.where("component_id is not null").select(F.col("component_id").alias(id_col)).distinct()
+    kept = df.join(named, id_col, "left_semi").dropDuplicates([id_col])
     nameless = df.where(F.col(id_col).isNull())
     if nameless.isEmpty():
         return kept
     alone = linked.where("component_id is null").select("fp")
     first = alone.join(components(near_links(alone, error)).withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("_root"))
-    own = nameless.withColumn("_id", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))  # equal texts are one row
-    of = fingerprints(own.select("_id", text).dropDuplicates(["_id"]), shingle, text, "_id").join(first, "fp")
-    chosen = of.groupBy("_root").agg(F.min("_id").alias("_id")).select("_id")
-    return kept.unionByName(own.join(chosen, "_id", "left_semi").dropDuplicates(["_id"]).select(*df.columns))
+    key = fresh(df, "_id")
+    own = nameless.withColumn(key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))  # equal texts are one row
+    of = fingerprints(own.select(key, text).dropDuplicates([key]), shingle, text, key).join(first, "fp")
+    chosen = of.groupBy("_root").agg(F.min(key).alias(key)).select(key)
+    return kept.unionByName(own.join(chosen, key, "left_semi").dropDuplicates([key]).select(*df.columns))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listledger.llm.common import fold, text_rows, write_through
+from listledger.llm.common import fold, fresh, text_rows, write_through
 
 #: Letters of the character model, by code; 0 is a word's edge, 63 any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáãåæçèéêëìíîïñòóôöõøœùúûüýÿß"
@@ -252,7 +252,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str =
     ``sample``: most labelled rows used; ``least``: fewest toxic documents that a feature must be in."""
     ids = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).alias("label"))
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # bounded by the parameter, so it may be broadcast
-    rows = docs.join(F.broadcast(ids), F.col(id_col) == F.col("_id")).select("_id", F.col(text).alias("text"), "label")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(ids), "_id").select("_id", "text", "label")
     rows = write_through(rows.dropDuplicates(["_id"]), "labelled")
     chars = CharModel.of_counts(count_characters(docs, text))
     part = fold("_id", 1000) % 4
@@ -293,6 +294,6 @@ def score(df: DataFrame, model: ToxicModel, text: str = "text", name: str = "sco
     """``df`` with the probability that its text is toxic."""
     if model.coef is None:
         return df.withColumn(name, F.lit(float(model.base)))
-    bias, *w = map(float, model.coef)
-    line = F.lit(bias) + sum(F.lit(x) * F.col(f"_e.{f}") for x, f in zip(w, ("top", "many", "share", "sum3")))
-    return evidence(df, model, text, "_e").withColumn(name, 1 / (1 + F.exp(-line))).drop("_e")
+    own, (bias, *w) = fresh(df, "_evidence"), map(float, model.coef)
+    line = F.lit(bias) + sum(F.lit(x) * F.col(f"{own}.{f}") for x, f in zip(w, ("top", "many", "share", "sum3")))
+    return evidence(df, model, text, own).withColumn(name, 1 / (1 + F.exp(-line))).drop(own)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listledger.llm import bpe, decontam, secrets, simhash, toxicity
+from listledger.llm import bpe, chat, decontam, quality, secrets, simhash, toxicity, urlfilter
 from listledger.llm.common import documents, fold
 from listledger.session import table
 
@@ -55,7 +55,54 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql("select -7L conv_id, id turn, if(id = 0, 'user', 'assistant') role, '</s>[INST] ok [/INST]' text from range(2)")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    out = chat.format_chats(rows).withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("learned", chat.read_loss(F.col("segments")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "valid",
+    )
+
+
+ORACLES["op10_chat"] = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), told as (
+  select *, row_number() over w as k, lag(role, 1, 'start') over w as before, lead(role) over w is null as last,
+    length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + 23 as chars,
+    before || '>' || role in ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') and (not last or role = 'assistant') as ok
+  from rows window w as (partition by conv_id order by turn nulls first, role, text)
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
+  cast(sum(if(role = 'assistant', length(text), 0)) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by k) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars, bool_and(ok) as valid
+from told group by conv_id
+"""
+
+
 QUERIES = {
+    "op6_urls": op6_urls,
+    "op9_quality": op9_quality,
+    "op10_chat": op10_chat,
     "op2_secrets": op2_secrets,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,

@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listledger.llm import bpe, chat, decontam, quality, secrets, simhash, toxicity, urlfilter
+from listledger.llm import bpe, chat, decontam, ngram, quality, secrets, simhash, toxicity, urlfilter
 from listledger.llm.common import documents, fold
 from listledger.session import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op1_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, model = ngram.train_and_score(documents(spark, sf_dir), *ngram.by_fold())
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = secrets.scan(docs, secrets.train(docs))
@@ -100,6 +105,7 @@ from told group by conv_id
 
 
 QUERIES = {
+    "op1_interpolation": op1_interpolation,
     "op6_urls": op6_urls,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,

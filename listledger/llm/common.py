@@ -50,3 +50,17 @@ def text_rows(batches: Iterator, *columns: str) -> Iterator[tuple[list, ...]]:
     """Per Arrow batch, its columns as Python lists."""
     for batch in batches:
         yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
+
+
+def joined(texts: Iterator[str | None], between: str, size: int = 1 << 20) -> Iterator[str]:
+    """The texts in strings of at least ``size`` characters (but the last): short ones joined by ``between``, long ones cut."""
+    held, n = [], 0
+    for text in texts:
+        for k in range(0, len(text or ""), size):
+            held.append(text[k : k + size])
+            n += len(held[-1])
+            if n >= size:
+                yield between.join(held)
+                held, n = [], 0
+    if held:
+        yield between.join(held)

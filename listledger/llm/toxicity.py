@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listledger.llm.common import fold, fresh, text_rows, write_through
+from listledger.llm.common import fold, fresh, joined, text_rows, write_through
 
 #: Letters of the character model, by code; 0 is a word's edge, 63 any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáãåæçèéêëìíîïñòóôöõøœùúûüýÿß"
@@ -39,6 +39,7 @@ STANDS_FOR = {
 JOINERS = ".-_~·'*"
 COST_SIGN, COST_JOINER, COST_REPEAT = 1.0, 0.4, 0.7  # of an edit, in nats
 STEMS = (4, 5, 6)  # lengths of the word beginnings that carry evidence
+LEAST = min(STEMS)
 
 _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(f"{_LETTER}+")
@@ -112,6 +113,9 @@ def decode(token: str, model: CharModel) -> str:
 
 def restore(token: str, model: CharModel | None) -> list[str]:
     """The words of a lower-case token, after deobfuscation where it shows signs of a disguise."""
+    bare = token.rstrip(".,;:?")
+    if bare.isalpha() and not _REPEATED.search(bare):  # most tokens: one path, themselves
+        return [bare]
     plain = _WORDS.findall(token)
     if model is None or len(token) > 64:  # no disguise is that long; its own words count
         return plain
@@ -151,8 +155,13 @@ class ToxicModel:
     coef: np.ndarray | None = None
     base: float = 0.5
 
+    def __post_init__(self):
+        self.starts = {f.lstrip("^")[:LEAST] for f in self.weights}
+
     def evidence(self, word: str) -> float:
         """Mean weight of the word and its stems: a stem that clean documents share speaks for the word."""
+        if word[:LEAST] not in self.starts:
+            return 0.0
         own = features_of(word)
         return sum(self.weights.get(f, 0.0) for f in own) / len(own)
 
@@ -192,11 +201,10 @@ def count_characters(df: DataFrame, text: str) -> np.ndarray:
     def run(batches):
         table, total = letter_codes(), np.zeros(CODES**3, np.int64)
         for (texts,) in text_rows(batches, text):
-            for t in texts:
-                for k in range(0, len(t or ""), 1 << 20):
-                    points = np.frombuffer(t[k : k + (1 << 20)].lower().encode("utf-32-le", "surrogatepass"), "<u4")
-                    codes = np.concatenate(([0, 0], np.where(points < 0x250, table[np.minimum(points, 0x24F)], 0), [0]))
-                    total += np.bincount((codes[:-2] * CODES + codes[1:-1]) * CODES + codes[2:], minlength=CODES**3)
+            for part in joined(texts, "  "):
+                points = np.frombuffer(part.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+                codes = np.concatenate(([0, 0], np.where(points < 0x250, table[np.minimum(points, 0x24F)], 0), [0]))
+                total += np.bincount((codes[:-2] * CODES + codes[1:-1]) * CODES + codes[2:], minlength=CODES**3)
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["gram", "n"])
 
@@ -247,7 +255,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", id_col: str = "doc_id", sample: int = 100_000, least: int = 5) -> ToxicModel:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", id_col: str = "doc_id", sample: int = 50_000, least: int = 5) -> ToxicModel:
     """Learn from the labelled rows of ``docs``; the caller leaves out of ``labels`` what must not be learned from.
     ``sample``: most labelled rows used; ``least``: fewest toxic documents that a feature must be in."""
     ids = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).alias("label"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listledger.llm import bpe, chat, decontam, ngram, quality, secrets, simhash, toxicity, urlfilter
+from listledger.llm import bpe, chat, decontam, ngram, pii, quality, secrets, simhash, toxicity, urlfilter
 from listledger.llm.common import documents, fold
 from listledger.session import table
 
@@ -25,6 +25,15 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_candidates", F.size("secrets").cast("bigint").alias("n_secrets"), spans.alias("spans"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicModel:
     """Learned from all texts of ``documents`` and the labels of the folds 1 to 4 of 5."""
     return toxicity.train(documents(spark, sf_dir), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
@@ -110,6 +119,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
     "op2_secrets": op2_secrets,
+    "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,

@@ -7,7 +7,7 @@ company and the tags. The extractor is one function for every such source.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from .htmltree import Node, parse
 
@@ -93,6 +93,20 @@ SOURCE_B = CardSource(
     max_tags=5,
 )
 
+def _of_linked_card(n: Node) -> bool:
+    if not SOURCE_B.title(n):
+        return False
+    card = n.parent
+    while card is not None and card.tag != "a":
+        card = card.parent
+    if card is None or "href" not in card.attrs:
+        raise ValueError("card without a link")
+    return True
+
+
+# Source B for a reader that refuses cards without a link (they become rejects, E15).
+LINKED_B = replace(SOURCE_B, name="B", title=_of_linked_card)
+
 SOURCE_C = CardSource(
     name="C",
     scope=id_is("main-offers-listing"),

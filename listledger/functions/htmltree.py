@@ -139,16 +139,16 @@ def parse(html: str) -> Node:
         elif start is not None:
             tag = start.lower()
             raw = m.group(4) or ""
-            selfclose = raw.rstrip().endswith("/")
-            attrs = {}
+            attrs, used = {}, 0
             for a in _ATTR.finditer(raw):
+                used = a.end()
                 name = a.group(1).lower()
                 if name == "/":
                     continue
                 v = a.group(2) if a.group(2) is not None else a.group(3) if a.group(3) is not None else a.group(4)
                 v = "" if v is None else (unescape(v) if "&" in v else v)
-                if name not in attrs:
-                    attrs[name] = v
+                attrs[name] = v  # of equal names the last counts
+            selfclose = raw[used:].rstrip().endswith("/")  # a slash inside an unquoted value is part of it
             node = Node(tag, attrs, top)
             top.children.append(node)
             if tag in _RAW_TEXT:

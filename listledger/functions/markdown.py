@@ -46,34 +46,49 @@ def _text(node: str, parent: Node, idx: int, ctx: frozenset) -> str:
     return text
 
 
-def _children(node: Node, ctx: frozenset) -> str:
-    out = [""]
-    for i, ch in enumerate(node.children):
-        if isinstance(ch, str):
-            s = _text(ch, node, i, ctx)
-        elif ch.tag == "#comment":
-            continue
-        else:
-            s = _convert(ch, ctx)
-        if not s:
-            continue
-        lead, body, trail = _EDGE_NL.match(s).groups()
-        if out[-1] and lead:
-            prev_trail = out.pop()
-            lead = "\n" * min(2, max(len(prev_trail), len(lead)))
-        out.extend([lead, body, trail])
-    return "".join(out)
-
-
-def _convert(el: Node, ctx: frozenset) -> str:
+def _append(out: list, s: str) -> None:
+    """Join a rendered child to its parent's pieces, with at most one blank line between."""
+    if not s:
+        return
+    lead, body, trail = _EDGE_NL.match(s).groups()
+    if out[-1] and lead:
+        prev_trail = out.pop()
+        lead = "\n" * min(2, max(len(prev_trail), len(lead)))
+    out.extend([lead, body, trail])
+
+
+def _inner(tag: str, ctx: frozenset) -> frozenset:
+    """The context of an element's children."""
+    ctx = ctx | {tag}
+    if HEADING.match(tag) or tag in ("td", "th"):
+        ctx = ctx | {"_inline"}
+    if tag in ("pre", "code", "kbd", "samp"):
+        ctx = ctx | {"_noformat"}
+    return ctx
+
+
+def _render(root: Node) -> str:
+    """Children before their element, on a stack of our own: a page may nest as deep as it likes."""
+    frames = [(root, frozenset(), frozenset(), [""], iter(enumerate(root.children)))]
+    while True:
+        node, ctx, inner, out, rest = frames[-1]
+        i, child = next(rest, (-1, None))
+        if child is None:
+            frames.pop()
+            text = "".join(out)
+            if not frames:
+                return text
+            _append(frames[-1][3], _wrap(node, ctx, text))
+        elif isinstance(child, str):
+            _append(out, _text(child, node, i, inner))
+        elif child.tag != "#comment":
+            frames.append((child, inner, _inner(child.tag, inner), [""], iter(enumerate(child.children))))
+
+
+def _wrap(el: Node, ctx: frozenset, text: str) -> str:
+    """The Markdown of an element from that of its children."""
     tag = el.tag
-    child_ctx = ctx | {tag}
     h = HEADING.match(tag)
-    if h or tag in ("td", "th"):
-        child_ctx = child_ctx | {"_inline"}
-    if tag in ("pre", "code", "kbd", "samp"):
-        child_ctx = child_ctx | {"_noformat"}
-    text = _children(el, frozenset(child_ctx))
     inline = "_inline" in ctx
     if h:
         if inline:
@@ -136,4 +151,4 @@ def _convert(el: Node, ctx: frozenset) -> str:
 def html_to_markdown(html: str) -> str:
     """Markdown of an HTML page (already stripped of script/style/noscript)."""
     root = parse(html or "")
-    return _children(root, frozenset()).strip("\n")
+    return _render(root).strip("\n")

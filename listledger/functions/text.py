@@ -97,11 +97,12 @@ def url_query_value(url, key: str) -> Column:
     skipped, as Python does; key and value are percent-decoded with ``+`` as
     space. An undecodable value is kept as written.
     """
-    query = F.coalesce(F.try_parse_url(col(url), F.lit("QUERY")), F.lit(""))
+    query = F.regexp_extract(_after_netloc(url), r"(?s)^[^?#]*\?([^#]*)", 1)
     pairs = F.filter(F.split(query, "&", -1), lambda p: p.contains("="))
 
     def dec(x):
-        return F.coalesce(F.try_url_decode(x), F.regexp_replace(x, r"\+", " "))
+        # a percent sign that starts no escape stays as it is
+        return F.coalesce(F.try_url_decode(F.regexp_replace(x, "%(?![0-9A-Fa-f]{2})", "%25")), F.regexp_replace(x, r"\+", " "))
 
     hits = F.filter(
         F.transform(pairs, lambda p: F.struct(
@@ -114,14 +115,26 @@ def url_query_value(url, key: str) -> Column:
     return F.coalesce(F.try_element_at(hits, F.lit(1)), F.lit(""))
 
 
+def _after_scheme(url) -> Column:
+    """The URL without its scheme. Split by pattern, as ``urlparse`` does: a URL with a blank, ``|`` or ``%zz`` is
+    one too. Line breaks and tabs go, leading control characters and blanks as well."""
+    u = F.translate(F.coalesce(col(url), F.lit("")), "\t\r\n", "")
+    u = F.regexp_replace(u, r"^[\x00-\x20]+", "")
+    return F.regexp_replace(u, "^[A-Za-z][A-Za-z0-9+.-]*:", "")
+
+
+def _after_netloc(url) -> Column:
+    return F.regexp_replace(_after_scheme(url), "^//[^/?#]*", "")
+
+
 def url_path(url) -> Column:
     """``urlparse(url).path``: raw path, ``;params`` of the last segment cut."""
-    p = F.coalesce(F.try_parse_url(col(url), F.lit("PATH")), F.lit(""))
+    p = F.regexp_extract(_after_netloc(url), "(?s)^([^?#]*)", 1)
     return F.regexp_replace(p, ";[^/]*$", "")
 
 
 def url_netloc(url) -> Column:
-    return F.coalesce(F.try_parse_url(col(url), F.lit("AUTHORITY")), F.lit(""))
+    return F.regexp_extract(_after_scheme(url), "^//([^/?#]*)", 1)
 
 
 def derive_title(url) -> Column:

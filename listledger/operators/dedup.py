@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
-from ..session import checkpoint_dir, materialize
+from ..session import checkpoint_dir, drop_table, materialize
 from .filters import holds_url
 
 log = logging.getLogger(__name__)
@@ -65,40 +65,23 @@ def drop_known_urls(cands: DataFrame, urls: DataFrame, url_col: str = "full_url"
 
 def drop_known_content(cands: DataFrame, records: DataFrame) -> DataFrame:
     """Drop candidates whose (title, company, tags) equals a known record,
-    case-sensitive, as an equi anti join (no nested loop)."""
-    keys = records.select(*CONTENT).distinct()
-    return cands.join(keys, CONTENT, "left_anti")
-
-
-def _finish_in_order(live: DataFrame, cks: list[str]) -> DataFrame:
-    """The greedy rule, row after row, on a live set whose size was counted
-    and found small. No live row shares a key with a kept one, so the rule on
-    the live rows alone decides exactly what the rounds would."""
-    rk_type = live.schema["_rk"].dataType
-    names = [f.name for f in rk_type.fields]
-    flat = live.select(*[F.col("_rk")[n].alias(f"_r{i}") for i, n in enumerate(names)], "_u", *cks)
-    rcols = [f"_r{i}" for i in range(len(names))]
-    out_schema = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(rcols, rk_type.fields))
-
-    def run(pdf):
-        pdf = pdf.sort_values(rcols, na_position="first", kind="stable")
-        seen_u, seen_c, keep = set(), set(), []
-        for u, c in zip(pdf["_u"], zip(*[pdf[k] for k in cks])):
-            ok = u not in seen_u and c not in seen_c
-            keep.append(ok)
-            if ok:
-                seen_u.add(u)
-                seen_c.add(c)
-        return pdf.loc[keep, rcols]
-
-    kept = flat.groupBy(F.lit(0).alias("_all")).applyInPandas(run, out_schema)
-    return kept.select(F.struct(*[F.col(c).cast(f.dataType).alias(f.name)
-                                  for c, f in zip(rcols, rk_type.fields)]).alias("_rk"))
+    case-sensitive.
+
+    Contents are whole texts, so the join key is their 64-bit hash and the known
+    side ships hashes only. Candidates whose hash is known are then compared
+    by text with the records of those hashes: exact whatever collides."""
+    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CONTENT])
+    known = records.select(*CONTENT, h.alias("_h"))
+    hashed = cands.withColumn("_h", h)
+    hashes = known.select("_h").distinct()
+    fresh = hashed.join(hashes, "_h", "left_anti")
+    maybe = hashed.join(hashes, "_h", "left_semi")
+    texts = known.join(maybe.select("_h").distinct(), "_h", "left_semi").select("_h", *CONTENT).distinct()
+    return fresh.unionByName(maybe.join(texts, ["_h", *CONTENT], "left_anti").select(fresh.columns)).drop("_h")
 
 
 def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_url",
-                  content: Sequence[str] = tuple(CONTENT), broadcast_rows: int = 1_000_000,
-                  finish_rows: int = 50_000, hash_content: bool = True) -> DataFrame:
+                  content: Sequence[str] = tuple(CONTENT), hash_content: bool = True) -> DataFrame:
     """In ``order``, keep a row iff no earlier *kept* row has its URL or
     its content. Returns the kept rows of ``cands`` (all columns).
 
@@ -106,23 +89,18 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     order. Each round keeps every live row that is the earliest live row of
     both its URL and its content (such a row cannot have a kept predecessor),
     then drops the live rows sharing a URL or a content with them. Rounds
-    repeat until nothing is live: exact, with no cap. Every round is cut
-    from the lineage by a table written to the checkpoint folder. ``order`` must be a unique key.
-
-    Once the live rows are counted at or below ``finish_rows`` (a fixed bound,
-    like a broadcast threshold), the rest is decided in rank order in one
-    task: exact, since no live row shares a key with a kept one, and it ends
-    long chains (1~2 by URL, 2~3 by content, ...) that would need a round per
-    link. ``finish_rows=0`` runs rounds to the end.
+    repeat until nothing is live: exact, with no cap, one path for all sizes.
+    Every round is cut from the lineage by a table written to the checkpoint
+    folder, and the table before it is deleted. ``order`` must be a unique key.
+    A chain (1~2 by URL, 2~3 by content, ...) takes a round for two links.
 
     Contents (whole texts) are replaced by a 64-bit hash for the rounds
     when a check finds no two distinct contents with one hash; otherwise the
     full contents are the key (``hash_content=False`` always keeps them).
 
     Skew: the per-key minima are partial aggregations, so a URL or a content
-    shared by a third of all rows costs one row per map task; the keys chosen
-    in a round are broadcast only when their counted size is below
-    ``broadcast_rows``, otherwise the anti joins shuffle (AQE splits skew).
+    shared by a third of all rows costs one row per map task; the anti joins
+    are equi joins that AQE broadcasts by measured bytes or splits by skew.
     """
     spark = cands.sparkSession
     checkpoint_dir(spark)
@@ -145,37 +123,25 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
 
     # Twins (equal URL and content) keep only their first row: a later twin is
     # always dropped. Partial aggregation absorbs a hot twin group.
-    t0 = time.time()
     live = materialize(base.groupBy("_u", *cks).agg(F.min("_rk").alias("_rk")), "dedup-live")
-    n_live = live.count()
-    log.info("dedup_ordered: %d rows after twins collapsed, %.2fs", n_live, time.time() - t0)
-    kept_parts = []
+    kept = None
     rounds = 0
-    while n_live > 0:
-        if n_live <= finish_rows:
-            # a counted, bounded tail: decide it in one task instead of more rounds
-            kept_parts.append(_finish_in_order(live, cks))
-            log.info("dedup_ordered: last %d rows decided in order", n_live)
-            break
+    while not live.isEmpty():
         rounds += 1
         t0 = time.time()
         mu = live.groupBy("_u").agg(F.min("_rk").alias("_rk"))
         mc = live.groupBy(*cks).agg(F.min("_rk").alias("_rk"))
-        sel = mu.join(mc, "_rk")  # re-derived from this round's written table when used again
-        kept_parts.append(sel.select("_rk"))
-        sel_u = sel.select("_u")
-        sel_c = sel.select(*cks)
-        if n_live <= broadcast_rows:  # sel has at most n_live rows: a counted bound
-            sel_u, sel_c = F.broadcast(sel_u), F.broadcast(sel_c)
-        live = materialize(live.join(sel_u, "_u", "left_anti").join(sel_c, cks, "left_anti"), "dedup-live")
-        n_live = live.count()
-        log.info("dedup_ordered: round %d, %d rows still live, %.2fs", rounds, n_live, time.time() - t0)
-
-    if not kept_parts:
+        sel = materialize(mu.join(mc, "_rk"), "dedup-kept")
+        part = sel.select("_rk")
+        kept = part if kept is None else kept.unionByName(part)
+        rest = live.join(sel.select("_u"), "_u", "left_anti").join(sel.select(*cks), cks, "left_anti")
+        before, live = live, materialize(rest, "dedup-live")
+        drop_table(before)
+        log.info("dedup_ordered: round %d, %.2fs", rounds, time.time() - t0)
+    drop_table(live)
+    log.info("dedup_ordered: %d rounds", rounds)
+    if kept is None:
         return cands.limit(0)
-    kept = kept_parts[0]
-    for p in kept_parts[1:]:
-        kept = kept.unionByName(p)
     return cands.withColumn("_rk", rk).join(kept, "_rk", "left_semi").drop("_rk")
 
 

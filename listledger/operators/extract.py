@@ -48,24 +48,35 @@ def squeeze_newlines(md) -> Column:
     return F.regexp_replace(col(md), r"\n{3,}", "\n\n")
 
 
-@F.pandas_udf(T.StringType())
-def _markdown_udf(html: pd.Series) -> pd.Series:
+@F.pandas_udf(T.StructType([T.StructField("md", T.StringType()), T.StructField("error", T.StringType())]))
+def _markdown_udf(html: pd.Series) -> pd.DataFrame:
     from ..functions.markdown import html_to_markdown
 
-    return html.map(lambda h: None if h is None else html_to_markdown(h))
+    def one(h):
+        try:
+            if h is None:
+                raise ValueError("page has no content")
+            return html_to_markdown(h), None
+        except Exception as e:  # E16: a bad page gives no Markdown, the run goes on
+            return None, f"{type(e).__name__}: {e}"
+
+    return pd.DataFrame([one(h) for h in html], columns=["md", "error"])
 
 
 def page_markdown(html) -> Column:
-    """E1 -> E2 -> E3: Markdown of a page (ATX headings)."""
-    return squeeze_newlines(_markdown_udf(strip_elements(html)))
+    """E1 -> E2 -> E3: Markdown of a page (ATX headings); null for a page that fails."""
+    return squeeze_newlines(_markdown_udf(strip_elements(html))["md"])
+
 
+def markdown_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``md`` and ``error`` (E16) in place of ``html``."""
+    rows = pages.withColumn("_md", _markdown_udf(strip_elements("html"))).drop("html")
+    return rows.withColumn("md", squeeze_newlines("_md.md")).withColumn("error", F.col("_md.error")).drop("_md")
 
-def spread_pages(pages: DataFrame, basis: DataFrame | None = None) -> DataFrame:
-    """Spread a small page table over all cores before the Python parsers
-    (see ``session.spread_small``)."""
-    from ..session import spread_small
 
-    return spread_small(pages, basis)
+def markdown_rejects(pages: DataFrame) -> DataFrame:
+    """E16 for source A: pages that failed, with the error."""
+    return markdown_rows(pages).where(F.col("error").isNotNull()).select("page_id", "url", "error")
 
 
 # ---------------------------------------------------------------------------
@@ -98,7 +109,7 @@ def md_card_fields(cards: DataFrame) -> DataFrame:
     salary = F.when(has_sep, first_or(sal_lines, 1, A_DEFAULT_SALARY)).otherwise(first_or(all_lines, 1, A_DEFAULT_SALARY))
     company = F.when(has_sep, first_or(details, 1, A_DEFAULT)).otherwise(F.lit(A_DEFAULT))
     location = F.when(has_sep, first_or(details, 2, A_DEFAULT)).otherwise(F.lit(A_DEFAULT))
-    remaining = F.when(has_sep, F.slice(details, 3, 1 << 20)).otherwise(F.array().cast("array<string>"))
+    remaining = F.when(has_sep, F.slice(details, F.lit(3), F.greatest(F.size(details) - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
 
     def is_age(x):
         return (x.contains("left") & x.rlike("[0-9]")) | x.contains("New")
@@ -127,11 +138,9 @@ def extract_markdown_source(pages: DataFrame, md_col: str = "md") -> DataFrame:
     return md_card_fields(md_cards(pages, md_col))
 
 
-def extract_source_a(pages: DataFrame, spread: bool = True) -> DataFrame:
-    """Source A from raw HTML pages: E1-E3 then E4-E7."""
-    pages = spread_pages(pages) if spread else pages
-    md = pages.select(*[c for c in pages.columns if c != "html"], page_markdown("html").alias("md"))
-    return extract_markdown_source(md)
+def extract_source_a(pages: DataFrame) -> DataFrame:
+    """Source A from raw HTML pages: E1-E3 then E4-E7. A page that fails gives no cards."""
+    return extract_markdown_source(markdown_rows(pages).where(F.col("error").isNull()).drop("error"))
 
 
 # ---------------------------------------------------------------------------
@@ -173,7 +182,7 @@ def _card_rows(sources: dict, carry: list[str]):
     return run
 
 
-def html_card_rows(pages: DataFrame, source: C.CardSource | dict, spread: bool = True) -> DataFrame:
+def html_card_rows(pages: DataFrame, source: C.CardSource | dict) -> DataFrame:
     """E8/E9 raw rows, rejects included (``error`` set). ``source`` is one
     card source, or a dict name -> source picked per page by its ``source``
     column (one pass over the pages for every HTML source)."""
@@ -186,7 +195,7 @@ def html_card_rows(pages: DataFrame, source: C.CardSource | dict, spread: bool =
         sources = source
         p = pages.select(F.col("page_id").cast("long"), "url", "html", "source", *carry)
     schema = T.StructType(CARD_SCHEMA.fields + [pages.schema[c] for c in carry])
-    return (spread_pages(p) if spread else p).mapInPandas(_card_rows(sources, carry), schema)
+    return p.mapInPandas(_card_rows(sources, carry), schema)
 
 
 def extract_rejects(rows: DataFrame) -> DataFrame:
@@ -221,9 +230,9 @@ def extract_html_source(pages: DataFrame, source: C.CardSource) -> DataFrame:
     return html_card_listings(html_card_rows(pages, source))
 
 
-def extract_html_sources(pages: DataFrame, sources: dict, spread: bool = True) -> DataFrame:
+def extract_html_sources(pages: DataFrame, sources: dict) -> DataFrame:
     """Every HTML card source in one pass; ``pages`` carries ``source``."""
-    return html_card_listings(html_card_rows(pages, sources, spread))
+    return html_card_listings(html_card_rows(pages, sources))
 
 
 def unify(*parts: DataFrame) -> DataFrame:

@@ -124,23 +124,32 @@ def to_ledger_rows(new: DataFrame, sheet_col: str = "group_title", order: Sequen
     )
 
 
+def migrated(title: Column, link: Column) -> tuple[Column, Column]:
+    """Title and link of a row of the older form: a ``=HYPERLINK`` formula with at least 4 ``"``-pieces
+    holds both (pieces 4 and 2); any other row stays."""
+    pieces = F.split(title, '"', -1)
+    is_formula = F.coalesce(title.contains("=HYPERLINK") & (F.size(pieces) >= 4), F.lit(False))
+    return (F.when(is_formula, F.element_at(pieces, 4)).otherwise(title),
+            F.when(is_formula, F.element_at(pieces, 2)).otherwise(link))
+
+
 def prepend(ledger: DataFrame, rows: DataFrame) -> DataFrame:
-    """L8 (+ L9): new rows on top of their table in batch order, then the old
-    rows in their order. Tables without new rows are left as they are."""
+    """New rows on top of their table in batch order, then the old
+    rows in their order, migrated. Tables without new rows are left as they are."""
     ocols = sorted([c for c in rows.columns if c.startswith("_o")])
     touched = rows.select("sheet").distinct()
-    old_t = ledger.join(touched, "sheet", "left_semi")
+    title, link = migrated(F.col("title"), F.col("link"))
+    old_t = ledger.join(touched, "sheet", "left_semi").withColumns({"title": title, "link": link})
     untouched = ledger.join(touched, "sheet", "left_anti").select(*LEDGER_COLUMNS)
 
     def okey(df, is_new: bool):
         # one order key for both: (0, rank...) for new rows, (1, pos) for old
-        vals = [F.col(c).cast("string") if i == 0 else F.col(c).cast("long") for i, c in enumerate(ocols)]
+        vals = [F.col(c).cast("long") for c in ocols]
         if is_new:
             return df.select("sheet", "title", "company", "tags", "status", "link",
                              F.lit(0).alias("_new"), *[v.alias(f"_k{i}") for i, v in enumerate(vals)],
                              F.lit(None).cast("long").alias("_old"))
-        nulls = [(F.lit(None).cast("string") if i == 0 else F.lit(None).cast("long")).alias(f"_k{i}")
-                 for i in range(len(ocols))]
+        nulls = [F.lit(None).cast("long").alias(f"_k{i}") for i in range(len(ocols))]
         return df.select("sheet", "title", "company", "tags", "status", "link",
                          F.lit(1).alias("_new"), *nulls, F.col("pos").cast("long").alias("_old"))
 
@@ -198,7 +207,7 @@ def migrate_rows(raw: DataFrame) -> DataFrame:
 
 
 def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: DataFrame | None = None) -> DataFrame:
-    """L2 + L3 + L8 + L5 fused into one range-partitioned numbering pass.
+    """L2 + L3 + L8 + L10 + L5 fused into one range-partitioned numbering pass.
 
     The steps compose into one sort key per table, because re-bucketing is a
     stable sort on the status alone: rows moved to Trash follow Trash's own
@@ -223,10 +232,15 @@ def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: Da
     ocols = sorted([c for c in new_rows.columns if c.startswith("_o")]) if new_rows is not None else []
     keys = [f"_k{i}" for i in range(len(ocols))]
 
-    def key_type(i):
-        return "string" if i == 0 else "long"
-
-    old = old.select("*", *[F.lit(None).cast(key_type(i)).alias(k) for i, k in enumerate(keys)])
+    old = old.select("*", *[F.lit(None).cast("long").alias(k) for k in keys])
+    if new_rows is not None:
+        # putting rows on a table rewrites its old rows to the canonical form (L10); other tables keep theirs
+        touched = new_rows.select("sheet").distinct().withColumn("_touched", F.lit(True))
+        title, link = migrated(F.col("title"), F.col("link"))
+        here = F.coalesce(F.col("_touched"), F.lit(False))
+        old = old.join(touched, "sheet", "left").withColumns(
+            {"title": F.when(here, title).otherwise(F.col("title")), "link": F.when(here, link).otherwise(F.col("link"))}
+        ).drop("_touched")
     targets = [ledger.where(move).select("sheet"), spark.range(1).select(F.lit(TRASH).alias("sheet"))]
     if watched is not None:
         targets.append(watched.select("sheet"))
@@ -236,7 +250,7 @@ def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: Da
             "sheet", "title", "company", "tags", "status", "link", F.lit(0).alias("_new"),
             F.lit(None).cast("struct<moved:int,src:string,pos:bigint>").alias("_old"),
             F.lit(None).cast("long").alias("_pos0"),
-            *[F.col(c).cast(key_type(i)).alias(keys[i]) for i, c in enumerate(ocols)])
+            *[F.col(c).cast("long").alias(keys[i]) for i, c in enumerate(ocols)])
         both = old.unionByName(new)
         targets.append(new_rows.select("sheet"))
     target = targets[0]

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from .dedup import known_urls
 
 
-def run_summary(groups: DataFrame, cands: DataFrame, new: DataFrame, group_col: str = "group_title") -> DataFrame:
+def run_summary(groups: DataFrame, cands: DataFrame, new: DataFrame, group_col: str = "group_idx") -> DataFrame:
     """G1: per watched group: new listings, candidates (after F1 and T1), and
-    duplicates skipped. Groups without rows show zeros."""
+    duplicates skipped. Groups without rows show zeros; groups with one title stay apart."""
     c = cands.groupBy(group_col).agg(F.count(F.lit(1)).alias("total_candidates"))
     n = new.groupBy(group_col).agg(F.count(F.lit(1)).alias("new_offers"))
     return (
-        groups.select(group_col).distinct()
+        groups.select(group_col, "group_title").distinct()
         .join(c, group_col, "left").join(n, group_col, "left")
         .select(
-            group_col,
+            group_col, "group_title",
             F.coalesce("new_offers", F.lit(0)).cast("long").alias("new_offers"),
             F.coalesce("total_candidates", F.lit(0)).cast("long").alias("total_candidates"),
         )
@@ -36,7 +36,7 @@ def run_total(summary: DataFrame) -> DataFrame:
 
 def url_counts(raw: DataFrame, is_polish_col: str = "is_polish") -> DataFrame:
     """Per (group, URL): raw listings and those dropped as Polish."""
-    return raw.groupBy("group_title", "url_idx").agg(
+    return raw.groupBy("group_idx", "group_title", "url_idx").agg(
         F.count(F.lit(1)).cast("long").alias("raw_count"),
         F.count_if(F.col(is_polish_col)).cast("long").alias("polish_dropped"),
     )

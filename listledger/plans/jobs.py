@@ -13,7 +13,7 @@ from ..operators.ordering import top_n_per_key
 from ..operators.report import run_summary
 from ..session import materialize
 
-RUN_ORDER = ("group_title", "url_idx", "pos")
+RUN_ORDER = ("group_idx", "url_idx", "pos")  # groups in watchlist order: an earlier one wins
 
 
 @dataclass
@@ -28,7 +28,7 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
                  limit=None, max_limit: int | None = 50, recent_days: int | None = None,
                  rewrite_ledger: bool = True) -> RunResult:
     """J1 over extracted listings (unified schema, rank columns
-    ``group_title, url_idx, pos``) and the ledger as it is before the run
+    ``group_idx, url_idx, pos``; ``group_title`` only names the table) and the ledger as it is before the run
     (discards are applied in the rewrite).
 
     ``limit``: column or int of the per-URL limit (R2), ``max_limit`` its
@@ -39,7 +39,7 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
         feed = keep_recent(feed, days_limit=recent_days)
     if max_limit is not None:
         lim = max_limit if limit is None else limit
-        feed = top_n_per_key(feed, ["group_title", "url_idx"], ["pos"], lim, max_limit)
+        feed = top_n_per_key(feed, ["group_idx", "url_idx"], ["pos"], lim, max_limit)
     # the candidates feed the summary, the anti joins and D5's final semi join:
     # extract once, then read the written table (also cuts the lineage)
     cands = materialize(feed, "candidates")
@@ -47,29 +47,36 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
     urls = dedup.known_urls(ledger)
     recs = dedup.known_records(ledger)
     fresh = dedup.drop_known_content(dedup.drop_known_urls(cands, urls), recs)
-    new = dedup.dedup_ordered(fresh, RUN_ORDER)
+    new = materialize(dedup.dedup_ordered(fresh, RUN_ORDER), "new-listings")  # read by the summary and the rewrite
 
     summary = run_summary(groups, cands, new)
     out_ledger = ledger
     if rewrite_ledger:
         # discards (L2, L3), new rows on top (L7, L8) and re-bucketing
         # of every watched table, in one numbering pass
-        rows = L.to_ledger_rows(new, sheet_col="group_title", order=RUN_ORDER)
+        rows = prepend_rows(new)
         watched = groups.select(F.col("group_title").alias("sheet"))
         out_ledger = L.reorganize(ledger, watched, rows)
     return RunResult(cands, new, summary, out_ledger)
 
 
+def prepend_rows(new: DataFrame) -> DataFrame:
+    """L7 rows in the order they stand on top of their table: each group is prepended
+    after the groups before it, so of groups with one title the later one's rows are on top."""
+    return L.to_ledger_rows(new.withColumn("_later", -F.col("group_idx")), sheet_col="group_title",
+                            order=("_later", "url_idx", "pos"))
+
+
 def offers_run(spark, sf_dir: str, rewrite_ledger: bool = False) -> RunResult:
     """J1 on the B_offers binding: rows with ``pos % 11 = 0`` form the ledger,
-    the rest the feed; both after F1; per-URL limit 10 for ``en``, 5 else."""
+    the rest the feed; both after F1; per-URL limits as for the sources (R2): 50 for ``en``, 30 else."""
     from ..sources import bindings
 
     offers = bindings.offers(spark, sf_dir)
     ledger = offers_ledger(spark, sf_dir)
     feed = offers.where(F.col("pos") % 11 != 0)
-    limit = F.when(F.col("group_title") == "en", F.lit(10)).otherwise(F.lit(5))
-    return run_listings(feed, ledger, offers.select("group_title"), limit=limit, max_limit=10,
+    limit = F.when(F.col("group_title") == "en", F.lit(50)).otherwise(F.lit(30))
+    return run_listings(feed, ledger, offers.select("group_idx", "group_title"), limit=limit, max_limit=50,
                         rewrite_ledger=rewrite_ledger)
 
 
@@ -78,9 +85,13 @@ def offers_ledger(spark, sf_dir: str) -> DataFrame:
     from ..sources import bindings
 
     known = drop_polish(bindings.offers(spark, sf_dir).where(F.col("pos") % 11 == 0))
+    # every other row in the older form, title and link in one formula
+    old = F.col("pos") % 2 == 0
+    mark = F.col("pos").cast("string")
+    formula = F.concat(F.lit('=HYPERLINK("https://h.example/'), mark, F.lit('?q=1","Offer '), mark, F.lit('")'))
     return known.select(
-        F.col("group_title").alias("sheet"), "pos", "title", "company", "tags",
-        F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
+        F.col("group_title").alias("sheet"), "pos", F.when(old, formula).otherwise(F.col("title")).alias("title"),
+        "company", "tags", F.lit("NEW").alias("status"), F.when(old, F.lit("")).otherwise(F.col("full_url")).alias("link"))
 
 
 def prepend_counts(ledger: DataFrame, new: DataFrame, summary: DataFrame) -> DataFrame:
@@ -88,7 +99,7 @@ def prepend_counts(ledger: DataFrame, new: DataFrame, summary: DataFrame) -> Dat
     table without new rows is not rewritten, so nothing is migrated there."""
     old = ledger.groupBy("sheet").agg(F.count(F.lit(1)).alias("_old"))
     return (
-        summary.select(F.col("group_title").alias("sheet"), F.col("new_offers").alias("added"))
+        summary.groupBy(F.col("group_title").alias("sheet")).agg(F.sum("new_offers").alias("added"))
         .join(old, "sheet", "left")
         .select("sheet", "added",
                 F.when(F.col("added") > 0, F.coalesce("_old", F.lit(0))).otherwise(F.lit(0)).cast("long")
@@ -98,8 +109,10 @@ def prepend_counts(ledger: DataFrame, new: DataFrame, summary: DataFrame) -> Dat
 
 def organize_only(ledger: DataFrame, watch: DataFrame) -> DataFrame:
     """Discards to Trash (L2, L3), then re-bucket (L5) the watched tables,
-    the tables that lost rows, and Trash. No extraction."""
-    return L.reorganize(ledger, watch.select(F.col("group_title").alias("sheet")))
+    the tables that lost rows, and Trash. No extraction. An untitled group's table is named by R3."""
+    from ..operators.routing import group_titles
+
+    return L.reorganize(ledger, group_titles(watch).select(F.col("sheet_title").alias("sheet")))
 
 
 def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
@@ -109,7 +122,7 @@ def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:
     from ..operators import extract as X
 
     clean = X.strip_elements("html")
-    out = X.spread_pages(pages).select(
+    out = pages.select(
         "page_id", "url", page_key("url").alias("page_key"), clean.alias("clean_html"),
         F.length(clean).cast("long").alias("clean_chars"), F.md5(clean).alias("clean_md5"),
         X.page_markdown("html").alias("markdown"))
@@ -125,23 +138,20 @@ def extract_listings_with(registry, watch_pages: DataFrame) -> DataFrame:
     return out.withColumn("row_limit", registry.limit_of(F.col("source")))
 
 
-def extract_listings(watch_pages: DataFrame, spread: bool = True) -> DataFrame:
-    """S4 output -> unified listings with rank columns: R1 routes each URL to
-    its extractor (one filtered branch per source, then a union), E* extract.
+def extract_listings(watch_pages: DataFrame) -> DataFrame:
+    """Pages -> unified listings: R1 routes each URL to its extractor (one
+    filtered branch per source, then a union), E* extract.
 
-    ``watch_pages``: ``group_idx, group_title, url_idx, url, page_id, html``."""
+    ``watch_pages``: ``url, page_id, html`` and any keys that are to ride along."""
     from ..functions import cards as C
     from ..operators import extract as X
     from ..operators.routing import limit_of, source_of
 
-    # the watch keys ride along with each page through the extractors (no
-    # join back on page_id: a URL watched by two groups yields its listings
-    # once per group, as fetching it once per group does)
     routed = watch_pages.withColumn("source", source_of("url")).withColumn("route", F.col("source"))
-    keep = ["page_id", "url", "html", "group_idx", "group_title", "url_idx", "route"]
-    a = X.extract_source_a(routed.where(F.col("source") == "A").select(*keep), spread)
+    keep = [c for c in routed.columns if c != "source"]
+    a = X.extract_source_a(routed.where(F.col("source") == "A").select(*keep))
     bc = X.extract_html_sources(routed.where(F.col("source") != "A").select(*keep, "source"),
-                                {"B": C.SOURCE_B, "C": C.SOURCE_C}, spread)
+                                {"B": C.SOURCE_B, "C": C.SOURCE_C})
     listings = X.unify(a.drop("source"), bc.drop("source")).drop("source")
     return listings.withColumnRenamed("route", "source").withColumn("row_limit", limit_of("source"))
 
@@ -150,21 +160,25 @@ def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledg
     """J1 end to end: discards (L2, L3), known URLs and records from every
     table (D1, D2), then pages -> listings (S4, R1, E*) -> F1 -> T1 -> D3-D5
     -> prepend (L7, L8) -> re-bucket (L5) -> summary (G1)."""
-    from ..operators.routing import group_titles
-    from ..sources.watchlist import watch_pages as scan_pages
+    from ..operators.routing import DEFAULT_LIMIT, SOURCE_C_LIMIT, group_titles
 
     # Known URLs and records come from every table, Trash included, so moving
     # rows to Trash first does not change them; the rewrite does the moves.
-    titles = group_titles(watch)
-    w = watch.drop("group_title").join(titles.withColumnRenamed("sheet_title", "group_title"), "group_idx")
-    from ..operators.extract import spread_pages
-
-    # spread the joined pages (the planner may broadcast a small page table,
-    # so spreading before the join is lost), deciding on the page table's own
-    # size estimate: the estimate of a join is no guide
-    page_cols = pages.select("page_id", "url", "html")
-    listings = extract_listings(spread_pages(scan_pages(w, page_cols), basis=page_cols), spread=False)
-    from ..operators.routing import DEFAULT_LIMIT, SOURCE_C_LIMIT
-    res = run_listings(listings, ledger, w.select("group_title"), limit=F.col("row_limit"),
-                       max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)
-    return res
+    groups = group_titles(watch).select("group_idx", F.col("sheet_title").alias("group_title"))
+    w = watch.select("group_idx", "url_idx", "url").where(F.col("url").isNotNull()).join(groups, "group_idx")
+    # Extract once per page, then join the slim listings to the watchlist (a URL
+    # watched by two groups yields its listings once per group): ``html`` meets no
+    # join and no exchange. A page is read only if the hash of its URL is one of
+    # the watched ones; the join decides exactly.
+    slots = [r[0] for r in w.select(_url_slot("url")).distinct().collect()]  # at most URL_SLOTS numbers
+    listings = extract_listings(pages.select("page_id", "url", "html").where(_url_slot("url").isin(slots)))
+    listings = listings.join(w, "url")
+    return run_listings(listings, ledger, groups, limit=F.col("row_limit"),
+                        max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)
+
+
+URL_SLOTS = 4096
+
+
+def _url_slot(url: str):
+    return F.pmod(F.xxhash64(url), F.lit(URL_SLOTS))

@@ -31,7 +31,9 @@ def is_polish(x: str) -> str:
 
 
 OFFERS = """offers as (
-  select lang as group_title, cast(substring(source, 4) as int) as url_idx, doc_id as pos,
+  select 2 * (1099511627776 - (ascii(coalesce(lang, '')) * 65536 + ascii(substring(coalesce(lang, ''), 2, 1))))
+      + coalesce(cast(substring(source, 4) as int), 0) % 2 as group_idx,
+    lang as group_title, cast(substring(source, 4) as int) as url_idx, doc_id as pos,
     concat('https://x.example/o/', cast((doc_id * 7919) % 800 as varchar)) as full_url,
     case doc_id % 10 when 0 then concat(text, ' programista')
       when 1 then concat('ds. ', text)
@@ -98,12 +100,14 @@ def by_header(raw_cte: str) -> str:
 
 RUN = OFFERS + f""",
 marked as (select *, {is_polish('title')} as is_polish from offers),
-ledger as (select group_title as sheet, pos, title, company, tags, 'NEW' as status, full_url as link
+ledger as (select group_title as sheet, pos,
+  case when pos % 2 = 0 then concat('=HYPERLINK("https://h.example/', pos, '?q=1","Offer ', pos, '")') else title end as title,
+  company, tags, 'NEW' as status, case when pos % 2 = 0 then '' else full_url end as link
   from marked where pos % 11 = 0 and not is_polish),
 feed as (select * from marked where pos % 11 <> 0 and not is_polish),
 cands as (select * exclude (rn) from (
-  select *, row_number() over (partition by group_title, url_idx order by pos) as rn from feed)
-  where rn <= case when group_title = 'en' then 10 else 5 end),
+  select *, row_number() over (partition by group_idx, url_idx order by pos) as rn from feed)
+  where rn <= case when group_title = 'en' then 50 else 30 end),
 lcells as (select sheet, unnest([title, company, tags, status, link]) as cell from ledger),
 kurls as ({known_urls_from('lcells')}),
 krecs as (select {trim_ws('title')} as title, {trim_ws('company')} as company, {trim_ws('tags')} as tags from ledger),
@@ -129,12 +133,12 @@ fold_{out} as (
 
 
 def _groups_summary() -> str:
-    return "with recursive " + RUN + ",\n" + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + """,
-grp as (select distinct group_title from offers),
+    return "with recursive " + RUN + ",\n" + ordered_fold("fresh", "group_idx, url_idx, pos", "kept") + """,
+grp as (select distinct group_idx, group_title from offers),
 summary as (
-  select g.group_title,
-    cast(coalesce((select count(*) from kept k where k.group_title = g.group_title), 0) as bigint) as new_offers,
-    cast(coalesce((select count(*) from cands c where c.group_title = g.group_title), 0) as bigint) as total_candidates
+  select g.group_idx, g.group_title,
+    cast(coalesce((select count(*) from kept k where k.group_idx = g.group_idx), 0) as bigint) as new_offers,
+    cast(coalesce((select count(*) from cands c where c.group_idx = g.group_idx), 0) as bigint) as total_candidates
   from grp g)
 """
 
@@ -150,11 +154,12 @@ select event_id, posted_age from a
 where case when contains(s, 'new') then true
   when contains(s, 'left') and d <> '' then 30 - cast(d as hugeint) <= 10 else true end"""
 
-ORACLES["topn_per_url"] = f"with {RUN} select group_title, url_idx, pos from cands"
+ORACLES["topn_per_url"] = f"with {RUN} select group_idx, group_title, url_idx, pos from cands"
 
-ORACLES["dedup_url"] = f"with {RUN} select group_title, url_idx, pos, full_url from after_url"
+ORACLES["dedup_url"] = f"""with {RUN} select group_title, url_idx, pos, full_url from feed c
+where not exists (select 1 from kurls k where k.url = c.full_url)"""
 
-ORACLES["dedup_content"] = f"""with {RUN} select group_title, url_idx, pos, title from cands c
+ORACLES["dedup_content"] = f"""with {RUN} select group_title, url_idx, pos, title from feed c
 where not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)"""
 
 ORACLES["dedup_ordered"] = "with recursive d as (select doc_id, concat('https://x.example/o/', " \
@@ -163,15 +168,15 @@ ORACLES["dedup_ordered"] = "with recursive d as (select doc_id, concat('https://
     "\nselect doc_id, full_url from kept"
 
 ORACLES["full_run_summary"] = _groups_summary() + \
-    "select group_title, new_offers, total_candidates, total_candidates - new_offers as skipped from summary"
+    "select group_idx, group_title, new_offers, total_candidates, total_candidates - new_offers as skipped from summary"
 
 ORACLES["run_total"] = _groups_summary() + """select cast(coalesce(sum(new_offers), 0) as bigint) as total_new,
   cast(coalesce(sum(total_candidates), 0) as bigint) as total_candidates, cast(count(*) as bigint) as groups
 from summary"""
 
-ORACLES["url_counts"] = f"""with {OFFERS} select group_title, url_idx, cast(count(*) as bigint) as raw_count,
+ORACLES["url_counts"] = f"""with {OFFERS} select group_idx, group_title, url_idx, cast(count(*) as bigint) as raw_count,
   cast(count(*) filter (where {is_polish('title')}) as bigint) as polish_dropped
-from offers group by group_title, url_idx"""
+from offers group by group_idx, group_title, url_idx"""
 
 ORACLES["known_urls"] = f"""with {SHEETS},
 cells as (select sheet, unnest([title, company, tags, status, link]) as cell from sheets),
@@ -278,7 +283,11 @@ m as (select sheet, pos,
   {_get('Full URL')} as full_url from p)
 select sheet, pos, title, company, tags, status, case when link0 = '' then full_url else link0 end as link from m"""
 
-_RUN_KEPT = "with recursive " + RUN + ",\n" + ordered_fold("fresh", "group_title, url_idx, pos", "kept")
+# L10 for a canonical row, where ``mig`` holds: the formula's pieces
+MIGRATED = """case when mig then string_split(title, '"')[4] else title end as title, status,
+    case when mig then string_split(title, '"')[2] else link end as link,"""
+
+_RUN_KEPT = "with recursive " + RUN + ",\n" + ordered_fold("fresh", "group_idx, url_idx, pos", "kept")
 
 ORACLES["to_ledger_row"] = _RUN_KEPT + """
 select group_title as sheet, title, coalesce(company, '') as company, coalesce(tags, '') as tags,
@@ -286,10 +295,12 @@ select group_title as sheet, title, coalesce(company, '') as company, coalesce(t
 
 ORACLES["ledger_prepend"] = _RUN_KEPT + f""",
 both_ as (
-  select group_title as sheet, title, 'NEW' as status, full_url as link, 0 as is_old, url_idx, pos from kept
+  select group_title as sheet, title, 'NEW' as status, full_url as link, 0 as is_old, -group_idx as later, url_idx, pos from kept
   union all
-  select sheet, title, status, link, 1 as is_old, null as url_idx, pos from ledger)
-select sheet, row_number() over (partition by sheet order by {bucket('status')}, is_old, url_idx, pos) as pos,
+  select sheet, {MIGRATED} 1 as is_old, null as later, null as url_idx, pos from (
+    select *, contains(title, '=HYPERLINK') and len(string_split(title, '"')) >= 4
+      and sheet in (select group_title from kept) as mig from ledger))
+select sheet, row_number() over (partition by sheet order by {bucket('status')}, is_old, later, url_idx, pos) as pos,
   title, status, link from both_"""
 
 ORACLES["ledger_append"] = _RUN_KEPT + """
@@ -297,7 +308,7 @@ select sheet, pos, title, status, link from ledger
 union all
 select k.group_title as sheet,
   coalesce((select max(l.pos) from ledger l where l.sheet = k.group_title), 0)
-    + row_number() over (partition by k.group_title order by k.url_idx, k.pos) as pos,
+    + row_number() over (partition by k.group_title order by k.group_idx, k.url_idx, k.pos) as pos,
   k.title, 'NEW' as status, k.full_url as link
 from kept k"""
 
@@ -331,11 +342,11 @@ URLS = """urls as (
     regexp_extract(url, '^https?://[^/]+/[^/?#]+/([^/?#.]*)', 1) as num from pages))"""
 
 WATCH = """watch as (
-  select (dense_rank() over (order by lang) - 1) * 1000000 + page_id // 100 as group_idx, lang as group_title,
+  select (dense_rank() over (order by lang) - 1) * 1000000000000 + page_id // 100 as group_idx, lang as group_title,
     page_id as url_idx, url, page_id
   from (select page_id, url, regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) as lang from pages)),
 readback as (
-  select (dense_rank() over (order by group_idx // 50) - 1) * 1000000
+  select (dense_rank() over (order by group_idx // 50) - 1) * 1000000000000
       + dense_rank() over (partition by group_idx // 50 order by group_idx) - 1 as rb_group,
     row_number() over (partition by group_idx order by page_id) - 1 as rb_url, *
   from watch)"""
@@ -404,7 +415,7 @@ ORACLES["watchlist_fallback"] = ORACLES["watchlist_sections"]
 
 ORACLES["watch_pages"] = """select cast(page_id as bigint) as url_idx, page_id,
   cast(length(html) as bigint) as html_chars,
-  cast((dense_rank() over (order by regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) - 1) * 1000000
+  cast((dense_rank() over (order by regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) - 1) * 1000000000000
     + page_id // 100 as bigint) as group_idx
 from pages"""
 
@@ -507,26 +518,33 @@ ORACLES["title_badge"] = f"""select doc_id, {_UP} as raw_title,
 ORACLES["extract_rejects"] = """select page_id, url, 'page' as kind, 'ValueError: page has no content' as error
 from pages where page_id % 10 = 0"""
 
-ORACLES["page_rejects"] = """select page_id, url, 'ValueError: page has no content' as error
-from pages where page_id % 10 = 0"""
+ORACLES["page_rejects"] = """select s.source, page_id, url, 'ValueError: page has no content' as error
+from pages, (select unnest(['A', 'B', 'C']) as source) s where page_id % 10 = 0"""
 
 _BRAND = "lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g'))"
 _PAGE_POS = "row_number() over (partition by p_brand, p_partkey // 256 order by p_partkey)"
 
+ORACLES["card_rejects"] = f"""select concat('https://nofluffjobs.com/pl/', {_BRAND}, '?page=', p_partkey // 256) as url, pos,
+  'ValueError: card without a link' as error
+from (select *, {_PAGE_POS} - 1 as pos from part) where p_partkey % 7 = 0"""
+
+# two groups a brand, against the alphabet
+_GROUP = f"2 * dense_rank() over (order by {_BRAND} desc)"
+
 _PAGES_RUN = "with recursive " + SHEETS + f""",
 all_rows as (
-  select {_BRAND} as group_title, 0 * 1000000 + p_partkey // 256 as url_idx, {_PAGE_POS} as pos, 50 as lim,
+  select {_GROUP} as group_idx, {_BRAND} as group_title, p_partkey // 256 as url_idx, {_PAGE_POS} as pos, 50 as lim,
     a.title, a.company, a.tags, a.full_url
   from ({_A_ROWS.replace("select 'A' as source,", "select p_partkey, 'A' as source,")}) a join part using (p_partkey)
   union all
-  select {_BRAND}, 1 * 1000000 + p_partkey // 256, {_PAGE_POS}, 50, b.title, b.company, b.tags, b.full_url
+  select {_GROUP}, {_BRAND}, 1 * 1000000000000 + p_partkey // 256, {_PAGE_POS}, 50, b.title, b.company, b.tags, b.full_url
   from ({_B_ROWS.replace("select 'B' as source,", "select p_partkey, 'B' as source,")}) b join part using (p_partkey)
   union all
-  select {_BRAND}, 2 * 1000000 + p_partkey // 256, {_PAGE_POS}, 30, c.title, c.company, c.tags, c.full_url
+  select {_GROUP} + 1, {_BRAND}, 2 * 1000000000000 + p_partkey // 256, {_PAGE_POS}, 30, c.title, c.company, c.tags, c.full_url
   from ({_C_ROWS.replace("select 'C' as source,", "select p_partkey, 'C' as source,")}) c join part using (p_partkey)),
 feed as (select * from all_rows where full_url is not null and not {is_polish('title')}),
 cands as (select * exclude (rn) from (
-  select *, row_number() over (partition by group_title, url_idx order by pos) as rn from feed) where rn <= lim),
+  select *, row_number() over (partition by group_idx, url_idx order by pos) as rn from feed) where rn <= lim),
 flag as (select *, sheet <> 'Trash' and coalesce({norm_status('status')} in ('DISCARD', 'OUT'), false) as mv
   from sheets),
 lcells as (select sheet, unnest([title, company, tags, status, link]) as cell from sheets),
@@ -534,16 +552,19 @@ kurls as ({known_urls_from('lcells')}),
 krecs as (select {trim_ws('title')} as title, {trim_ws('company')} as company, {trim_ws('tags')} as tags from sheets),
 fresh as (select * from cands c where not exists (select 1 from kurls k where k.url = c.full_url)
   and not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)),
-""" + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + f""",
-grp as (select distinct {_BRAND} as group_title from part)
+""" + ordered_fold("fresh", "group_idx, url_idx, pos", "kept") + f""",
+grp as (select distinct group_idx, group_title from all_rows)
 """
-ORACLES["full_run_pages"] = _PAGES_RUN + """select g.group_title,
-  cast((select count(*) from kept k where k.group_title = g.group_title) as bigint) as new_offers,
-  cast((select count(*) from cands c where c.group_title = g.group_title) as bigint) as total_candidates,
-  cast((select count(*) from cands c where c.group_title = g.group_title)
-    - (select count(*) from kept k where k.group_title = g.group_title) as bigint) as skipped
+ORACLES["full_run_pages"] = _PAGES_RUN + """select g.group_idx, g.group_title,
+  cast((select count(*) from kept k where k.group_idx = g.group_idx) as bigint) as new_offers,
+  cast((select count(*) from cands c where c.group_idx = g.group_idx) as bigint) as total_candidates,
+  cast((select count(*) from cands c where c.group_idx = g.group_idx)
+    - (select count(*) from kept k where k.group_idx = g.group_idx) as bigint) as skipped
 from grp g"""
 
+ORACLES["registry_listings"] = _PAGES_RUN + """select case lim when 30 then 'C' when 50 then if(full_url like '%justjoin%', 'A', 'B') end as source,
+  title, full_url, lim as row_limit from all_rows"""
+
 ORACLES["incremental_run"] = "with recursive " + OFFERS.replace(
     "else text end as title,", "else text end as title0,") + f""",
 o2 as (select * exclude (title0), {trim_ws('title0')} as title from offers),
@@ -556,7 +577,7 @@ kurls as ({known_urls_from('lcells')}),
 krecs as (select {trim_ws('title')} as title, {trim_ws('company')} as company, {trim_ws('tags')} as tags from ledger),
 fresh as (select * from cands c where not exists (select 1 from kurls k where k.url = c.full_url)
   and not exists (select 1 from krecs k where k.title = c.title and k.company = c.company and k.tags = c.tags)),
-""" + ordered_fold("fresh", "group_title, url_idx, pos", "kept") + """
+""" + ordered_fold("fresh", "group_idx, url_idx, pos", "kept") + """
 select group_title, pos, full_url, title from kept"""
 
 ORACLES["ledger_rewrite"] = ORACLES["organize_only"]
@@ -566,12 +587,12 @@ ORACLES["run_summary"] = ORACLES["full_run_summary"]
 ORACLES["full_run_ledger"] = _PAGES_RUN + f""",
 old_rows as (
   select case when mv then 'Trash' else sheet end as sheet, pos as pos0, title, company, tags, status, link,
-    1 as is_new_flag, null::varchar as g, null::bigint as u, null::bigint as p,
+    1 as is_new_flag, null::bigint as g, null::bigint as u, null::bigint as p,
     case when mv then 1 else 0 end as moved, case when mv then sheet else '' end as src
   from flag),
 new_rows as (
   select group_title as sheet, null::bigint as pos0, title, company, tags, 'NEW' as status, full_url as link,
-    0 as is_new_flag, group_title as g, url_idx as u, pos as p, null::int as moved, null::varchar as src
+    0 as is_new_flag, -group_idx as g, url_idx as u, pos as p, null::int as moved, null::varchar as src
   from kept),
 both_ as (select * from old_rows union all select * from new_rows),
 targets as (select group_title as sheet from grp union select sheet from flag where mv union select 'Trash')

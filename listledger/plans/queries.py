@@ -49,39 +49,26 @@ def _feed_after_f1(spark, sf):
 
 @query("topn_per_url")
 def q_topn(spark, sf):
-    limit = F.when(F.col("group_title") == "en", F.lit(10)).otherwise(F.lit(5))
-    return top_n_per_key(_feed_after_f1(spark, sf), ["group_title", "url_idx"], ["pos"], limit, 10).select(
-        "group_title", "url_idx", "pos")
-
-
-def _run_ledger(spark, sf):
-    known = filters.drop_polish(bindings.offers(spark, sf).where(F.col("pos") % 11 == 0))
-    return known.select(F.col("group_title").alias("sheet"), "pos", "title", "company", "tags",
-                        F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
-
-
-def _run_cands(spark, sf):
-    limit = F.when(F.col("group_title") == "en", F.lit(10)).otherwise(F.lit(5))
-    return top_n_per_key(_feed_after_f1(spark, sf), ["group_title", "url_idx"], ["pos"], limit, 10)
+    limit = F.when(F.col("group_title") == "en", F.lit(50)).otherwise(F.lit(30))
+    return top_n_per_key(_feed_after_f1(spark, sf), ["group_idx", "url_idx"], ["pos"], limit, 50).select(
+        "group_idx", "group_title", "url_idx", "pos")
 
 
 @query("dedup_url")
 def q_dedup_url(spark, sf):
-    urls = dedup.known_urls(_run_ledger(spark, sf))
-    return dedup.drop_known_urls(_run_cands(spark, sf), urls).select("group_title", "url_idx", "pos", "full_url")
+    urls = dedup.known_urls(jobs.offers_ledger(spark, sf))
+    return dedup.drop_known_urls(_feed_after_f1(spark, sf), urls).select("group_title", "url_idx", "pos", "full_url")
 
 
 @query("dedup_content")
 def q_dedup_content(spark, sf):
-    recs = dedup.known_records(_run_ledger(spark, sf))
-    return dedup.drop_known_content(_run_cands(spark, sf), recs).select("group_title", "url_idx", "pos", "title")
+    recs = dedup.known_records(jobs.offers_ledger(spark, sf))
+    return dedup.drop_known_content(_feed_after_f1(spark, sf), recs).select("group_title", "url_idx", "pos", "title")
 
 
 @query("dedup_ordered")
 def q_dedup_ordered(spark, sf):
-    from ..session import spread_small
-
-    d = spread_small(table(spark, sf, "documents").select("doc_id", "text", "lang"), write=True).select(
+    d = table(spark, sf, "documents").select(
         "doc_id",
         F.concat(F.lit("https://x.example/o/"), ((F.col("doc_id") * 7919) % 800).cast("string")).alias("full_url"),
         F.col("text").alias("title"), F.col("lang").alias("company"), F.lit("").alias("tags"))
@@ -213,7 +200,7 @@ def q_ledger_prepend(spark, sf):
 @query("ledger_append")
 def q_ledger_append(spark, sf):
     run = jobs.offers_run(spark, sf)
-    rows = L.to_ledger_rows(run.new, order=("url_idx", "pos"))
+    rows = L.to_ledger_rows(run.new, order=("group_idx", "url_idx", "pos"))
     return store.append(jobs.offers_ledger(spark, sf), rows).select("sheet", "pos", "title", "status", "link")
 
 
@@ -225,7 +212,7 @@ def q_prepend_guard(spark, sf):
 
 @query("ledger_sheets")
 def q_ledger_sheets(spark, sf):
-    w = bindings.watch_groups(spark, sf)
+    w = routing.group_titles(bindings.watch_groups(spark, sf)).withColumnRenamed("sheet_title", "group_title")
     return store.sheet_list(w, bindings.sheets(spark, sf))
 
 
@@ -343,7 +330,7 @@ def q_page_key(spark, sf):
 
 @query("page_markdown")
 def q_page_markdown(spark, sf):
-    pages = X.spread_pages(table(spark, sf, "pages"))
+    pages = table(spark, sf, "pages")
     md = pages.select("page_id", X.page_markdown("html").alias("md"))
     return md.select(
         "page_id",
@@ -421,8 +408,29 @@ def q_extract_rejects(spark, sf):
 
 @query("page_rejects")
 def q_page_rejects(spark, sf):
-    rows = X.html_card_rows(_pages_some_failed(spark, sf), card_sources.SOURCE_B)
-    return X.extract_rejects(rows).where(F.col("kind") == "page").select("page_id", "url", "error")
+    """E16 of every source: what each extractor makes of pages that failed."""
+    pages = _pages_some_failed(spark, sf)
+    out = X.markdown_rejects(pages).select(F.lit("A").alias("source"), "page_id", "url", "error")
+    for name, source in (("B", card_sources.SOURCE_B), ("C", card_sources.SOURCE_C)):
+        rows = X.extract_rejects(X.html_card_rows(pages, source)).where(F.col("kind") == "page")
+        out = out.unionByName(rows.select(F.lit(name).alias("source"), "page_id", "url", "error"))
+    return out
+
+
+@query("card_rejects")
+def q_card_rejects(spark, sf):
+    """Cards whose extractor fails are rejected one by one (here: one that insists on a link)."""
+    rows = X.html_card_rows(bindings.html_card_pages_class(spark, sf), card_sources.LINKED_B)
+    return X.extract_rejects(rows).where(F.col("kind") == "card").select("url", F.col("pos").cast("long").alias("pos"), "error")
+
+
+@query("registry_listings")
+def q_registry_listings(spark, sf):
+    """The pages of a watchlist through an extractor registry."""
+    from .registry import default_registry
+
+    _, pages = bindings.card_watch(spark, sf)
+    return jobs.extract_listings_with(default_registry(), pages).select("source", "title", "full_url", "row_limit")
 
 
 @query("full_run_pages")
@@ -452,7 +460,7 @@ def q_incremental_run(spark, sf):
     ledger_store.write(ledger0, version=0)
     feed = filters.drop_polish(offers.where(F.col("pos") % 11 != 0)).withColumn("_batch", F.col("group_title"))
     write_batches(feed, "_batch", f"{root}/in")
-    run_incremental(spark, f"{root}/in", ledger_store, f"{root}/out")
+    run_incremental(spark, f"{root}/in", ledger_store, f"{root}/out", checkpoint=f"{root}/stream")
     return spark.read.parquet(f"{root}/out").select("group_title", "pos", "full_url", "title")
 
 

@@ -93,30 +93,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-# Tables the optimizer estimates below this size are spread over all cores
-# before row-heavy work (a small table read from one file, one row group, is
-# otherwise processed by one task); larger ones arrive in many splits and are
-# not shuffled.
-SPREAD_BELOW_BYTES = 1 << 30
-
-
-def spread_small(df: DataFrame, basis: DataFrame | None = None, write: bool = False) -> DataFrame:
-    """Repartition ``df`` over all cores when ``basis`` (default ``df``; pass
-    the scanned table when ``df`` is a join, whose size estimate is no guide)
-    is estimated below ``SPREAD_BELOW_BYTES``. Decided at planning time, from
-    the optimizer's statistics.
-
-    ``write``: also write the spread rows as a table (see ``materialize``).
-    The optimizer pushes filters below a repartition, so an expensive filter
-    (a regex over whole texts) would still run in the one scan task; a
-    written table is read back in as many splits as it was written."""
-    spark = df.sparkSession
-    try:
-        size = (basis if basis is not None else df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        est = int(size if isinstance(size, int) else size.toString())
-    except Exception:  # no estimate: leave the partitioning alone
-        return df
-    if est < SPREAD_BELOW_BYTES:
-        spread = df.repartition(spark.sparkContext.defaultParallelism)
-        return materialize(spread, "spread") if write else spread
-    return df
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote, once nothing reads it any more."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for path in folders:
+        drop_written(df.sparkSession, path)

@@ -22,6 +22,7 @@ CARDS_PER_PAGE_KEYS = 256
 # a block of this size, so no group (one JSON object, one section) grows
 # with the table; equal titles stay separate groups, as the watchlist allows.
 WATCH_GROUP_SPAN = 100
+GROUP_STRIDE = 1_000_000_000_000
 
 
 def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     (title, block) order; URLs in page-id order.
 
     ``group_idx BIGINT, group_title STRING, url_idx BIGINT, url STRING``:
-    ``group_idx = title rank * 1e6 + block`` and ``url_idx`` = page id are
+    ``group_idx = title rank * 1e12 + block`` (blocks are page ids / 100: no two meet) and ``url_idx`` = page id are
     order keys, not dense numbers (dense numbers would need a window over the
     whole table). The title ranks come from a window over the distinct
     titles only (a few rows).
@@ -41,7 +42,7 @@ def watch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_trank", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("long"))
     # one row per language: AQE broadcasts it when its measured size is small
     return p.join(titles, "group_title").select(
-        (F.col("_trank") * 1_000_000 + F.floor(F.col("page_id") / WATCH_GROUP_SPAN)).cast("long").alias("group_idx"),
+        (F.col("_trank") * GROUP_STRIDE + F.floor(F.col("page_id") / WATCH_GROUP_SPAN)).cast("long").alias("group_idx"),
         "group_title", F.col("page_id").alias("url_idx"), "url")
 
 
@@ -73,12 +74,13 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B_offers: one listing per document; the title is the whole text (with
     a Polish marker on some), so every filter and key sees whole texts.
 
-    Rank (batch order) is ``(group_title, url_idx, pos)``; it is carried as
-    columns, never as a global row number.
+    Rank (batch order) is ``(group_idx, url_idx, pos)``; it is carried as
+    columns, never as a global row number. Each language is two groups of one
+    title, and the groups run against the alphabet.
     """
-    from ..session import spread_small
-
-    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), write=True)
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    url_idx = F.expr("substring(source, 4)").cast("int")
+    letters = F.ascii(F.coalesce("lang", F.lit(""))) * 65536 + F.ascii(F.substring(F.coalesce("lang", F.lit("")), 2, 1))
     txt = F.col("text")
     title = (
         F.when(F.col("doc_id") % 10 == 0, F.concat(txt, F.lit(" programista")))
@@ -88,8 +90,9 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(txt)
     )
     return d.select(
+        (2 * (F.lit(1 << 40) - letters.cast("long")) + F.pmod(F.coalesce(url_idx, F.lit(0)), F.lit(2))).alias("group_idx"),
         F.col("lang").alias("group_title"),
-        F.substring("source", 4, 100).cast("int").alias("url_idx"),
+        url_idx.alias("url_idx"),
         F.col("doc_id").alias("pos"),
         F.concat(F.lit("https://x.example/o/"), ((F.col("doc_id") * 7919) % 800).cast("string")).alias("full_url"),
         title.alias("title"),
@@ -189,7 +192,7 @@ def _card_pages(cards: DataFrame, url_prefix: str, body_col: str, wrap=None) ->
     body = F.col("body") if wrap is None else wrap(F.col("body"))
     slug = F.lower(F.regexp_replace("p_brand", "[^A-Za-z0-9]+", "-"))
     return grouped.select(
-        (F.crc32(F.concat_ws("/", "p_brand", F.col("page_no").cast("string")))).alias("page_id"),
+        F.shiftrightunsigned(F.xxhash64("p_brand", "page_no"), 4).alias("page_id"),
         F.concat(F.lit(url_prefix), slug, F.lit("?page="), F.col("page_no").cast("string")).alias("url"),
         body.alias(body_col),
     )
@@ -320,7 +323,8 @@ def card_watch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     brand = F.regexp_extract("url", r"/([a-z0-9-]+)\?page=", 1)
     page_no = F.regexp_extract("url", r"\?page=([0-9]+)", 1).cast("long")
     titles = pages.select(brand.alias("group_title")).distinct().withColumn(
-        "group_idx", (F.dense_rank().over(Window.orderBy("group_title")) - 1).cast("int"))
-    watch = pages.select(brand.alias("group_title"), (F.col("_src") * 1_000_000 + page_no).alias("url_idx"),
-                         "url").join(titles, "group_title")
-    return watch.select("group_idx", "group_title", "url_idx", "url"), pages.drop("_src")
+        "group_idx", (2 * F.dense_rank().over(Window.orderBy(F.desc("group_title")))).cast("long"))  # against the alphabet
+    # two groups of a brand: the second watches its attribute-card pages
+    watch = pages.select(brand.alias("group_title"), (F.col("_src") * GROUP_STRIDE + page_no).alias("url_idx"),
+                         "url", (F.col("_src") == 2).cast("long").alias("_second")).join(titles, "group_title")
+    return watch.select((F.col("group_idx") + F.col("_second")).alias("group_idx"), "group_title", "url_idx", "url"), pages.drop("_src")

@@ -82,9 +82,23 @@ class LedgerStore:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v=") and self._fs.exists(
                     self._path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
+                out.append(int(name[2:].split(".")[0]))
         return sorted(out)
 
+    def _folder(self, version: int) -> str:
+        for st in self._fs.listStatus(self._path(self.root)):
+            name = st.getPath().getName()
+            if name.startswith("v=") and name[2:].split(".")[0] == str(version) and self._fs.exists(self._path(st.getPath(), "_SUCCESS")):
+                return f"{self.root}/{name}"
+        raise ValueError(f"ledger version {version} is not committed under {self.root}")
+
+    def has_tag(self, tag: str) -> bool:
+        """Whether a committed version carries ``tag`` (part of its folder's name, so data and tag commit together)."""
+        p = self._path(self.root)
+        return self._fs.exists(p) and any(
+            st.getPath().getName().endswith(f".{tag}") and self._fs.exists(self._path(st.getPath(), "_SUCCESS"))
+            for st in self._fs.listStatus(p))
+
     def current_version(self) -> int | None:
         v = self._versions()
         return v[-1] if v else None
@@ -93,18 +107,16 @@ class LedgerStore:
         v = self.current_version()
         if v is None:
             return empty_ledger(self.spark)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/v={v}").select(*LEDGER_COLUMNS)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder(v)).select(*LEDGER_COLUMNS)
 
     def read(self, version: int) -> DataFrame:
         """A committed version (the one a replayed batch must see again)."""
-        if not self.has_version(version):
-            raise ValueError(f"ledger version {version} is not committed under {self.root}")
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/v={version}").select(*LEDGER_COLUMNS)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder(version)).select(*LEDGER_COLUMNS)
 
     def has_version(self, version: int) -> bool:
         return version in self._versions()
 
-    def write(self, ledger: DataFrame, version: int | None = None) -> int:
+    def write(self, ledger: DataFrame, version: int | None = None, tag: str = "") -> int:
         """Write ``ledger`` as a new version (partitioned by sheet). Writing a
         version that is already committed is a no-op (idempotent retries)."""
         if version is None:
@@ -117,5 +129,5 @@ class LedgerStore:
         # contiguous slice and writes one sorted file per table it touches (a
         # table holding a third of all rows is written by many tasks).
         (ledger.select(*LEDGER_COLUMNS).sortWithinPartitions("sheet", "pos")
-         .write.mode("overwrite").partitionBy("sheet").parquet(f"{self.root}/v={version}"))
+         .write.mode("overwrite").partitionBy("sheet").parquet(f"{self.root}/v={version}" + (f".{tag}" if tag else "")))
         return version

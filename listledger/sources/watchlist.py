@@ -31,7 +31,7 @@ def empty_watch(spark: SparkSession) -> DataFrame:
 
 # Groups of a watchlist read from a folder of files are numbered
 # file rank * FILE_GROUP_STRIDE + place in the file (one file: the place).
-FILE_GROUP_STRIDE = 1_000_000
+FILE_GROUP_STRIDE = 1_000_000_000_000
 
 
 def _file_ranks(txt: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return groups.select(
         (F.col("_frank") * FILE_GROUP_STRIDE + F.col("_gpos")).cast("long").alias("group_idx"),
         F.col("g.title").alias("group_title"),
-        F.posexplode(F.coalesce(F.col("g.urls"), F.array().cast("array<string>"))).alias("url_idx", "url"),
+        F.posexplode_outer(F.col("g.urls")).alias("url_idx", "url"),  # a group without URLs stays, with a null URL
     ).select("group_idx", "group_title", F.col("url_idx").cast("long"), "url")
 
 

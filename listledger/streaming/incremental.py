@@ -4,13 +4,15 @@ New listings arrive as files in a folder; a file-source stream with an
 ``availableNow`` trigger takes them batch by batch, and ``foreachBatch``
 de-duplicates each batch against the ledger version the previous batch
 left (D3-D5), prepends the new rows (L7, L8), re-buckets (L5) and writes the
-next version. Batch ``b`` reads version ``b`` and writes version ``b + 1``,
-so a batch replayed after a failure sees the same input and rewrites
-nothing that is already committed: idempotent by batch id.
+next version on top of the current one, tagged with the stream's id and the
+batch id. A batch whose tag is committed is skipped when it is replayed; one
+that failed before its commit finds the ledger as it was. Versions written
+by others in between (a full run, discards) are built upon.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 
@@ -18,12 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.jobs import run_listings
-from ..session import scratch_path
 from ..sources.ledger import LedgerStore
 
 log = logging.getLogger(__name__)
 
-LISTING_SCHEMA = ("group_title string, url_idx long, pos long, full_url string, title string, company string, "
+LISTING_SCHEMA = ("group_idx long, group_title string, url_idx long, pos long, full_url string, title string, company string, "
                   "tags string")
 
 
@@ -62,11 +63,12 @@ def _unescape_partition(value: str) -> str:
 
 
 def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore, results_folder: str,
-                    checkpoint: str | None = None, recent_days: int | None = None,
+                    checkpoint: str, recent_days: int | None = None,
                     limit=None, max_limit: int | None = None) -> None:
     """Process every listing file in ``source_folder`` (one file per batch)
     against ``store``; new rows of batch ``b`` also go to
-    ``results_folder/batch=b``. Returns when all files are processed.
+    ``results_folder/batch=<stream id>-b``. Returns when all files are processed.
+    ``checkpoint`` must be the same folder from call to call: it holds which files are done.
 
     Each batch is one run: ``limit``/``max_limit`` (T1 per URL) and
     ``recent_days`` (F2) apply inside the batch, as for a single run."""
@@ -75,19 +77,24 @@ def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore,
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
-        ledger = store.read(batch_id)
-        res = run_listings(batch, ledger, batch.select("group_title"), limit=limit, max_limit=max_limit,
+        # the stream's id lives in its checkpoint: a new checkpoint is a new stream
+        meta = spark.read.text(f"{checkpoint}/metadata").first()[0]
+        tag = f"{json.loads(meta)['id']}-{batch_id}"
+        if store.has_tag(tag):
+            return
+        ledger = store.current()
+        res = run_listings(batch, ledger, batch.select("group_idx", "group_title"), limit=limit, max_limit=max_limit,
                            recent_days=recent_days, rewrite_ledger=True)
         res.new.select(*[c.split()[0] for c in LISTING_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
-            f"{results_folder}/batch={batch_id}")
-        store.write(res.ledger, version=batch_id + 1)
+            f"{results_folder}/batch={tag}")
+        store.write(res.ledger, tag=tag)
         log.info("incremental: batch %d done in %.2fs", batch_id, time.time() - t0)
 
     stream = (
         spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1)
         .option("pathGlobFilter", "*.parquet").parquet(source_folder)
         .writeStream.foreachBatch(per_batch)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "incremental-stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

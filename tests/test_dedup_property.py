@@ -32,16 +32,16 @@ def test_random_inputs(spark):
                                "rk long, full_url string, title string")
     df = df.selectExpr("rk", "full_url", "title", "'' as company", "'' as tags")
     want = sorted(rk for rows in cases for rk in sequential(rows))
-    # rounds to the end, rounds then an ordered tail, and the ordered tail alone
-    for finish, hashed in ((0, True), (40, True), (10_000, True), (0, False), (10_000, False)):
-        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"], finish_rows=finish,
+    # contents keyed by hash, and in full
+    for hashed in (True, False):
+        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"],
                                                         hash_content=hashed).collect())
-        assert got == want, (finish, hashed)
+        assert got == want, hashed
     naive = sorted(r.rk for r in dedup.dedup_ordered_naive(df, ["rk"]).collect())
     assert naive != want
 
 
-def test_multi_column_rank_tail(spark):
+def test_multi_column_rank(spark):
     rows = [("b", 1, 5, "u1", "c1"), ("a", 2, 1, "u1", "c2"), ("a", 1, 9, "u2", "c1"), (None, 3, 0, "u3", "c3"),
             ("a", 1, 9 + 1, "u2", "c4")]
     df = spark.createDataFrame(rows, "g string, i int, p long, full_url string, title string").selectExpr(
@@ -49,9 +49,8 @@ def test_multi_column_rank_tail(spark):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2]))
     want = sorted(sequential([(k, r[3], r[4]) for k, r in enumerate(order)]))
     want_rows = sorted((order[k][0] or "", order[k][2]) for k in want)
-    for finish in (0, 100):
-        got = sorted((r.g or "", r.p) for r in dedup.dedup_ordered(df, ["g", "i", "p"], finish_rows=finish).collect())
-        assert got == want_rows
+    got = sorted((r.g or "", r.p) for r in dedup.dedup_ordered(df, ["g", "i", "p"]).collect())
+    assert got == want_rows
 
 
 def test_hot_url_third_of_rows(spark):
@@ -65,9 +64,8 @@ def test_hot_url_third_of_rows(spark):
     df = spark.createDataFrame(rows, "rk long, full_url string, title string").selectExpr(
         "rk", "full_url", "title", "'' as company", "'' as tags")
     want = sorted(sequential(rows))
-    for finish in (0, 50_000):
-        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"], finish_rows=finish).collect())
-        assert got == want
+    got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"]).collect())
+    assert got == want
 
 
 def test_dense_positions_with_a_hot_table(spark):

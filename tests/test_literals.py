@@ -163,3 +163,111 @@ def test_discards_then_rebucket_equals_fused_organize(spark):
     fused = L.reorganize(sheets)
     cols = ["sheet", "pos", "title", "status", "link"]
     assert sorted(map(tuple, stepwise.select(cols).collect())) == sorted(map(tuple, fused.select(cols).collect()))
+
+
+def test_urls_that_the_jvm_parser_refuses(spark):
+    """R4, R5 by pattern: blanks, pipes, brackets and broken escapes are no reason to lose a name."""
+    from listledger.operators.routing import derive_title, url_param
+
+    rows = [
+        ("https://justjoin.it/job-offers/krakow?keyword=data|ai", "justjoin-krakow-kw-dataai", "data|ai"),
+        ("https://justjoin.it/job-offers/krakow?keyword=data ai", "justjoin-krakow-kw-dataai", "data ai"),
+        ("https://justjoin.it/job-offers/krakow?keyword=%zz%20x", None, "%zz x"),
+        ("https://justjoin.it/job-offers/krakow?keyword=[x]&keyword=y", None, "[x]"),
+        ("https://justjoin.it/job-offers/krakow?keyword=&x=1", "justjoin-krakow", ""),
+        ("no url at all", "no url at all", ""),
+        (None, None, ""),
+    ]
+    df = spark.createDataFrame([(k, u) for k, (u, _, _) in enumerate(rows)], "k int, url string")
+    got = {r["k"]: r for r in df.select("k", derive_title("url").alias("t"), url_param("url", "keyword").alias("q")).collect()}
+    for k, (_, title, value) in enumerate(rows):
+        assert got[k]["q"] == value
+        if title is not None and title != "no url at all":
+            assert got[k]["t"] == title
+
+
+def test_attributes_as_the_standard_parser_reads_them():
+    from listledger.functions.htmltree import parse, parse_stdlib
+
+    def shape(n):
+        return [(c.tag, c.attrs, shape(c)) if not isinstance(c, str) else c for c in n.children]
+
+    for html in ("<a href=/pl/job/dev/>x</a>", "<a href='1' href='2'>x</a>", "<br/>y", "<a b />z", '<a href="q"/>r', "<p class=a/ id=b>t"):
+        assert shape(parse(html)) == shape(parse_stdlib(html)), html
+
+
+def test_deeply_nested_page_is_rendered(spark):
+    from listledger.operators import extract as X
+
+    pages = spark.createDataFrame([(1, "u", "<p>x" * 10_000), (2, "v", None), (3, "w", "<h1>ok</h1>")], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in X.markdown_rows(pages).collect()}
+    assert got[1]["error"] is None and "x" in got[1]["md"]
+    assert got[2]["error"] == "ValueError: page has no content" and got[3]["md"] == "# ok"
+    assert X.extract_source_a(pages).count() == 0
+
+
+def _listings(spark, rows):
+    from pyspark.sql import functions as F
+
+    return spark.createDataFrame(rows, "group_idx long, group_title string, url_idx long, pos long, full_url string, title string").select(
+        "*", F.lit("").alias("company"), F.lit("").alias("tags"))
+
+
+def test_groups_keep_watchlist_order_and_stay_apart(spark):
+    """An earlier group wins whatever its title, and groups with one title stay two."""
+    from listledger.plans.jobs import run_listings
+    from listledger.sources.ledger import empty_ledger
+
+    both = [("https://x.example/1", "one")]
+    rows = [(0, "Junior", 0, 0, *both[0]), (1, "Italian", 0, 0, *both[0])]
+    rows += [(g, "A", 0, k, f"https://x.example/{g}-{k}", f"t{g}-{k}") for g in (2, 3) for k in range(40)]
+    rows += [(3, "A", 0, 40, "https://x.example/2-0", "t2-0")]
+    groups = spark.createDataFrame([(0, "Junior"), (1, "Italian"), (2, "A"), (3, "A"), (4, "Empty")], "group_idx long, group_title string")
+    res = run_listings(_listings(spark, rows), empty_ledger(spark), groups)
+    assert {r["group_idx"]: (r["new_offers"], r["total_candidates"]) for r in res.summary.collect()} == {
+        0: (1, 1), 1: (0, 1), 2: (40, 40), 3: (40, 41), 4: (0, 0)}
+    top = res.ledger.where("sheet = 'A'").orderBy("pos").first()
+    assert top["title"] == "t3-0"  # the later group's rows stand on top
+
+
+def test_run_migrates_tables_that_get_rows(spark):
+    from listledger.plans.jobs import run_listings
+
+    old = [(s, 1, '=HYPERLINK("https://h.example/9?q=1","Old job")', "c", "", "NEW", "") for s in ("Junior", "Other")]
+    ledger = spark.createDataFrame(old, "sheet string, pos long, title string, company string, tags string, status string, link string")
+    groups = spark.createDataFrame([(0, "Junior"), (1, "Other")], "group_idx long, group_title string")
+    res = run_listings(_listings(spark, [(0, "Junior", 0, 0, "https://x.example/1", "new")]), ledger, groups)
+    got = {(r["sheet"], r["title"], r["link"]) for r in res.ledger.collect()}
+    assert got == {("Junior", "new", "https://x.example/1"), ("Junior", "Old job", "https://h.example/9?q=1"), ("Other", old[1][2], "")}
+
+
+def test_stream_builds_on_versions_of_others(spark, tmp_path):
+    """A version written in between loses nothing; a second call with the same checkpoint adds nothing."""
+    from listledger.plans.jobs import organize_only
+    from listledger.sources.ledger import LedgerStore, empty_ledger
+    from listledger.sources.watchlist import empty_watch
+    from listledger.streaming.incremental import run_incremental, write_batches
+
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    store.write(empty_ledger(spark))
+    store.write(organize_only(store.current(), empty_watch(spark)))
+    args = (spark, str(tmp_path / "in"), store, str(tmp_path / "out"), str(tmp_path / "ck"))
+    write_batches(_listings(spark, [(0, "A", 0, 0, "https://x.example/1", "one")]).selectExpr("*", "1 _b"), "_b", str(tmp_path / "in"))
+    run_incremental(*args)
+    assert [r["title"] for r in store.current().collect()] == ["one"]
+    run_incremental(*args)
+    assert store.current_version() == 2
+    day2 = _listings(spark, [(0, "A", 0, 1, "https://x.example/2", "two"), (0, "A", 0, 2, "https://x.example/1", "three")])
+    day2.coalesce(1).write.parquet(str(tmp_path / "more"))
+    for f in (tmp_path / "more").glob("*.parquet"):
+        (tmp_path / "in" / "c000000.parquet").write_bytes(f.read_bytes())
+    run_incremental(*args)
+    assert sorted(r["title"] for r in store.current().collect()) == ["one", "two"]
+
+
+def test_watchlist_keeps_groups_without_urls(spark, tmp_path):
+    from listledger.sources.watchlist import read_json
+
+    (tmp_path / "w.json").write_text('[{"title": "A", "urls": ["u"]}, {"title": "Empty", "urls": []}, {"title": "None"}]')
+    got = [tuple(r) for r in read_json(spark, str(tmp_path / "w.json")).orderBy("group_idx").collect()]
+    assert got == [(0, "A", 0, "u"), (1, "Empty", None, None), (2, "None", None, None)]

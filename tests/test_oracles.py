@@ -26,7 +26,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["group_title", "new_offers", "total_candidates", "skipped"]
+    assert df.columns == ["group_idx", "group_title", "new_offers", "total_candidates", "skipped"]
 
 
 def test_every_query_has_an_oracle():

@@ -32,7 +32,7 @@ def test_batches_equal_one_ordered_batch(spark, tmp_path):
                            F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
     feed = filters.drop_polish(offers.where(F.col("pos") % 11 != 0))
 
-    one = run_listings(feed, ledger0, feed.select("group_title"), max_limit=None, rewrite_ledger=False)
+    one = run_listings(feed, ledger0, feed.select("group_idx", "group_title"), max_limit=None, rewrite_ledger=False)
     want = sorted((r.group_title, r.pos) for r in one.new.collect())
 
     store = LedgerStore(spark, str(tmp_path / "ledger"))

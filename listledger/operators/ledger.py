@@ -206,6 +206,16 @@ def migrate_rows(raw: DataFrame) -> DataFrame:
     )
 
 
+def touched_tables(ledger: DataFrame, watched: DataFrame | None = None, new_rows: DataFrame | None = None) -> DataFrame:
+    """Tables that ``reorganize`` rewrites: the watched ones, those that lose rows or get new ones, and Trash."""
+    lost = (F.col("sheet") != TRASH) & is_discarded("status")
+    out = ledger.where(lost).select("sheet").unionByName(ledger.sparkSession.range(1).select(F.lit(TRASH).alias("sheet")))
+    for more in (watched, new_rows):
+        if more is not None:
+            out = out.unionByName(more.select("sheet"))
+    return out.distinct()
+
+
 def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: DataFrame | None = None) -> DataFrame:
     """L2 + L3 + L8 + L10 + L5 fused into one range-partitioned numbering pass.
 
@@ -219,7 +229,6 @@ def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: Da
 
     ``watched``: one column ``sheet``; ``new_rows``: from ``to_ledger_rows``
     (rank columns ``_o*``)."""
-    spark = ledger.sparkSession
     move = (F.col("sheet") != TRASH) & is_discarded("status")
     old = ledger.select(
         F.when(move, F.lit(TRASH)).otherwise(F.col("sheet")).alias("sheet"),
@@ -241,9 +250,6 @@ def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: Da
         old = old.join(touched, "sheet", "left").withColumns(
             {"title": F.when(here, title).otherwise(F.col("title")), "link": F.when(here, link).otherwise(F.col("link"))}
         ).drop("_touched")
-    targets = [ledger.where(move).select("sheet"), spark.range(1).select(F.lit(TRASH).alias("sheet"))]
-    if watched is not None:
-        targets.append(watched.select("sheet"))
     both = old
     if new_rows is not None:
         new = new_rows.select(
@@ -252,11 +258,7 @@ def reorganize(ledger: DataFrame, watched: DataFrame | None = None, new_rows: Da
             F.lit(None).cast("long").alias("_pos0"),
             *[F.col(c).cast("long").alias(keys[i]) for i, c in enumerate(ocols)])
         both = old.unionByName(new)
-        targets.append(new_rows.select("sheet"))
-    target = targets[0]
-    for t in targets[1:]:
-        target = target.unionByName(t)
-    target = target.distinct()
+    target = touched_tables(ledger, watched, new_rows)
 
     inside = both.join(target, "sheet", "left_semi").withColumn("_bucket", status_bucket("status"))
     outside = both.join(target, "sheet", "left_anti").withColumn("pos", F.col("_pos0"))

@@ -22,6 +22,7 @@ class RunResult:
     new: DataFrame          # kept by D3-D5, in rank columns
     summary: DataFrame      # G1
     ledger: DataFrame       # the ledger after the run (L8 + L5)
+    touched: DataFrame | None = None  # its tables that the run rewrote (column sheet)
 
 
 def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
@@ -50,14 +51,15 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
     new = materialize(dedup.dedup_ordered(fresh, RUN_ORDER), "new-listings")  # read by the summary and the rewrite
 
     summary = run_summary(groups, cands, new)
-    out_ledger = ledger
+    out_ledger, touched = ledger, None
     if rewrite_ledger:
         # discards (L2, L3), new rows on top (L7, L8) and re-bucketing
         # of every watched table, in one numbering pass
         rows = prepend_rows(new)
         watched = groups.select(F.col("group_title").alias("sheet"))
         out_ledger = L.reorganize(ledger, watched, rows)
-    return RunResult(cands, new, summary, out_ledger)
+        touched = L.touched_tables(ledger, watched, rows)
+    return RunResult(cands, new, summary, out_ledger, touched)
 
 
 def prepend_rows(new: DataFrame) -> DataFrame:

@@ -469,7 +469,8 @@ def q_ledger_rewrite(spark, sf):
     """The organized ledger written as a new version and read back."""
     s = store.LedgerStore(spark, scratch_path(spark, "ledger-store"))
     s.write(bindings.sheets(spark, sf), version=0)
-    s.write(_organized(spark, sf))
+    watched = routing.group_titles(bindings.watch_groups(spark, sf)).select(F.col("sheet_title").alias("sheet"))
+    s.write(_organized(spark, sf), changed=L.touched_tables(s.current(), watched))
     return s.current().select("sheet", "pos", "title", "company", "status", "link")
 
 

@@ -1,13 +1,15 @@
 """The ledger as a dataset.
 
 Stored as parquet partitioned by ``sheet`` (per-table work prunes partitions),
-one folder per version under a root; a version counts once Spark's job commit
-has written its ``_SUCCESS`` marker, so replacing the ledger is atomic: a crash
+one folder of changed tables per version under a root, and a manifest that names
+the folder holding each table; a version counts once its manifest is written, so replacing the ledger is atomic: a crash
 mid-write leaves the previous version current.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,15 +82,20 @@ class LedgerStore:
         out = []
         for st in self._fs.listStatus(p):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v=") and self._fs.exists(
-                    self._path(st.getPath(), "_SUCCESS")):
+            if st.isDirectory() and name.startswith("v=") and self._committed(st.getPath()):
                 out.append(int(name[2:].split(".")[0]))
         return sorted(out)
 
+    def _committed(self, folder) -> bool:
+        """A version counts once its rows and, after them, its manifest are written."""
+        version = folder.getName()[2:].split(".")[0]
+        return self._fs.exists(self._path(folder, "_SUCCESS")) and self._fs.exists(
+            self._path(f"{self.root}/manifest-{version}/_SUCCESS"))
+
     def _folder(self, version: int) -> str:
         for st in self._fs.listStatus(self._path(self.root)):
             name = st.getPath().getName()
-            if name.startswith("v=") and name[2:].split(".")[0] == str(version) and self._fs.exists(self._path(st.getPath(), "_SUCCESS")):
+            if name.startswith("v=") and name[2:].split(".")[0] == str(version) and self._committed(st.getPath()):
                 return f"{self.root}/{name}"
         raise ValueError(f"ledger version {version} is not committed under {self.root}")
 
@@ -96,7 +103,7 @@ class LedgerStore:
         """Whether a committed version carries ``tag`` (part of its folder's name, so data and tag commit together)."""
         p = self._path(self.root)
         return self._fs.exists(p) and any(
-            st.getPath().getName().endswith(f".{tag}") and self._fs.exists(self._path(st.getPath(), "_SUCCESS"))
+            st.getPath().getName().endswith(f".{tag}") and self._committed(st.getPath())
             for st in self._fs.listStatus(p))
 
     def current_version(self) -> int | None:
@@ -105,29 +112,58 @@ class LedgerStore:
 
     def current(self) -> DataFrame:
         v = self.current_version()
-        if v is None:
-            return empty_ledger(self.spark)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder(v)).select(*LEDGER_COLUMNS)
+        return empty_ledger(self.spark) if v is None else self.read(v)
+
+    def _holders(self, version: int) -> dict[str | None, int]:
+        """For each table of a version, the version whose folder holds its rows."""
+        path = f"{self.root}/manifest-{version}"
+        return {r["sheet"]: r["version"] for r in self.spark.read.schema("sheet string, version int").json(path).collect()}
 
     def read(self, version: int) -> DataFrame:
-        """A committed version (the one a replayed batch must see again)."""
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder(version)).select(*LEDGER_COLUMNS)
+        """A committed version: each table from the folder that wrote it last."""
+        self._folder(version)
+        by_folder: dict[int, list] = {}
+        for sheet, holder in self._holders(version).items():
+            by_folder.setdefault(holder, []).append(sheet)
+        out = empty_ledger(self.spark).select(*LEDGER_COLUMNS)
+        for holder, sheets in sorted(by_folder.items()):
+            part = self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder(holder)).select(*LEDGER_COLUMNS)
+            named = F.col("sheet").isin([s for s in sheets if s is not None])
+            out = out.unionByName(part.where(named | F.col("sheet").isNull() if None in sheets else named))
+        return out
 
     def has_version(self, version: int) -> bool:
         return version in self._versions()
 
-    def write(self, ledger: DataFrame, version: int | None = None, tag: str = "") -> int:
+    def write(self, ledger: DataFrame, version: int | None = None, tag: str = "", changed: DataFrame | None = None) -> int:
         """Write ``ledger`` as a new version (partitioned by sheet). Writing a
-        version that is already committed is a no-op (idempotent retries)."""
+        version that is already committed is a no-op (idempotent retries).
+
+        ``changed`` (column ``sheet``): the tables that differ from the current version. Only
+        those are written; the others stay in the folders that hold them, which the version's
+        manifest names. Names of tables pass the driver, rows do not."""
+        cur = self.current_version()
         if version is None:
-            cur = self.current_version()
             version = 0 if cur is None else cur + 1
         if self.has_version(version):
             return version
+        rows, held = ledger, {}
+        if changed is not None and cur is not None:
+            touched = {r[0] for r in changed.select("sheet").distinct().collect()}
+            named = F.col("sheet").isin([s for s in touched if s is not None])
+            rows = ledger.where(named | F.col("sheet").isNull() if None in touched else named)
+            held = {s: v for s, v in self._holders(cur).items() if s not in touched}
         # No shuffle here: a rewritten ledger comes range-partitioned on
         # (sheet, order) from the numbering pass, so each task holds a
         # contiguous slice and writes one sorted file per table it touches (a
         # table holding a third of all rows is written by many tasks).
-        (ledger.select(*LEDGER_COLUMNS).sortWithinPartitions("sheet", "pos")
-         .write.mode("overwrite").partitionBy("sheet").parquet(f"{self.root}/v={version}" + (f".{tag}" if tag else "")))
+        folder = f"{self.root}/v={version}" + (f".{tag}" if tag else "")
+        (rows.select(*LEDGER_COLUMNS).sortWithinPartitions("sheet", "pos")
+         .write.mode("overwrite").partitionBy("sheet").parquet(folder))
+        for st in self._fs.listStatus(self._path(folder)):
+            name = unquote(st.getPath().getName())
+            if name.startswith("sheet="):
+                held[None if name == "sheet=__HIVE_DEFAULT_PARTITION__" else name[6:]] = version
+        manifest = self.spark.createDataFrame(sorted(held.items(), key=str), "sheet string, version int")
+        manifest.coalesce(1).write.mode("overwrite").json(f"{self.root}/manifest-{version}")  # the commit
         return version

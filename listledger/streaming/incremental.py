@@ -87,7 +87,7 @@ def run_incremental(spark: SparkSession, source_folder: str, store: LedgerStore,
                            recent_days=recent_days, rewrite_ledger=True)
         res.new.select(*[c.split()[0] for c in LISTING_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
             f"{results_folder}/batch={tag}")
-        store.write(res.ledger, tag=tag)
+        store.write(res.ledger, tag=tag, changed=res.touched)
         log.info("incremental: batch %d done in %.2fs", batch_id, time.time() - t0)
 
     stream = (

@@ -43,3 +43,18 @@ def test_batches_equal_one_ordered_batch(spark, tmp_path):
     assert got == want
     # the last version holds the ledger plus every new row, nothing twice
     assert store.current().count() == ledger0.count() + len(want)
+
+
+def test_untouched_tables_are_not_written_again(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    s = bindings.sheets(spark, SF)
+    store.write(s)
+    changed = s.where("sheet = 'Trash'").select("sheet").limit(1)
+    more = s.withColumn("title", F.when(F.col("sheet") == "Trash", F.lit("new")).otherwise(F.col("title")))
+    assert store.write(more, changed=changed) == 1
+    assert [p.name for p in (tmp_path / "ledger" / "v=1").iterdir() if p.is_dir()] == ["sheet=Trash"]
+    assert sorted(map(str, store.current().collect())) == sorted(map(str, more.select(store.current().columns).collect()))
+    assert sorted(map(str, store.read(0).collect())) == sorted(map(str, s.select(store.current().columns).collect()))
+    gone = more.where("sheet <> 'Trash'")
+    store.write(gone, changed=changed)
+    assert store.current().where("sheet = 'Trash'").count() == 0 and store.current().count() == gone.count()

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from listledger.llm.common import slices
+
 #: The split into pieces of byte-level BPE models.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -176,7 +178,7 @@ class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit integers. Remembers the tokens of recent short pieces:
     two generations of at most ``remember`` pieces each."""
 
-    def __init__(self, model: BpeModel, window: int = 1 << 16, remember: int = 300_000):
+    def __init__(self, model: BpeModel, window: int = 1 << 16, remember: int = 120_000):
         import regex
 
         if sys.byteorder != "little" or array("I").itemsize != 4:
@@ -272,7 +274,7 @@ def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, arrow:
 
     def run(batches):
         one = make()
-        for batch in batches:
+        for batch in slices(batches):
             values = [one(x) for x in batch.column(batch.schema.get_field_index(source)).to_pylist()]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values, arrow)], [*kept, name])

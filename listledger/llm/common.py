@@ -46,9 +46,16 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
-def text_rows(batches: Iterator, *columns: str) -> Iterator[tuple[list, ...]]:
-    """Per Arrow batch, its columns as Python lists."""
+def slices(batches: Iterator, rows: int = 512) -> Iterator:
+    """The batches in parts of at most ``rows`` rows: Python objects are made of a part at a time."""
     for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def text_rows(batches: Iterator, *columns: str) -> Iterator[tuple[list, ...]]:
+    """Per part of an Arrow batch, its columns as Python lists."""
+    for batch in slices(batches):
         yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listledger.llm.common import text_rows
+from listledger.llm.common import slices, text_rows
 
 
 def normal(text: str | None) -> str:
@@ -122,7 +122,7 @@ def searchable(items: DataFrame, least: int, text: str = "text", id_col: str = "
     """Rows (id, item): normalised distinct items of at least ``least`` characters, each with its least id."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             bodies = [normal(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.string())], ["id", "item"])
 
@@ -173,7 +173,7 @@ def clean(docs: DataFrame, items: DataFrame, error: float = 0.08, least: int = 5
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, error)
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
                 yield batch.filter(pa.array([not matcher.find(t) for t in texts], pa.bool_()))
 

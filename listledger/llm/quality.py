@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listledger.llm.common import text_rows, write_through
+from listledger.llm.common import slices, text_rows, write_through
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -86,7 +86,7 @@ def measures(docs: DataFrame, *kept: str, text: str = "text") -> DataFrame:
     names = [*COUNTS, *CUTOFFS]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = list(zip(*map(measure, batch.column(batch.schema.get_field_index(text)).to_pylist()))) or [()] * len(names)
             made = [pa.array(r, pa.int64() if k < len(COUNTS) else pa.float64()) for k, r in enumerate(rows)]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *made], [*kept, *names])

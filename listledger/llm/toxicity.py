@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listledger.llm.common import fold, fresh, joined, text_rows, write_through
+from listledger.llm.common import fold, fresh, joined, slices, text_rows, write_through
 
 #: Letters of the character model, by code; 0 is a word's edge, 63 any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáãåæçèéêëìíîïñòóôöõøœùúûüýÿß"
@@ -169,7 +169,7 @@ class ToxicModel:
 class Scorer:
     """Evidence of texts; remembers that of recent tokens, in two bounded generations."""
 
-    def __init__(self, model: ToxicModel, remember: int = 400_000):
+    def __init__(self, model: ToxicModel, remember: int = 120_000):
         self.model, self.remember, self.older = model, remember, {}
         self.recent = self._generation()
 
@@ -229,7 +229,7 @@ def count_features(sample: DataFrame, chars: CharModel) -> DataFrame:
         for texts, labels in text_rows(batches, "text", "label"):
             for t, y in zip(texts, labels):
                 counts[y].update({f for token in tokens_of(t) for w in restore(token, model) for f in features_of(w) if len(w) <= 40})
-            if len(counts[0]) + len(counts[1]) > 1_000_000:
+            if len(counts[0]) + len(counts[1]) > 200_000:
                 yield pa.RecordBatch.from_pylist([dict(zip(("feature", "pos", "neg"), r)) for r in rows()], schema)
                 counts[0].clear(), counts[1].clear()
         found = list(rows())
@@ -290,7 +290,7 @@ def evidence(df: DataFrame, model: ToxicModel, text: str, name: str = "e") -> Da
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             values = np.array([scorer.row(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()], float).reshape(-1, 4)
             struct = pa.StructArray.from_arrays([pa.array(values[:, k]) for k in range(4)], fields)
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), struct], [*kept, name])

@@ -80,7 +80,7 @@ def test_bpe_round_trip(spark, odd):
     coded = bpe.encode(odd, path)
     assert set(coded.columns) == set(odd.columns)
     back = bpe.decode(coded.drop("text"), path, text="text").select("doc_id", "text").collect()
-    assert sorted(map(str, back)) == sorted(str(type(r)(r[0], r[1] or "")) for r in odd.select("doc_id", "text").collect())
+    assert sorted(str(tuple(r)) for r in back) == sorted(str((i, t or "")) for i, t in ROWS)
 
 
 def test_bpe_streams_long_pieces():
@@ -191,7 +191,7 @@ def test_deobfuscation(toxic_model):
 
 
 def test_secrets(spark, odd):
-    model = secrets.train(odd)
+    model = secrets.train(odd.limit(0))
     assert secrets.scan(odd, model).count() == len(ROWS) and secrets.redact(odd, model).columns == odd.columns
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     model = secrets.train(docs)

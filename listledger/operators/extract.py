@@ -36,10 +36,13 @@ LISTING_COLUMNS = ["source", "title", "company", "tags", "tag_list", "salary", "
 
 def strip_elements(html) -> Column:
     """Drop script, style and noscript elements with their content
-    (one element kind after the other; the first closing tag ends one)."""
+    (one element kind after the other; the first closing tag ends one). As a
+    tree would have it, tags inside a comment are text, and a script or style
+    that is never closed runs to the end of the page."""
     out = col(html)
     for tag in DROPPED_ELEMENTS:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+        end = rf"</{tag}\s*>" + ("" if tag == "noscript" else r"|\z")
+        out = F.regexp_replace(out, rf"(?is)(<!--.*?-->)|<{tag}\b[^>]*>.*?(?:{end})", "$1")
     return out
 
 

@@ -168,17 +168,20 @@ def full_run(watch: DataFrame, pages: DataFrame, ledger: DataFrame, rewrite_ledg
     # rows to Trash first does not change them; the rewrite does the moves.
     groups = group_titles(watch).select("group_idx", F.col("sheet_title").alias("group_title"))
     w = watch.select("group_idx", "url_idx", "url").where(F.col("url").isNotNull()).join(groups, "group_idx")
-    # Extract once per page, then join the slim listings to the watchlist (a URL
-    # watched by two groups yields its listings once per group): ``html`` meets no
-    # join and no exchange. A page is read only if the hash of its URL is one of
-    # the watched ones; the join decides exactly.
-    slots = [r[0] for r in w.select(_url_slot("url")).distinct().collect()]  # at most URL_SLOTS numbers
-    listings = extract_listings(pages.select("page_id", "url", "html").where(_url_slot("url").isin(slots)))
-    listings = listings.join(w, "url")
+    listings = watched_listings(w, pages)
     return run_listings(listings, ledger, groups, limit=F.col("row_limit"),
                         max_limit=max(DEFAULT_LIMIT, SOURCE_C_LIMIT), rewrite_ledger=rewrite_ledger)
 
 
+def watched_listings(watch: DataFrame, pages: DataFrame) -> DataFrame:
+    """The listings of the watched pages with their watch keys. Extracts once per page, then
+    joins the slim listings to the watchlist (a URL watched by two groups yields its listings
+    once per group): ``html`` meets no join and no exchange. A page is read only if the hash
+    of its URL is one of the watched ones; the join decides exactly."""
+    slots = [r[0] for r in watch.select(_url_slot("url")).distinct().collect()]  # at most URL_SLOTS numbers
+    return extract_listings(pages.select("page_id", "url", "html").where(_url_slot("url").isin(slots))).join(watch, "url")
+
+
 URL_SLOTS = 4096
 
 

@@ -425,7 +425,8 @@ from pages"""
 
 def strip_sql(x: str) -> str:
     for tag in ("script", "style", "noscript"):
-        x = f"regexp_replace({x}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+        end = f"</{tag}\\s*>" + ("" if tag == "noscript" else "|\\z")
+        x = f"regexp_replace({x}, '(?is)(<!--.*?-->)|<{tag}\\b[^>]*>.*?(?:{end})', '\\1', 'g')"
     return x
 
 

@@ -271,3 +271,15 @@ def test_watchlist_keeps_groups_without_urls(spark, tmp_path):
     (tmp_path / "w.json").write_text('[{"title": "A", "urls": ["u"]}, {"title": "Empty", "urls": []}, {"title": "None"}]')
     got = [tuple(r) for r in read_json(spark, str(tmp_path / "w.json")).orderBy("group_idx").collect()]
     assert got == [(0, "A", 0, "u"), (1, "Empty", None, None), (2, "None", None, None)]
+
+
+def test_elements_are_dropped_as_a_tree_would(spark):
+    from listledger.operators import extract as X
+
+    rows = [
+        ("a<script>x</script>b", "ab"), ("a<script>x", "a"), ("a<STYLE type=t>x</style >b", "ab"), ("a<!-- <script> -->b<script>y</script>c", "a<!-- <script> -->bc"),
+        ("a<noscript>x", "a<noscript>x"), ("a<noscript>x</noscript>b", "ab"), (None, None),
+    ]
+    df = spark.createDataFrame([(k, h) for k, (h, _) in enumerate(rows)], "k int, html string")
+    got = {r["k"]: r["c"] for r in df.select("k", X.strip_elements("html").alias("c")).collect()}
+    assert [got[k] for k in range(len(rows))] == [c for _, c in rows]

@@ -2,6 +2,7 @@
 joins (no nested loop), the native extractors stay in the JVM, filters and
 column pruning reach the parquet scan."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from listledger.operators import dedup, extract as X
@@ -36,16 +37,60 @@ def test_native_extractors_stay_in_jvm(spark):
     assert not any(n in p for n in PYTHON_NODES)
 
 
-def test_scan_prunes_columns_and_pushes_filters(spark):
-    df = spark.read.parquet(f"{SF}/orders.parquet").where(F.col("o_orderkey") > 10).select("o_orderkey")
-    p = plan(df)
-    assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,10)]" in p
-    assert "ReadSchema: struct<o_orderkey:bigint>" in p
+def test_scan_prunes_columns(spark):
     known = plan(dedup.known_records(bindings.sheets(spark, SF)))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in known
 
 
-def test_dedup_rounds_use_partial_aggregation(spark):
-    df = bindings.offers(spark, SF)
-    mu = df.groupBy("full_url").agg(F.min(F.struct("group_title", "url_idx", "pos")))
-    assert "partial_min" in plan(mu)
+def exchanges(df):
+    """(partitioning, output names) of every shuffle in the plan."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "ShuffleExchange" in node.getClass().getSimpleName():
+            names = node.output()
+            out.append((node.outputPartitioning().toString(), [names.apply(i).name() for i in range(names.size())]))
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for sides too large to broadcast, and static, so that they can be read."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_html_meets_no_exchange(spark, no_broadcast):
+    from listledger.plans import jobs
+
+    watch, pages = bindings.card_watch(spark, SF)
+    found = exchanges(jobs.watched_listings(watch, pages))
+    assert found and all("html" not in names and "md" not in names for _, names in found)
+
+
+def test_content_join_ships_hashes(spark, no_broadcast):
+    recs = bindings.offers(spark, SF)
+    found = exchanges(dedup.drop_known_content(bindings.offers(spark, SF), dedup.known_records(
+        recs.select("title", "company", "tags", F.lit("").alias("link")))))
+    known_side = [p for p, names in found if names == ["_h"]]
+    assert known_side and all("_h" in p for p, _ in found)
+
+
+def test_dedup_rounds_use_partial_aggregation(spark, monkeypatch):
+    """The tables that the rounds write are planned with partial minima and equi joins."""
+    plans, real = [], dedup.materialize
+
+    def watched(df, name):
+        plans.append(plan(df))
+        return real(df, name)
+
+    monkeypatch.setattr(dedup, "materialize", watched)
+    dedup.dedup_ordered(bindings.offers(spark, SF), ("group_idx", "url_idx", "pos")).count()
+    assert len(plans) >= 3 and "partial_min" in plans[0] and "partial_min" in plans[1]
+    assert not any("NestedLoop" in p or "SinglePartition" in p for p in plans)

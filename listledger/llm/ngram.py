@@ -207,7 +207,7 @@ def dealt(docs: DataFrame, train: Column, deleted: Column, chunk_chars: int, id_
 
 def exchange(rows: DataFrame, chunks: int, order: int) -> DataFrame:
     """The answers to all chunks' requests."""
-    ask, schema = requests(order, max(4, chunks // 2))
+    ask, schema = requests(order, max(4, chunks))
     return rows.select("text", "kind", "chunk").groupBy("chunk").applyInPandas(ask, schema).groupBy("bucket", "level").applyInPandas(answer, ANSWER)
 
 
@@ -251,7 +251,7 @@ def scores(model: Model):
     return run
 
 
-def train_and_score(docs: DataFrame, train: Column, deleted: Column, order: int = 2, chunk_chars: int = 8 << 20, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, Model]:
+def train_and_score(docs: DataFrame, train: Column, deleted: Column, order: int = 2, chunk_chars: int = 6 << 20, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, Model]:
     """Learn from the rows where ``train`` holds (``deleted``: the fold of them that sets the weights) and score all rows: (id, train,
     n_tokens, n_known, base_score, score), logarithms to the base 10. Also the model."""
     rows, chunks = dealt(docs, train, deleted, chunk_chars, id_col, text)

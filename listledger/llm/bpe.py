@@ -178,7 +178,7 @@ class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit integers. Remembers the tokens of recent short pieces:
     two generations of at most ``remember`` pieces each."""
 
-    def __init__(self, model: BpeModel, window: int = 1 << 16, remember: int = 120_000):
+    def __init__(self, model: BpeModel, window: int = 1 << 16, remember: int = 200_000):
         import regex
 
         if sys.byteorder != "little" or array("I").itemsize != 4:

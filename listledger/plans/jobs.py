@@ -47,7 +47,8 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
 
     urls = dedup.known_urls(ledger)
     recs = dedup.known_records(ledger)
-    fresh = dedup.drop_known_content(dedup.drop_known_urls(cands, urls), recs)
+    # D5 reads what is left three times (hash check, twins, final semi join): written once
+    fresh = materialize(dedup.drop_known_content(dedup.drop_known_urls(cands, urls), recs), "fresh")
     new = materialize(dedup.dedup_ordered(fresh, RUN_ORDER), "new-listings")  # read by the summary and the rewrite
 
     summary = run_summary(groups, cands, new)
@@ -75,10 +76,10 @@ def offers_run(spark, sf_dir: str, rewrite_ledger: bool = False) -> RunResult:
     from ..sources import bindings
 
     offers = bindings.offers(spark, sf_dir)
-    ledger = offers_ledger(spark, sf_dir)
+    ledger = materialize(offers_ledger(spark, sf_dir), "offers-ledger")  # a ledger is a stored table; D1, D2 and L8 read it
     feed = offers.where(F.col("pos") % 11 != 0)
     limit = F.when(F.col("group_title") == "en", F.lit(50)).otherwise(F.lit(30))
-    return run_listings(feed, ledger, offers.select("group_idx", "group_title"), limit=limit, max_limit=50,
+    return run_listings(feed, ledger, offers.select("group_idx", "group_title").distinct(), limit=limit, max_limit=50,
                         rewrite_ledger=rewrite_ledger)
 
 

@@ -445,7 +445,7 @@ def q_full_run_pages(spark, sf):
 
 @query("incremental_run")
 def q_incremental_run(spark, sf):
-    """B_offers feed (after F1, titles stripped) arriving one group per batch
+    """B_offers feed (after F1, titles stripped) arriving one title per batch, in group order,
     against the known part as ledger version 0; the new rows of all batches."""
     from ..functions.text import trim_ws
     from ..streaming.incremental import run_incremental, write_batches
@@ -458,7 +458,8 @@ def q_incremental_run(spark, sf):
                            F.lit("NEW").alias("status"), F.col("full_url").alias("link"))
     ledger_store = store.LedgerStore(spark, f"{root}/ledger")
     ledger_store.write(ledger0, version=0)
-    feed = filters.drop_polish(offers.where(F.col("pos") % 11 != 0)).withColumn("_batch", F.col("group_title"))
+    feed = filters.drop_polish(offers.where(F.col("pos") % 11 != 0)).withColumn(
+        "_batch", F.lpad(F.floor(F.col("group_idx") / 2).cast("string"), 20, "0"))  # a title's two groups, in watchlist order
     write_batches(feed, "_batch", f"{root}/in")
     run_incremental(spark, f"{root}/in", ledger_store, f"{root}/out", checkpoint=f"{root}/stream")
     return spark.read.parquet(f"{root}/out").select("group_title", "pos", "full_url", "title")

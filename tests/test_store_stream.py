@@ -37,7 +37,7 @@ def test_batches_equal_one_ordered_batch(spark, tmp_path):
 
     store = LedgerStore(spark, str(tmp_path / "ledger"))
     store.write(ledger0, version=0)
-    write_batches(feed.withColumn("_b", F.lpad(F.col("group_idx").cast("string"), 20, "0")), "_b", str(tmp_path / "in"))
+    write_batches(feed.withColumn("_b", F.lpad(F.floor(F.col("group_idx") / 2).cast("string"), 20, "0")), "_b", str(tmp_path / "in"))
     run_incremental(spark, str(tmp_path / "in"), store, str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"))
     got = sorted((r.group_title, r.pos) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == want

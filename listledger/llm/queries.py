@@ -71,7 +71,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+    return urlfilter.judge(pages, backoff=True).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

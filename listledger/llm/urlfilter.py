@@ -2,15 +2,15 @@
 
 Rules (host, path prefix, verdict) fit their host and all its subdomains; the longest wins. Where none fits, the verdict is the
 template tree's: per host, variable path segments become wildcards (by their form, and where a node has many rare
-children), sibling branches whose labelled shares are statistically alike are merged, and a template is
+children), sibling branches of every level whose labelled shares are statistically alike are merged, and a template is
 rejected if its smoothed share of blocked labelled pages is over a threshold. The pages decided by a rule are the labels, unless
-others are given.
+others are given. With back-off, sparse and unlabelled templates are smoothed towards their parent and the same template on other hosts.
 
 Pages are aggregated by (host, masked path) first, with partial sums, so a hot host costs a row for each of its templates; all further
 steps work on that table, and pages meet it again in one equi-join.
 
 Defined cases: a null url or one without ``://`` has empty host and path and fits no rule; such pages share one template; repeated rows
-are judged alike and count each; without labels a template's share is one half, which does not reject; an empty table gives no rows."""
+are judged alike and count each; without labels (and without back-off) a template's share is one half, which does not reject; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -78,34 +78,73 @@ def generalise(leaves: DataFrame, fan: int, rare: float) -> DataFrame:
 
 
 def merged(templates: DataFrame, z: float, least: int) -> DataFrame:
-    """``templates`` (host, template, block, labelled) with column ``branch``: siblings with at least ``least`` labels whose share of
-    blocked ones is within ``z`` standard errors of their pooled share fall into one branch, the others keep their own."""
-    rest = F.regexp_replace("template", r"(?s)^/[^/]*/[^/]*", "")  # templates start with "/" and the empty segment before the path
-    out = templates.withColumn("rest", rest)  # siblings: templates of a host that differ in their first segment only
-    pool = out.where(F.col("labelled") >= least).groupBy("host", "rest").agg(F.sum("block").alias("pool_block"), F.sum("labelled").alias("pool_n"))
-    out = out.join(pool, ["host", "rest"], "left")
-    share = F.col("pool_block") / F.col("pool_n")
-    error = F.sqrt(share * (1 - share) / F.col("labelled") + 0.25 / (F.col("labelled") * F.col("labelled")))
-    alike = (F.col("labelled") >= least) & (F.abs(F.col("block") / F.col("labelled") - share) <= z * error)
-    return out.withColumn("branch", F.when(alike, F.concat(F.lit("/{+}"), "rest")).otherwise(F.col("template"))).drop("rest", "pool_block", "pool_n")
-
-
-def template_tree(pages: DataFrame, fan: int = 20, rare: float = 0.02, z: float = 2.0, least: int = 10, prior: float = 2.0) -> DataFrame:
+    """``templates`` (host, template, block, labelled) with column ``branch``, level by level: siblings (branches of a host that differ in
+    one segment only) with at least ``least`` labels whose share of blocked ones is within ``z`` standard errors of their pooled share
+    fall into one branch, the others keep their own."""
+    depth = templates.agg(F.max(F.size(F.split("template", "/")))).first()[0] or 0
+    out = templates.withColumn("branch", F.col("template"))
+    for at in range(2, depth):  # templates start with "/" and the empty segment before the path
+        parts = F.split("branch", "/")
+        masked_at = F.array_join(F.transform(parts, lambda s, i: F.when(i == at, "{+}").otherwise(s)), "/")  # noqa: B023
+        sums = out.groupBy("host", "branch").agg(F.sum("block").alias("b"), F.sum("labelled").alias("l"))
+        sums = sums.where((F.size(parts) > at) & (F.col("l") >= least)).withColumn("key", masked_at)
+        pool = sums.groupBy("host", "key").agg((F.sum("b") / F.sum("l")).alias("share"))
+        error = F.sqrt(F.col("share") * (1 - F.col("share")) / F.col("l") + 0.25 / (F.col("l") * F.col("l")))
+        alike = sums.join(pool, ["host", "key"]).where(F.abs(F.col("b") / F.col("l") - F.col("share")) <= z * error)
+        out = out.join(alike.select("host", "branch", "key"), ["host", "branch"], "left")
+        out = write_through(out.withColumn("branch", F.coalesce("key", "branch")).drop("key"), "branches")
+    return out
+
+
+def backing(templates: DataFrame, prior: float, doubt: float) -> DataFrame:
+    """Rows (host, template, back) from ``templates`` (host, template, n, block, labelled): the share a template backs off to, the mean of
+    its parent's on the host and of the same template's on all other hosts. Both are smoothed down the path in the same way, from the
+    root, whose share is that of other hosts; with no label anywhere it is one half."""
+    counts = ("n", "block", "labelled")
+    parts = F.split("template", "/")
+    nodes = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda k: F.struct(k.alias("level"), F.array_join(F.slice(parts, 1, k), "/").alias("node")))
+    paths = templates.select("host", "template", *counts, F.explode(nodes).alias("at")).select("host", "template", *counts, "at.*")
+    own = write_through(paths.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in counts)), "nodes")
+    all_hosts = own.groupBy("node").agg(F.sum("block").alias("all_block"), F.sum("labelled").alias("all_labelled"))
+    own = own.join(all_hosts, "node").withColumn("others_block", F.col("all_block") - F.col("block"))
+    own = own.withColumn("others_labelled", F.col("all_labelled") - F.col("labelled"))
+    step = F.struct("level", *counts, "others_block", "others_labelled")
+    chain = paths.drop(*counts).join(own, ["host", "node"]).groupBy("host", "template").agg(F.sort_array(F.collect_list(step)).alias("chain"))
+
+    def down(state: Column, x: Column) -> Column:
+        others = (x["others_block"] + prior * state["others"]) / (x["others_labelled"] + prior)
+        back = (F.coalesce(state["own"], others) + others) / 2
+        weight = prior + doubt * (x["n"] - x["labelled"])
+        return F.struct(((x["block"] + weight * back) / (x["labelled"] + weight)).alias("own"), others.alias("others"), back.alias("back"))
+
+    start = F.struct(F.lit(None).cast("double").alias("own"), F.lit(0.5).alias("others"), F.lit(None).cast("double").alias("back"))
+    return chain.select("host", "template", F.aggregate("chain", start, down)["back"].alias("back"))
+
+
+def template_tree(
+    pages: DataFrame, fan: int = 20, rare: float = 0.02, z: float = 2.0, least: int = 10, prior: float = 2.0, backoff: bool = False, doubt: float = 0.05
+) -> DataFrame:
     """Rows (host, segments, template, branch, purity) from ``pages`` (host, segments, label: block, allow or null). Purity is the
-    blocked share of a branch's labelled pages, smoothed by ``prior`` pages of which half are blocked."""
+    blocked share of a branch's labelled pages, smoothed by ``prior`` pages of which half are blocked. With ``backoff`` the prior's
+    pages are blocked in the share that the template backs off to, and each unlabelled page adds ``doubt`` of a page to them, so that few labels
+    do not speak for many pages without."""
     blocked, known = (F.sum(F.when(c, 1).otherwise(0)) for c in (F.col("label") == "block", F.col("label").isin("block", "allow")))
     leaves = write_through(pages.groupBy("host", "segments").agg(F.count("*").alias("n"), blocked.alias("block"), known.alias("labelled")), "leaves")
     leaves = write_through(generalise(leaves, fan, rare), "leaves")
-    sums = leaves.groupBy("host", "template").agg(F.sum("block").alias("block"), F.sum("labelled").alias("labelled"))
+    sums = write_through(leaves.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "block", "labelled"))), "sums")
     branches = write_through(merged(sums, z, least), "branches")
-    purity = (F.sum("block") + prior / 2) / (F.sum("labelled") + prior)
-    scores = branches.groupBy("host", "branch").agg(purity.alias("purity"))
+    scores = branches.groupBy("host", "branch").agg(*(F.sum(c).alias(c) for c in ("n", "block", "labelled")))
     of = branches.select("host", "template", "branch").join(scores, ["host", "branch"])
+    back, weight = F.lit(0.5), F.lit(prior)
+    if backoff:
+        of = of.join(backing(sums, prior, doubt), ["host", "template"])
+        back, weight = F.col("back"), prior + doubt * (F.col("n") - F.col("labelled"))
+    of = of.select("host", "template", "branch", ((F.col("block") + weight * back) / (F.col("labelled") + weight)).alias("purity"))
     return leaves.select("host", "segments", "template").join(of, ["host", "template"])
 
 
-def judge(pages: DataFrame, rules=RULES, reject: float = 0.8, url: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule, template, purity and verdict. Columns of these names are replaced."""
+def judge(pages: DataFrame, rules=RULES, reject: float = 0.8, url: str = "url", backoff: bool = False) -> DataFrame:
+    """``pages`` with host, path, rule, template, purity and verdict. Columns of these names are replaced. ``backoff``: the template tree's."""
     made = ["host", "path", "rule", "template", "purity", "verdict"]
     rows = pages.select(*(c for c in pages.columns if c not in made or c == url))
     host, path = host_path(F.col(url))
@@ -113,7 +152,7 @@ def judge(pages: DataFrame, rules=RULES, reject: float = 0.8, url: str = "url")
     own, segments = fresh(rows, "rule_verdict"), fresh(rows, "segments")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn(own, verdict).withColumn(segments, masked(F.col("path")))
-    tree = template_tree(rows.select("host", F.col(segments).alias("segments"), F.col(own).alias("label")))
+    tree = template_tree(rows.select("host", F.col(segments).alias("segments"), F.col(own).alias("label")), backoff=backoff)
     tree = write_through(tree.select("host", F.col("segments").alias(segments), "template", "purity"), "tree")
     out = rows.join(tree, ["host", segments], "left")
     learned = F.when(F.col("purity") > reject, "block").otherwise("allow")

@@ -1,8 +1,8 @@
 """Toxicity with noisy-channel deobfuscation.
 
 Disguised words (letters replaced by digits or signs, spread out by blanks or points, or repeated) are read as a noisy
-channel: each token spans a lattice of letters it may stand for, and Viterbi decoding under a character trigram model picks
-the likeliest reading. A plain token has one path only, itself, so nothing is decoded for it. The restored words are
+channel: each token, of any length, spans a lattice of letters and word edges it may stand for, and Viterbi decoding under a character
+trigram model picks the likeliest reading, of one word or several. A plain token has one path only, itself, so nothing is decoded for it. The restored words are
 scored by evidence weights of the word and its stems, learned from labelled documents, and a logistic
 regression turns a document's evidence into a probability.
 
@@ -19,6 +19,8 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,20 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "*": "aeiou",
 }
 JOINERS = ".-_~·'*"
-COST_SIGN, COST_JOINER, COST_REPEAT = 1.0, 0.4, 0.7  # of an edit, in nats
+PUNCTUATION = "!¡("  # signs that may also stand for nothing at a token's ends
+COST_SIGN, COST_JOINER, COST_REPEAT, COST_EDGE = 1.0, 0.4, 0.7, 0.4  # of an edit, in nats
+MARGIN, SPREAD_MARGIN = 4.0, 6.0  # a reading this much less likely than the best still counts, in nats
+LONGEST = 24  # steps of a word among spread letters
 STEMS = (4, 5, 6)  # lengths of the word beginnings that carry evidence
 LEAST = min(STEMS)
 
 _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(f"{_LETTER}+")
+_DISGUISE = frozenset(STANDS_FOR) | frozenset(JOINERS)
+_IDLE = ".,;:?\"“”„«»‘’)]}[{<>…"  # stand for nothing at a token's ends
 _SIGNED = re.compile(rf"{_LETTER}[0-9@$!|+€£¡(*]+{_LETTER}|^\W*?[0-9@$!|+€£¡(]{{1,2}}{_LETTER}{{2}}")
 _JOINED = re.compile(rf"{_LETTER}(?:[{re.escape(JOINERS)}]{_LETTER}){{2,}}")
+_DOUBLE = re.compile(rf"([{re.escape(''.join(STANDS_FOR))}])\1")
 _REPEATED = re.compile(rf"({_LETTER})\1\1")
 
 
@@ -61,7 +69,11 @@ class CharModel:
     """Character trigrams: interpolated log-probabilities of a letter after two others."""
 
     logp: np.ndarray  # [CODES, CODES, CODES]
-    codes: dict[str, int] = field(default_factory=lambda: {c: k + 1 for k, c in enumerate(LETTERS)})
+    codes: dict[str, int] = field(default_factory=lambda: {" ": 0, **{c: k + 1 for k, c in enumerate(LETTERS)}})
+
+    @cached_property
+    def flat(self) -> list[float]:
+        return self.logp.ravel().tolist()
 
     @staticmethod
     def of_counts(counts: np.ndarray) -> CharModel:
@@ -76,67 +88,138 @@ class CharModel:
         return self.codes.get(letter, OTHER)
 
 
-def arcs(token: str) -> list[list[tuple[str, float]]]:
-    """The lattice of a token: per step the letters it may stand for ("" for none), with their costs."""
+def signs(c: str, run: int, double: bool = False) -> list[tuple[str, float]]:
+    """The letters that ``run`` equal signs may stand for: two (``double``: always, of two or more), or one for all."""
+    return [(x * n, COST_SIGN * n) for x in STANDS_FOR.get(c, "") for n in ((2,) if double and run > 1 else sorted({1, min(run, 2)}))]
+
+
+def arcs(token: str, double: bool = False) -> list[list[tuple[str, float]]]:
+    """The lattice of a token: per step the letters it may stand for ("" for none, " " for a word's edge), with their costs.
+    ``double``: two equal signs or more stand for two letters."""
     out: list[list[tuple[str, float]]] = []
-    for c, run in ((m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)):
+    for m in re.finditer(r"(.)\1*", token, re.S):
+        c, run = m[1], len(m[0])
         if c.isalpha():
             if run == 1:
                 out.append([(c, 0.0)])
             else:  # once or twice
                 out.append([(c, COST_REPEAT * (run > 2) + COST_REPEAT), (c + c, COST_REPEAT * (run > 2))])
             continue
-        read = [(x * n, COST_SIGN * n) for x in STANDS_FOR.get(c, "") for n in {1, min(run, 2)}]
+        read = signs(c, run, double)
         if c in JOINERS or c.isspace():
+            read += [("", COST_JOINER), (" ", COST_JOINER + COST_EDGE)]
+        elif c in PUNCTUATION and (m.start() == 0 or m.end() == len(token)):
             read.append(("", COST_JOINER))
-        out.append(read or [("", COST_JOINER)])
+        out.append(read or [("", COST_JOINER), (" ", COST_JOINER + COST_EDGE)])
+    return out
+
+
+def spread_arcs(run: list[str]) -> list[list[tuple[str, float]]]:
+    """The lattice of spread letters, a step a letter; of a letter three times or more, two steps."""
+    out = []
+    for c, n in ((c, len(list(g))) for c, g in groupby(run)):
+        read = [(c, 0.0)] if c.isalpha() else signs(c, 1) or [("", COST_JOINER)]
+        out.append(read)
+        if n > 1:
+            out.append([*read, ("", COST_REPEAT)])
     return out
 
 
+def advance(states: dict, step: list[tuple[str, float]], model: CharModel) -> dict:
+    """Viterbi over one step. States are the codes of the last two letters in one number, with the score and reading of the best way to
+    them. A reading is a chain of steps, so a step's work does not grow with the token."""
+    flat, code = model.flat, model.code
+    after: dict[int, tuple[float, tuple | None]] = {}
+    ways = [(letters, [code(c) for c in letters], cost) for letters, cost in step]
+    for at, (score, read) in states.items():
+        for letters, codes, cost in ways:
+            to, total = at, score - cost
+            for k in codes:
+                if k or to % CODES:  # an edge beside an edge is one edge
+                    total += flat[to * CODES + k]
+                    to = to % CODES * CODES + k
+            if to not in after or after[to][0] < total:
+                after[to] = (total, (read, letters) if letters else read)
+    return dict(sorted(after.items(), key=lambda s: -s[1][0])[:256]) if len(after) > 256 else after
+
+
+def ended(states: dict, model: CharModel) -> list[tuple[float, tuple | None]]:
+    """Scores and readings with a word's edge after them, the best first."""
+    return sorted(((score + (model.flat[at * CODES] if at % CODES else 0.0), read) for at, (score, read) in states.items()), key=lambda s: -s[0])
+
+
+def spelled(read: tuple | None) -> str:
+    out = []
+    while read is not None:
+        read, letters = read
+        out.append(letters)
+    return "".join(reversed(out))
+
+
+def readings(token: str, model: CharModel, margin: float = MARGIN, double: bool = False) -> list[str]:
+    """The likeliest reading of a token, then those of other last letters within ``margin`` nats of it."""
+    states = {0: (0.0, None)}
+    for step in arcs(token, double):
+        states = advance(states, step, model)
+    ends = ended(states, model)
+    return [spelled(read) for score, read in ends if score >= ends[0][0] - margin]
+
+
+def spread_words(run: list[str], model: CharModel, margin: float = SPREAD_MARGIN) -> list[str]:
+    """The words of spread letters: those on a division of the run into words within ``margin`` nats of the likeliest. A word has up
+    to LONGEST steps, so the work is linear in the run."""
+    steps = spread_arcs(run)
+    arcs_from: list[list[tuple[int, float, tuple | None]]] = []
+    for i in range(len(steps)):
+        states, found = {0: (0.0, None)}, []
+        for j in range(i, min(i + LONGEST, len(steps))):
+            states = advance(states, steps[j], model)
+            found += [(j + 1, score, read) for score, read in ended(states, model)[:2]]
+        arcs_from.append(found)
+    left, right = [-math.inf] * (len(steps) + 1), [-math.inf] * (len(steps) + 1)
+    left[0] = right[-1] = 0.0
+    for i, found in enumerate(arcs_from):
+        for j, score, _ in found:
+            left[j] = max(left[j], left[i] + score)
+    for i in reversed(range(len(steps))):
+        right[i] = max(score + right[j] for j, score, _ in arcs_from[i])
+    return [spelled(read) for i, found in enumerate(arcs_from) for j, score, read in found if left[i] + score + right[j] >= right[0] - margin]
+
+
 def decode(token: str, model: CharModel) -> str:
-    """The likeliest reading of a token: Viterbi over its lattice; the state is the last two letters."""
-    states = {(0, 0): (0.0, "")}
-    for step in arcs(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (x, y), (score, read) in states.items():
-            for letters, cost in step:
-                a, b, total = x, y, score - cost
-                for c in letters:
-                    k = model.code(c)
-                    total += float(model.logp[a, b, k])
-                    a, b = b, k
-                if (a, b) not in after or after[a, b][0] < total:
-                    after[a, b] = (total, read + letters)
-        states = dict(sorted(after.items(), key=lambda s: -s[1][0])[:256])
-    return max((score + float(model.logp[a, b, 0]), read) for (a, b), (score, read) in states.items())[1]
+    """The likeliest reading of a token."""
+    return readings(token, model, 0.0)[0]
 
 
 def restore(token: str, model: CharModel | None) -> list[str]:
-    """The words of a lower-case token, after deobfuscation where it shows signs of a disguise."""
+    """The words of a lower-case token, after deobfuscation where it may be disguised: where it holds a letter and a sign that stands
+    for one, a joiner or a letter three times in a row."""
     bare = token.rstrip(".,;:?")
     if bare.isalpha() and not _REPEATED.search(bare):  # most tokens: one path, themselves
         return [bare]
     plain = _WORDS.findall(token)
-    if model is None or len(token) > 64:  # no disguise is that long; its own words count
+    core = token.strip(_IDLE)
+    gated = len(token) > 64 or not (_SIGNED.search(core) or _JOINED.search(core) or _REPEATED.search(core))
+    if model is None or not plain or (gated and " " not in core):
         return plain
-    core = re.sub(r"^[^\w@$!|+€£¡(]+|\W+$", "", token)
-    if _SIGNED.search(core) or _JOINED.search(core) or _REPEATED.search(core):
-        return [*plain, *_WORDS.findall(decode(core, model))]
-    return plain
+    if " " in core:
+        return [*plain, *filter(None, spread_words(core.split(" "), model))]
+    found = readings(core, model) + (readings(core, model, double=True) if _DOUBLE.search(core) else [])
+    return [*plain, *(w for reading in found for w in _WORDS.findall(reading))]
 
 
 def spread_letters(tokens: list[str]) -> list[str]:
-    """Runs of three or more single letters (or signs), joined."""
-    out, run, last = [], "", -2
-    for k in [k for k, t in enumerate(tokens) if len(t) == 1] if tokens else []:
-        if k == last + 1:
-            run += tokens[k]
-        else:
-            if len(run) > 2:
-                out.append(run)
-            run = tokens[k]
-        last = k
-    return [*out, run] if len(run) > 2 else out
+    """Runs of three or more single letters (or signs), with a blank between them; punctuation at a letter is left out."""
+    out, run = [], []
+    for t in [*tokens, ""]:
+        bare = t if len(t) == 1 else t.strip(_IDLE)
+        if len(bare) == 1:
+            run.append(bare)
+            continue
+        if len(run) > 2:
+            out.append(" ".join(run))
+        run = []
+    return out
 
 
 def tokens_of(text: str | None) -> set[str]:
@@ -181,7 +264,8 @@ class Scorer:
                 found = scorer.older.get(token)
                 if found is None:
                     found = max(map(model.evidence, restore(token, model.chars)), default=0.0)
-                self[token] = found
+                if len(token) <= 256:  # memory: longer ones are decoded anew
+                    self[token] = found
                 return found
 
         return Recent()

@@ -50,8 +50,6 @@ _LETTER = r"[^\W\d_]"
 _WORDS = re.compile(f"{_LETTER}+")
 _DISGUISE = frozenset(STANDS_FOR) | frozenset(JOINERS)
 _IDLE = ".,;:?\"“”„«»‘’)]}[{<>…"  # stand for nothing at a token's ends
-_SIGNED = re.compile(rf"{_LETTER}[0-9@$!|+€£¡(*]+{_LETTER}|^\W*?[0-9@$!|+€£¡(]{{1,2}}{_LETTER}{{2}}")
-_JOINED = re.compile(rf"{_LETTER}(?:[{re.escape(JOINERS)}]{_LETTER}){{2,}}")
 _DOUBLE = re.compile(rf"([{re.escape(''.join(STANDS_FOR))}])\1")
 _REPEATED = re.compile(rf"({_LETTER})\1\1")
 
@@ -199,8 +197,7 @@ def restore(token: str, model: CharModel | None) -> list[str]:
         return [bare]
     plain = _WORDS.findall(token)
     core = token.strip(_IDLE)
-    gated = len(token) > 64 or not (_SIGNED.search(core) or _JOINED.search(core) or _REPEATED.search(core))
-    if model is None or not plain or (gated and " " not in core):
+    if model is None or not plain or not (" " in core or not _DISGUISE.isdisjoint(core) or _REPEATED.search(core)):
         return plain
     if " " in core:
         return [*plain, *filter(None, spread_words(core.split(" "), model))]

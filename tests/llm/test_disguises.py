@@ -25,5 +25,11 @@ def test_spaced_words_beside_others(chars, text, words):
     assert scorer(chars, *words).row(text)[0] > 4
 
 
+@pytest.mark.parametrize("text,word", [("1d107", "idiot"), ("idio7", "idiot"), ("sh!7", "shit"), ("l-o-$-e-r", "loser"), ("a$$", "ass"), ("a$$hole", "asshole"), ("you_id10t!", "idiot"), ("stu" + "u" * 80 + "pid", "stupid")])
+def test_every_sign_and_length(chars, text, word):
+    assert word in restored(text, chars)
+
+
 def test_long_runs_are_decoded_in_linear_time(chars):
     assert "stupid" in restored(" ".join("the people of the world and a stupid man in the house of the lord were here".replace(" ", "")), chars)
+    assert len(toxicity.decode("l-0-5-e-r-" * 20_000, chars)) >= 60_000

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listledger.session import materialize, table
@@ -71,3 +73,37 @@ def joined(texts: Iterator[str | None], between: str, size: int = 1 << 20) -> It
                 held, n = [], 0
     if held:
         yield between.join(held)
+
+
+def fold_runs(df: DataFrame, by: list[str], order: list[str], schema: str, fold: Callable[[Iterator[tuple]], tuple], rows: int = 64) -> DataFrame:
+    """One row (``by``, what ``fold`` returns) for each value of ``by``. ``fold`` reads its rows, in ``order``, one after the other
+    from the sorted stream of a task, so a group of any size takes the memory of what ``fold`` itself holds."""
+    names, given = [c.strip().split(" ")[0] for c in schema.split(",")], df.columns
+    places = [given.index(c) for c in by]
+
+    def run(batches):
+        stream = (row for columns in text_rows(batches, *given) for row in zip(*columns))
+        out = []
+        for key, run in groupby(stream, key=lambda row: tuple(row[k] for k in places)):
+            out.append((*key, *fold(run)))
+            if len(out) == rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, schema)
+
+
+def running(df: DataFrame, by: list[str], place: Column, columns: list[str], block: int = 256) -> DataFrame:
+    """``df`` with ``columns`` replaced by their running sums inside each ``by`` group, in the order of the integer ``place``,
+    inclusive. Two levels (blocks of ``block`` places, then the sums of blocks), so a group of any size is many windows."""
+    at, part = fresh(df, "_place"), fresh(df, "_block")
+    df = df.withColumn(at, place).withColumn(part, F.floor(F.col(at) / block))
+    totals = df.groupBy(*by, part).agg(*(F.sum(c).alias(c) for c in columns))
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, part, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in columns))
+    inner = Window.partitionBy(*by, part).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    inside = df.select(*(F.sum(c).over(inner).alias(c) if c in columns else F.col(c) for c in df.columns))
+    out = inside.join(offsets, [*by, part])
+    return out.select(*((F.col(c) + F.col(f"_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns if c not in (at, part)))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listledger.llm import bpe, chat, decontam, ngram, pii, quality, secrets, simhash, toxicity, urlfilter
+from listledger.llm import alignment, bpe, chat, decontam, ngram, pii, prefixtrie, quality, secrets, sharding, simhash, toxicity, urlfilter
 from listledger.llm.common import documents, fold
 from listledger.session import table
 
@@ -113,6 +113,58 @@ from told group by conv_id
 """
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.numbered_turns(table(spark, sf_dir, "conversations"))
+    rebuilt = prefixtrie.spliced(turns, heads=F.crc32(F.col("id").cast("string").cast("binary")) % 9, base=F.col("id") - F.col("id") % 5)
+    nodes = prefixtrie.trie_nodes(*rebuilt)
+    return nodes.withColumnsRenamed({"id": "conv_id", "parent_id": "parent_conv_id"})
+
+
+ORACLES["op11_prefix_trie"] = r"""
+with own as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k
+  from conversations where conv_id is not null
+), ids as (
+  select c, count(*) as n, c - c % 5 as base, xor(list_reduce(list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: if(v & 1 = 1, xor(v >> 1, 3988292384), v >> 1)), 4294967295::bigint), 4294967295::bigint) % 9 as h
+  from own group by c
+), heads as (
+  select ids.c, o.k, o.role, o.text from ids join own o on o.c = ids.base and o.k <= ids.h
+), taken as (select c, count(*) as n from heads group by c
+), turns as (
+  select * from heads
+  union all select o.c, o.k - ids.h + coalesce(taken.n, 0), o.role, o.text from own o join ids using (c) left join taken using (c) where o.k > ids.h
+), prefixes as (
+  select c, k, octet_length(encode(text)) as bytes, list(length(role) || ':' || role || text) over (partition by c order by k) as path from turns
+  union all select c, 0, 0, [] from ids
+), sizes as (select c, max(k) as size from prefixes group by c
+), nodes as (
+  select path, min(c) as conv_id, max(k) as depth, count(*) as n_convs, max(bytes) as bytes,
+    coalesce(string_agg(if(k = size, c::varchar, null), ',' order by c), '') as ends
+  from prefixes join sizes using (c) group by path
+), kids as (select path[:depth - 1] as path, count(*) as n_children from nodes where depth > 0 group by 1
+), full_nodes as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (path)
+), up as (
+  select path[:d] as path, sum((n_convs - 1) * bytes) as saved, sum(if(n_children = 0, 1, 0)) as leaves
+  from (select *, unnest(range(0, depth + 1)) as d from full_nodes) group by 1
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, up.leaves::bigint as n_leaves, up.saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+from full_nodes n join up on up.path = n.path left join nodes p on n.depth > 0 and p.path = n.path[:n.depth - 1]
+"""
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned_documents(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard_rows(documents(spark, sf_dir), shards=16)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_interpolation": op1_interpolation,
     "op6_urls": op6_urls,
@@ -124,4 +176,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_alignment": op12_alignment,
+    "op13_shards": op13_shards,
 }

@@ -3,9 +3,7 @@
 Both tokenizers read a space and the text. Byte offsets where tokens of both end cut a document into groups; all pairs of an A and a
 B token of one group are linked. A pair of ids counts the documents that hold it linked.
 
-1. ``tokenized``: ids of both sides, written once; the later passes re-align from ids. Spaces that follow another sign cut a text into units:
-   no token of either vocabulary reaches over such a place (A: a piece never does; B: checked in the vocabulary), so a unit is
-   encoded by itself, and recent units are remembered.
+1. ``tokenized``: ids of both sides, written once; the later passes re-align from ids.
 2. ``distinct_pairs``: the distinct linked pairs, dealt into buckets by a hash. Each bucket gets a minimal perfect hash (Limasset et
    al. 2017: a bit array per level, keys that collide go to the next one), built in a task of its own, and its keys in hash order, by which
    every later look-up is verified.
@@ -23,7 +21,6 @@ special strings in a text are plain text; repeated rows are documents of their o
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,18 +34,16 @@ from pyspark.sql import functions as F
 from listledger.llm.bpe import PIECES, byte_letters, read_model
 from listledger.llm.common import fold_runs, write_through
 
-#: What the split of the byte-level model takes for white space.
-WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pairs that a pass over the documents holds in a worker at most, and mean pairs of a bucket.
 PAIRS, BUCKET = 1 << 23, 1 << 12
 #: Characters of a part of a batch, and links made at a time.
-PART, LINKS = 1 << 21, 1 << 21
+PART, LINKS = 1 << 19, 1 << 18
 
 
 class TwoTokenizers:
     """Ids of both tokenizers for whole texts, and the bytes of each id."""
 
-    def __init__(self, spec: str, pieces: bytes, remember: int = 200_000):
+    def __init__(self, spec: str, pieces: bytes):
         import sentencepiece
         import tiktoken
 
@@ -58,7 +53,7 @@ class TwoTokenizers:
         ranks = {token[k]: r for r, k in enumerate(sorted(k for k, t in token.items() if len(t) == 1))}
         for m in merged:
             ranks.setdefault(bytes(letters[c] for c in m), len(ranks))
-        self.a_of_rank = np.array([k for _, k in sorted((ranks[t], k) for k, t in token.items() if t in ranks)], np.int64)
+        self.a_of_rank = np.array([k for _, k in sorted((ranks[t], k) for k, t in token.items() if t in ranks)], "<u4")
         self.a = tiktoken.Encoding("a", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         self.a_bytes = token
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
@@ -69,36 +64,15 @@ class TwoTokenizers:
                 self.b_bytes[k] = bytes([int(piece[1:-1], 16)])
             elif not (self.b.is_control(k) or self.b.is_unknown(k)):
                 self.b_bytes[k] = piece.replace("▁", " ").encode()
-                if re.search("[^▁]▁", piece):
-                    raise ValueError(f"a piece reaches over the start of a space: {piece!r}")
-        self.space = self.b.piece_to_id("▁")
-        self.unit = re.compile(rf" +[^ ]*(?:(?<=[{WHITE}]) +[^ ]*)*")
-        self.remember, self.recent, self.older = remember, {}, {}
-
-    def learn(self, units: set[str]) -> None:
-        """Puts the units' ids among the recent ones: (A ids, B ids or None if they do not spell the unit)."""
-        for u in [u for u in units if u in self.older]:
-            self.recent[u] = self.older[u]
-            units.discard(u)
-        new = list(units)
-        for u, a, b in zip(new, map(self.a.encode_ordinary, new), self.b.encode([u[1:] for u in new], num_threads=1)):
-            if u == " ":
-                b = [self.space]
-            spelled = b"".join(self.b_bytes.get(k, b"\xff") for k in b) == u.encode()
-            self.recent[u] = self.a_of_rank[a].astype("<u4").tobytes(), (np.array(b, "<u4").tobytes() if spelled else None)
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
-        if len(self.recent) > self.remember:
-            self.older, self.recent = self.recent, {}
-        split = [self.unit.findall(" " + t) if t else [] for t in texts]
-        new = {u for units in split for u in units}.difference(self.recent)
-        long = [u for u in new if len(u) > 64]
-        self.learn(new)
-        for units in split:
-            sides = [self.recent[u] for u in units]
-            yield (b"", b"") if any(b is None for _, b in sides) else (b"".join([a for a, _ in sides]), b"".join([b for _, b in sides]))
-        for u in long:  # not remembered
-            del self.recent[u]
+
+    def encode(self, text: str | None) -> tuple[bytes, bytes]:
+        """A ids and B ids; none where B's do not spell the space and the text (A's always do)."""
+        if not text:
+            return b"", b""
+        b = self.b.encode(text)
+        if b"".join([self.b_bytes.get(k, b"") for k in b]) != b" " + text.encode():
+            return b"", b""
+        return self.a_of_rank[self.a.encode_ordinary(" " + text)].tobytes(), np.array(b, "<u4").tobytes()
 
 
 _TOKENIZERS: dict[int, TwoTokenizers] = {}
@@ -129,7 +103,7 @@ def tokenized(df: DataFrame, spec_path: str, pieces_path: str, text: str = "text
             _TOKENIZERS[key] = TwoTokenizers(*shared.value)
         both = _TOKENIZERS[key]
         for part in parts(batches, 1):
-            sides = list(both.encode(part.column(1).to_pylist()))
+            sides = [both.encode(text) for text in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(s, pa.binary()) for s in zip(*sides))], ["id", "a", "b"])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -216,7 +190,13 @@ def document_pairs(x: Aligned, size: Vocabularies) -> tuple[np.ndarray, np.ndarr
     return keys // span, keys % span, counts
 
 
-def group_texts(x: Aligned) -> Iterator[str]:
+def id_names(size: Vocabularies) -> pa.Array:
+    """What the group texts are joined of: each id with the sign that follows it (``,`` ``|`` for A, ``,`` ``;`` for B), then alone."""
+    most = max(len(size.a_size), len(size.b_size))
+    return pa.array([f"{k}{sign}" for k in range(most) for sign in ",|,;"] + [str(k) for k in range(most)])
+
+
+def group_texts(x: Aligned, names: pa.Array) -> pa.Array:
     """Per document ``a1,a2|b1;a3|b2``: ids of each group's A tokens, then its B tokens."""
     a_at = np.arange(len(x.a)) + np.searchsorted(x.b_group, x.a_group)  # place in the order: A of a group, B of it, A of the next
     b_at = np.arange(len(x.b)) + np.searchsorted(x.a_group, x.b_group, side="right")
@@ -224,11 +204,10 @@ def group_texts(x: Aligned) -> Iterator[str]:
     code = np.zeros(len(x.a) + len(x.b), np.int64)
     code[a_at] = x.a * 4 + last(x.a_group)
     code[b_at] = x.b * 4 + 2 + last(x.b_group)
-    names = {c: f"{c >> 2}{',|,;'[c & 3]}" for c in np.unique(code).tolist()}
-    starts = (x.a_start + x.b_start).tolist()
-    listed = list(map(names.__getitem__, code.tolist()))
-    for i, j in zip(starts, starts[1:]):
-        yield "".join(listed[i:j])[:-1]
+    starts = x.a_start + x.b_start
+    final = starts[1:][np.diff(starts) > 0] - 1
+    code[final] = len(names) // 5 * 4 + (code[final] >> 2)  # nothing follows a document's last id
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), names.take(pa.array(code))), "")
 
 
 def mixed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -297,6 +276,7 @@ def distinct_pairs(ids: DataFrame, size: Vocabularies, remember: int = 1 << 22)
 
     def run(batches):
         known = np.full(remember, -1, np.int64)
+        _TOKENIZERS.clear()  # a worker that is used again needs them no more
         for part in parts(batches, 0):
             x = align(part.column(0).to_pylist(), part.column(1).to_pylist(), size)
             for _, pair in links(x, len(size.b_size)):
@@ -394,6 +374,7 @@ def looked_up(ids: DataFrame, size: Vocabularies, buckets: int, rows: list[tuple
         counts = np.frombuffer(b"".join(vectors), np.uint64).astype(np.int64)
         top = np.zeros(len(size.a_size), np.int64)
         top[list(best)] = list(best.values())
+        names = id_names(size) if texts else None
         for part in parts(batches, given.index("a")):
             column = lambda c: part.column(given.index(c))
             x = align(column("a").to_pylist(), column("b").to_pylist(), size)
@@ -407,7 +388,7 @@ def looked_up(ids: DataFrame, size: Vocabularies, buckets: int, rows: list[tuple
             for k in (4, 5):
                 if FIGURES[k] in given:
                     figures[k] = figures[k] + column(FIGURES[k]).to_numpy()
-            groups = pa.array(list(group_texts(x)), pa.string()) if texts else column("groups")
+            groups = group_texts(x, names) if texts else column("groups")
             yield pa.RecordBatch.from_arrays([*(column(c) for c in out), *(pa.array(f.astype(np.int64)) for f in figures), groups], [*out, *FIGURES, "groups"])
 
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in out] + [f"{c} bigint" for c in FIGURES] + ["groups string"])

@@ -181,14 +181,13 @@ def cell_at(cells, idx: Column, default: str = "") -> Column:
         F.lit(default))
 
 
-def migrate_rows(raw: DataFrame) -> DataFrame:
-    """Raw rows of any older layout -> canonical columns.
+def migrated_columns(h: Column, c: Column) -> list[Column]:
+    """L10 for one raw row: title, company, tags, status and link from its header and cells.
 
     Columns by header (last of equal headers); no Title header -> first cell;
     a ``=HYPERLINK`` title with at least 4 ``"``-pieces gives link = piece 2
     and title = piece 4 (over the Link column); an empty link falls back to
     Full URL; other columns are dropped."""
-    h, c = F.col("header"), F.col("cells")
 
     def get(name):
         return cell_at(c, header_last(h, name))
@@ -198,12 +197,13 @@ def migrate_rows(raw: DataFrame) -> DataFrame:
     is_formula = title_raw.contains("=HYPERLINK") & (F.size(pieces) >= 4)
     clean_title = F.when(is_formula, F.element_at(pieces, 4)).otherwise(title_raw)
     clean_link = F.when(is_formula, F.element_at(pieces, 2)).otherwise(get("Link"))
-    return raw.select(
-        "sheet", "pos",
-        clean_title.alias("title"), get("Company").alias("company"), get("Tags").alias("tags"),
-        get("Status").alias("status"),
-        F.when(clean_link == "", get("Full URL")).otherwise(clean_link).alias("link"),
-    )
+    return [clean_title, get("Company"), get("Tags"), get("Status"), F.when(clean_link == "", get("Full URL")).otherwise(clean_link)]
+
+
+def migrate_rows(raw: DataFrame) -> DataFrame:
+    """Raw rows of any older layout -> canonical columns (see ``migrated_columns``)."""
+    values = migrated_columns(F.col("header"), F.col("cells"))
+    return raw.select("sheet", "pos", *[v.alias(n.lower()) for v, n in zip(values, CANONICAL_HEADER)])
 
 
 def touched_tables(ledger: DataFrame, watched: DataFrame | None = None, new_rows: DataFrame | None = None) -> DataFrame:

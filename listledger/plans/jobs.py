@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import dedup, ledger as L
+from ..operators import dedup, ledger as L, rawledger as R
 from ..operators.filters import drop_polish, keep_recent
 from ..operators.ordering import top_n_per_key
 from ..operators.report import run_summary
@@ -30,7 +30,7 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
                  rewrite_ledger: bool = True) -> RunResult:
     """J1 over extracted listings (unified schema, rank columns
     ``group_idx, url_idx, pos``; ``group_title`` only names the table) and the ledger as it is before the run
-    (discards are applied in the rewrite).
+    (discards are applied in the rewrite), in the canonical or the raw form; the rewritten one has the same form.
 
     ``limit``: column or int of the per-URL limit (R2), ``max_limit`` its
     largest value (None: no limit); ``recent_days``: turn on the recency
@@ -58,8 +58,12 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
         # of every watched table, in one numbering pass
         rows = prepend_rows(new)
         watched = groups.select(F.col("group_title").alias("sheet"))
-        out_ledger = L.reorganize(ledger, watched, rows)
-        touched = L.touched_tables(ledger, watched, rows)
+        if "cells" in ledger.columns:
+            out_ledger = R.reorganize_raw(ledger, watched, rows)
+            touched = R.touched_raw_tables(ledger, watched, rows).select("sheet")
+        else:
+            out_ledger = L.reorganize(ledger, watched, rows)
+            touched = L.touched_tables(ledger, watched, rows)
     return RunResult(cands, new, summary, out_ledger, touched)
 
 
@@ -70,13 +74,14 @@ def prepend_rows(new: DataFrame) -> DataFrame:
                             order=("_later", "url_idx", "pos"))
 
 
-def offers_run(spark, sf_dir: str, rewrite_ledger: bool = False) -> RunResult:
-    """J1 on the B_offers binding: rows with ``pos % 11 = 0`` form the ledger,
+def offers_run(spark, sf_dir: str, rewrite_ledger: bool = False, raw: bool = False) -> RunResult:
+    """J1 on the B_offers binding: rows with ``pos % 11 = 0`` form the ledger (``raw``: in older layouts),
     the rest the feed; both after F1; per-URL limits as for the sources (R2): 50 for ``en``, 30 else."""
     from ..sources import bindings
 
     offers = bindings.offers(spark, sf_dir)
-    ledger = materialize(offers_ledger(spark, sf_dir), "offers-ledger")  # a ledger is a stored table; D1, D2 and L8 read it
+    ledger = offers_ledger(spark, sf_dir)
+    ledger = materialize(bindings.in_older_layouts(ledger) if raw else ledger, "offers-ledger")  # a ledger is a stored table; D1, D2 and L8 read it
     feed = offers.where(F.col("pos") % 11 != 0)
     limit = F.when(F.col("group_title") == "en", F.lit(50)).otherwise(F.lit(30))
     return run_listings(feed, ledger, offers.select("group_idx", "group_title").distinct(), limit=limit, max_limit=50,
@@ -112,10 +117,11 @@ def prepend_counts(ledger: DataFrame, new: DataFrame, summary: DataFrame) -> Dat
 
 def organize_only(ledger: DataFrame, watch: DataFrame) -> DataFrame:
     """Discards to Trash (L2, L3), then re-bucket (L5) the watched tables,
-    the tables that lost rows, and Trash. No extraction. An untitled group's table is named by R3."""
+    the tables that lost rows, and Trash, in the canonical or the raw form. No extraction. An untitled group's table is named by R3."""
     from ..operators.routing import group_titles
 
-    return L.reorganize(ledger, group_titles(watch).select(F.col("sheet_title").alias("sheet")))
+    watched = group_titles(watch).select(F.col("sheet_title").alias("sheet"))
+    return R.reorganize_raw(ledger, watched) if "cells" in ledger.columns else L.reorganize(ledger, watched)
 
 
 def page_export(pages: DataFrame, out_path: str | None = None) -> DataFrame:

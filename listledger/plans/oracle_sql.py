@@ -602,3 +602,76 @@ select sheet, row_number() over (partition by sheet order by {bucket('status')},
 from both_ where sheet in (select sheet from targets)
 union all
 select sheet, pos0 as pos, title, company, status, link from both_ where sheet not in (select sheet from targets)"""
+
+
+# Whole runs over raw ledgers: rows keep header and cells
+
+
+def _named(header: str) -> str:
+    """(name, occ, at) of each column of a header."""
+    return (f"list_transform(range(1, len({header}) + 1), lambda i: "
+            f"{{'name': {header}[i], 'occ': len(list_filter({header}[1:i], lambda y: y = {header}[i])), 'place': i}})")
+
+
+def raw_rewrite(raw: str, watched: str, new: str | None) -> str:
+    """CTEs of the rewrite of ``raw`` (sheet, pos, header, cells); ``new``: a CTE (sheet, cells, g, u, p) of new rows."""
+    fed_tables = f"select distinct sheet from {new}" if new else "select null::varchar as sheet where false"
+    new_rows = f"""
+  union all
+  select sheet, null::bigint as pos0, ['Title', 'Company', 'Tags', 'Status', 'Link'] as header, cells, true as inside, 0 as old_, g, u, p, 0 as before, null::int as mv, null::varchar as src, null::bigint as op
+  from {new}""" if new else ""
+    status = "case when list_position(header, 'Status') > 0 then cells[list_position(header, 'Status')] end"
+    return f"""
+rflag as (select *, {status} as st, sheet <> 'Trash' and coalesce({norm_status(status)} in ('DISCARD', 'OUT'), false) as mv from {raw}),
+rlost as (select distinct sheet from rflag where mv),
+rfed as ({fed_tables}),
+rtargets as (select sheet from rlost union select sheet from rfed union select 'Trash' union {watched}),
+rown as (select coalesce((select header from rflag where sheet = 'Trash' order by pos limit 1), ['Title', 'Company', 'Tags', 'Status', 'Link']) as header),
+rcols as (select unnest({_named('header')}) as c, null::varchar as sheet from rown
+  union all select unnest({_named('header')}) as c, sheet from (select distinct sheet, header from rflag where mv)),
+rtrash as (select list({{'name': name, 'occ': occ}} order by sheet nulls first, place) as cols from (
+  select c.name as name, c.occ as occ, min((coalesce(sheet, ''), c.place)) as k, min(coalesce(sheet, '')) as sheet, arg_min(c.place, (coalesce(sheet, ''), c.place)) as place
+  from rcols group by 1, 2)),
+rtitle as (select *, sheet in (select sheet from rfed) and not mv as fed,
+  case when {_last('Title')} = 0 and len(cells) > 0 then cells[1] else {_get('Title')} end as title_raw from rflag),
+rform as (select *, contains(title_raw, '=HYPERLINK') and len(string_split(title_raw, '"')) >= 4 as is_f from rtitle),
+rcanon as (select *, [case when is_f then string_split(title_raw, '"')[4] else title_raw end, {_get('Company')}, {_get('Tags')}, {_get('Status')},
+  case when (case when is_f then string_split(title_raw, '"')[2] else {_get('Link')} end) = '' then {_get('Full URL')}
+    else (case when is_f then string_split(title_raw, '"')[2] else {_get('Link')} end) end] as canon, {_named('header')} as own from rform),
+rrows as (
+  select case when mv then 'Trash' else sheet end as sheet, pos as pos0,
+    case when mv or sheet = 'Trash' then list_transform(t.cols, lambda w: w.name) when fed then ['Title', 'Company', 'Tags', 'Status', 'Link'] else header end as header,
+    case when mv then list_transform(t.cols, lambda w: coalesce(cells[list_filter(own, lambda c: c.name = w.name and c.occ = w.occ)[1].place], ''))
+      when fed then canon else cells end as cells,
+    mv or sheet in (select sheet from rtargets) as inside, 1 as old_, null::bigint as g, null::bigint as u, null::bigint as p,
+    case when not mv and sheet in (select sheet from rlost) then {bucket('st')} else 0 end as before,
+    case when mv then 1 else 0 end as mv, case when mv then sheet else '' end as src, pos as op
+  from rcanon, rtrash t{new_rows}),
+rdone as (select *, inside and coalesce(list_position(header, 'Status'), 0) > 0 as sorts, {status} as st2 from rrows)
+select sheet, case when sorts then row_number() over (partition by sheet, sorts order by {bucket('st2')}, old_, g, u, p, before, mv, src, op) else pos0 end as pos,
+  to_json(list_transform(header, lambda x: coalesce(x, '')))::varchar as header, to_json(list_transform(cells, lambda x: coalesce(x, '')))::varchar as cells
+from rdone"""
+
+
+ORACLES["organize_raw"] = f"""with {RAW},
+rawl as (select sheet, pos,
+  case when sheet = '1-URGENT' then list_concat(['Status', 'Note'], header) else header end as header,
+  case when sheet = '1-URGENT' then list_concat([case pos % 5 when 0 then 'Out' when 1 then 'x-save' else '' end, concat('note ', pos)], cells) else cells end as cells
+  from raw),
+{raw_rewrite('rawl', "select regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) from pages", None)}"""
+
+ORACLES["full_run_raw"] = _RUN_KEPT + f""",
+named as (select * replace (case pos % 7 when 0 then 'archive' when 1 then 'old' else sheet end as sheet),
+  case pos % 5 when 0 then 'DISCARD' when 1 then 'CVSENT' when 2 then ' out ' when 3 then 'about' else 'NEW' end as made,
+  case pos % 3 when 0 then 'Saved' else 'NEW' end as again from ledger),
+rawl as (select sheet, pos,
+  case sheet when 'archive' then ['Link', 'Tags', 'Company', 'Title', 'Kept'] when 'old' then ['Title', 'Owner', 'Company', 'Tags', 'Link', 'Status', 'Owner']
+    when 'en' then ['Title', 'Salary', 'Company', 'Location', 'Tags', 'Age', 'Status', 'Full URL']
+    when 'de' then ['Status', 'Title', 'Company', 'Tags', 'Link', 'Status'] when 'fr' then ['Title', 'Company', 'Tags', 'Link']
+    else ['Title', 'Company', 'Tags', 'Status', 'Link'] end as header,
+  case when sheet = 'archive' then [link, tags, company, title, 'yes'] when sheet = 'old' then [title, 'a', company, tags, link, made, 'b']
+    when sheet = 'en' then [title, '10 EUR', company, 'Krakow', tags, '3d left', made, link] when sheet = 'de' then [made, title, company, tags, link, again]
+    when sheet = 'fr' then [title, company, tags, link] when pos % 6 = 0 and link = '' then [title, company, tags]
+    else [title, company, tags, made, link] end as cells from named),
+rnew as (select group_title as sheet, [title, coalesce(company, ''), coalesce(tags, ''), 'NEW', full_url] as cells, -group_idx as g, url_idx as u, pos as p from kept),
+{raw_rewrite('rawl', "select distinct group_title from offers", 'rnew')}"""

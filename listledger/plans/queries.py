@@ -186,6 +186,21 @@ def q_migrate_rows(spark, sf):
     return L.migrate_rows(bindings.raw_sheets(spark, sf))
 
 
+def _told(raw):
+    """A raw ledger with its arrays as JSON texts."""
+    return raw.select("sheet", "pos", *[F.to_json(F.transform(c, lambda x: F.coalesce(x, F.lit("")))).alias(c) for c in ("header", "cells")])
+
+
+@query("organize_raw")
+def q_organize_raw(spark, sf):
+    return _told(jobs.organize_only(bindings.raw_ledger(spark, sf), bindings.watch_groups(spark, sf)))
+
+
+@query("full_run_raw")
+def q_full_run_raw(spark, sf):
+    return _told(jobs.offers_run(spark, sf, rewrite_ledger=True, raw=True).ledger)
+
+
 @query("to_ledger_row")
 def q_to_ledger_row(spark, sf):
     run = jobs.offers_run(spark, sf)

@@ -168,6 +168,43 @@ def raw_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("sheet", "pos", header.alias("header"), cells.alias("cells"))
 
 
+def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B_raw with a second Status column in ``1-URGENT`` (at the front, so it is the first one found) and one foreign column."""
+    twice = (F.col("sheet") == "1-URGENT")
+    front = F.array(F.when(F.col("pos") % 5 == 0, "Out").when(F.col("pos") % 5 == 1, "x-save").otherwise(""), F.concat(F.lit("note "), F.col("pos").cast("string")))
+    return raw_sheets(spark, sf_dir).select(
+        "sheet", "pos",
+        F.when(twice, F.concat(F.array(F.lit("Status"), F.lit("Note")), "header")).otherwise(F.col("header")).alias("header"),
+        F.when(twice, F.concat(front, "cells")).otherwise(F.col("cells")).alias("cells"))
+
+
+def in_older_layouts(ledger: DataFrame) -> DataFrame:
+    """A canonical ledger as raw tables of several layouts, with two more tables that no group watches: ``archive``, which has no Status,
+    and ``old``. Title, company, tags and link stay readable in each; statuses are made up from ``pos``."""
+    p = F.col("pos")
+    sheet = F.when(p % 7 == 0, "archive").when(p % 7 == 1, "old").otherwise(F.col("sheet"))
+    made = F.when(p % 5 == 0, "DISCARD").when(p % 5 == 1, "CVSENT").when(p % 5 == 2, " out ").when(p % 5 == 3, "about").otherwise("NEW")
+    again = F.when(p % 3 == 0, "Saved").otherwise("NEW")
+    lit = lambda *names: F.array(*[F.lit(n) for n in names])
+    header = (
+        F.when(sheet == "archive", lit("Link", "Tags", "Company", "Title", "Kept"))
+        .when(sheet == "old", lit("Title", "Owner", "Company", "Tags", "Link", "Status", "Owner"))
+        .when(sheet == "en", lit("Title", "Salary", "Company", "Location", "Tags", "Age", "Status", "Full URL"))
+        .when(sheet == "de", lit("Status", "Title", "Company", "Tags", "Link", "Status"))
+        .when(sheet == "fr", lit("Title", "Company", "Tags", "Link"))
+        .otherwise(lit("Title", "Company", "Tags", "Status", "Link")))
+    t, c, g, ln = (F.col(x) for x in ("title", "company", "tags", "link"))
+    cells = (
+        F.when(sheet == "archive", F.array(ln, g, c, t, F.lit("yes")))
+        .when(sheet == "old", F.array(t, F.lit("a"), c, g, ln, made, F.lit("b")))
+        .when(sheet == "en", F.array(t, F.lit("10 EUR"), c, F.lit("Krakow"), g, F.lit("3d left"), made, ln))
+        .when(sheet == "de", F.array(made, t, c, g, ln, again))
+        .when(sheet == "fr", F.array(t, c, g, ln))
+        .when((p % 6 == 0) & (ln == ""), F.array(t, c, g))
+        .otherwise(F.array(t, c, g, made, ln)))
+    return ledger.select(sheet.alias("sheet"), "pos", header.alias("header"), cells.alias("cells"))
+
+
 def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B_ages: posted-age strings for the recency filter (F2)."""
     e = table(spark, sf_dir, "events")

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from ..operators.ledger import LEDGER_COLUMNS, cell_at, header_first
 
 LEDGER_SCHEMA = "sheet string, pos bigint, title string, company string, tags string, status string, link string"
+RAW_SCHEMA = "sheet string, pos bigint, header array<string>, cells array<string>"
 
 
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
+def empty_ledger(spark: SparkSession, schema: str = LEDGER_SCHEMA) -> DataFrame:
+    return spark.createDataFrame([], schema)
 
 
 def scan(ledger: DataFrame) -> DataFrame:
@@ -65,10 +66,11 @@ def append(ledger: DataFrame, rows: DataFrame) -> DataFrame:
 
 class LedgerStore:
     """Versioned ledger folder. ``current()`` is the newest committed
-    version; ``write()`` adds a version and never touches the current one."""
+    version; ``write()`` adds a version and never touches the current one. ``schema``: the canonical or the raw form."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, schema: str = LEDGER_SCHEMA):
+        self.spark, self.schema = spark, schema
+        self.columns = [c.split()[0] for c in schema.split(", ")]
         self.root = root.rstrip("/")
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -112,7 +114,7 @@ class LedgerStore:
 
     def current(self) -> DataFrame:
         v = self.current_version()
-        return empty_ledger(self.spark) if v is None else self.read(v)
+        return empty_ledger(self.spark, self.schema) if v is None else self.read(v)
 
     def _holders(self, version: int) -> dict[str | None, int]:
         """For each table of a version, the version whose folder holds its rows."""
@@ -125,9 +127,9 @@ class LedgerStore:
         by_folder: dict[int, list] = {}
         for sheet, holder in self._holders(version).items():
             by_folder.setdefault(holder, []).append(sheet)
-        out = empty_ledger(self.spark).select(*LEDGER_COLUMNS)
+        out = empty_ledger(self.spark, self.schema)
         for holder, sheets in sorted(by_folder.items()):
-            part = self.spark.read.schema(LEDGER_SCHEMA).parquet(self._folder(holder)).select(*LEDGER_COLUMNS)
+            part = self.spark.read.schema(self.schema).parquet(self._folder(holder)).select(*self.columns)
             named = F.col("sheet").isin([s for s in sheets if s is not None])
             out = out.unionByName(part.where(named | F.col("sheet").isNull() if None in sheets else named))
         return out
@@ -158,7 +160,7 @@ class LedgerStore:
         # contiguous slice and writes one sorted file per table it touches (a
         # table holding a third of all rows is written by many tasks).
         folder = f"{self.root}/v={version}" + (f".{tag}" if tag else "")
-        (rows.select(*LEDGER_COLUMNS).sortWithinPartitions("sheet", "pos")
+        (rows.select(*self.columns).sortWithinPartitions("sheet", "pos")
          .write.mode("overwrite").partitionBy("sheet").parquet(folder))
         for st in self._fs.listStatus(self._path(folder)):
             name = unquote(st.getPath().getName())

@@ -90,9 +90,10 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     both its URL and its content (such a row cannot have a kept predecessor),
     then drops the live rows sharing a URL or a content with them. Rounds
     repeat until nothing is live: exact, with no cap, one path for all sizes.
-    Every round is cut from the lineage by a table written to the checkpoint
-    folder, and the table before it is deleted. ``order`` must be a unique key.
-    A chain (1~2 by URL, 2~3 by content, ...) takes a round for two links.
+    Every round is cut from the lineage by tables written to the checkpoint
+    folder, and the tables before it are deleted. ``order`` must be a unique key.
+    A chain (1~2 by URL, 2~3 by content, ...) of any length is settled in one round, see ``_settled_chains``;
+    a further round is needed only behind a row that two undecided rows come before.
 
     Contents (whole texts) are replaced by a 64-bit hash for the rounds
     when a check finds no two distinct contents with one hash; otherwise the
@@ -129,14 +130,22 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     while not live.isEmpty():
         rounds += 1
         t0 = time.time()
-        mu = live.groupBy("_u").agg(F.min("_rk").alias("_rk"))
-        mc = live.groupBy(*cks).agg(F.min("_rk").alias("_rk"))
-        sel = materialize(mu.join(mc, "_rk"), "dedup-kept")
+        mu = live.groupBy("_u").agg(F.min("_rk").alias("_rk")).select("_rk", F.lit(True).alias("_fu"))
+        mc = live.groupBy(*cks).agg(F.min("_rk").alias("_rk")).select("_rk", F.lit(True).alias("_fc"))
+        flags = [F.coalesce(f, F.lit(False)).alias(f) for f in ("_fu", "_fc")]
+        marked = materialize(live.join(mu, "_rk", "left").join(mc, "_rk", "left").select("_rk", "_u", *cks, *flags), "dedup-marked")
+        chained = _settled_chains(marked, cks)
+        sel = marked.where("_fu and _fc").select("_rk", "_u", *cks)
+        if chained is not None:
+            sel = sel.unionByName(marked.join(chained, "_rk", "left_semi").select("_rk", "_u", *cks))
+        sel = materialize(sel, "dedup-kept")
         part = sel.select("_rk")
         kept = part if kept is None else kept.unionByName(part)
         rest = live.join(sel.select("_u"), "_u", "left_anti").join(sel.select(*cks), cks, "left_anti")
         before, live = live, materialize(rest, "dedup-live")
-        drop_table(before)
+        for done in (before, marked, chained):
+            if done is not None:
+                drop_table(done)
         log.info("dedup_ordered: round %d, %.2fs", rounds, time.time() - t0)
     drop_table(live)
     log.info("dedup_ordered: %d rounds", rounds)
@@ -145,6 +154,45 @@ def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_u
     return cands.withColumn("_rk", rk).join(kept, "_rk", "left_semi").drop("_rk")
 
 
+def _settled_chains(marked: DataFrame, cks: Sequence[str]) -> DataFrame | None:
+    """The rows (``_rk``, written) that are kept because of rows decided in the same round; None if no row is.
+
+    A live row with a single earlier live row among those sharing its URL or content (it is first of the one and second of the other)
+    is kept iff that row is not. Such rows point to that row, with "not" as the function between the two. Pointers
+    are doubled, two steps a written table, until each ends at a row without a pointer; so the tables grow with the logarithm of
+    the longest chain. Where the end is first of both its URL and its content, it is kept, and an even number of steps
+    says the same of the row; other ends are still open, and so are the rows that point to them.
+
+    Every table here has a row per key or per row: firsts and seconds are partial aggregations, and a row has at most two that point to it."""
+    links = None
+    for key, own, other in ((["_u"], "_fu", "_fc"), (list(cks), "_fc", "_fu")):
+        second = marked.where(~F.col(own)).groupBy(*key).agg(F.min(F.struct("_rk", other)).alias("_s"))
+        second = second.where(F.col(f"_s.{other}")).select(*key, F.col("_s._rk").alias("_from"))
+        first = marked.where(own).select(*key, F.col("_rk").alias("_to"))
+        part = second.join(first, key).select("_from", "_to", F.lit(1).alias("_odd"))
+        links = part if links is None else links.unionByName(part)
+    links = materialize(links, "dedup-chain")
+    if links.isEmpty():
+        drop_table(links)
+        return None
+    roots = marked.where("_fu and _fc").select(F.col("_rk").alias("_to"))
+    tables = [links]
+    while True:
+        for _ in range(2):
+            by = links.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_more"))
+            links = links.join(by, "_to", "left").select(
+                "_from", F.coalesce("_next", "_to").alias("_to"), ((F.col("_odd") + F.coalesce("_more", F.lit(0))) % 2).alias("_odd"))
+        links = materialize(links, "dedup-chain")
+        tables.append(links)
+        if links.join(tables[0].select(F.col("_from").alias("_to")), "_to", "left_semi").isEmpty():
+            break
+    out = materialize(links.where("_odd = 0").join(roots, "_to", "left_semi").select(F.col("_from").alias("_rk")), "dedup-settled")
+    log.info("dedup_ordered: chains settled in %d written tables", len(tables) + 1)
+    for t in tables:
+        drop_table(t)
+    return out
+
+
 def dedup_ordered_naive(cands: DataFrame, order: Sequence[str], url_col: str = "full_url",
                         content: Sequence[str] = tuple(CONTENT)) -> DataFrame:
     """Two independent first-occurrence filters. NOT the reference's rule (a row

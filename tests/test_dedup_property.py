@@ -41,6 +41,25 @@ def test_random_inputs(spark):
     assert naive != want
 
 
+def test_a_chain_of_100_000_links(spark, caplog):
+    """Rounds and written tables grow with the logarithm of a chain; side rows hang on it."""
+    n = 100_000
+    rows = [(2 * i, f"u{(i + 1) // 2}", f"c{i // 2}") for i in range(n)]
+    rows += [(2 * i + 1, f"u{(i + 1) // 2}", f"d{i}") for i in range(0, n, 1000)]  # a third row on a URL
+    rows += [(2 * n + i, f"e{i % 3}", f"c{rng}") for i, rng in enumerate(range(0, n // 2, 777))]  # rows with two before them
+    import pandas as pd
+
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["rk", "full_url", "title"])).selectExpr("rk", "full_url", "title", "'' as company", "'' as tags")
+    with caplog.at_level("INFO", logger="listledger.operators.dedup"):
+        got = sorted(r.rk for r in dedup.dedup_ordered(df, ["rk"]).select("rk").collect())
+    assert got == sequential(rows)
+    told = [m.getMessage() for m in caplog.records]
+    rounds = sum(" round " in m for m in told)
+    written = 4 * rounds + sum(int(m.split(" in ")[1].split()[0]) for m in told if "settled" in m)
+    assert rounds <= 3 and written < 40, told
+    assert max(int(m.split(" in ")[1].split()[0]) for m in told if "settled" in m) < 20
+
+
 def test_multi_column_rank(spark):
     rows = [("b", 1, 5, "u1", "c1"), ("a", 2, 1, "u1", "c2"), ("a", 1, 9, "u2", "c1"), (None, 3, 0, "u3", "c3"),
             ("a", 1, 9 + 1, "u2", "c4")]

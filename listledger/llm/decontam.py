@@ -5,11 +5,12 @@ piece stays whole, so every occurrence holds an exact piece. All pieces are look
 neighbourhood of each hit is verified with Myers' bit-parallel edit distance, on Python's unbounded integers, so an item may
 be of any length. Both sides are compared with letters lower-cased and white space squeezed to single blanks.
 
-Test items go to the executors in blocks of at most ``block`` characters, one pass over the texts a block, so a benchmark of any
-size needs bounded memory. Texts never leave their partition: there is no join and no shuffle.
+Test items go to the executors in blocks of at most ``block`` characters, one pass over the texts a block; a block's result is written and
+the block released before the next one is sent, so a benchmark of any size needs bounded memory. Texts never leave their partition: there is no
+join and no shuffle.
 
-Defined cases: null, empty and blank texts or items match nothing; items shorter than ``least`` characters after normalisation
-are not searched (their count is known from ``searchable``); equal items are searched once and reported for the least id; an item or document
+Defined cases: null, empty and blank texts or items match nothing; every other item is searched, however short: one that may have no edits
+(under 1 / ``error`` characters) is found where it stands between ends of words; equal items are searched once and reported for the least id; an item or document
 without an id is searched too (null id). Hits of one item in one document are one row, with the smallest distance."""
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listledger.llm.common import slices, text_rows
+from listledger.llm.common import slices, text_rows, write_through
 
 
 def normal(text: str | None) -> str:
@@ -34,6 +35,12 @@ def cut(item: str, pieces: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(ends, ends[1:])]
 
 
+def whole_words(body: str, start: int, end: int) -> bool:
+    """Whether body[start:end] neither begins nor ends inside a word."""
+    cuts = lambda k: 0 < k < len(body) and body[k - 1].isalnum() and body[k].isalnum()
+    return not cuts(start) and not cuts(end)
+
+
 class Myers:
     """Smallest edit distance between a pattern and any substring of a text, by bit-parallel columns."""
 
@@ -102,6 +109,10 @@ class Matcher:
                 spans[k].append(end - length + 1 - at)
         for k, starts in spans.items():
             item, limit = self.items[k][1], self.limits[k]
+            if not limit:
+                if any(whole_words(body, s, s + len(item)) for s in starts):
+                    found[k] = 0
+                continue
             if item in body:
                 found[k] = 0
                 continue
@@ -118,8 +129,8 @@ class Matcher:
         return found
 
 
-def searchable(items: DataFrame, least: int, text: str = "text", id_col: str = "item_id") -> DataFrame:
-    """Rows (id, item): normalised distinct items of at least ``least`` characters, each with its least id."""
+def searchable(items: DataFrame, text: str = "text", id_col: str = "item_id") -> DataFrame:
+    """Rows (id, item): normalised distinct items that are not empty, each with its least id."""
 
     def run(batches):
         for batch in slices(batches):
@@ -127,7 +138,7 @@ def searchable(items: DataFrame, least: int, text: str = "text", id_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.string())], ["id", "item"])
 
     found = items.select(id_col, text).mapInArrow(run, T.StructType([T.StructField("id", items.schema[id_col].dataType), T.StructField("item", T.StringType())]))
-    return found.where(F.length("item") >= least).groupBy("item").agg(F.min("id").alias("id"))
+    return found.where(F.length("item") > 0).groupBy("item").agg(F.min("id").alias("id"))
 
 
 def blocks(items: DataFrame, block: int):
@@ -143,13 +154,13 @@ def blocks(items: DataFrame, block: int):
         yield held
 
 
-def matches(docs: DataFrame, items: DataFrame, error: float = 0.08, least: int = 50, block: int = 4 << 20, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id") -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, error: float = 0.08, block: int = 4 << 20, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id") -> DataFrame:
     """Rows (id, item_id, distance), one for each test item found in a row of ``docs``."""
     sc = docs.sparkSession.sparkContext
     kinds = {id_col: docs.schema[id_col].dataType, item_id: items.schema[item_id].dataType}
     schema = T.StructType([*(T.StructField(c, k) for c, k in kinds.items()), T.StructField("distance", T.IntegerType())])
     out = docs.sparkSession.createDataFrame([], schema)
-    for part in blocks(searchable(items, least, id_col=item_id), block):
+    for part in blocks(searchable(items, id_col=item_id), block):
         shared = sc.broadcast(part)
 
         def run(batches, shared=shared):
@@ -161,14 +172,15 @@ def matches(docs: DataFrame, items: DataFrame, error: float = 0.08, least: int =
                 columns = list(zip(*rows)) or [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], to_arrow_type(kinds[id_col])), pa.array(columns[1], to_arrow_type(kinds[item_id])), pa.array(columns[2], pa.int32())], [id_col, item_id, "distance"])
 
-        out = out.unionByName(docs.select(id_col, text).mapInArrow(run, schema))
+        out = out.unionByName(write_through(docs.select(id_col, text).mapInArrow(run, schema), "matches"))
+        shared.destroy()
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, error: float = 0.08, least: int = 50, block: int = 4 << 20, text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, error: float = 0.08, block: int = 4 << 20, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no test item occurs."""
     sc, schema = docs.sparkSession.sparkContext, docs.schema
-    for part in blocks(searchable(items, least), block):
+    for part in blocks(searchable(items), block):
         shared = sc.broadcast(part)
 
         def run(batches, shared=shared):
@@ -177,5 +189,6 @@ def clean(docs: DataFrame, items: DataFrame, error: float = 0.08, least: int = 5
                 texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
                 yield batch.filter(pa.array([not matcher.find(t) for t in texts], pa.bool_()))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = write_through(docs.mapInArrow(run, schema), "clean")
+        shared.destroy()
     return docs

@@ -106,7 +106,7 @@ def features(c: Candidate, corpus: Corpus) -> list[float]:
         math.log(n),
         float(corpus.logp[at[:-1], at[1:]].mean()),
         -sum(k / n * math.log2(k / n) for k in counts.values()),
-        coverage(v[:512], corpus.words),
+        coverage(v, corpus.words),
         sum(x.isdigit() for x in v) / n,
         sum(x.isupper() for x in v) / n,
         sum(x in "0123456789abcdefABCDEF" for x in v) / n,
@@ -162,6 +162,10 @@ def silver_label(c: Candidate) -> int | None:
 def learn_corpus(docs: DataFrame, text: str = "text") -> Corpus:
     def run(batches):
         table, counts, total = np.zeros(WIDTH * WIDTH, np.int64), Counter(), 0
+
+        def told(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["key", "n"])
+
         for (texts,) in text_rows(batches, text):
             for part in joined(texts, "\n"):
                 at = codes(part)
@@ -169,13 +173,11 @@ def learn_corpus(docs: DataFrame, text: str = "text") -> Corpus:
             for t in texts:
                 own = t.lower().split() if t else []
                 total += len(own)
-                counts.update(own)
-                if len(counts) > 200_000:  # the rarest go; they are far below what is reported
-                    counts = Counter({w: n for w, n in counts.items() if n > max(1, total >> 20)})
-        at = np.nonzero(table)[0].tolist()
-        words = [(w, n) for w, n in counts.items() if n * (1 << 17) >= total and len(w) <= 32]
-        rows = [*((f"\t{k}", int(table[k])) for k in at), *words, ("\n", total)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["key", "n"])
+                counts.update(w for w in own if len(w) <= 32)
+                if len(counts) > 200_000:  # counts so far are sent, and added up with the others
+                    yield told(list(counts.items()))
+                    counts = Counter()
+        yield told([*((f"\t{k}", int(table[k])) for k in np.nonzero(table)[0].tolist()), *counts.items(), ("\n", total)])
 
     sums = write_through(docs.select(text).mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "corpus")
     total = (sums.where(F.col("key") == "\n").agg(F.sum("n")).first()[0]) or 0

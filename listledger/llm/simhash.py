@@ -230,11 +230,16 @@ def near_links(fps: DataFrame, error: int = 2, leaves: int = 1 << 16) -> DataFra
     return units.groupBy("depth", "a", "b").applyInPandas(_links_of_unit(error), "u bigint, v bigint")
 
 
-def link_fingerprints(prints: DataFrame, error: int = 2, leaves: int = 1 << 16, id_col: str = "doc_id") -> DataFrame:
-    """Rows (fp, component_id) for each distinct fingerprint of ``prints`` (id, fp)."""
+def rooted_fingerprints(prints: DataFrame, error: int = 2, leaves: int = 1 << 16, id_col: str = "doc_id") -> DataFrame:
+    """Rows (fp, least, root) for each distinct fingerprint of ``prints`` (id, fp): its least id, and a name of its component. Written."""
     fps = write_through(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fps")
     roots = components(near_links(fps.select("fp"), error, leaves))
-    rooted = write_through(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    return write_through(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+
+
+def link_fingerprints(prints: DataFrame, error: int = 2, leaves: int = 1 << 16, id_col: str = "doc_id") -> DataFrame:
+    """Rows (fp, component_id) for each distinct fingerprint of ``prints`` (id, fp)."""
+    rooted = rooted_fingerprints(prints, error, leaves, id_col)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(least, "root").select("fp", "component_id")
 
@@ -248,19 +253,21 @@ def near_duplicates(df: DataFrame, shingle: int = 3, error: int = 2, text: str =
 
 
 def keep_first(df: DataFrame, shingle: int = 3, error: int = 2, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` without near-duplicates: of each component the row with the least id stays (one of equal rows; of
-    rows without an id one stays where no other member has one)."""
-    prints = write_through(fingerprints(df, shingle, text, id_col), "prints")
-    linked = write_through(link_fingerprints(prints, error, id_col=id_col), "linked")
-    named = linked.where("component_id is not null").select(F.col("component_id").alias(id_col)).distinct()
-    kept = df.join(named, id_col, "left_semi").dropDuplicates([id_col])
-    nameless = df.where(F.col(id_col).isNull())
-    if nameless.isEmpty():
-        return kept
-    alone = linked.where("component_id is null").select("fp")
-    first = alone.join(components(near_links(alone, error)).withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("_root"))
-    key = fresh(df, "_id")
-    own = nameless.withColumn(key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))  # equal texts are one row
-    of = fingerprints(own.select(key, text).dropDuplicates([key]), shingle, text, key).join(first, "fp")
-    chosen = of.groupBy("_root").agg(F.min(key).alias(key)).select(key)
-    return kept.unionByName(own.join(chosen, key, "left_semi").dropDuplicates([key]).select(*df.columns))
+    """The rows of ``df`` without near-duplicates: one row of each component stays, so no component is lost. It is the one
+    with the least id (rows without an id come last); of different texts under that id the one with the least hash, of equal rows any.
+
+    Rows are known by their id and their text's hash and length, so an id that several texts share keeps each text to its own component.
+    Texts go through one exchange, by that key."""
+    key, size = fresh(df, "_hash"), fresh(df, "_size")
+    body = F.coalesce(F.col(text), F.lit(""))
+    marked = df.withColumn(key, F.xxhash64(body)).withColumn(size, F.length(body))
+    row = fresh(df, "_row")
+    names = F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), F.col(key).alias("hash"), F.col(size).alias("size"))
+    prints = fingerprints(marked.select(names.alias(row), text), shingle, text, row)
+    prints = write_through(prints.select(F.col(row).alias("name"), "fp"), "prints")
+    rooted = rooted_fingerprints(prints, error, id_col="name")
+    first = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    chosen = first.select(F.col("least.id").alias("_c_id"), F.col("least.hash").alias("_c_hash"), F.col("least.size").alias("_c_size")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col("_c_id")) & (F.col(key) == F.col("_c_hash")) & (F.col(size) == F.col("_c_size"))
+    kept = marked.join(write_through(chosen, "survivors"), same, "left_semi")
+    return kept.dropDuplicates([id_col, key, size]).select(*df.columns)

@@ -257,7 +257,7 @@ def keep_first(df: DataFrame, shingle: int = 3, error: int = 2, text: str = "tex
     with the least id (rows without an id come last); of different texts under that id the one with the least hash, of equal rows any.
 
     Rows are known by their id and their text's hash and length, so an id that several texts share keeps each text to its own component.
-    Texts go through one exchange, by that key."""
+    Texts go through two exchanges, one to find the survivors and one to drop equal rows."""
     key, size = fresh(df, "_hash"), fresh(df, "_size")
     body = F.coalesce(F.col(text), F.lit(""))
     marked = df.withColumn(key, F.xxhash64(body)).withColumn(size, F.length(body))

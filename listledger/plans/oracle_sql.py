@@ -505,6 +505,8 @@ from part"""
 
 ORACLES["html_cards_class"] = f"select link_slug, title, company, tags, full_url from ({_B_ROWS})"
 
+ORACLES["lateral_cards"] = ORACLES["html_cards_class"]
+
 ORACLES["html_cards_attr"] = f"select title, company, tags, full_url from ({_C_ROWS})"
 
 ORACLES["unify_listings"] = f"({_A_ROWS}) union all ({_B_ROWS}) union all ({_C_ROWS})"

@@ -384,6 +384,13 @@ def q_html_cards_class(spark, sf):
     return _b_listings(spark, sf).select("link_slug", "title", "company", "tags", "full_url")
 
 
+@query("lateral_cards")
+def q_lateral_cards(spark, sf):
+    from .registry import lateral_cards
+
+    return lateral_cards(bindings.html_card_pages_class(spark, sf), "B").select("link_slug", "title", "company", "tags", "full_url")
+
+
 @query("html_cards_attr")
 def q_html_cards_attr(spark, sf):
     return _c_listings(spark, sf).select("title", "company", "tags", "full_url")

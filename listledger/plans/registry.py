@@ -95,18 +95,31 @@ def default_registry() -> Registry:
 def register_card_udtf(spark: SparkSession, name: str = "extract_cards"):
     """Register the card extractor as a SQL table function:
     ``extract_cards(html, source)`` -> rows of (pos, href, title, company,
-    tags, error) for source 'B' or 'C'."""
+    tags, error) for source 'B' or 'C'. Rows travel in Arrow batches; a page that fails as a whole gives one row with its error (E16)."""
     from pyspark.sql.functions import udtf
 
     configs = {"B": C.SOURCE_B, "C": C.SOURCE_C}
 
-    @udtf(returnType="pos int, href string, title string, company string, tags array<string>, error string")
+    @udtf(returnType="pos int, href string, title string, company string, tags array<string>, error string", useArrow=True)
     class ExtractCards:
         def eval(self, html: str, source: str):
             if html is None or source not in configs:
                 return
-            for pos, href, title, company, tags, err in C.extract_cards(html, configs[source]):
-                yield pos, href, title, company, tags, err
+            try:
+                yield from C.extract_cards(html, configs[source])
+            except Exception as e:
+                yield None, None, None, None, None, f"{type(e).__name__}: {e}"
 
     spark.udtf.register(name, ExtractCards)
     return ExtractCards
+
+
+def lateral_cards(pages: DataFrame, source: str, name: str = "extract_cards") -> DataFrame:
+    """X1 in SQL: the listings of ``pages`` (page_id, url, html) of one card source, the table function joined laterally."""
+    from ..operators import extract as X
+
+    register_card_udtf(pages.sparkSession, name)
+    rows = pages.sparkSession.sql(
+        f"""select p.page_id, p.url, c.pos, c.href, c.title as raw_title, c.company, c.tags as tag_list, c.error, 'card' as kind, :source as source
+            from {{pages}} p, lateral {name}(p.html, :source) c""", args={"source": source}, pages=pages)
+    return X.html_card_listings(rows)

@@ -11,7 +11,7 @@ import logging
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
@@ -47,14 +47,15 @@ def known_urls(ledger: DataFrame, per_sheet: bool = False) -> DataFrame:
     return out.distinct() if per_sheet else out.select("url").distinct()
 
 
-def known_records(ledger: DataFrame) -> DataFrame:
+def known_records(ledger: DataFrame, per_sheet: bool = False) -> DataFrame:
     """Stripped title, company, tags, link of every row of every table
-    (header-driven for the raw form, see ``sources.ledger.by_header``)."""
+    (header-driven for the raw form, see ``sources.ledger.by_header``), with its table when asked."""
     if "cells" in ledger.columns:
         from ..sources.ledger import by_header
 
         ledger = by_header(ledger)
-    return ledger.select(*[F.coalesce(trim_ws(c), F.lit("")).alias(c) for c in ["title", "company", "tags", "link"]])
+    keys = ["sheet"] if per_sheet else []
+    return ledger.select(*keys, *[F.coalesce(trim_ws(c), F.lit("")).alias(c) for c in ["title", "company", "tags", "link"]])
 
 
 def drop_known_urls(cands: DataFrame, urls: DataFrame, url_col: str = "full_url") -> DataFrame:
@@ -80,6 +81,32 @@ def drop_known_content(cands: DataFrame, records: DataFrame) -> DataFrame:
     return fresh.unionByName(maybe.join(texts, ["_h", *CONTENT], "left_anti").select(fresh.columns)).drop("_h")
 
 
+def _digest(*cols: str) -> Column:
+    """SHA-256 of the columns' texts, each after its length; null if one is null (such rows equal no known one)."""
+    return F.unhex(F.sha2(F.concat(*[F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)) for c in cols]), 256))
+
+
+def known_digests(ledger: DataFrame) -> DataFrame:
+    """D1 and D2 as digests: ``sheet, kind, digest``, kind ``url`` or ``content``, each once a table."""
+    urls = known_urls(ledger, per_sheet=True).select("sheet", F.lit("url").alias("kind"), _digest("url").alias("digest"))
+    records = known_records(ledger, per_sheet=True)
+    contents = records.select("sheet", F.lit("content").alias("kind"), _digest(*CONTENT).alias("digest")).distinct()
+    return urls.unionByName(contents)
+
+
+def drop_known_digests(cands: DataFrame, known: DataFrame, url_col: str = "full_url") -> DataFrame:
+    """D3 and D4 against ``known_digests``: the known side holds no text and is scanned once, where it lies (the candidates'
+    digests are the side that AQE may broadcast); only the digests that hit are joined back. Digests of 256 bits
+    are taken as the texts they stand for."""
+    cands = cands.withColumns({"_url": _digest(url_col), "_content": _digest(*CONTENT)})
+    probe = cands.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("digest")) for k in ("url", "content")])).alias("p"))
+    probe = probe.select("p.*").where("digest is not null").distinct()
+    hits = materialize(known.select("kind", "digest").join(probe, ["kind", "digest"], "left_semi").distinct(), "known-hits")
+    for kind in ("url", "content"):
+        cands = cands.join(hits.where(F.col("kind") == kind).select(F.col("digest").alias(f"_{kind}")), f"_{kind}", "left_anti")
+    return cands.drop("_url", "_content")
+
+
 def dedup_ordered(cands: DataFrame, order: Sequence[str], url_col: str = "full_url",
                   content: Sequence[str] = tuple(CONTENT), hash_content: bool = True) -> DataFrame:
     """In ``order``, keep a row iff no earlier *kept* row has its URL or

@@ -27,14 +27,15 @@ class RunResult:
 
 def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
                  limit=None, max_limit: int | None = 50, recent_days: int | None = None,
-                 rewrite_ledger: bool = True) -> RunResult:
+                 rewrite_ledger: bool = True, known: DataFrame | None = None) -> RunResult:
     """J1 over extracted listings (unified schema, rank columns
     ``group_idx, url_idx, pos``; ``group_title`` only names the table) and the ledger as it is before the run
     (discards are applied in the rewrite), in the canonical or the raw form; the rewritten one has the same form.
 
     ``limit``: column or int of the per-URL limit (R2), ``max_limit`` its
     largest value (None: no limit); ``recent_days``: turn on the recency
-    filter F2 (off in the reference's run)."""
+    filter F2 (off in the reference's run); ``known``: the ledger's known state as digests (``LedgerStore.known``), which
+    D3 and D4 then read instead of the ledger."""
     feed = drop_polish(listings)
     if recent_days is not None:
         feed = keep_recent(feed, days_limit=recent_days)
@@ -45,10 +46,12 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
     # extract once, then read the written table (also cuts the lineage)
     cands = materialize(feed, "candidates")
 
-    urls = dedup.known_urls(ledger)
-    recs = dedup.known_records(ledger)
+    if known is not None:
+        fresh = dedup.drop_known_digests(cands, known)
+    else:
+        fresh = dedup.drop_known_content(dedup.drop_known_urls(cands, dedup.known_urls(ledger)), dedup.known_records(ledger))
     # D5 reads what is left three times (hash check, twins, final semi join): written once
-    fresh = materialize(dedup.drop_known_content(dedup.drop_known_urls(cands, urls), recs), "fresh")
+    fresh = materialize(fresh, "fresh")
     new = materialize(dedup.dedup_ordered(fresh, RUN_ORDER), "new-listings")  # read by the summary and the rewrite
 
     summary = run_summary(groups, cands, new)
@@ -67,6 +70,18 @@ def run_listings(listings: DataFrame, ledger: DataFrame, groups: DataFrame,
     return RunResult(cands, new, summary, out_ledger, touched)
 
 
+def rewrite_touched(ledger: DataFrame, groups: DataFrame, new: DataFrame) -> tuple[DataFrame, list]:
+    """The rewrite of a run (see ``run_listings``) for the tables it touches only: their rows, and their names. The scan of a
+    stored ledger prunes the other tables; their discards are read from the status alone."""
+    from ..sources.ledger import in_tables
+
+    rows, watched = prepend_rows(new), groups.select(F.col("group_title").alias("sheet"))
+    raw = "cells" in ledger.columns
+    touched = (R.touched_raw_tables if raw else L.touched_tables)(ledger, watched, rows)
+    names = [r[0] for r in touched.select("sheet").distinct().collect()]  # a name a table
+    return (R.reorganize_raw if raw else L.reorganize)(ledger.where(in_tables(names)), watched, rows), names
+
+
 def prepend_rows(new: DataFrame) -> DataFrame:
     """L7 rows in the order they stand on top of their table: each group is prepended
     after the groups before it, so of groups with one title the later one's rows are on top."""

@@ -6,9 +6,11 @@ Boosted trees judge every candidate by its format and its context, and a thresho
 candidates for a precision of at least ``precision``, selects the spans that are added. Of overlapping candidates the likeliest
 stays, then the longest, then the first; none may touch a base span.
 
-Labels come from the base detectors: a candidate whose canonical form (separators and spellings undone) is a base form of its kind is
-personal data, one whose canonical form has the kind's shape but fails its check is not, others are not learned from. Trees and
-thresholds are fitted on the candidates of some ``sample`` documents, chosen by a hash of the id.
+Labels come from the base detectors, as rewritten forms: every base finding is rewritten, where it stands, into each of the looser forms of its
+kind (``loosened``). The candidate that is exactly the rewritten span is personal data; one of another kind or extent on it is not. A
+candidate elsewhere whose form fails the kind's check, or is prose, a list or a part of a longer word, is not personal data; others are not learned
+from. Trees are fitted on the candidates of some ``sample`` documents, chosen by a hash of the id. Thresholds come from a fold that the
+trees never see: all candidates of a third of all documents, scored in tasks and summed to counts by (kind, score bin, label).
 
 Defined cases: null and empty texts have no spans; repeated rows are judged alike; without candidates of both classes, or
 of a kind, no spans of it are added. Offsets are code points, ends exclusive."""
@@ -17,7 +19,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +43,9 @@ DOTTED, NUMBER = re.compile(r"[0-9]+(?:\.[0-9]+)*"), re.compile(r"[0-9]+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 #: The looser forms of the generators.
-SPELLED = re.compile(r"[\w.%+-]{1,64}\s?(?:@|\(at\)|\[at\]|\{at\}| at )\s?[\w-]{1,64}(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )\s?[\w-]{2,24}){1,4}", re.I)
+SPELLED = re.compile(r"[\w.%+-]{1,64}\s?(?:@|\(at\)|\[at\]|\{at\}| at )\s?[\w-]{1,64}(?P<dot>\s?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )\s?)[\w-]{2,24}(?:(?P=dot)[\w-]{2,24}){0,3}", re.I)
 DIGITS = re.compile(r"[+(]?[0-9](?:[ ().,/·_-]{0,3}[0-9]){6,}")
 QUAD = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\s?[.,·]\s?[0-9]{1,4}){3}(?![0-9])")
-_AT, _DOT = re.compile(r"\s?(?:\(at\)|\[at\]|\{at\}| at )\s?", re.I), re.compile(r"\s?(?:\(dot\)|\[dot\]|\{dot\}| dot )\s?", re.I)
 _SIGNS = re.compile(r"@|\(at\)|\[at\]|\{at\}| dot | at ", re.I)
 #: Words that announce each kind, and words that announce other numbers.
 CUES = {
@@ -138,28 +140,75 @@ def proposals(text: str) -> list[tuple[int, str, int]]:
     return sorted(out)
 
 
-def canonical(kind: str, value: str) -> str:
-    if kind == "email":
-        return _DOT.sub(".", _AT.sub("@", value)).replace(" ", "")
-    if kind == "ip":
-        return re.sub(r"\s?[.,·]\s?", ".", value)
-    d = digits_of(value)
-    return d if kind == "card" else "+" + d
+#: How base findings are rewritten: (at, dot) of an address, what joins the parts of an address number and the fours of a card, how the
+#: last ten digits of a phone number stand.
+LOOSE = {
+    "email": [(" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", " dot "), (" @ ", ".")],
+    "ip": [" . ", "·", ". ", " ."],
+    "card": [".", "/", "_", " - "],
+    "phone": ["({}) {}-{}", "{}.{}.{}", "{}-{}-{}", "{} {} {}"],
+}
+VARIANTS = 4
 
 
-def label_of(kind: str, value: str) -> int | None:
-    """1: the canonical form is a base form of the kind; 0: it has the shape, but fails the check; None: not known."""
-    form = canonical(kind, value)
+def loosened(text: str, variant: int) -> tuple[str, list[tuple[int, str, int]]]:
+    """``text`` with its base findings rewritten into the looser forms number ``variant``, and where these stand. Of overlapping findings the first is taken."""
+    out, planted, at, size = [], [], 0, 0
+    for a, kind, b in base_spans(text):
+        if a < at:
+            continue
+        value, form = text[a:b], LOOSE[kind][variant]
+        if kind == "email":
+            name, _, domain = value.partition("@")
+            value = name + form[0] + domain.replace(".", form[1])
+        elif kind == "ip":
+            value = value.replace(".", form)
+        elif kind == "card":
+            value = form.join(re.findall("[0-9]{1,4}", digits_of(value)))
+        else:
+            d = digits_of(value)[-10:]
+            value = form.format(d[:3], d[3:6], d[6:])
+        out += [text[at:a], value]
+        size += a - at
+        planted.append((size, kind, size + len(value)))
+        size += len(value)
+        at = b
+    return "".join([*out, text[at:]]), planted
+
+
+def denied(kind: str, value: str, before: str, after: str) -> bool:
+    """Whether a form as it stands in a text cannot be personal data of the kind."""
+    if before.isalnum() or after.isalnum():
+        return True
     if kind == "email":
-        return 1 if EMAIL.fullmatch(form) and re.search(r"\.[A-Za-z]{2,}$", form) and "@" in value else None
+        return " at " in value.lower() and re.search(r"dot", value, re.I) is None
     if kind == "ip":
-        return int(is_ip(form)) if IP.fullmatch(form) else 0
+        return "," in value or not is_ip(re.sub(r"\s?[.·]\s?", ".", value))
     if kind == "card":
-        return int(is_card(form)) if CARD.fullmatch(value) and len(form) >= 14 else None
-    return 1 if PHONE.fullmatch(value) and is_phone(value) else 0 if len(form) - 1 == 16 or value.isdigit() else None
+        return not is_card(value)
+    groups = NUMBER.findall(value)
+    return len(groups) == 1 or "," in value or len(digits_of(value)) < 9 or max(map(len, groups)) < 3 or re.match(r"\(?(19|20)[0-9]{2}[-./]?[0-9]{2}[-./ ]", value) is not None
+
+
+def labelled(text: str | None) -> list[tuple[str, list[float], int]]:
+    """(kind, features, label) of the candidates of a text, and of its rewritten forms, whose label is known."""
+    out = []
+    for variant in range(VARIANTS if text else 0):
+        loose, planted = loosened(text, variant)
+        if variant and not planted:
+            break  # without base findings, all variants are the text itself
+        meant, exact = Spans([(a, b) for a, _, b in planted]), Spans([(a, b) for a, _, b in base_spans(loose)])
+        for a, kind, b, x in candidate_rows(loose):
+            if (a, kind, b) in planted:
+                out.append((kind, x, 1))
+            elif meant.meets(a, b):
+                out.append((kind, x, 0))
+            elif not variant and not exact.meets(a, b) and denied(kind, loose[a:b], loose[a - 1 : a] if a else "", loose[b : b + 1]):
+                out.append((kind, x, 0))
+    return out
 
 
-FEATURES = "email ip card phone digits groups longest shortest plus paren dots dashes blanks length luhn parts distinct lead before after cue other_cue near edge".split()
+FEATURES = "email ip card phone digits groups longest shortest plus paren dots dashes blanks length luhn parts distinct lead before after cue other_cue near edge brackets spelled gap".split()
 
 
 def features(text: str, start: int, kind: str, end: int, others: int) -> list[float]:
@@ -191,6 +240,9 @@ def features(text: str, start: int, kind: str, end: int, others: int) -> list[fl
         float(any(w in OTHER_CUES for w in words)),
         float(others),
         float(not before or before == "\n"),
+        float(sum(value.count(c) for c in "([{")),
+        float(" dot " in value.lower()),
+        float(". " in value),
     ]
 
 
@@ -207,43 +259,67 @@ def learned_rows(docs: DataFrame, text: str) -> DataFrame:
 
     def run(batches):
         for (texts,) in text_rows(batches, text):
-            rows = [(k, x, y) for t in texts for a, k, b, x in candidate_rows(t) if (y := label_of(k, t[a:b])) is not None]
-            columns = list(zip(*rows)) or [(), (), ()]
+            columns = list(zip(*(row for t in texts for row in labelled(t)))) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.float64())), pa.array(columns[2], pa.int32())], ["kind", "x", "label"])
 
     return docs.select(text).mapInArrow(run, "kind string, x array<double>, label int")
 
 
+EDGES = np.arange(1000) / 1000  # lower edges of the score bins
+
+
+def score_counts(docs: DataFrame, model: trees.Trees, text: str) -> DataFrame:
+    """Rows (kind, bin, n, hits): how many labelled candidates of ``docs`` score in a bin, and how many of them are personal data."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for (texts,) in text_rows(batches, text):
+            rows = [row for t in texts for row in labelled(t)]
+            bins = np.searchsorted(EDGES, shared.value.probability(np.array([x for _, x, _ in rows])), side="right") - 1 if rows else []
+            seen = Counter((k, int(i), y) for (k, _, y), i in zip(rows, bins))
+            columns = list(zip(*((k, i, n, n * y) for (k, i, y), n in seen.items()))) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["kind", "bin", "n", "hits"])
+
+    return docs.select(text).mapInArrow(run, "kind string, bin bigint, n bigint, hits bigint").groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+
+
 @dataclass
 class PiiModel:
     trees: trees.Trees
     thresholds: dict[str, float]  # kinds without one get no added spans
+    held: dict[str, tuple[float, float, int]] = field(default_factory=dict)  # per kind, on the held-out fold at its threshold: precision, recall, candidates taken
 
 
-def calibrate(p: np.ndarray, y: np.ndarray, precision: float, least: int = 20) -> float | None:
+def calibrate(p: np.ndarray, y: np.ndarray, precision: float, least: int = 20, n: np.ndarray | None = None) -> float | None:
     """The lowest threshold of one half or more whose held-out candidates at or over it are personal data in a share of at least ``precision``,
-    by the lower end of Wilson's interval; None if there is none."""
+    by the lower end of Wilson's interval, put halfway to the next candidate below; None if there is none. ``p``: scores; ``y``: labels, or
+    with ``n`` hits among ``n`` candidates."""
     order = np.argsort(-p, kind="stable")
-    p, hits = p[order], np.cumsum(y[order])
-    n = np.arange(1, len(p) + 1)
+    p, hits, n = p[order], np.cumsum(y[order]), np.cumsum(np.ones(len(p)) if n is None else n[order])
     share, z = hits / n, 1.64
     lower = (share + z * z / (2 * n) - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
     last = np.append(p[:-1] > p[1:], True)  # a threshold takes all of equal scores
     good = np.nonzero(last & (p >= 0.5) & (lower >= precision) & (n >= least))[0]
-    return float(p[good[-1]]) if len(good) else None
+    if not len(good):
+        return None
+    below = p[good[-1] + 1] if good[-1] + 1 < len(p) else 0.0
+    return max(0.5, float(p[good[-1]] + below) / 2)
 
 
 def train(docs: DataFrame, sample: int = 40_000, precision: float = 0.9, text: str = "text", id_col: str = "doc_id") -> PiiModel:
-    rows = write_through(learned_rows(sampled(docs, sample, id_col), text).withColumn("part", F.pmod(F.xxhash64("x"), F.lit(3))), "candidates")
-    learn = rows.where("part <> 0")
-    model = trees.boosted_trees(learn) if trees.both_classes(learn) else trees.constant(0.0)
-    thresholds: dict[str, float] = {}
-    held = rows.where("part = 0").orderBy(F.xxhash64("x", "kind")).limit(sample).collect()  # bounded by the parameter
+    held_out = F.pmod(F.coalesce(F.xxhash64(F.lit("held out"), F.col(id_col)), F.lit(0)), F.lit(3)) == 0
+    rows = write_through(learned_rows(sampled(docs.where(~held_out), sample, id_col), text), "candidates")
+    if not trees.both_classes(rows):
+        return PiiModel(trees.constant(0.0), {})
+    model = PiiModel(trees.boosted_trees(rows), {})
+    counts = score_counts(docs.where(held_out), model.trees, text).collect()  # at most a row a kind and bin
     for kind in KINDS:
-        own = [r for r in held if r["kind"] == kind]
-        if own and (t := calibrate(model.probability(np.array([r["x"] for r in own])), np.array([r["label"] for r in own]), precision)) is not None:
-            thresholds[kind] = t
-    return PiiModel(model, thresholds)
+        own = [r for r in counts if r["kind"] == kind]
+        p, n, hits = EDGES[[r["bin"] for r in own]], np.array([r["n"] for r in own]), np.array([r["hits"] for r in own])
+        if own and (t := calibrate(p, hits, precision, n=n)) is not None:
+            model.thresholds[kind], over = t, p >= t
+            model.held[kind] = float(hits[over].sum() / n[over].sum()), float(hits[over].sum() / hits.sum()), int(n[over].sum())
+    return model
 
 
 class Spans:

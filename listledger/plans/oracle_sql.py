@@ -447,6 +447,12 @@ ORACLES["page_key"] = f"select page_id, {page_key_sql('url')} as page_key from p
 ORACLES["page_export"] = f"""select page_id, {page_key_sql('url')} as page_key,
   cast(length({strip_sql('html')}) as bigint) as clean_chars, md5({strip_sql('html')}) as clean_md5 from pages"""
 
+ORACLES["page_files"] = f"""with fetched as (select page_id, url, html from pages
+  union all select page_id + 1000000000000, regexp_replace(url, '^https:', 'http:'), html || '<p>later</p>' from pages where page_id % 2 = 0),
+keyed as (select page_id, {page_key_sql('url')} as page_key, coalesce({strip_sql('html')}, '') as clean from fetched)
+select page_key, cast(length(clean) as bigint) as clean_chars, md5(clean) as clean_md5 from keyed where page_key <> ''
+qualify row_number() over (partition by page_key order by page_id desc) = 1"""
+
 
 def _unescape(x: str) -> str:
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):

@@ -358,6 +358,16 @@ def q_page_export(spark, sf):
     return jobs.page_export(table(spark, sf, "pages")).select("page_id", "page_key", "clean_chars", "clean_md5")
 
 
+@query("page_files")
+def q_page_files(spark, sf):
+    """The pages, then each again as fetched over http, with a later id and a changed text: both have one key, the later one's file stays."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    later = pages.where("page_id % 2 = 0").select(
+        (F.col("page_id") + 1_000_000_000_000).alias("page_id"), F.regexp_replace("url", "^https:", "http:").alias("url"), F.concat("html", F.lit("<p>later</p>")).alias("html"))
+    files = jobs.write_page_files(pages.unionByName(later), scratch_path(spark, "page-files"))
+    return files.select("page_key", F.length("clean_html").cast("long").alias("clean_chars"), F.md5("clean_html").alias("clean_md5"))
+
+
 @query("md_cards")
 def q_md_cards(spark, sf):
     return X.md_cards(bindings.md_card_pages(spark, sf)).select(

@@ -117,3 +117,16 @@ def test_registry_extraction_equals_builtin_routing(spark):
     n1 = jobs.extract_listings(watch_pages(watch, pages)).count()
     n2 = jobs.extract_listings(watch_pages(twice, pages)).count()
     assert n2 > n1
+
+
+def test_page_files_keep_the_last_page_of_a_key(spark, tmp_path):
+    from listledger.plans.jobs import write_page_files
+
+    long = "https://h.example/" + "x" * 120
+    rows = [(3, "https://a.example/p?q=1", "first"), (9, "http://a.example/p_q=1", "second\nline<script>x</script>"), (5, "https://a.example/p?q=1", "between"),
+            (1, "https://b.example/", ""), (2, "https://c.example/", None), (4, None, "no key"), (6, long + "1", "a"), (7, long + "2", "b"), (8, "", "no key")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_key"]: r["clean_html"] for r in write_page_files(pages, str(tmp_path / "out")).collect()}
+    assert got == {"a.example_p_q_1": "second\nline", "b.example_": "", "c.example_": "", long[8:108].replace("/", "_"): "b"}
+    assert all(len(list(d.glob("*.txt"))) == 1 for d in (tmp_path / "out").glob("page_key=*"))
+    assert write_page_files(pages.limit(0), str(tmp_path / "none")).count() == 0

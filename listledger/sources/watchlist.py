@@ -1,8 +1,8 @@
 """Watchlist sources (S1-S3) and the page scan behind it.
 
 A watchlist is a control file of named groups of listing-page URLs. Both
-formats are read with Spark (text source, whole file per row, since a JSON
-array or a section file only means something whole) and flattened into
+formats are read with Spark's text source (a JSON array as one row a file,
+since it only means something whole; section files in splits) and flattened into
 ``group_idx BIGINT, group_title STRING, url_idx BIGINT, url STRING`` with
 the positions taken from the files, never from partition ids.
 """
@@ -60,28 +60,63 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     ).select("group_idx", "group_title", F.col("url_idx").cast("long"), "url")
 
 
+def _section_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of section files that say something, in the scan's splits: ``_block`` is a split's first byte,
+    ``_seq`` rises inside it, ``_run`` counts its headers so far (0: the group was opened in an earlier split)
+    and ``_title`` is the last of them."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_seq"), trim_ws("value").alias("line"))
+    is_header = F.col("line").startswith("[") & F.col("line").endswith("]")
+    lines = skip_comment_lines(lines, "line").withColumn("_hdr", is_header)
+    title = trim_ws(F.expr("substring(line, 2, length(line) - 2)"))
+    so_far = Window.partitionBy("_file", "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("_run", F.sum(F.col("_hdr").cast("long")).over(so_far)).withColumn(
+        "_title", F.last(F.when(F.col("_hdr"), title), ignorenulls=True).over(so_far))
+
+
+def _section_splits(lines: DataFrame) -> DataFrame:
+    """A row per split: what earlier splits of its file leave open there. ``_carry`` URLs of the group that is open at
+    its start, that group's ``_open_title``, and ``_before`` groups with a URL."""
+    runs = lines.groupBy("_file", "_block", "_run").agg(
+        F.sum((~F.col("_hdr")).cast("long")).alias("n"), F.max("_title").alias("_title"))
+    splits = runs.groupBy("_file", "_block").agg(
+        F.max("_run").alias("headers"), F.max_by("n", "_run").alias("tail"), F.max_by("_title", "_run").alias("last"),
+        F.sum((F.col("n") > 0).cast("long")).alias("groups"),
+        F.sum(F.when(F.col("_run") == 0, F.col("n")).otherwise(0)).alias("head"))
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    upto = in_file.rowsBetween(Window.unboundedPreceding, 0)
+    splits = splits.withColumn("opened", F.sum((F.col("headers") > 0).cast("long")).over(upto))
+    of_group = Window.partitionBy("_file", "opened").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    splits = splits.withColumn("open", F.sum("tail").over(of_group)).withColumn(
+        "title", F.last("last", ignorenulls=True).over(upto))
+    splits = splits.withColumn("_carry", F.coalesce(F.lag("open").over(in_file), F.lit(0))).withColumn(
+        "_open_title", F.lag("title").over(in_file))
+    splits = splits.withColumn("_goes_on", ((F.col("head") > 0) & (F.col("_carry") > 0)).cast("long"))
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("groups") - F.col("_goes_on")).over(earlier), F.lit(0))
+    return splits.select("_file", "_block", "_carry", "_open_title", "_goes_on", before.alias("_before"))
+
+
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
     """Section text (a file, or a folder of files in name order).
     ``[Title]`` opens a group; blank and ``#`` lines are skipped (F3); lines
     before any header form a group without title; groups without URLs vanish;
-    equal titles stay separate groups."""
-    txt = _read_whole(spark, path)
-    lines = txt.select("_file", "_frank", F.posexplode(F.split("value", "\r\n|\r|\n", -1)).alias("line_no", "raw"))
-    line = trim_ws("raw")
-    lines = skip_comment_lines(lines.select("_file", "_frank", "line_no", line.alias("line")), "line")
-    is_header = F.col("line").startswith("[") & F.col("line").endswith("]")
-    per_file = Window.partitionBy("_file").orderBy("line_no")
-    lines = lines.withColumn("_hdr", is_header).withColumn(
-        "_grp", F.sum(F.col("_hdr").cast("int")).over(per_file.rowsBetween(Window.unboundedPreceding, 0)))
-    titles = lines.where("_hdr").select(
-        "_file", "_grp", trim_ws(F.expr("substring(line, 2, length(line) - 2)")).alias("group_title"))
-    urls = lines.where(~F.col("_hdr")).join(titles, ["_file", "_grp"], "left")
+    equal titles stay separate groups. A file is read in the scan's splits: each
+    numbers its own groups and URLs, and the sums of the splits before it (one
+    small row a split) say where its numbers begin and which group is open."""
+    lines = _section_lines(spark, path)
+    in_run = Window.partitionBy("_file", "_block", "_run").orderBy("_seq")
+    so_far = Window.partitionBy("_file", "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
+    urls = lines.where(~F.col("_hdr")).withColumn("_k", F.row_number().over(in_run))
+    urls = urls.withColumn("_group", F.sum((F.col("_k") == 1).cast("long")).over(so_far))
+    files = _file_ranks(spark.read.text(path).select(F.col("_metadata.file_path").alias("_file")))
+    urls = urls.join(_section_splits(lines).join(files, "_file"), ["_file", "_block"])
     return urls.select(
-        (F.col("_frank") * FILE_GROUP_STRIDE
-         + F.dense_rank().over(Window.partitionBy("_file").orderBy("_grp")) - 1).cast("long").alias("group_idx"),
-        "group_title",
-        (F.row_number().over(Window.partitionBy("_file", "_grp").orderBy("line_no")) - 1).cast("long")
-        .alias("url_idx"),
+        (F.col("_frank") * FILE_GROUP_STRIDE + F.col("_before") + F.col("_group") - F.col("_goes_on") - 1)
+        .cast("long").alias("group_idx"),
+        F.coalesce("_title", "_open_title").alias("group_title"),
+        (F.col("_k") - 1 + F.when(F.col("_run") == 0, F.col("_carry")).otherwise(0)).cast("long").alias("url_idx"),
         F.col("line").alias("url"),
     )
 

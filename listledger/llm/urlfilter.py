@@ -58,42 +58,91 @@ def masked(path: Column) -> Column:
     return F.transform(F.split(path, "/"), mask)
 
 
+def steps(segments: Column) -> Column:
+    """Path segments as they are written in a template."""
+    return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), "")
+
+
 def generalise(leaves: DataFrame, fan: int, rare: float) -> DataFrame:
-    """Column ``template`` of ``leaves`` (host, segments, n, ...), level by level: where a node has more than ``fan`` children,
-    those with less than a share ``rare`` of its pages become one wildcard."""
-    depth = leaves.agg(F.max(F.size("segments"))).first()[0] or 0
-    out = leaves.withColumn("template", F.lit(""))
-    for d in range(depth):
-        child = F.when(F.size("segments") > d, F.element_at("segments", d + 1))
-        out = out.withColumn("child", child)
-        counts = out.where("child is not null").groupBy("host", "template", "child").agg(F.sum("n").alias("k"))
-        node = counts.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("k").alias("all"))
-        wild = counts.join(node, ["host", "template"]).where((F.col("children") > fan) & (F.col("k") < rare * F.col("all")))
-        out = out.join(wild.select("host", "template", "child", F.lit(True).alias("wild")), ["host", "template", "child"], "left")
+    """Column ``template`` of ``leaves`` (host, segments, n, ...): where a node has more than ``fan`` children, those with less than a
+    share ``rare`` of its pages become one wildcard.
+
+    A node is the leaves of a host with one template up to segment ``at``. A wildcard needs more than ``fan`` different segments at a
+    level, so a round takes a node to the first such level at once, copying the segments before it; a node without one is done. A node whose
+    children are all rare stays one node, and passes all such levels that follow each other in one round. So rounds count the levels at
+    which some node divides beside a wildcard, not the segments of a path."""
+    node = ["host", "template", "at"]
+    size, rest = F.size("segments"), F.slice("segments", F.col("at") + 1, F.size("segments"))
+    names = leaves.columns
+    live = write_through(leaves.withColumn("template", F.lit("")).withColumn("at", F.lit(0)), "templates")
+    done = []
+    while not live.isEmpty():
+        each = live.where(size > F.col("at")).select(*node, "n", F.posexplode(rest).alias("level", "child"))
+        each = each.groupBy(*node, "level", "child").agg(F.sum("n").alias("k"))
+        levels = each.groupBy(*node, "level").agg(F.count("*").alias("children"), F.max("k").alias("most"), F.sum("k").alias("all"))
+        levels = levels.join(live.groupBy(*node).agg(F.sum("n").alias("pages")), node)
+        many = F.col("children") > fan
+        whole = many & (F.col("most") < rare * F.col("all")) & (F.col("all") == F.col("pages"))
+        plan = levels.groupBy(*node).agg(F.min(F.when(many, F.col("level"))).alias("first"), F.min(F.when(~whole, F.col("level"))).alias("stop"), F.max("level").alias("last"))
+        plan = plan.withColumn("stop", F.coalesce("stop", F.col("last") + 1)).drop("last")
+        out = write_through(live.join(plan, node, "left"), "templates")
+        end = out.where("first is null")
+        done.append(end.select(*names, F.when(size > F.col("at"), F.concat("template", steps(rest))).otherwise(F.col("template")).alias("template")))
+        through = out.where("first is not null and stop > 0")
+        through = through.select(*names, F.concat("template", F.repeat(F.lit("/{*}"), F.col("stop"))).alias("template"), (F.col("at") + F.col("stop")).alias("at"))
+        part = out.where("first is not null and stop = 0")
+        child = F.when(size > F.col("at") + F.col("first"), F.element_at("segments", F.col("at") + F.col("first") + 1))
+        ahead = F.slice("segments", F.col("at") + 1, F.col("first"))
+        part = part.select(*names, F.concat("template", steps(ahead)).alias("template"), (F.col("at") + F.col("first") + 1).alias("at"), child.alias("child"))
+        done.append(part.where("child is null").select(*names, "template"))
+        part = part.where("child is not null")
+        counts = part.groupBy(*node, "child").agg(F.sum("n").alias("k"))
+        sums = counts.groupBy(*node).agg(F.count("*").alias("children"), F.sum("k").alias("all"))
+        wild = counts.join(sums, node).where((F.col("children") > fan) & (F.col("k") < rare * F.col("all"))).select(*node, "child", F.lit(True).alias("wild"))
+        part = part.join(wild, [*node, "child"], "left")
         step = F.concat("template", F.lit("/"), F.when(F.col("wild"), "{*}").otherwise(F.col("child")))
-        out = out.withColumn("template", F.when(F.col("child").isNull(), F.col("template")).otherwise(step)).drop("child", "wild")
-        if d % 4 == 3:  # long paths: keep the plan short
-            out = write_through(out, "templates")
+        part = part.select(*names, step.alias("template"), "at")
+        live = write_through(through.unionByName(part), "templates")
+    out = live.select(*names, "template")
+    for rows in done:
+        out = out.unionByName(rows)
     return out
 
 
+def dividing(able: DataFrame) -> DataFrame:
+    """Rows (host, size, levels): the levels, in order, at which some branches of a host and a depth may meet as siblings, from rows
+    (host, size, parts). Two that do are equal after that level and differ at it; so a level where no such two are can be passed over.
+    (Endings are compared by hash: if two share one, a level too many is looked at.)"""
+    at = F.explode(F.sequence(F.lit(2), F.col("size") - 1))
+    each = able.where("size > 2").select("host", "size", "parts", at.alias("at"))
+    after = F.xxhash64(F.slice("parts", F.col("at") + 2, F.col("size")))
+    each = each.select("host", "size", "at", after.alias("after"), F.element_at("parts", F.col("at") + 1).alias("child"))
+    meet = each.groupBy("host", "size", "at", "after").agg(F.min("child").alias("low"), F.max("child").alias("high")).where("low != high")
+    return meet.groupBy("host", "size").agg(F.sort_array(F.collect_set("at")).alias("levels"))
+
+
 def merged(templates: DataFrame, z: float, least: int) -> DataFrame:
     """``templates`` (host, template, block, labelled) with column ``branch``, level by level: siblings (branches of a host that differ in
     one segment only) with at least ``least`` labels whose share of blocked ones is within ``z`` standard errors of their pooled share
-    fall into one branch, the others keep their own."""
-    depth = templates.agg(F.max(F.size(F.split("template", "/")))).first()[0] or 0
-    out = templates.withColumn("branch", F.col("template"))
-    for at in range(2, depth):  # templates start with "/" and the empty segment before the path
-        parts = F.split("branch", "/")
-        masked_at = F.array_join(F.transform(parts, lambda s, i: F.when(i == at, "{+}").otherwise(s)), "/")  # noqa: B023
-        sums = out.groupBy("host", "branch").agg(F.sum("block").alias("b"), F.sum("labelled").alias("l"))
-        sums = sums.where((F.size(parts) > at) & (F.col("l") >= least)).withColumn("key", masked_at)
+    fall into one branch, the others keep their own. A branch without siblings at a level has a wildcard there. Only levels with siblings
+    take a round, so rounds count the labelled templates of a host that resemble each other, not the segments of a path."""
+    rows = templates.withColumn("parts", F.split("template", "/")).withColumn("size", F.size("parts"))
+    levels = dividing(rows.where(F.col("labelled") >= least).select("host", "size", "parts"))
+    rows = rows.join(levels, ["host", "size"], "left").withColumn("levels", F.when(F.col("labelled") >= least, F.col("levels")))
+    alone = F.array_join(F.transform("parts", lambda s, i: F.when((i >= 2) & ~F.array_contains("levels", i), "{+}").otherwise(s)), "/")
+    rows = rows.withColumn("branch", F.when(F.col("levels").isNotNull(), alone).otherwise(F.col("template"))).drop("parts", "size")
+    out = write_through(rows, "branches")
+    for k in range(out.agg(F.max(F.size("levels"))).first()[0] or 0):
+        at = F.when(F.size("levels") > k, F.element_at("levels", k + 1))
+        sums = out.where(at.isNotNull()).groupBy("host", "branch", at.alias("at")).agg(F.sum("block").alias("b"), F.sum("labelled").alias("l"))
+        masked_at = F.array_join(F.transform(F.split("branch", "/"), lambda s, i: F.when(i == F.col("at"), "{+}").otherwise(s)), "/")
+        sums = sums.withColumn("key", masked_at)
         pool = sums.groupBy("host", "key").agg((F.sum("b") / F.sum("l")).alias("share"))
         error = F.sqrt(F.col("share") * (1 - F.col("share")) / F.col("l") + 0.25 / (F.col("l") * F.col("l")))
         alike = sums.join(pool, ["host", "key"]).where(F.abs(F.col("b") / F.col("l") - F.col("share")) <= z * error)
         out = out.join(alike.select("host", "branch", "key"), ["host", "branch"], "left")
         out = write_through(out.withColumn("branch", F.coalesce("key", "branch")).drop("key"), "branches")
-    return out
+    return out.drop("levels")
 
 
 def backing(templates: DataFrame, prior: float, doubt: float) -> DataFrame:
@@ -102,7 +151,7 @@ def backing(templates: DataFrame, prior: float, doubt: float) -> DataFrame:
     root, whose share is that of other hosts; with no label anywhere it is one half."""
     counts = ("n", "block", "labelled")
     parts = F.split("template", "/")
-    nodes = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda k: F.struct(k.alias("level"), F.array_join(F.slice(parts, 1, k), "/").alias("node")))
+    nodes = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda k: F.struct(k.alias("level"), F.md5(F.array_join(F.slice(parts, 1, k), "/")).alias("node")))
     paths = templates.select("host", "template", *counts, F.explode(nodes).alias("at")).select("host", "template", *counts, "at.*")
     own = write_through(paths.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in counts)), "nodes")
     all_hosts = own.groupBy("node").agg(F.sum("block").alias("all_block"), F.sum("labelled").alias("all_labelled"))

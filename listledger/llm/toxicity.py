@@ -51,6 +51,7 @@ _WORDS = re.compile(f"{_LETTER}+")
 _DISGUISE = frozenset(STANDS_FOR) | frozenset(JOINERS)
 _IDLE = ".,;:?\"“”„«»‘’)]}[{<>…"  # stand for nothing at a token's ends
 _DOUBLE = re.compile(rf"([{re.escape(''.join(STANDS_FOR))}])\1")
+_JOINERS = re.compile(f"[{re.escape(JOINERS)}]+")
 _REPEATED = re.compile(rf"({_LETTER})\1\1")
 
 
@@ -125,7 +126,7 @@ def spread_arcs(run: list[str]) -> list[list[tuple[str, float]]]:
 
 def advance(states: dict, step: list[tuple[str, float]], model: CharModel) -> dict:
     """Viterbi over one step. States are the codes of the last two letters in one number, with the score and reading of the best way to
-    them. A reading is a chain of steps, so a step's work does not grow with the token."""
+    them. A reading is a chain of steps, so a step's work does not grow with the token; a letter ends all states alike, so there are few."""
     flat, code = model.flat, model.code
     after: dict[int, tuple[float, tuple | None]] = {}
     ways = [(letters, [code(c) for c in letters], cost) for letters, cost in step]
@@ -138,7 +139,7 @@ def advance(states: dict, step: list[tuple[str, float]], model: CharModel) -> di
                     to = to % CODES * CODES + k
             if to not in after or after[to][0] < total:
                 after[to] = (total, (read, letters) if letters else read)
-    return dict(sorted(after.items(), key=lambda s: -s[1][0])[:256]) if len(after) > 256 else after
+    return after
 
 
 def ended(states: dict, model: CharModel) -> list[tuple[float, tuple | None]]:
@@ -165,25 +166,41 @@ def readings(token: str, model: CharModel, margin: float = MARGIN, double: bool
 
 def spread_words(run: list[str], model: CharModel, margin: float = SPREAD_MARGIN) -> list[str]:
     """The words of spread letters: those on a division of the run into words within ``margin`` nats of the likeliest. A word has up
-    to LONGEST steps, so the work is linear in the run."""
+    to LONGEST steps, so the work is linear in the run. A word that is over ``margin`` worse than another way to its end is on no such
+    division and is not held."""
     steps = spread_arcs(run)
     arcs_from: list[list[tuple[int, float, tuple | None]]] = []
+    left, right = [-math.inf] * (len(steps) + 1), [-math.inf] * (len(steps) + 1)
+    left[0] = right[-1] = 0.0
     for i in range(len(steps)):
         states, found = {0: (0.0, None)}, []
         for j in range(i, min(i + LONGEST, len(steps))):
             states = advance(states, steps[j], model)
-            found += [(j + 1, score, read) for score, read in ended(states, model)[:2]]
+            for score, read in ended(states, model):
+                if left[i] + score < left[j + 1] - margin:
+                    break
+                left[j + 1] = max(left[j + 1], left[i] + score)
+                found.append((j + 1, score, read))
         arcs_from.append(found)
-    left, right = [-math.inf] * (len(steps) + 1), [-math.inf] * (len(steps) + 1)
-    left[0] = right[-1] = 0.0
-    for i, found in enumerate(arcs_from):
-        for j, score, _ in found:
-            left[j] = max(left[j], left[i] + score)
     for i in reversed(range(len(steps))):
-        right[i] = max(score + right[j] for j, score, _ in arcs_from[i])
+        right[i] = max((score + right[j] for j, score, _ in arcs_from[i]), default=-math.inf)
     return [spelled(read) for i, found in enumerate(arcs_from) for j, score, read in found if left[i] + score + right[j] >= right[0] - margin]
 
 
+def one_word(run: list[str], model: CharModel) -> str:
+    """The likeliest reading of spread letters as a single word."""
+    states = {0: (0.0, None)}
+    for step in spread_arcs(run):
+        states = advance(states, step, model)
+    return spelled(ended(states, model)[0][1])
+
+
+def joined_letters(token: str) -> list[list[str]]:
+    """Runs of three or more single letters (or signs) of a token with joiners between them."""
+    runs = ([single, list(run)] for single, run in groupby(_JOINERS.split(token), key=lambda piece: len(piece) == 1))
+    return [run for single, run in runs if single and len(run) > 2]
+
+
 def decode(token: str, model: CharModel) -> str:
     """The likeliest reading of a token."""
     return readings(token, model, 0.0)[0]
@@ -200,9 +217,11 @@ def restore(token: str, model: CharModel | None) -> list[str]:
     if model is None or not plain or not (" " in core or not _DISGUISE.isdisjoint(core) or _REPEATED.search(core)):
         return plain
     if " " in core:
-        return [*plain, *filter(None, spread_words(core.split(" "), model))]
+        run = core.split(" ")
+        return [*plain, *filter(None, [one_word(run, model), *spread_words(run, model)])]
     found = readings(core, model) + (readings(core, model, double=True) if _DOUBLE.search(core) else [])
-    return [*plain, *(w for reading in found for w in _WORDS.findall(reading))]
+    spread = (w for run in joined_letters(core) for w in [one_word(run, model), *spread_words(run, model)] if w)
+    return [*plain, *(w for reading in found for w in _WORDS.findall(reading)), *spread]
 
 
 def spread_letters(tokens: list[str]) -> list[str]:
@@ -309,7 +328,7 @@ def count_features(sample: DataFrame, chars: CharModel) -> DataFrame:
 
         for texts, labels in text_rows(batches, "text", "label"):
             for t, y in zip(texts, labels):
-                counts[y].update({f for token in tokens_of(t) for w in restore(token, model) for f in features_of(w) if len(w) <= 40})
+                counts[y].update({f for token in tokens_of(t) for w in restore(token, model) for f in features_of(w)})
             if len(counts[0]) + len(counts[1]) > 200_000:
                 yield pa.RecordBatch.from_pylist([dict(zip(("feature", "pos", "neg"), r)) for r in rows()], schema)
                 counts[0].clear(), counts[1].clear()

@@ -33,3 +33,45 @@ def test_every_sign_and_length(chars, text, word):
 def test_long_runs_are_decoded_in_linear_time(chars):
     assert "stupid" in restored(" ".join("the people of the world and a stupid man in the house of the lord were here".replace(" ", "")), chars)
     assert len(toxicity.decode("l-0-5-e-r-" * 20_000, chars)) >= 60_000
+
+
+@pytest.mark.parametrize("word", ["pathetic", "worthless", "disgusting", "stupid", "idiot", "disgrace"])
+@pytest.mark.parametrize("joiner", [".", "-", "_", "..", "*"])
+def test_words_spread_by_joiners(chars, word, joiner):
+    assert word in restored(f"you {joiner.join(word)}, yes", chars)
+    assert scorer(chars, word).row(f"you {joiner.join(word)}!")[0] > 4
+
+
+def test_joined_letters():
+    assert toxicity.joined_letters("so-p.a.t.h-x_y") == [list("pathxy")]
+    assert toxicity.joined_letters("e.g") == toxicity.joined_letters("well-known") == toxicity.joined_letters("") == []
+
+
+def every_division(steps, chars, margin):
+    """The words of all divisions within the margin, each division written out."""
+    def words(i):
+        if i == len(steps):
+            yield 0.0, ()
+        for j in range(i + 1, min(i + toxicity.LONGEST, len(steps)) + 1):
+            states = {0: (0.0, None)}
+            for step in steps[i:j]:
+                states = toxicity.advance(states, step, chars)
+            for score, read in toxicity.ended(states, chars):
+                for rest, others in words(j):
+                    yield score + rest, ((i, j, toxicity.spelled(read)), *others)
+
+    found = list(words(0))
+    best = max(score for score, _ in found)
+    return {w for score, ws in found if score >= best - margin for w in ws}
+
+
+@pytest.mark.parametrize("run", ["aloser", "1d10tyes", "youidiot", "he!!oyou", "ss5aa"])
+def test_divisions_against_all_divisions(chars, run):
+    want = sorted(w for _, _, w in every_division(toxicity.spread_arcs(list(run)), chars, toxicity.SPREAD_MARGIN))
+    assert sorted(toxicity.spread_words(list(run), chars)) == want
+
+
+def test_long_words_and_long_spread_runs(chars):
+    assert scorer(chars, "x" + "ab" * 40).row("x" + "ab" * 40)[0] > 4
+    words = toxicity.restore("w.o.r.t.h.l.e.s.s." * 2_000, chars)
+    assert words.count("worthless") >= 2_000

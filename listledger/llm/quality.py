@@ -96,13 +96,21 @@ def measures(docs: DataFrame, *kept: str, text: str = "text") -> DataFrame:
 
 
 def at_most(k: int, n: int, p: float) -> float:
-    """Probability of at most k successes in n trials."""
+    """Probability of at most k successes in n trials. Terms are summed from the likeliest one on, each from the one before it, until they
+    no longer count: some sqrt(n) of them, whatever k is."""
     if p <= 0 or k >= n:
         return 1.0
     if p >= 1:
         return 0.0
-    top = math.lgamma(n + 1)
-    return math.fsum(math.exp(top - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
+    start, odds = min(k, int((n + 1) * p)), p / (1 - p)
+    first = math.exp(math.lgamma(n + 1) - math.lgamma(start + 1) - math.lgamma(n - start + 1) + start * math.log(p) + (n - start) * math.log1p(-p))
+    total, term, i = 0.0, first, start
+    while i >= 0 and term > total * 1e-17:
+        total, term, i = total + term, term * i / ((n - i + 1) * odds), i - 1
+    term, i = first * (n - start) * odds / (start + 1), start + 1
+    while i <= k and term > total * 1e-17:
+        total, term, i = total + term, term * (n - i) * odds / (i + 1), i + 1
+    return min(total, 1.0)
 
 
 def upper_bound(k: int, n: int, miss: float) -> float:
@@ -143,13 +151,13 @@ def cutoffs(good: DataFrame, risk: float = 0.08, miss: float = 0.05) -> DataFram
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", label: str = "quality", risk: float = 0.08, miss: float = 0.05, id_col: str = "doc_id") -> DataFrame:
     """Rows (id, counts, rules' values, base_failed, failed: rules that reject, kept), one for each row of ``docs``."""
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum"), "text")
+    rows = docs.select(F.col(id_col), F.col(stratum).cast("string").alias("_stratum"), "text")
     rows = write_through(measures(rows, id_col, "_stratum").withColumnRenamed("_stratum", "stratum"), "measures")
     good = labels.groupBy(id_col).agg(F.min(label).alias("_label")).where("_label = 1").select(id_col)
     limits = cutoffs(rows.join(good, id_col, "left_semi"), risk, miss)
     limits = write_through(limits.groupBy("stratum").pivot("rule", list(CUTOFFS)).agg(F.max("cutoff")), "cutoffs")
-    limits = limits.select("stratum", *(F.col(r).alias(f"{r}_cutoff") for r in CUTOFFS))
-    out = rows.join(limits, "stratum", "left")
+    limits = limits.select(F.col("stratum").alias("_of"), *(F.col(r).alias(f"{r}_cutoff") for r in CUTOFFS))
+    out = rows.join(limits, F.col("stratum").eqNullSafe(F.col("_of")), "left").drop("_of")
     failed = F.array_compact(F.array(*(F.when(F.col(r) > F.col(f"{r}_cutoff"), r) for r in CUTOFFS)))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = out.withColumn("base_failed", base).withColumn("failed", failed)

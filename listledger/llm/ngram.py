@@ -39,12 +39,17 @@ NEVER = -(10**6)  # the bin of an estimate of zero
 
 
 def planes(values: np.ndarray) -> bytes:
-    """64-bit numbers byte by byte, all lowest bytes first: planes of zeros compress to nothing."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """The number of bytes that the largest of the 64-bit numbers takes, then the numbers byte by byte, all lowest bytes first: counts,
+    most of them small, are a byte or two each wherever they lie."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def unplanes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").reshape(-1)
+    given = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((given.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = given.T
+    return out.view("<u8").reshape(-1)
 
 
 def mix(context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -55,31 +60,35 @@ def mix(context: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 class Chunk:
-    """The tokens of a chunk's texts, and for each order the distinct n-grams in key order."""
+    """The tokens of a chunk's texts, and for each order the distinct n-grams in key order. The orders are made one after the other
+    by ``levels``: a task holds the tables of one."""
 
     def __init__(self, texts, order: int):
         from xxhash import xxh64_intdigest
 
+        self.order, self.lengths = order, []
         known: dict[bytes, int] = {END: 0}
-        tokens, self.lengths = [], []
+        tokens = []
         for text in texts:
             own = words(text)
-            tokens.append(np.fromiter((known.setdefault(w, len(known)) for w in own), np.int64, len(own)))
-            tokens.append(np.zeros(1, np.int64))
+            tokens.append(np.fromiter((known.setdefault(w, len(known)) for w in own), np.int32, len(own)))
+            tokens.append(np.zeros(1, np.int32))
             self.lengths.append(len(own) + 1)
         hashes = np.fromiter(map(xxh64_intdigest, known), np.uint64, len(known))
-        own = hashes[np.concatenate(tokens)] if tokens else np.zeros(0, np.uint64)
-        starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1])).astype(np.int64)
-        key, self.keys, self.at, self.counts = own, [], [], []
-        for level in range(order):
+        del known
+        self.end, self.tokens = hashes[:1], hashes[np.concatenate(tokens)] if tokens else np.zeros(0, np.uint64)
+        self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1])).astype(np.int64)
+
+    def levels(self):
+        """For each order: the distinct keys, ascending; which of them stands at each token; how often each occurs."""
+        key = self.tokens
+        for level in range(self.order):
             if level:  # the n-gram before, one token back; at a text's start that of the end token
                 back = np.roll(key, 1)
-                back[starts] = self.edge(hashes[:1], level)
-                key = mix(back, own)
-            found, at, counts = np.unique(key, return_inverse=True, return_counts=True)
-            self.keys.append(found)
-            self.at.append(at)
-            self.counts.append(counts)
+                back[self.starts] = self.edge(self.end, level)
+                key = mix(back, self.tokens)
+                del back
+            yield distinct(key)
 
     @staticmethod
     def edge(end: np.ndarray, level: int) -> np.ndarray:
@@ -90,6 +99,17 @@ class Chunk:
         return key
 
 
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values, ascending; the place of each value among them; how often each occurs. A chunk has fewer than 2^31 tokens."""
+    order = np.argsort(key).astype(np.int32)
+    ascending = key[order]
+    new = np.concatenate(([True], ascending[1:] != ascending[:-1])) if len(key) else np.zeros(0, bool)
+    found, firsts = ascending[new], np.flatnonzero(new)
+    at = np.empty(len(key), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    return found, at, np.diff(firsts, append=len(key))
+
+
 def ranges(buckets: int) -> np.ndarray:
     """The least key of each bucket but the first."""
     return np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
@@ -101,8 +121,7 @@ def requests(order: int, buckets: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         chunk, kind = int(pdf["chunk"].iloc[0]), int(pdf["kind"].iloc[0])
         own, rows = Chunk(pdf["text"], order), []
-        for level in range(order):
-            keys, counts = own.keys[level], own.counts[level]
+        for level, (keys, _, counts) in enumerate(own.levels()):
             cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
             rows += [(b, level, chunk, kind, planes(keys[i:j]), planes(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
         return pd.DataFrame(rows, columns=["bucket", "level", "chunk", "kind", "keys", "counts"])
@@ -114,7 +133,7 @@ def answer(pdf: pd.DataFrame) -> pd.DataFrame:
     """Counts of a range's n-grams in the training texts without the deleted fold, and in that fold, for each chunk that asks."""
     keys = [unplanes(x) for x in pdf["keys"]]
     counts = [unplanes(x).astype(np.int64) for x in pdf["counts"]]
-    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    found, at, _ = distinct(np.concatenate(keys))
     sums = np.zeros((2, len(found)), np.int64)
     sizes = np.cumsum([0, *map(len, keys)])
     for k, kind in enumerate(pdf["kind"]):
@@ -133,30 +152,33 @@ def answer(pdf: pd.DataFrame) -> pd.DataFrame:
 ANSWER = "chunk bigint, level int, bucket int, kept binary, deleted binary, types bigint, tokens_kept bigint, tokens_deleted bigint"
 
 
-def counts_of(own: Chunk, answers: pd.DataFrame, order: int, deleted: bool) -> list[np.ndarray]:
-    """For each order, the counts of the n-gram at each token; ``deleted``: without the deleted fold."""
-    out = []
-    for level in range(order):
-        rows = answers[answers["level"] == level].sort_values("bucket")
-        kept = [unplanes(x).astype(np.int64) + (0 if deleted else unplanes(y).astype(np.int64)) for x, y in zip(rows["kept"], rows["deleted"])]
-        out.append(np.concatenate(kept)[own.at[level]])
+def answered(answers: pd.DataFrame, deleted: bool) -> dict[int, list[tuple[bytes, bytes | None]]]:
+    """By order, the answers in the order of the ranges, still packed; ``deleted``: the counts of the deleted fold are left out."""
+    rows = answers.sort_values(["level", "bucket"])
+    out: dict[int, list] = {}
+    for level, kept, gone in zip(rows["level"], rows["kept"], [None] * len(rows) if deleted else rows["deleted"]):
+        out.setdefault(level, []).append((kept, gone))
     return out
 
 
-def context_counts(own: Chunk, counts: list[np.ndarray], texts_seen: np.ndarray | int) -> list[np.ndarray]:
-    """For each order from the second, how often the context was seen; a text's start is seen once a training text."""
-    starts = np.concatenate(([0], np.cumsum(own.lengths)[:-1])).astype(np.int64)
-    out = []
-    for level in range(1, len(counts)):
-        back = np.roll(counts[level - 1], 1)
-        back[starts] = texts_seen
-        out.append(back)
-    return out
+def by_level(own: Chunk, packed: dict, texts_seen: int):
+    """For each order, the counts of the n-gram at each token and those of its context (None: the first order's).
+    A text's start is seen once a training text."""
+    before = None
+    for level, (_, at, _) in enumerate(own.levels()):
+        kept = [unplanes(x) if y is None else unplanes(x) + unplanes(y) for x, y in packed.pop(level)]
+        counts = np.concatenate(kept).astype(np.int64)[at]
+        del kept, at
+        if before is not None:
+            before = np.roll(before, 1)
+            before[own.starts] = texts_seen
+        yield counts, before
+        before = counts
 
 
-def estimates(counts: list[np.ndarray], contexts: list[np.ndarray], n: int) -> list[np.ndarray]:
-    """Maximum-likelihood estimates by order; zero where the context is unseen."""
-    return [counts[0] / max(n, 1), *(np.divide(c, h, out=np.zeros(len(c)), where=h > 0) for c, h in zip(counts[1:], contexts))]
+def estimate(counts: np.ndarray, contexts: np.ndarray | None, n: int) -> np.ndarray:
+    """Maximum-likelihood estimates of an order; zero where the context is unseen."""
+    return counts / max(n, 1) if contexts is None else np.divide(counts, contexts, out=np.zeros(len(counts)), where=contexts > 0)
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -217,18 +239,35 @@ def held_out_bins(order: int, tokens: int, types: int, texts: int):
         if not len(docs):
             return pd.DataFrame({c: np.zeros(0, np.int64) for c in [*names, "n"]})
         own = Chunk(docs["text"], order)
-        counts = counts_of(own, answers, order, deleted=True)
-        contexts = context_counts(own, counts, texts)
-        with np.errstate(divide="ignore"):
-            ratios = [np.log(p * (types + 1)) * STEP for p in estimates(counts, contexts, tokens)]
-        top = bucket_of(contexts[-1] if contexts else counts[0])
-        table = np.c_[top, *(np.where(np.isfinite(r), np.rint(r), NEVER).astype(np.int64) for r in ratios)]
-        found, n = np.unique(table, axis=0, return_counts=True)
-        return pd.DataFrame(np.c_[found, n], columns=[*names, "n"])
+        rows, held = [], np.zeros(len(own.tokens), np.int32)  # the distinct rows of bins so far, and which of them each token has
+        for counts, contexts in by_level(own, answered(answers, deleted=True), texts):
+            top = counts if contexts is None else contexts  # the longest context is the last one
+            ratio = estimate(counts, contexts, tokens)
+            ratio *= types + 1
+            with np.errstate(divide="ignore"):
+                np.log(ratio, out=ratio)
+            ratio *= STEP
+            np.rint(ratio, out=ratio)
+            ratio[~np.isfinite(ratio)] = NEVER
+            ratio -= NEVER
+            ratio = ratio.astype(np.uint64)
+            found, at, _ = distinct(ratio)
+            rows, held = paired(rows, held, found.astype(np.int64) + NEVER, at)
+        column, at, _ = distinct(bucket_of(top).astype(np.uint64))
+        rows, held = paired(rows, held, column.astype(np.int64), at)
+        n = np.bincount(held, minlength=len(rows[0]))
+        return pd.DataFrame(np.column_stack([rows[-1], *rows[:-1], n]), columns=[*names, "n"])
 
     return run, ", ".join(f"{c} bigint" for c in ["bucket", *(f"r{k}" for k in range(1, order + 1)), "n"])
 
 
+def paired(rows: list[np.ndarray], held: np.ndarray, column: np.ndarray, at: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct pairs of a row of a table and a value of one more column, as a table with that column, and the place of each pair in it."""
+    found, place, _ = distinct(held.astype(np.uint64) * np.uint64(len(column)) + at.astype(np.uint64))
+    of = (found // np.uint64(len(column))).astype(np.int64)
+    return [*(r[of] for r in rows), column[(found % np.uint64(len(column))).astype(np.int64)]], place
+
+
 def scores(model: Model):
     table = model.weight_table()
 
@@ -237,16 +276,19 @@ def scores(model: Model):
         if not len(docs):
             return pd.DataFrame({c: [] for c in names})
         own = Chunk(docs["text"], model.order)
-        counts = counts_of(own, answers, model.order, deleted=False)
-        contexts = context_counts(own, counts, model.texts)
-        weights = table[bucket_of(contexts[-1] if contexts else counts[0])]
-        p = weights[:, 0] / (model.types + 1)
-        for k, estimate in enumerate(estimates(counts, contexts, model.tokens)):
-            p = p + weights[:, k + 1] * estimate
-        starts = np.concatenate(([0], np.cumsum(own.lengths)[:-1])).astype(np.int64)
-        base = np.log10((counts[0] + 1) / (model.tokens + model.types + 1))
-        total = lambda x: np.add.reduceat(x, starts)
-        return pd.DataFrame({"id": docs["id"].to_numpy(), "kind": docs["kind"].to_numpy(), "n_tokens": own.lengths, "n_known": total((counts[0] > 0).astype(np.int64)), "base_score": total(base), "score": total(np.log10(p))})
+        total = lambda x: np.add.reduceat(x, own.starts)
+        parts, known, base = [], None, None
+        for counts, contexts in by_level(own, answered(answers, deleted=False), model.texts):
+            if known is None:
+                known = total((counts > 0).astype(np.int64))
+                base = total(np.log10((counts + 1) / (model.tokens + model.types + 1)))
+            top = counts if contexts is None else contexts  # the longest context is the last one
+            parts.append(estimate(counts, contexts, model.tokens))
+        top = bucket_of(top)
+        p = table[:, 0][top] / (model.types + 1)
+        for k, part in enumerate(parts):
+            p += table[:, k + 1][top] * part
+        return pd.DataFrame({"id": docs["id"].to_numpy(), "kind": docs["kind"].to_numpy(), "n_tokens": own.lengths, "n_known": known, "base_score": base, "score": total(np.log10(p))})
 
     return run
 

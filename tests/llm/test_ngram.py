@@ -1,8 +1,11 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from listledger.llm import ngram
@@ -63,3 +66,25 @@ def test_odd_rows(spark):
     assert sorted(r["n_tokens"] for r in out) == [1, 1, 1, 3, 4, 5001]
     none, _ = ngram.train_and_score(docs.limit(0), *ngram.by_fold())
     assert none.count() == 0
+
+
+def test_small_counts_take_few_bytes():
+    for top, width in ((0, 1), (255, 1), (256, 2), (2**64 - 1, 8)):
+        values = np.array([1, 0, top, 7], np.uint64)
+        raw = ngram.planes(values)
+        assert len(raw) == 1 + 4 * width and (ngram.unplanes(raw) == values).all()
+
+
+def test_a_chunk_is_worked_through_in_few_bytes_a_token():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.zipf(1.3, 200) % 50_000)) for _ in range(1500)]  # 301,500 tokens
+    asked = ngram.requests(2, 4)[0](pd.DataFrame({"chunk": 1, "kind": 1, "text": texts}))
+    answers = pd.concat([ngram.answer(g) for _, g in asked.groupby(["bucket", "level"])])
+    docs = pd.DataFrame({"id": range(1500), "kind": 1, "text": texts})
+    model = ngram.Model(2, 301_500, 3_000, 1500, {0: np.full(3, 1 / 3)})
+    for run in (ngram.held_out_bins(2, 301_500, 3_000, 1500)[0], ngram.scores(model)):
+        tracemalloc.start()
+        run(docs, answers)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 95 * 301_500

@@ -8,7 +8,9 @@ the listings are out, so it never rides through a shuffle.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,8 +53,14 @@ def squeeze_newlines(md) -> Column:
     return F.regexp_replace(col(md), r"\n{3,}", "\n\n")
 
 
-@F.pandas_udf(T.StructType([T.StructField("md", T.StringType()), T.StructField("error", T.StringType())]))
-def _markdown_udf(html: pd.Series) -> pd.DataFrame:
+# What a Python worker holds at once, whatever the size of its Arrow batches: one page in, so many pages' Markdown or cards out.
+PAGES_AT_ONCE = 64
+CARDS_AT_ONCE = 1024
+
+MARKDOWN = pa.struct([("md", pa.string()), ("error", pa.string())])
+
+
+def _markdown_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     from ..functions.markdown import html_to_markdown
 
     def one(h):
@@ -63,7 +71,15 @@ def _markdown_udf(html: pd.Series) -> pd.DataFrame:
         except Exception as e:  # E16: a bad page gives no Markdown, the run goes on
             return None, f"{type(e).__name__}: {e}"
 
-    return pd.DataFrame([one(h) for h in html], columns=["md", "error"])
+    for html in batches:
+        for k in range(0, len(html), PAGES_AT_ONCE):
+            md, error = zip(*(one(h.as_py()) for h in html.slice(k, PAGES_AT_ONCE)))
+            yield pa.StructArray.from_arrays([pa.array(md, pa.string()), pa.array(error, pa.string())], fields=list(MARKDOWN))
+
+
+@F.arrow_udf(T.StructType([T.StructField("md", T.StringType()), T.StructField("error", T.StringType())]))
+def _markdown_udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return _markdown_slices(batches)
 
 
 def page_markdown(html) -> Column:
@@ -163,25 +179,41 @@ CARD_SCHEMA = T.StructType([
 ])
 
 
+def _page_rows(html: str | None, name: str | None, sources: dict) -> Iterator[tuple]:
+    """``pos, href, raw_title, company, tag_list, error, kind, source`` of a page's cards."""
+    try:
+        if html is None:
+            raise ValueError("page has no content")
+        src = sources[name]
+        for *card, err in C.extract_cards(html, src):
+            yield *card, err, "card", src.name
+    except Exception as e:  # E16: a bad page gives no rows, the run goes on
+        yield None, None, None, None, None, f"{type(e).__name__}: {e}", "page", name
+
+
 def _card_rows(sources: dict, carry: list[str]):
+    text = pa.string()
+    made = [pa.int32(), text, text, text, pa.list_(text), text, text, text]
     names_out = [f.name for f in CARD_SCHEMA.fields] + carry
 
+    def table(batch, at, rows):
+        taken = [batch.column(c).take(pa.array(at, pa.int32())) for c in ("page_id", "url", *carry)]
+        own = [pa.array(values, kind) for values, kind in zip(zip(*rows), made)]
+        return pa.RecordBatch.from_arrays([*taken[:2], *own, *taken[2:]], names_out)
+
     def run(batches):
-        for pdf in batches:
-            rows = []
-            names = pdf["source"] if "source" in pdf else [None] * len(pdf)
-            extra = list(zip(*[pdf[c] for c in carry])) if carry else [()] * len(pdf)
-            for page_id, url, html, name, ex in zip(pdf["page_id"], pdf["url"], pdf["html"], names, extra):
-                try:
-                    if html is None:
-                        raise ValueError("page has no content")
-                    src = sources[name]
-                    for pos, href, title, company, tags, err in C.extract_cards(html, src):
-                        rows.append((page_id, url, pos, href, title, company, tags, err, "card", src.name, *ex))
-                except Exception as e:  # E16: a bad page gives no rows, the run goes on
-                    rows.append((page_id, url, None, None, None, None, None, f"{type(e).__name__}: {e}", "page",
-                                 name, *ex))
-            yield pd.DataFrame(rows, columns=names_out)
+        for batch in batches:
+            names = batch.column("source") if "source" in batch.schema.names else pa.nulls(batch.num_rows)
+            at, rows = [], []
+            for k, (html, name) in enumerate(zip(batch.column("html"), names)):
+                for row in _page_rows(html.as_py(), name.as_py(), sources):
+                    at.append(k)
+                    rows.append(row)
+                    if len(rows) == CARDS_AT_ONCE:
+                        yield table(batch, at, rows)
+                        at, rows = [], []
+            if rows:
+                yield table(batch, at, rows)
     return run
 
 
@@ -198,7 +230,7 @@ def html_card_rows(pages: DataFrame, source: C.CardSource | dict) -> DataFrame:
         sources = source
         p = pages.select(F.col("page_id").cast("long"), "url", "html", "source", *carry)
     schema = T.StructType(CARD_SCHEMA.fields + [pages.schema[c] for c in carry])
-    return p.mapInPandas(_card_rows(sources, carry), schema)
+    return p.mapInArrow(_card_rows(sources, carry), schema)
 
 
 def extract_rejects(rows: DataFrame) -> DataFrame:

@@ -130,3 +130,32 @@ def test_page_files_keep_the_last_page_of_a_key(spark, tmp_path):
     assert got == {"a.example_p_q_1": "second\nline", "b.example_": "", "c.example_": "", long[8:108].replace("/", "_"): "b"}
     assert all(len(list(d.glob("*.txt"))) == 1 for d in (tmp_path / "out").glob("page_key=*"))
     assert write_page_files(pages.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_extractors_hand_out_small_parts_of_a_large_batch():
+    import pyarrow as pa
+
+    from listledger.functions.cards import SOURCE_B
+    from listledger.operators import extract as X
+
+    card = '<a class="posting-list-item" href="/pl/job/x"><h3 class="posting-title__position">t</h3></a>'
+    pages = [card * (k % 20) for k in range(3000)] + [None]
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(3001)), "url": ["u"] * 3001, "html": pages, "kept": [str(k) for k in range(3001)]})
+    parts = list(X._card_rows({None: SOURCE_B}, ["kept"])(iter([batch])))
+    assert max(p.num_rows for p in parts) <= X.CARDS_AT_ONCE
+    rows = pa.Table.from_batches(parts).to_pylist()
+    assert len(rows) == sum(k % 20 for k in range(3000)) + 1
+    assert all(r["kept"] == str(r["page_id"]) and r["raw_title"] == "t" for r in rows[:-1])
+    assert (rows[-1]["kind"], rows[-1]["error"]) == ("page", "ValueError: page has no content")
+    md = list(X._markdown_slices(iter([batch.column("html")])))
+    assert max(map(len, md)) <= X.PAGES_AT_ONCE and sum(map(len, md)) == 3001
+
+
+def test_page_files_are_dealt_to_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from listledger.plans import jobs
+
+    monkeypatch.setattr(jobs, "FILES_PER_TASK", 10, raising=False)
+    pages = spark.range(60).selectExpr("id as page_id", "concat('https://a.example/', id) as url", "concat('<p>', id, '</p>') as html").coalesce(1)
+    assert jobs.write_page_files(pages, str(tmp_path / "out")).count() == 60
+    names = [f.name for f in (tmp_path / "out").glob("page_key=*/part-*")]
+    assert len(names) == 60 and len({n.split("-")[1] for n in names}) > 3  # the number of the task that wrote the file

@@ -159,3 +159,20 @@ def test_page_files_are_dealt_to_tasks_of_bounded_size(spark, tmp_path, monkeypa
     assert jobs.write_page_files(pages, str(tmp_path / "out")).count() == 60
     names = [f.name for f in (tmp_path / "out").glob("page_key=*/part-*")]
     assert len(names) == 60 and len({n.split("-")[1] for n in names}) > 3  # the number of the task that wrote the file
+
+
+def test_watched_pages_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from listledger.plans import jobs
+
+    monkeypatch.setattr(jobs, "PAGES_PER_TASK", 10, raising=False)
+    seen = []
+    extract = jobs.extract_listings
+    monkeypatch.setattr(jobs, "extract_listings", lambda pages: seen.append(pages) or extract(pages))
+    card = '<a class="posting-list-item" href="/pl/job/x"><h3 class="posting-title__position">t</h3></a>'
+    pages = spark.range(200).select(F.col("id").alias("page_id"), F.format_string("https://nofluffjobs.com/pl/%d", "id").alias("url"), F.lit(card).alias("html")).coalesce(1)
+    watch = pages.select("url", F.lit(1).alias("group_idx"))
+    assert jobs.watched_listings(watch, pages).count() == 200
+    held = [r["n"] for r in seen[0].groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(held) == 200 and max(held) <= 40
